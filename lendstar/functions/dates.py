@@ -12,7 +12,7 @@ def _col(c) -> Column:
 
 def date_from_key(c) -> Column:
     """yyyymmdd integer -> DATE; invalid keys -> NULL (ANSI-safe)."""
-    return F.try_to_date(_col(c).cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(_col(c).cast("string"), "yyyyMMdd")
 
 
 def date_key(c) -> Column:

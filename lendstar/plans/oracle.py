@@ -96,3 +96,205 @@ JOIN energy_class_margin m ON c.EnergyClass = upper(trim(m.EnergyClass))
 JOIN credit_risk_tier t ON c.CustomerRiskTier = upper(trim(t.RiskTier))
 JOIN depreciation_rates d ON (year(c.FileMonth) - c.ManufactureYear) BETWEEN d.MinYear AND d.MaxYear
 CROSS JOIN rate r""", ("staged", "rate"))
+
+
+# --------------------------------------------------------------- cleansing
+
+from lendstar.fixtures import DAY1_TS, DAY2_TS  # noqa: E402
+from lendstar.specs import ACCOUNT, BALANCE, TRANSACTION, TableSpec  # noqa: E402
+
+_T = {"integer": "INT", "string": "VARCHAR", "date": "DATE", "timestamp": "TIMESTAMP"}
+DEC = "DECIMAL(15,5)"
+
+
+def _is_null_token(c: str) -> str:
+    return f"({c} IS NULL OR {c} IN ('', 'NULL', 'null'))"
+
+
+def _parsed(c: str) -> str:
+    return f"TRY_CAST(replace(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'), ',', '.') AS {DEC})"
+
+
+def eu_sql(c: str) -> str:
+    return f"CASE WHEN {_is_null_token(c)} THEN CAST(0 AS {DEC}) ELSE {_parsed(c)} END"
+
+
+def _unparseable(c: str) -> str:
+    return f"(NOT {_is_null_token(c)} AND {_parsed(c)} IS NULL)"
+
+
+def conform_sql(spec: TableSpec, src: str) -> str:
+    """Typed/defaulted columns + reject_reason ('' = accepted)."""
+    sel, reasons = [], []
+    for f in spec.schema.fields:
+        c = f.name
+        if c in spec.amount_cols:
+            sel.append(f"{eu_sql(c)} AS {c}")
+        elif c in spec.defaults:
+            sel.append(f"coalesce({c}, CAST({spec.defaults[c]} AS {_T[f.dataType.typeName()]})) AS {c}")
+        else:
+            sel.append(c)
+    for c in spec.amount_cols:
+        reasons.append(f"CASE WHEN {_unparseable(c)} THEN '{c} unparseable' END")
+    for c in spec.not_null_cols:
+        if c in spec.amount_cols:
+            continue
+        expr = f"coalesce({c}, {spec.defaults[c]})" if c in spec.defaults else c
+        reasons.append(f"CASE WHEN {expr} IS NULL THEN '{c} is null' END")
+    for c, n in spec.length_checks.items():
+        reasons.append(f"CASE WHEN length({c}) <> {n} THEN '{c} length <> {n}' END")
+    return f"SELECT {', '.join(sel)}, concat_ws('; ', {', '.join(reasons)}) AS reject_reason FROM {src}"
+
+
+def clean_sql(spec: TableSpec, conf: str) -> str:
+    cols = spec.business_cols
+    sent = [f"CASE WHEN {c} = -1 THEN NULL ELSE {c} END AS {c}" if c in spec.sentinel_cols else c
+            for c in cols]
+    tie = [f"{c} ASC NULLS FIRST" for c in cols if c not in (spec.key, spec.order_col)]
+    order = ", ".join([f"{spec.order_col} DESC NULLS LAST"] + tie)
+    computed = [f"CAST(try_strptime(CAST({k} AS VARCHAR), '%Y%m%d') AS DATE) AS {d}"
+                for d, k in spec.date_keys.items()]
+    if spec.is_active_from:
+        computed.append(f"CAST({spec.is_active_from} IS NULL AS INT) AS IsActive")
+    inner = (f"SELECT {', '.join(sent)} FROM {conf} WHERE reject_reason = ''")
+    ranked = (f"SELECT *, row_number() OVER (PARTITION BY {spec.key} ORDER BY {order}) AS __rn "
+              f"FROM ({inner}) s")
+    return f"SELECT {', '.join(cols + computed)} FROM ({ranked}) r WHERE __rn = 1"
+
+
+for _name, _spec, _src in (("acc", ACCOUNT, "raw_loan_account"), ("bal", BALANCE, "raw_loan_balance"),
+                           ("txn", TRANSACTION, "raw_loan_transaction"),
+                           ("acc2", ACCOUNT, "raw_loan_account_day2")):
+    step(f"conf_{_name}", conform_sql(_spec, _src))
+    step(f"clean_{_name}", clean_sql(_spec, f"conf_{_name}"), (f"conf_{_name}",))
+
+oracle("european_decimal", f"""
+SELECT LoanAccountId, OpenDateId, {eu_sql('CurrentInstallmentAmount')} AS CurrentInstallmentAmount,
+  {eu_sql('CurrentInvoiceFee')} AS CurrentInvoiceFee FROM raw_loan_account""")
+
+oracle("reject_amounts", " UNION ALL ".join(
+    f"SELECT LoanAccountId, OpenDateId, '{c}' AS column_name, {c} AS raw_value "
+    f"FROM raw_loan_account WHERE {_unparseable(c)}" for c in ACCOUNT.amount_cols))
+
+oracle("conform_accounts",
+       f"SELECT {', '.join(ACCOUNT.business_cols)} FROM conf_acc WHERE reject_reason = ''",
+       ("conf_acc",))
+oracle("reject_accounts",
+       "SELECT LoanAccountId, OpenDateId, reject_reason FROM conf_acc WHERE reject_reason <> ''",
+       ("conf_acc",))
+oracle("clean_accounts", "SELECT * FROM clean_acc", ("clean_acc",))
+oracle("clean_balances", "SELECT * FROM clean_bal", ("clean_bal",))
+oracle("clean_transactions", "SELECT * FROM clean_txn", ("clean_txn",))
+oracle("dedup_accounts", "SELECT LoanAccountId, OpenDateId, OpenDate FROM clean_acc", ("clean_acc",))
+oracle("dedup_balances", "SELECT LoanAccountBalanceId, BalanceDateId, LoanAccountId FROM clean_bal",
+       ("clean_bal",))
+oracle("dedup_transactions",
+       "SELECT LoanAccountTransactionId, TransactionDateId, TransactionReference FROM clean_txn",
+       ("clean_txn",))
+oracle("duplicate_keys", """
+SELECT LoanAccountTransactionId, count(*) AS n FROM raw_loan_transaction
+GROUP BY LoanAccountTransactionId HAVING count(*) > 1""")
+
+
+def local_ts(ts: str) -> str:
+    return f"((TIMESTAMP '{ts}' AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Stockholm')"
+
+
+def audit_sql(ts: str) -> str:
+    lt = local_ts(ts)
+    return (f"{lt} AS CreatedDate, CAST({lt} AS DATE) AS UpdatedDate, "
+            f"strftime({lt}, '%H:%M:%S') AS UpdatedTime")
+
+
+oracle("audit_columns", f"SELECT LoanAccountId, {audit_sql(DAY1_TS)} FROM clean_acc", ("clean_acc",))
+
+# --------------------------------------------------------------- identity
+
+
+def ident(spec: TableSpec, src: str, base: str = "0") -> str:
+    return (f"SELECT CAST(row_number() OVER (ORDER BY {spec.key} NULLS FIRST) + {base} AS BIGINT) "
+            f"AS {spec.identity_col}, * FROM {src}")
+
+
+step("snap_acc", f"SELECT *, {audit_sql(DAY1_TS)} FROM ({ident(ACCOUNT, 'clean_acc')}) x", ("clean_acc",))
+
+oracle("identity_initial",
+       f"SELECT {BALANCE.identity_col}, {BALANCE.key} FROM ({ident(BALANCE, 'clean_bal')}) x",
+       ("clean_bal",))
+
+_TABLES = (("acc", ACCOUNT), ("bal", BALANCE), ("txn", TRANSACTION))
+oracle("max_identity", " UNION ALL ".join(
+    f"SELECT '{s.name}' AS table_name, CAST(coalesce(max({s.identity_col}), 0) AS BIGINT) AS max_id "
+    f"FROM ({ident(s, 'clean_' + n)}) x_{n}" for n, s in _TABLES), tuple(f"clean_{n}" for n, _ in _TABLES))
+oracle("key_range", " UNION ALL ".join(
+    f"SELECT '{s.name}' AS table_name, min({s.key}) AS min_key, max({s.key}) AS max_key FROM clean_{n}"
+    for n, s in _TABLES), tuple(f"clean_{n}" for n, _ in _TABLES))
+oracle("row_counts", " UNION ALL ".join(
+    f"SELECT '{s.name}' AS table_name, count(*) AS raw_rows, "
+    f"count(CASE WHEN reject_reason = '' THEN 1 END) AS accepted_rows, "
+    f"count(CASE WHEN reject_reason <> '' THEN 1 END) AS rejected_rows, "
+    f"(SELECT count(*) FROM clean_{n}) AS clean_rows FROM conf_{n}"
+    for n, s in _TABLES), tuple(f"clean_{n}" for n, _ in _TABLES))
+
+# --------------------------------------------------------------- changes and upserts
+
+_K = ACCOUNT.key
+_BIZ = [c for c in ACCOUNT.business_cols if c != _K]
+_EQ = " AND ".join(f"n.{c} IS NOT DISTINCT FROM o.{c}" for c in _BIZ)
+
+step("classified", f"""
+SELECT coalesce(n.{_K}, o.{_K}) AS {_K},
+  CASE WHEN o.{_K} IS NULL THEN 'insert' WHEN n.{_K} IS NULL THEN 'missing'
+       WHEN {_EQ} THEN 'same' ELSE 'update' END AS change
+FROM clean_acc2 n FULL OUTER JOIN clean_acc o ON n.{_K} = o.{_K}""", ("clean_acc", "clean_acc2"))
+step("max_acc", f"SELECT CAST(coalesce(max({ACCOUNT.identity_col}), 0) AS BIGINT) AS m FROM snap_acc",
+     ("snap_acc",))
+
+oracle("identity_increment", f"""
+SELECT CAST(row_number() OVER (ORDER BY n.{_K}) + (SELECT m FROM max_acc) AS BIGINT) AS {ACCOUNT.identity_col}, n.{_K}
+FROM clean_acc2 n WHERE n.{_K} NOT IN (SELECT {_K} FROM snap_acc)""", ("clean_acc2", "max_acc"))
+oracle("detect_new_keys", f"""
+SELECT DISTINCT n.{_K} FROM clean_acc2 n WHERE NOT EXISTS (SELECT 1 FROM clean_acc o WHERE o.{_K} = n.{_K})""",
+       ("clean_acc", "clean_acc2"))
+_ALL = ", ".join(ACCOUNT.business_cols)
+oracle("changed_rows_exceptall", f"SELECT {_ALL} FROM clean_acc2 EXCEPT ALL SELECT {_ALL} FROM clean_acc",
+       ("clean_acc", "clean_acc2"))
+oracle("detect_changes", "SELECT * FROM classified", ("classified",))
+oracle("change_counts", "SELECT change, count(*) AS n FROM classified GROUP BY change", ("classified",))
+
+_IDC = ACCOUNT.identity_col
+oracle("upsert_snapshot", f"""
+SELECT s.{_IDC}, {', '.join('s.' + c for c in ACCOUNT.business_cols)}
+FROM snap_acc s JOIN classified k ON s.{_K} = k.{_K} WHERE k.change IN ('same', 'missing')
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY n.{_K}) + (SELECT m FROM max_acc) AS BIGINT) AS {_IDC},
+  {', '.join('n.' + c for c in ACCOUNT.business_cols)}
+FROM clean_acc2 n JOIN classified k ON n.{_K} = k.{_K} WHERE k.change IN ('insert', 'update')""",
+       ("snap_acc", "classified", "max_acc", "clean_acc2"))
+
+_lt2 = local_ts(DAY2_TS)
+oracle("merge_upsert", f"""
+SELECT s.{_IDC}, s.{_K},
+  {', '.join(f"CASE WHEN k.change = 'update' THEN n.{c} ELSE s.{c} END AS {c}" for c in _BIZ)},
+  s.CreatedDate,
+  CASE WHEN k.change = 'update' THEN CAST({_lt2} AS DATE) ELSE s.UpdatedDate END AS UpdatedDate,
+  CASE WHEN k.change = 'update' THEN strftime({_lt2}, '%H:%M:%S') ELSE s.UpdatedTime END AS UpdatedTime
+FROM snap_acc s JOIN classified k ON s.{_K} = k.{_K} LEFT JOIN clean_acc2 n ON n.{_K} = s.{_K}
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY n.{_K}) + (SELECT m FROM max_acc) AS BIGINT) AS {_IDC},
+  {', '.join('n.' + c for c in ACCOUNT.business_cols)}, {audit_sql(DAY2_TS)}
+FROM clean_acc2 n JOIN classified k ON n.{_K} = k.{_K} WHERE k.change = 'insert'""",
+       ("snap_acc", "classified", "max_acc", "clean_acc2"))
+
+oracle("append_changes", f"""
+SELECT {_IDC}, {_ALL} FROM snap_acc
+UNION ALL
+SELECT CAST(row_number() OVER (ORDER BY n.{_K}) + (SELECT m FROM max_acc) AS BIGINT) AS {_IDC},
+  {', '.join('n.' + c for c in ACCOUNT.business_cols)}
+FROM clean_acc2 n JOIN classified k ON n.{_K} = k.{_K} WHERE k.change IN ('insert', 'update')""",
+       ("snap_acc", "classified", "max_acc", "clean_acc2"))
+
+oracle("rerun_is_noop", f"""
+SELECT count(CASE WHEN NOT ({_EQ}) THEN 1 END) AS changed_rows,
+       count(CASE WHEN {_EQ} THEN 1 END) AS unchanged_rows
+FROM clean_acc n JOIN clean_acc o ON n.{_K} = o.{_K}""", ("clean_acc",))

@@ -74,3 +74,214 @@ def loan_profit_estimates(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     return profit.estimate_profits(fx.cars, fx.interest_rates, fx.energy_class_margin,
                                    fx.credit_risk_tier, fx.depreciation_rates, RUN_DATE)
+
+
+# --------------------------------------------------------------- cleansing
+
+from lendstar.fixtures import DAY1_DATE, DAY1_TS, DAY2_TS  # noqa: E402
+from lendstar.functions.audit import with_audit  # noqa: E402
+from lendstar.functions.decimals import european_decimal as _eu  # noqa: E402
+from lendstar.operators import changes, cleanse, keys, upsert  # noqa: E402
+from lendstar.specs import ACCOUNT, BALANCE, TRANSACTION  # noqa: E402
+
+RAW = {"account": "raw_loan_account", "balance": "raw_loan_balance",
+       "transaction": "raw_loan_transaction"}
+SPEC = {"account": ACCOUNT, "balance": BALANCE, "transaction": TRANSACTION}
+
+
+def _clean(fx: Fixtures, table: str, day2: bool = False) -> DataFrame:
+    src = fx.acc2 if day2 else fx.get(RAW[table])
+    return cleanse.clean(src, SPEC[table])
+
+
+@query
+def european_decimal(spark, sf_dir):
+    acc = _fx(spark, sf_dir).acc
+    return acc.select("LoanAccountId", "OpenDateId",
+                      _eu("CurrentInstallmentAmount").alias("CurrentInstallmentAmount"),
+                      _eu("CurrentInvoiceFee").alias("CurrentInvoiceFee"))
+
+
+@query
+def reject_amounts(spark, sf_dir):
+    return cleanse.unparseable_amounts(_fx(spark, sf_dir).acc, ACCOUNT)
+
+
+@query
+def conform_accounts(spark, sf_dir):
+    return cleanse.accepted(_fx(spark, sf_dir).acc, ACCOUNT)
+
+
+@query
+def reject_accounts(spark, sf_dir):
+    return cleanse.rejected(_fx(spark, sf_dir).acc, ACCOUNT)
+
+
+@query
+def clean_accounts(spark, sf_dir):
+    return _clean(_fx(spark, sf_dir), "account")
+
+
+@query
+def clean_balances(spark, sf_dir):
+    return _clean(_fx(spark, sf_dir), "balance")
+
+
+@query
+def clean_transactions(spark, sf_dir):
+    return _clean(_fx(spark, sf_dir), "transaction")
+
+
+@query
+def dedup_accounts(spark, sf_dir):
+    return _clean(_fx(spark, sf_dir), "account").select("LoanAccountId", "OpenDateId", "OpenDate")
+
+
+@query
+def dedup_balances(spark, sf_dir):
+    return _clean(_fx(spark, sf_dir), "balance").select(
+        "LoanAccountBalanceId", "BalanceDateId", "LoanAccountId")
+
+
+@query
+def dedup_transactions(spark, sf_dir):
+    return _clean(_fx(spark, sf_dir), "transaction").select(
+        "LoanAccountTransactionId", "TransactionDateId", "TransactionReference")
+
+
+@query
+def duplicate_keys(spark, sf_dir):
+    return cleanse.duplicate_keys(_fx(spark, sf_dir).txn, "LoanAccountTransactionId")
+
+
+@query
+def audit_columns(spark, sf_dir):
+    c = _clean(_fx(spark, sf_dir), "account").select("LoanAccountId")
+    return with_audit(c, DAY1_TS)
+
+
+# --------------------------------------------------------------- identity
+
+def _snapshot(fx: Fixtures, table: str = "account") -> DataFrame:
+    """Day-1 cleansed table with identities and audit columns."""
+    spec = SPEC[table]
+    c = _clean(fx, table)
+    return with_audit(keys.assign_dense_identity(c, spec.key, spec.identity_col), DAY1_TS)
+
+
+@query
+def identity_initial(spark, sf_dir):
+    c = _clean(_fx(spark, sf_dir), "balance")
+    out = keys.assign_dense_identity(c, BALANCE.key, BALANCE.identity_col)
+    return out.select(BALANCE.identity_col, BALANCE.key)
+
+
+@query
+def max_identity(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    parts = []
+    for t in ("account", "balance", "transaction"):
+        spec = SPEC[t]
+        ident = keys.assign_dense_identity(_clean(fx, t).select(spec.key), spec.key, spec.identity_col)
+        parts.append(keys.max_identity(ident, spec.identity_col).select(
+            F.lit(spec.name).alias("table_name"), "max_id"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def key_range(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    parts = [keys.key_range(_clean(fx, t), SPEC[t].key).select(
+        F.lit(SPEC[t].name).alias("table_name"), "min_key", "max_key")
+        for t in ("account", "balance", "transaction")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def row_counts(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    parts = []
+    for t in ("account", "balance", "transaction"):
+        spec = SPEC[t]
+        conf = cleanse.conform(fx.get(RAW[t]), spec)
+        stats = conf.agg(
+            F.count(F.lit(1)).alias("raw_rows"),
+            F.count(F.when(F.col(cleanse.REASON) == "", 1)).alias("accepted_rows"),
+            F.count(F.when(F.col(cleanse.REASON) != "", 1)).alias("rejected_rows"))
+        clean_n = _clean(fx, t).agg(F.count(F.lit(1)).alias("clean_rows"))
+        parts.append(stats.crossJoin(clean_n).select(F.lit(spec.name).alias("table_name"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --------------------------------------------------------------- changes & upserts
+
+ACC_BIZ = ACCOUNT.business_cols
+
+
+@query
+def identity_increment(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    old = _snapshot(fx)
+    fresh = changes.new_keys(_clean(fx, "account", day2=True), old, ACCOUNT.key)
+    out = keys.assign_dense_identity(fresh, ACCOUNT.key, ACCOUNT.identity_col,
+                                     base=keys.max_identity(old, ACCOUNT.identity_col))
+    return out.select(ACCOUNT.identity_col, ACCOUNT.key)
+
+
+@query
+def detect_new_keys(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return changes.new_keys(_clean(fx, "account", day2=True), _clean(fx, "account"), ACCOUNT.key)
+
+
+@query
+def changed_rows_exceptall(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return changes.changed_rows_except_all(_clean(fx, "account", day2=True),
+                                           _clean(fx, "account"), ACC_BIZ)
+
+
+def _classified(fx: Fixtures) -> DataFrame:
+    return changes.classify(_clean(fx, "account", day2=True), _clean(fx, "account"),
+                            ACCOUNT.key, ACC_BIZ)
+
+
+@query
+def detect_changes(spark, sf_dir):
+    return _classified(_fx(spark, sf_dir)).select(ACCOUNT.key, changes.CHANGE)
+
+
+@query
+def change_counts(spark, sf_dir):
+    return changes.change_counts(_classified(_fx(spark, sf_dir)))
+
+
+@query
+def upsert_snapshot(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return upsert.upsert_snapshot(_snapshot(fx), _clean(fx, "account", day2=True),
+                                  ACCOUNT.key, ACCOUNT.identity_col, ACC_BIZ)
+
+
+@query
+def merge_upsert(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return upsert.merge_upsert(_snapshot(fx), _clean(fx, "account", day2=True),
+                               ACCOUNT.key, ACCOUNT.identity_col, ACC_BIZ, DAY2_TS)
+
+
+@query
+def append_changes(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return upsert.append_changes(_snapshot(fx), _clean(fx, "account", day2=True),
+                                 ACCOUNT.key, ACCOUNT.identity_col, ACC_BIZ)
+
+
+@query
+def rerun_is_noop(spark, sf_dir):
+    """Re-delivering the same file changes nothing."""
+    fx = _fx(spark, sf_dir)
+    c = changes.classify(_clean(fx, "account"), _clean(fx, "account"), ACCOUNT.key, ACC_BIZ)
+    return c.agg(
+        F.count(F.when(F.col(changes.CHANGE).isin(changes.INSERT, changes.UPDATE), 1)).alias("changed_rows"),
+        F.count(F.when(F.col(changes.CHANGE) == changes.SAME, 1)).alias("unchanged_rows"))
