@@ -8,49 +8,75 @@ classifies every key in a single pass:
 * ``update``  - key in both, some business column differs (NULL-safe)
 * ``same``    - key in both, all business columns equal (NULL-safe)
 * ``missing`` - key only in the snapshot (kept; deliveries never delete)
+
+Each side's compared columns travel as one struct, and the two structs are
+compared with ``<=>`` (field by field, NULL equals NULL).  Keeping the
+comparison on two attributes instead of 2 x n columns matters for planning:
+a filter over n per-column comparisons followed by a projection that renames
+the n columns makes Catalyst's constraint propagation grow as 2^n.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHANGE = "change"
 INSERT, UPDATE, SAME, MISSING = "insert", "update", "same", "missing"
 
+NEW, OLD = "__new", "__old"          # compared columns of each side
+NEW_X, OLD_X = "__new_x", "__old_x"  # carried (not compared) columns of each side
+
+
+def new_col(c: str) -> Column:
+    return F.col(NEW).getField(c)
+
+
+def old_col(c: str) -> Column:
+    return F.col(OLD).getField(c)
+
+
+def new_extra(c: str) -> Column:
+    return F.col(NEW_X).getField(c)
+
 
-def new_col(c: str) -> str:
-    return f"n__{c}"
+def old_extra(c: str) -> Column:
+    return F.col(OLD_X).getField(c)
 
 
-def old_col(c: str) -> str:
-    return f"o__{c}"
+def _side(df: DataFrame, key: str, cols: list[str], extra: list[str], cmp_name: str,
+          extra_name: str) -> DataFrame:
+    sel = [F.col(key), F.struct(*[F.col(c) for c in cols]).alias(cmp_name)]
+    if extra:
+        sel.append(F.struct(*[F.col(c) for c in extra]).alias(extra_name))
+    return df.select(*sel)
 
 
 def classify(new: DataFrame, old: DataFrame, key: str, compare_cols: list[str],
              new_extra: list[str] | None = None, old_extra: list[str] | None = None) -> DataFrame:
     """Full-outer join of new and old on ``key`` with a ``change`` column.
 
-    Output: ``key``, ``change``, then ``n__<c>`` / ``o__<c>`` for every compared
-    column plus the requested extra columns of each side.
+    Output: ``key``, ``change``, the compared-column structs ``__new`` /
+    ``__old`` and, when requested, the carried-column structs ``__new_x`` /
+    ``__old_x``.  Read fields with ``new_col`` / ``old_col`` / ``new_extra`` /
+    ``old_extra``.
     """
     cols = [c for c in compare_cols if c != key]
-    n_cols = cols + [c for c in (new_extra or []) if c not in cols]
-    o_cols = cols + [c for c in (old_extra or []) if c not in cols]
-    n = new.select(F.col(key), F.lit(True).alias("__in_new"), *[F.col(c).alias(new_col(c)) for c in n_cols])
-    o = old.select(F.col(key), F.lit(True).alias("__in_old"), *[F.col(c).alias(old_col(c)) for c in o_cols])
+    n_extra = [c for c in (new_extra or []) if c not in cols and c != key]
+    o_extra = [c for c in (old_extra or []) if c not in cols and c != key]
+    n = _side(new, key, cols, n_extra, NEW, NEW_X)
+    o = _side(old, key, cols, o_extra, OLD, OLD_X)
     j = n.join(o, key, "full_outer")
-    equal: Column = reduce(lambda a, b: a & b,
-                           [F.col(new_col(c)).eqNullSafe(F.col(old_col(c))) for c in cols],
-                           F.lit(True))
-    change = (F.when(F.col("__in_old").isNull(), F.lit(INSERT))
-              .when(F.col("__in_new").isNull(), F.lit(MISSING))
-              .when(equal, F.lit(SAME))
+    change = (F.when(F.col(OLD).isNull(), F.lit(INSERT))
+              .when(F.col(NEW).isNull(), F.lit(MISSING))
+              .when(F.col(NEW).eqNullSafe(F.col(OLD)), F.lit(SAME))
               .otherwise(F.lit(UPDATE)))
-    return j.select(key, change.alias(CHANGE),
-                    *[new_col(c) for c in n_cols], *[old_col(c) for c in o_cols])
+    out = [F.col(key), change.alias(CHANGE), F.col(NEW), F.col(OLD)]
+    if n_extra:
+        out.append(F.col(NEW_X))
+    if o_extra:
+        out.append(F.col(OLD_X))
+    return j.select(*out)
 
 
 def change_counts(classified: DataFrame) -> DataFrame:
@@ -67,7 +93,7 @@ def changed_rows_except_all(new: DataFrame, old: DataFrame, cols: list[str]) ->
     return new.select(*cols).exceptAll(old.select(*cols))
 
 
-def side(classified: DataFrame, key: str, cols: list[str], prefix_fn, changes) -> DataFrame:
+def side(classified: DataFrame, key: str, cols: list[str], accessor, changes) -> DataFrame:
     """Rows of one side for the given change kinds, with original column names."""
     return (classified.filter(F.col(CHANGE).isin(*changes))
-            .select(key, *[F.col(prefix_fn(c)).alias(c) for c in cols if c != key]))
+            .select(key, *[accessor(c).alias(c) for c in cols if c != key]))

@@ -50,9 +50,9 @@ def assign_dense_identity(df: DataFrame, key, identity_col: str, base=None,
     ident = F.col("__off") + pos + F.lit(1)
     out = tagged.join(F.broadcast(offsets), "__pid")  # one row per partition
     if isinstance(base, DataFrame):
+        # One-row frame -> scalar subquery, evaluated once.
         bcol = base.columns[0]
-        out = out.crossJoin(F.broadcast(base.select(F.coalesce(F.col(bcol).cast("long"), F.lit(0)).alias("__base"))))
-        ident = ident + F.col("__base")
+        ident = ident + base.select(F.coalesce(F.col(bcol).cast("long"), F.lit(0).cast("long"))).scalar()
     elif base:
         ident = ident + F.lit(int(base))
     return out.select(ident.cast("long").alias(identity_col), *df.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lendstar.functions.audit import audit_values
 from lendstar.operators.changes import (CHANGE, INSERT, MISSING, SAME, UPDATE, classify,
-                                        new_col, old_col, side)
+                                        new_col, old_col, old_extra, side)
 from lendstar.operators.keys import assign_dense_identity, max_identity
 from lendstar.specs import AUDIT_COLS
 
@@ -30,8 +30,8 @@ def upsert_snapshot(old: DataFrame, new: DataFrame, key: str, identity_col: str,
                     business_cols: list[str]) -> DataFrame:
     c = classify(new, old, key, business_cols, old_extra=[identity_col])
     kept = (c.filter(F.col(CHANGE).isin(SAME, MISSING))
-            .select(F.col(old_col(identity_col)).alias(identity_col), key,
-                    *[F.col(old_col(x)).alias(x) for x in business_cols if x != key]))
+            .select(old_extra(identity_col).alias(identity_col), key,
+                    *[old_col(x).alias(x) for x in business_cols if x != key]))
     changed = side(c, key, business_cols, new_col, (INSERT, UPDATE))
     fresh = assign_dense_identity(changed, key, identity_col, base=max_identity(old, identity_col))
     cols = [identity_col] + business_cols
@@ -44,12 +44,12 @@ def merge_upsert(old: DataFrame, new: DataFrame, key: str, identity_col: str,
     created, upd_date, upd_time = audit_values(run_ts)
     is_upd = F.col(CHANGE) == UPDATE
     matched = c.filter(F.col(CHANGE).isin(UPDATE, SAME, MISSING)).select(
-        F.col(old_col(identity_col)).alias(identity_col), key,
-        *[F.when(is_upd, F.col(new_col(x))).otherwise(F.col(old_col(x))).alias(x)
+        old_extra(identity_col).alias(identity_col), key,
+        *[F.when(is_upd, new_col(x)).otherwise(old_col(x)).alias(x)
           for x in business_cols if x != key],
-        F.col(old_col("CreatedDate")).alias("CreatedDate"),
-        F.when(is_upd, upd_date).otherwise(F.col(old_col("UpdatedDate"))).alias("UpdatedDate"),
-        F.when(is_upd, upd_time).otherwise(F.col(old_col("UpdatedTime"))).alias("UpdatedTime"),
+        old_extra("CreatedDate").alias("CreatedDate"),
+        F.when(is_upd, upd_date).otherwise(old_extra("UpdatedDate")).alias("UpdatedDate"),
+        F.when(is_upd, upd_time).otherwise(old_extra("UpdatedTime")).alias("UpdatedTime"),
     )
     inserted = side(c, key, business_cols, new_col, (INSERT,))
     inserted = assign_dense_identity(inserted, key, identity_col,
@@ -89,12 +89,12 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
     c = classify(snapshot, current, key, [key] + cols, old_extra=["valid_from", "valid_to"])
     is_upd = F.col(CHANGE) == UPDATE
     old_rows = c.filter(F.col(CHANGE).isin(UPDATE, SAME, MISSING)).select(
-        key, *[F.col(old_col(x)).alias(x) for x in cols],
-        F.col(old_col("valid_from")).alias("valid_from"),
-        F.when(is_upd, F.date_sub(as_of_c, 1)).otherwise(F.col(old_col("valid_to"))).alias("valid_to"),
+        key, *[old_col(x).alias(x) for x in cols],
+        old_extra("valid_from").alias("valid_from"),
+        F.when(is_upd, F.date_sub(as_of_c, 1)).otherwise(old_extra("valid_to")).alias("valid_to"),
         (~is_upd).alias("is_current"))
     new_rows = c.filter(F.col(CHANGE).isin(INSERT, UPDATE)).select(
-        key, *[F.col(new_col(x)).alias(x) for x in cols],
+        key, *[new_col(x).alias(x) for x in cols],
         as_of_c.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
         F.lit(True).alias("is_current"))
     out_cols = [key] + cols + ["valid_from", "valid_to", "is_current"]
