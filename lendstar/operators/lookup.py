@@ -62,17 +62,15 @@ def band_join(left: DataFrame, value: Column, bands: DataFrame, lo: str, hi: str
         b = F.broadcast(bands)
         cond = (lhs[value_name] >= b[lo]) & (lhs[value_name] <= b[hi])
         return lhs.join(b, cond, how)
-    # Integer-valued bands only: explode inside the observed value range.
-    rng = lhs.agg(F.min(value_name).alias("__vmin"), F.max(value_name).alias("__vmax"))
+    # Integer-valued bands only: explode inside the observed value range.  The
+    # range is two scalar subqueries over the left side (evaluated once each).
+    vmin = lhs.agg(F.min(value_name)).scalar()
+    vmax = lhs.agg(F.max(value_name)).scalar()
+    start, stop = F.greatest(F.col(lo), vmin), F.least(F.col(hi), vmax)
     exploded = (
-        bands.crossJoin(F.broadcast(rng))  # rng is a single aggregate row
-        .withColumn(
-            value_name,
-            F.explode(F.sequence(F.greatest(F.col(lo), F.col("__vmin")),
-                                 F.least(F.col(hi), F.col("__vmax")))))
-        .drop("__vmin", "__vmax")
+        bands.filter(vmin.isNotNull() & (start <= stop))
+        .withColumn(value_name, F.explode(F.sequence(start, stop)))
     )
-    exploded = exploded.filter(F.col(lo) <= F.col(hi))
     return lhs.join(exploded, value_name, how)
 
 

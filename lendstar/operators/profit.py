@@ -5,7 +5,7 @@ attaches the base rate valid at the run date (falling back to the latest
 earlier month), the energy-class margin, the customer risk adjustment and the
 depreciation band, then computes the estimates.  One lazy plan: the staged cars
 are scanned once; all lookups are size-checked broadcasts (or shuffle joins
-beyond the bound); the rate is a one-row aggregate cross-joined in.
+beyond the bound); the rate is a scalar subquery.
 """
 
 from __future__ import annotations
@@ -76,9 +76,11 @@ def attach_depreciation(staged: DataFrame, bands: DataFrame) -> DataFrame:
 def estimate_profits(cars: DataFrame, rates: DataFrame, margins: DataFrame, tiers: DataFrame,
                      bands: DataFrame, run_date, staged: bool = False) -> DataFrame:
     c = cars if staged else stage_cars(cars, run_date)
-    rate = rate_at(rates, run_date).select("BaseInterestRate")
+    # The run's base rate is a one-row aggregate: a scalar subquery, evaluated
+    # once.  No qualifying rate -> no estimates (the run stops).
+    base_rate = rate_at(rates, run_date).select("BaseInterestRate").scalar()
     j = attach_depreciation(attach_margins(c, margins, tiers), bands)
-    j = j.crossJoin(F.broadcast(rate))  # single aggregate row
+    j = j.withColumn("BaseInterestRate", base_rate).filter(F.col("BaseInterestRate").isNotNull())
     final_rate = F.col("BaseInterestRate") + F.col("MarginRate") + F.col("RiskAdjustment")
     price = F.col("BasePrice")
     yearly_interest = price * final_rate / 100

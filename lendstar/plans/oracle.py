@@ -83,7 +83,7 @@ LEFT JOIN (
   JOIN interest_rates i ON i.EffectiveDate <= m.rate_month) r
   ON a.rate_month = r.rate_month AND r.rn = 1""")
 
-oracle("loan_profit_estimates", """
+step("estimates", """
 SELECT c.RecordID, c.CarModel, c.EnergyClass, c.ManufactureYear, c.BasePrice, c.CustomerRiskTier,
   r.BaseInterestRate + m.MarginRate + t.RiskAdjustment AS FinalInterestRate,
   (c.BasePrice * (r.BaseInterestRate + m.MarginRate + t.RiskAdjustment) / 100) / 12 AS EstimatedMonthlyPayment,
@@ -96,11 +96,12 @@ JOIN energy_class_margin m ON c.EnergyClass = upper(trim(m.EnergyClass))
 JOIN credit_risk_tier t ON c.CustomerRiskTier = upper(trim(t.RiskTier))
 JOIN depreciation_rates d ON (year(c.FileMonth) - c.ManufactureYear) BETWEEN d.MinYear AND d.MaxYear
 CROSS JOIN rate r""", ("staged", "rate"))
+oracle("loan_profit_estimates", "SELECT * FROM estimates", ("estimates",))
 
 
 # --------------------------------------------------------------- cleansing
 
-from lendstar.fixtures import DAY1_TS, DAY2_TS  # noqa: E402
+from lendstar.fixtures import DAY1_DATE as DAY1_DATE_, DAY1_TS, DAY2_TS  # noqa: E402
 from lendstar.specs import ACCOUNT, BALANCE, TRANSACTION, TableSpec  # noqa: E402
 
 _T = {"integer": "INT", "string": "VARCHAR", "date": "DATE", "timestamp": "TIMESTAMP"}
@@ -298,3 +299,198 @@ oracle("rerun_is_noop", f"""
 SELECT count(CASE WHEN NOT ({_EQ}) THEN 1 END) AS changed_rows,
        count(CASE WHEN {_EQ} THEN 1 END) AS unchanged_rows
 FROM clean_acc n JOIN clean_acc o ON n.{_K} = o.{_K}""", ("clean_acc",))
+
+# --------------------------------------------------------------- sources and sinks
+
+from lendstar.operators import star as _star  # noqa: E402
+from lendstar.specs import TRANSACTION_SCHEMA  # noqa: E402
+
+oracle("scan_csv_roundtrip",
+       f"SELECT {', '.join(f.name for f in TRANSACTION_SCHEMA.fields)} FROM raw_loan_transaction")
+oracle("scan_parquet", "SELECT * FROM orders")
+oracle("sink_parquet_roundtrip", "SELECT * FROM raw_loan_balance")
+oracle("month_partition_select",
+       "SELECT *, 202506 AS yyyymm FROM clean_txn WHERE strftime(TransactionDate, '%Y%m') = '202506'",
+       ("clean_txn",))
+
+# --------------------------------------------------------------- star schema
+
+
+def _dkey(d: str) -> str:
+    return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INT)"
+
+
+def _from_key(k: str) -> str:
+    return f"CAST(try_strptime(CAST({k} AS VARCHAR), '%Y%m%d') AS DATE)"
+
+
+oracle("dim_date", f"""
+SELECT {_dkey('d')} AS date_key, d AS full_date, CAST(year(d) AS INT) AS year,
+  CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month, monthname(d) AS month_name,
+  CAST(day(d) AS INT) AS day, CAST(dayofweek(d) + 1 AS INT) AS day_of_week, dayname(d) AS day_name,
+  CAST(floor((dayofyear(d) + dayofweek(date_trunc('year', d)) + 1 - 2) / 7) + 1 AS INT) AS week_of_year,
+  CAST(dayofweek(d) IN (0, 6) AS INT) AS is_weekend, 0 AS is_holiday
+FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
+      FROM (SELECT least(DATE '{_star.CALENDAR_START}',
+                         (SELECT min({_from_key('TransactionDateId')}) FROM raw_loan_transaction),
+                         (SELECT min({_from_key('BalanceDateId')}) FROM raw_loan_balance),
+                         (SELECT min(OpenDate) FROM raw_loan_account)) AS lo,
+                   greatest(DATE '{_star.CALENDAR_END}',
+                         (SELECT max({_from_key('TransactionDateId')}) FROM raw_loan_transaction),
+                         (SELECT max({_from_key('BalanceDateId')}) FROM raw_loan_balance),
+                         (SELECT max(OpenDate) FROM raw_loan_account)) AS hi) b) g""")
+
+
+def account_rows_sql(src: str) -> str:
+    cols = []
+    for a, b in _star.ACCOUNT_DIM_MAP:
+        if b in _star.ACCOUNT_DIM_DECIMALS:
+            cols.append(f"TRY_CAST({a} AS DECIMAL(12,2)) AS {b}")
+        else:
+            cols.append(f"{a} AS {b}")
+    return f"SELECT {', '.join(cols)} FROM {src}"
+
+
+def keyed(key: str, order: str, src: str) -> str:
+    return f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS {key}, * FROM ({src}) k"
+
+
+def code_dim_sql(src: str, id_col: str, attrs: dict, id_name: str, key_name: str) -> str:
+    if attrs:
+        sel = ", ".join(f"{a} AS {b}" for a, b in attrs.items())
+        order = ", ".join(f"{a} ASC NULLS FIRST" for a in attrs)
+        inner = (f"SELECT {id_name}, {', '.join(attrs.values())} FROM ("
+                 f"SELECT {id_col} AS {id_name}, {sel}, row_number() OVER (PARTITION BY {id_col} "
+                 f"ORDER BY {order}) AS __rn FROM {src} WHERE {id_col} IS NOT NULL) x WHERE __rn = 1")
+    else:
+        inner = f"SELECT DISTINCT {id_col} AS {id_name} FROM {src} WHERE {id_col} IS NOT NULL"
+    return keyed(key_name, id_name, inner)
+
+
+step("dim_acc", keyed("account_key", "account_id", account_rows_sql("clean_acc")), ("clean_acc",))
+step("dim_acc2", keyed("account_key", "account_id", account_rows_sql("clean_acc2")), ("clean_acc2",))
+step("dim_org", code_dim_sql("clean_acc", "OrganizationId",
+                             {"OrganizationName": "organization_name", "SourceId": "source_id"},
+                             "organization_id", "organization_key"), ("clean_acc",))
+step("dim_prod", code_dim_sql("clean_acc", "ProductId", {"Product": "product_name"},
+                              "product_id", "product_key"), ("clean_acc",))
+step("dim_cur", code_dim_sql("clean_acc", "AccountCurrencyId", {"AccountCurrency": "currency_code"},
+                             "currency_id", "currency_key"), ("clean_acc",))
+step("dim_ttype", code_dim_sql("clean_txn", "TransactionTypeId", {}, "transaction_type_id",
+                               "transaction_type_key"), ("clean_txn",))
+
+
+def _renamed(mapping, src: str) -> str:
+    return f"SELECT {', '.join(f'{a} AS {b}' for a, b in mapping)} FROM {src}"
+
+
+step("bal_rows", _renamed(_star.BALANCE_FACT_MAP, "clean_bal"), ("clean_bal",))
+step("txn_rows", _renamed(_star.TRANSACTION_FACT_MAP, "clean_txn"), ("clean_txn",))
+step("fact_bal", keyed("balance_key", "balance_id",
+                       "SELECT * FROM bal_rows f WHERE EXISTS (SELECT 1 FROM dim_acc d "
+                       "WHERE d.account_id = f.account_id)"), ("bal_rows", "dim_acc"))
+step("fact_txn", keyed("transaction_key", "transaction_id",
+                       "SELECT * FROM txn_rows f WHERE EXISTS (SELECT 1 FROM dim_acc d "
+                       "WHERE d.account_id = f.account_id) AND EXISTS (SELECT 1 FROM dim_ttype t "
+                       "WHERE t.transaction_type_id = f.transaction_type_id)"),
+     ("txn_rows", "dim_acc", "dim_ttype"))
+
+for _k, _s in (("dim_account", "dim_acc"), ("dim_organization", "dim_org"),
+               ("dim_product", "dim_prod"), ("dim_currency", "dim_cur"),
+               ("dim_transaction_type", "dim_ttype"), ("fact_balance", "fact_bal"),
+               ("fact_transaction", "fact_txn")):
+    oracle(_k, f"SELECT * FROM {_s}", (_s,))
+
+oracle("fact_balance_joined", f"""
+SELECT f.balance_key, f.balance_id, a.account_key, p.product_key, o.organization_key, c.currency_key,
+  {_dkey('f.balance_date')} AS date_key, f.account_status_id, f.accrued_interest_eur,
+  f.accrued_interest_sek, f.balance_eur, f.balance_sek, f.balance_date
+FROM fact_bal f JOIN dim_acc a ON f.account_id = a.account_id
+JOIN dim_prod p ON f.product_id = p.product_id
+JOIN dim_org o ON a.organization_id = o.organization_id
+JOIN dim_cur c ON f.currency_id = c.currency_id""",
+       ("fact_bal", "dim_acc", "dim_prod", "dim_org", "dim_cur"))
+
+oracle("orphan_balances", """
+SELECT balance_id, 'account_id' AS missing_key, CAST(account_id AS BIGINT) AS key_value
+FROM bal_rows f WHERE NOT EXISTS (SELECT 1 FROM dim_acc2 d WHERE d.account_id = f.account_id)""",
+       ("bal_rows", "dim_acc2"))
+oracle("orphan_transactions", """
+SELECT transaction_id, 'account_id' AS missing_key, CAST(account_id AS BIGINT) AS key_value
+FROM txn_rows f WHERE NOT EXISTS (SELECT 1 FROM dim_acc2 d WHERE d.account_id = f.account_id)
+UNION ALL
+SELECT transaction_id, 'transaction_type_id' AS missing_key, CAST(transaction_type_id AS BIGINT) AS key_value
+FROM txn_rows f WHERE NOT EXISTS (SELECT 1 FROM dim_ttype t WHERE t.transaction_type_id = f.transaction_type_id)""",
+       ("txn_rows", "dim_acc2", "dim_ttype"))
+
+_TR = [b for _, b in _star.ACCOUNT_DIM_MAP if b != "account_id"]
+_SCD_EQ = " AND ".join(f"n.{c} IS NOT DISTINCT FROM o.{c}" for c in _TR)
+step("scd_d1", account_rows_sql("clean_acc"), ("clean_acc",))
+step("scd_d2", account_rows_sql("clean_acc2"), ("clean_acc2",))
+step("scd_cls", f"""
+SELECT coalesce(n.account_id, o.account_id) AS account_id,
+  CASE WHEN o.account_id IS NULL THEN 'insert' WHEN n.account_id IS NULL THEN 'missing'
+       WHEN {_SCD_EQ} THEN 'same' ELSE 'update' END AS change
+FROM scd_d2 n FULL OUTER JOIN scd_d1 o ON n.account_id = o.account_id""", ("scd_d1", "scd_d2"))
+oracle("dim_account_scd2", f"""
+SELECT o.account_id, {', '.join('o.' + c for c in _TR)}, DATE '{DAY1_DATE_}' AS valid_from,
+  CASE WHEN k.change = 'update' THEN CAST(DATE '{RUN_DATE}' - INTERVAL 1 DAY AS DATE) END AS valid_to,
+  k.change <> 'update' AS is_current
+FROM scd_d1 o JOIN scd_cls k ON o.account_id = k.account_id
+UNION ALL
+SELECT n.account_id, {', '.join('n.' + c for c in _TR)}, DATE '{RUN_DATE}' AS valid_from,
+  CAST(NULL AS DATE) AS valid_to, true AS is_current
+FROM scd_d2 n JOIN scd_cls k ON n.account_id = k.account_id WHERE k.change IN ('insert', 'update')""",
+       ("scd_d1", "scd_d2", "scd_cls"))
+
+# --------------------------------------------------------------- marts and reports
+
+oracle("mart_balance_by_month", """
+SELECT month, product_name, currency_code, count(DISTINCT account_id) AS accounts,
+  CAST(sum(balance) AS DECIMAL(18,2)) AS balance,
+  CAST(GROUPING(month, product_name, currency_code) AS INT) AS rollup_level
+FROM (SELECT CAST(year(f.balance_date) * 100 + month(f.balance_date) AS INT) AS month,
+        p.product_name, c.currency_code, f.account_id, sum(f.balance_eur) AS balance
+      FROM fact_bal f JOIN dim_prod p ON f.product_id = p.product_id
+      JOIN dim_cur c ON f.currency_id = c.currency_id
+      GROUP BY 1, f.product_id, f.currency_id, p.product_name, c.currency_code, f.account_id) x
+GROUP BY ROLLUP (month, product_name, currency_code)""", ("fact_bal", "dim_prod", "dim_cur"))
+
+oracle("mart_transactions_by_type", """
+SELECT CAST(year(transaction_date) * 100 + month(transaction_date) AS INT) AS month,
+  transaction_type_id, count(*) AS transactions, CAST(sum(transaction_amount) AS DECIMAL(18,2)) AS amount
+FROM fact_txn GROUP BY 1, 2""", ("fact_txn",))
+
+oracle("latest_transactions_top10", """
+SELECT LoanAccountTransactionId, TransactionDate, LoanAccountId, TransactionAmount
+FROM clean_txn ORDER BY LoanAccountTransactionId DESC LIMIT 10""", ("clean_txn",))
+
+_PROFILE_COLS = ACCOUNT.business_cols + ACCOUNT.computed_cols
+oracle("profile_accounts", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values, "
+    f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM clean_acc"
+    for c in _PROFILE_COLS), ("clean_acc",))
+
+step("unmatched", "SELECT RecordID FROM staged s WHERE NOT EXISTS "
+                  "(SELECT 1 FROM estimates e WHERE e.RecordID = s.RecordID)", ("staged", "estimates"))
+oracle("run_log", """
+SELECT 'source_check' AS step, CASE WHEN n > 0 THEN 'ok' ELSE 'error' END AS status,
+  CASE WHEN n > 0 THEN 'CarInformation found' ELSE 'CarInformation is empty' END AS message,
+  n AS row_count, 'CarInformation' AS output_name FROM (SELECT count(*) AS n FROM car_information) a
+UNION ALL
+SELECT 'rate_lookup', CASE WHEN n = 0 THEN 'error' WHEN fb = 1 THEN 'warning' ELSE 'ok' END,
+  CASE WHEN n = 0 THEN 'no interest rate on or before the run date'
+       ELSE 'base rate ' || CAST(rate AS VARCHAR) || ' effective ' || CAST(eff AS VARCHAR)
+            || CASE WHEN fb = 1 THEN ' (run month missing, latest earlier rate used)' ELSE '' END END,
+  n, 'InterestRates'
+FROM (SELECT count(*) AS n, max(BaseInterestRate) AS rate, max(EffectiveDate) AS eff,
+             max(CAST(is_fallback AS INT)) AS fb FROM rate) b
+UNION ALL
+SELECT 'staging', 'ok', 'cars passing required-field and price checks', count(*), 'staging' FROM staged
+UNION ALL
+SELECT 'estimates', CASE WHEN count(*) > 0 THEN 'ok' ELSE 'warning' END, 'rows written for 2025-06',
+  count(*), 'LoanProfitEstimates_202506' FROM estimates
+UNION ALL
+SELECT 'unmatched_cars', CASE WHEN count(*) > 0 THEN 'warning' ELSE 'ok' END,
+  'staged cars without margin, risk tier or depreciation band', count(*), 'LoanProfitEstimates_202506'
+FROM unmatched""", ("staged", "rate", "estimates", "unmatched"))

@@ -54,7 +54,9 @@ def rate_asof(spark, sf_dir):
     """The base rate valid at the run date attached to every staged car."""
     fx = _fx(spark, sf_dir)
     rate = profit.rate_at(fx.interest_rates, RUN_DATE)
-    return _staged(fx).select("RecordID").crossJoin(F.broadcast(rate))
+    r = rate.select(F.struct(*rate.columns)).scalar()
+    return (_staged(fx).select("RecordID", *[r.getField(c).alias(c) for c in rate.columns])
+            .filter(F.col("EffectiveDate").isNotNull()))
 
 
 @query
@@ -209,7 +211,8 @@ def row_counts(spark, sf_dir):
             F.count(F.when(F.col(cleanse.REASON) == "", 1)).alias("accepted_rows"),
             F.count(F.when(F.col(cleanse.REASON) != "", 1)).alias("rejected_rows"))
         clean_n = _clean(fx, t).agg(F.count(F.lit(1)).alias("clean_rows"))
-        parts.append(stats.crossJoin(clean_n).select(F.lit(spec.name).alias("table_name"), "*"))
+        parts.append(stats.select(F.lit(spec.name).alias("table_name"), "*",
+                                  clean_n.scalar().alias("clean_rows")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -285,3 +288,184 @@ def rerun_is_noop(spark, sf_dir):
     return c.agg(
         F.count(F.when(F.col(changes.CHANGE).isin(changes.INSERT, changes.UPDATE), 1)).alias("changed_rows"),
         F.count(F.when(F.col(changes.CHANGE) == changes.SAME, 1)).alias("unchanged_rows"))
+
+
+# --------------------------------------------------------------- sources and sinks
+
+from lendstar.functions.dates import date_from_key  # noqa: E402
+from lendstar.session import work_path  # noqa: E402
+from lendstar.sources import files, versioned  # noqa: E402
+from lendstar.specs import TRANSACTION_SCHEMA  # noqa: E402
+
+RUN_MONTH = 202506
+
+
+@query
+def scan_csv_roundtrip(spark, sf_dir):
+    """Raw transactions written as a ';' delivery file, read back with the declared schema."""
+    path = work_path(spark, "csv", "Raw_Loan_Transaction")
+    files.write_delimited(_fx(spark, sf_dir).txn, path)
+    good, _bad = files.split_corrupt(files.read_delimited(spark, path, TRANSACTION_SCHEMA))
+    return good
+
+
+@query
+def scan_parquet(spark, sf_dir):
+    return files.read_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+
+
+@query
+def sink_parquet_roundtrip(spark, sf_dir):
+    """Raw balances published as a new version of a dataset, read back as current."""
+    base = work_path(spark, "versioned", "Raw_Loan_Balance")
+    versioned.publish(_fx(spark, sf_dir).bal, base)
+    return versioned.read_current(spark, base)
+
+
+@query
+def month_partition_select(spark, sf_dir):
+    """Cleansed transactions stored by yyyymm; one month read back (partition pruning)."""
+    path = work_path(spark, "by_month", "Loan_Transaction_cleansed")
+    versioned.write_by_month(_clean(_fx(spark, sf_dir), "transaction"), path, "TransactionDate")
+    return versioned.read_month(spark, path, RUN_MONTH)
+
+
+# --------------------------------------------------------------- star schema
+
+from lendstar.fixtures import CALENDAR_END, CALENDAR_START  # noqa: E402
+from lendstar.operators import marts, star  # noqa: E402
+
+
+@query
+def dim_date(spark, sf_dir):
+    """Calendar over the warehouse span, widened to every date the deliveries carry."""
+    fx = _fx(spark, sf_dir)
+    lo, hi = star.calendar_bounds(
+        (fx.txn.select(date_from_key("TransactionDateId").alias("d")), "d"),
+        (fx.bal.select(date_from_key("BalanceDateId").alias("d")), "d"),
+        (fx.acc.select(F.col("OpenDate").alias("d")), "d"),
+        start=CALENDAR_START, end=CALENDAR_END)
+    return star.date_dimension(spark, lo, hi)
+
+
+def _dims(fx: Fixtures) -> dict:
+    acc = _clean(fx, "account")
+    return {"account": star.dim_account(acc), "organization": star.dim_organization(acc),
+            "product": star.dim_product(acc), "currency": star.dim_currency(acc),
+            "transaction_type": star.dim_transaction_type(_clean(fx, "transaction"))}
+
+
+@query
+def dim_account(spark, sf_dir):
+    return star.dim_account(_clean(_fx(spark, sf_dir), "account"))
+
+
+@query
+def dim_organization(spark, sf_dir):
+    return star.dim_organization(_clean(_fx(spark, sf_dir), "account"))
+
+
+@query
+def dim_product(spark, sf_dir):
+    return star.dim_product(_clean(_fx(spark, sf_dir), "account"))
+
+
+@query
+def dim_currency(spark, sf_dir):
+    return star.dim_currency(_clean(_fx(spark, sf_dir), "account"))
+
+
+@query
+def dim_transaction_type(spark, sf_dir):
+    return star.dim_transaction_type(_clean(_fx(spark, sf_dir), "transaction"))
+
+
+@query
+def fact_balance(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return star.fact_balance(_clean(fx, "balance"), star.dim_account(_clean(fx, "account")))
+
+
+@query
+def fact_transaction(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return star.fact_transaction(_clean(fx, "transaction"), star.dim_account(_clean(fx, "account")),
+                                 star.dim_transaction_type(_clean(fx, "transaction")))
+
+
+@query
+def fact_balance_joined(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    d = _dims(fx)
+    fb = star.fact_balance(_clean(fx, "balance"), d["account"])
+    return star.balance_star(fb, d["account"], d["product"], d["organization"], d["currency"])
+
+
+def _day2_accounts(fx: Fixtures) -> DataFrame:
+    """Account dimension rebuilt from the day-2 delivery (some accounts dropped)."""
+    return star.dim_account(_clean(fx, "account", day2=True))
+
+
+@query
+def orphan_balances(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return star.balance_orphans(_clean(fx, "balance"), _day2_accounts(fx))
+
+
+@query
+def orphan_transactions(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return star.transaction_orphans(_clean(fx, "transaction"), _day2_accounts(fx),
+                                    star.dim_transaction_type(_clean(fx, "transaction")))
+
+
+SCD_TRACKED = [c for c in star.ACCOUNT_DIM_COLUMNS if c != "account_id"]
+
+
+@query
+def dim_account_scd2(spark, sf_dir):
+    """Account history: day-1 rows, then the day-2 delivery closes changed rows."""
+    fx = _fx(spark, sf_dir)
+    day1 = upsert.scd2_initial(star.account_rows(_clean(fx, "account")), "account_id",
+                               SCD_TRACKED, DAY1_DATE)
+    day2 = star.account_rows(_clean(fx, "account", day2=True))
+    return upsert.scd2_apply(day1, day2, "account_id", SCD_TRACKED, RUN_DATE)
+
+
+# --------------------------------------------------------------- marts, reports
+
+@query
+def mart_balance_by_month(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    d = _dims(fx)
+    fb = star.fact_balance(_clean(fx, "balance"), d["account"])
+    return marts.balance_by_month(fb, d["product"], d["currency"])
+
+
+@query
+def mart_transactions_by_type(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    acc = _clean(fx, "account")
+    txn = _clean(fx, "transaction")
+    ft = star.fact_transaction(txn, star.dim_account(acc), star.dim_transaction_type(txn))
+    return marts.transactions_by_type(ft)
+
+
+@query
+def latest_transactions_top10(spark, sf_dir):
+    return marts.latest(_clean(_fx(spark, sf_dir), "transaction"), "LoanAccountTransactionId", 10,
+                        ["LoanAccountTransactionId", "TransactionDate", "LoanAccountId",
+                         "TransactionAmount"])
+
+
+@query
+def profile_accounts(spark, sf_dir):
+    return marts.profile(_clean(_fx(spark, sf_dir), "account"))
+
+
+@query
+def run_log(spark, sf_dir):
+    from lendstar.plans.pipeline import profit_run_log
+    fx = _fx(spark, sf_dir)
+    return profit_run_log(fx.cars, fx.interest_rates, fx.energy_class_margin,
+                          fx.credit_risk_tier, fx.depreciation_rates, RUN_DATE)
