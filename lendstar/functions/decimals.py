@@ -20,10 +20,13 @@ def is_null_token(c) -> Column:
     return c.isNull() | c.isin(*NULL_TOKENS)
 
 
+# Whitespace stripped around amounts (the characters of regex \s).
+WHITESPACE = " \t\n\r\f\u000b"
+
+
 def _normalised(c) -> Column:
-    # Strip surrounding whitespace, then comma -> dot.
-    stripped = F.regexp_replace(_col(c), r"^\s+|\s+$", "")
-    return F.regexp_replace(stripped, ",", ".")
+    # Strip surrounding whitespace, then comma -> dot (character ops, no regex).
+    return F.translate(F.trim(_col(c), F.lit(WHITESPACE)), ",", ".")
 
 
 def european_decimal(c, precision: int = AMOUNT_PRECISION, scale: int = AMOUNT_SCALE) -> Column:
@@ -36,6 +39,8 @@ def european_decimal(c, precision: int = AMOUNT_PRECISION, scale: int = AMOUNT_S
 
 
 def is_unparseable(c, precision: int = AMOUNT_PRECISION, scale: int = AMOUNT_SCALE) -> Column:
-    """True when the raw value is present but does not parse as a decimal."""
-    dtype = f"decimal({precision},{scale})"
-    return (~is_null_token(c)) & _normalised(c).try_cast(dtype).isNull()
+    """True when the raw value is present but does not parse as a decimal.
+
+    Equivalent to ``european_decimal(c) IS NULL``: NULL tokens give 0.
+    """
+    return european_decimal(c, precision, scale).isNull()

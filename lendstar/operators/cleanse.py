@@ -12,6 +12,8 @@ share of the rows is cut to one row per map partition before it moves.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,41 +25,58 @@ from lendstar.specs import TableSpec
 REASON = "reject_reason"
 
 
-def _reasons(spec: TableSpec, raw: dict[str, Column]) -> Column:
-    checks = []
-    for c in spec.amount_cols:
-        checks.append(F.when(is_unparseable(raw[c]), F.lit(f"{c} unparseable")))
-    for c in spec.not_null_cols:
-        if c in spec.amount_cols:
-            continue
-        checks.append(F.when(F.col(c).isNull(), F.lit(f"{c} is null")))
-    for c, n in spec.length_checks.items():
-        checks.append(F.when(F.length(F.col(c)) != n, F.lit(f"{c} length <> {n}")))
-    return F.concat_ws("; ", *checks)
+def _checks(spec: TableSpec) -> list[tuple[Column, str]]:
+    """(violated?, reason) per rule, over the conformed columns.
+
+    A conformed amount is NULL exactly when its raw text was present but not a
+    number (NULL tokens became 0), so no rule re-reads the raw text.
+    """
+    checks = [(F.col(c).isNull(), f"{c} unparseable") for c in spec.amount_cols]
+    checks += [(F.col(c).isNull(), f"{c} is null")
+               for c in spec.not_null_cols if c not in spec.amount_cols]
+    checks += [(F.length(F.col(c)) != n, f"{c} length <> {n}")
+               for c, n in spec.length_checks.items()]
+    return checks
+
+
+def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Declared defaults filled and amounts parsed, in one projection."""
+    def conformed(f):
+        c = F.col(f.name)
+        if f.name in spec.amount_cols:
+            return european_decimal(c)
+        if f.name in spec.defaults:
+            return F.coalesce(c, F.lit(spec.defaults[f.name]).cast(f.dataType))
+        return c
+    return df.select(*[conformed(f).alias(f.name) for f in spec.schema.fields])
+
+
+def _violated(spec: TableSpec) -> Column:
+    # A NULL comparison (e.g. length of NULL) is not a violation by itself;
+    # NOT NULL is its own rule.
+    return reduce(lambda a, b: a | b, [F.coalesce(v, F.lit(False)) for v, _ in _checks(spec)],
+                  F.lit(False))
+
+
+def _reason(spec: TableSpec) -> Column:
+    return F.concat_ws("; ", *[F.when(v, F.lit(r)) for v, r in _checks(spec)])
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Typed, defaulted frame plus a ``reject_reason`` column ('' = accepted)."""
-    raw = {c: F.col(c) for c in spec.amount_cols}
-    # Reasons are evaluated on the defaulted values but the raw amount text.
-    defaulted = df.select(*[
-        (F.coalesce(F.col(f.name), F.lit(spec.defaults[f.name]).cast(f.dataType))
-         if f.name in spec.defaults else F.col(f.name)).alias(f.name)
-        for f in spec.schema.fields])
-    return defaulted.select(*[
-        (european_decimal(F.col(f.name)) if f.name in spec.amount_cols else F.col(f.name)).alias(f.name)
-        for f in spec.schema.fields
-    ], _reasons(spec, raw).alias(REASON))
+    typed = _typed(df, spec)
+    return typed.select("*", _reason(spec).alias(REASON))
 
 
 def accepted(df: DataFrame, spec: TableSpec) -> DataFrame:
-    c = conform(df, spec)
-    return c.filter(F.col(REASON) == "").drop(REASON)
+    """Rows passing every rule: a boolean filter, no reason text is built."""
+    return _typed(df, spec).filter(~_violated(spec))
 
 
 def rejected(df: DataFrame, spec: TableSpec) -> DataFrame:
-    c = conform(df, spec)
-    return c.filter(F.col(REASON) != "").select(spec.key, spec.order_col, REASON)
+    """Key, order column and the reasons of every row failing some rule."""
+    typed = _typed(df, spec)
+    return typed.filter(_violated(spec)).select(spec.key, spec.order_col, _reason(spec).alias(REASON))
 
 
 def unparseable_amounts(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -1,8 +1,11 @@
 """Lookup joins: normalised code-table joins, band (range) joins, as-of lookups.
 
-Broadcast is used only behind an explicit size check (``fits_broadcast``);
-beyond the bound every operator has a shuffle-based path that scales with the
-data instead of failing or exhausting executor memory.
+Broadcast is requested only behind an explicit size check (``fits_broadcast``)
+on the optimizer's size estimate, which for the inputs here (in-memory code
+tables, files, filters and aggregates of them) is an upper bound; the check
+runs no job.  Anything not provably small is left to a shuffle join, which
+adaptive execution may still turn into a broadcast once the real size is
+measured at run time.
 """
 
 from __future__ import annotations
@@ -13,25 +16,25 @@ from pyspark.sql.window import Window
 
 from lendstar.functions.text import norm_key
 
-# Largest lookup (rows) that is broadcast; larger ones take the shuffle path.
-BROADCAST_MAX_ROWS = 100_000
+# Largest lookup (bytes, estimated) that is broadcast explicitly.
+BROADCAST_MAX_BYTES = 8 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    ``limit(max_rows + 1)`` stops scanning early, so the check costs at most
-    ``max_rows + 1`` rows even when the frame is large.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def join_normalised(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
-                    how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    how: str = "inner", max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Equi-join on upper(trim(key)) of both sides.
 
     The right (code-table) key is normalised once in its own projection and
@@ -41,14 +44,14 @@ def join_normalised(left: DataFrame, right: DataFrame, left_col: str, right_col:
     rkey = f"__k_{right_col}"
     r = right.select(norm_key(right_col).alias(rkey),
                      *[c for c in right.columns if c != right_col])
-    r = maybe_broadcast(r, max_rows)
+    r = maybe_broadcast(r, max_bytes)
     joined = left.join(r, norm_key(left[left_col]) == r[rkey], how)
     return joined.drop(rkey)
 
 
 def band_join(left: DataFrame, value: Column, bands: DataFrame, lo: str, hi: str,
               how: str = "inner", value_name: str = "__band_value",
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join each left row to every band with ``lo <= value <= hi`` (inclusive).
 
     NULL values match nothing; overlapping bands multiply rows, as a SQL
@@ -58,7 +61,7 @@ def band_join(left: DataFrame, value: Column, bands: DataFrame, lo: str, hi: str
     equi-joined - a shuffle join whose size is bounded by the value domain.
     """
     lhs = left.withColumn(value_name, value)
-    if fits_broadcast(bands, max_rows):
+    if fits_broadcast(bands, max_bytes):
         b = F.broadcast(bands)
         cond = (lhs[value_name] >= b[lo]) & (lhs[value_name] <= b[hi])
         return lhs.join(b, cond, how)
@@ -91,7 +94,7 @@ def asof_single(rates: DataFrame, date_col: str, value_col: str, at) -> DataFram
 
 
 def asof_lookup(left: DataFrame, left_date: str, rates: DataFrame, rate_date: str,
-                rate_value: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                rate_value: str, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """For each left row, the latest rate with ``rate_date <= left_date``.
 
     The heavy left side is touched only twice: a distinct projection of its
@@ -113,6 +116,6 @@ def asof_lookup(left: DataFrame, left_date: str, rates: DataFrame, rate_date: st
     resolved = (pts.groupBy("__d").agg(F.max("__r").alias("__r"))
                 .withColumn("__r", F.last("__r", ignorenulls=True).over(w))
                 .select(F.col("__d"), F.col("__r.d").alias(rate_date), F.col("__r.v").alias(rate_value)))
-    resolved = maybe_broadcast(resolved, max_rows)
+    resolved = maybe_broadcast(resolved, max_bytes)
     out = left.join(resolved, left[left_date] == resolved["__d"], "left").drop("__d")
     return out

@@ -112,12 +112,18 @@ def dim_account(clean_accounts: DataFrame) -> DataFrame:
     return assign_dense_identity(account_rows(clean_accounts), "account_id", "account_key")
 
 
+def account_ids(clean_accounts: DataFrame) -> DataFrame:
+    """The natural keys of the account dimension (for referential checks)."""
+    return clean_accounts.select(F.col("LoanAccountId").alias("account_id"))
+
+
 def code_dimension(df: DataFrame, id_col: str, attrs: dict[str, str], id_name: str,
-                   key_name: str) -> DataFrame:
+                   key_name: str | None) -> DataFrame:
     """One row per natural id with its attributes and a dense surrogate key.
 
     ``attrs`` maps source column -> dimension column.  When an id appears
     with several attribute combinations the smallest one wins (deterministic).
+    ``key_name=None`` skips the surrogate key (lookups that only need names).
     """
     if attrs:
         picked = F.min(F.struct(*[F.col(a).alias(b) for a, b in attrs.items()])).alias("__a")
@@ -125,28 +131,28 @@ def code_dimension(df: DataFrame, id_col: str, attrs: dict[str, str], id_name: s
     else:
         one = df.select(F.col(id_col).alias(id_name)).distinct()
     one = one.filter(F.col(id_name).isNotNull())
-    return assign_dense_identity(one, id_name, key_name)
+    return assign_dense_identity(one, id_name, key_name) if key_name else one
 
 
-def dim_organization(clean_accounts: DataFrame) -> DataFrame:
+def dim_organization(clean_accounts: DataFrame, keyed: bool = True) -> DataFrame:
     return code_dimension(clean_accounts, "OrganizationId",
                           {"OrganizationName": "organization_name", "SourceId": "source_id"},
-                          "organization_id", "organization_key")
+                          "organization_id", "organization_key" if keyed else None)
 
 
-def dim_product(clean_accounts: DataFrame) -> DataFrame:
+def dim_product(clean_accounts: DataFrame, keyed: bool = True) -> DataFrame:
     return code_dimension(clean_accounts, "ProductId", {"Product": "product_name"},
-                          "product_id", "product_key")
+                          "product_id", "product_key" if keyed else None)
 
 
-def dim_currency(clean_accounts: DataFrame) -> DataFrame:
+def dim_currency(clean_accounts: DataFrame, keyed: bool = True) -> DataFrame:
     return code_dimension(clean_accounts, "AccountCurrencyId", {"AccountCurrency": "currency_code"},
-                          "currency_id", "currency_key")
+                          "currency_id", "currency_key" if keyed else None)
 
 
-def dim_transaction_type(clean_transactions: DataFrame) -> DataFrame:
+def dim_transaction_type(clean_transactions: DataFrame, keyed: bool = True) -> DataFrame:
     return code_dimension(clean_transactions, "TransactionTypeId", {},
-                          "transaction_type_id", "transaction_type_key")
+                          "transaction_type_id", "transaction_type_key" if keyed else None)
 
 
 # ----------------------------------------------------------------- facts
@@ -199,17 +205,26 @@ def orphans(fact: DataFrame, refs: list[tuple[DataFrame, str]], id_col: str) ->
     return out
 
 
-def fact_balance(clean_balances: DataFrame, dim_acc: DataFrame) -> DataFrame:
-    facts = rename(clean_balances, BALANCE_FACT_MAP)
-    facts = conforming(facts, [(dim_acc, "account_id")])
-    return assign_dense_identity(facts, "balance_id", "balance_key")
+def balance_rows(clean_balances: DataFrame, acc_ids: DataFrame) -> DataFrame:
+    """Fact_Balance rows (no surrogate key) whose account exists."""
+    return conforming(rename(clean_balances, BALANCE_FACT_MAP), [(acc_ids, "account_id")])
+
+
+def transaction_rows(clean_transactions: DataFrame, acc_ids: DataFrame,
+                     ttype_ids: DataFrame) -> DataFrame:
+    """Fact_Transaction rows (no surrogate key) whose account and type exist."""
+    return conforming(rename(clean_transactions, TRANSACTION_FACT_MAP),
+                      [(acc_ids, "account_id"), (ttype_ids, "transaction_type_id")])
+
+
+def fact_balance(clean_balances: DataFrame, acc_ids: DataFrame) -> DataFrame:
+    return assign_dense_identity(balance_rows(clean_balances, acc_ids), "balance_id", "balance_key")
 
 
-def fact_transaction(clean_transactions: DataFrame, dim_acc: DataFrame,
-                     dim_ttype: DataFrame) -> DataFrame:
-    facts = rename(clean_transactions, TRANSACTION_FACT_MAP)
-    facts = conforming(facts, [(dim_acc, "account_id"), (dim_ttype, "transaction_type_id")])
-    return assign_dense_identity(facts, "transaction_id", "transaction_key")
+def fact_transaction(clean_transactions: DataFrame, acc_ids: DataFrame,
+                     ttype_ids: DataFrame) -> DataFrame:
+    return assign_dense_identity(transaction_rows(clean_transactions, acc_ids, ttype_ids),
+                                 "transaction_id", "transaction_key")
 
 
 def balance_orphans(clean_balances: DataFrame, dim_acc: DataFrame) -> DataFrame:

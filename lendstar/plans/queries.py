@@ -380,30 +380,34 @@ def dim_transaction_type(spark, sf_dir):
     return star.dim_transaction_type(_clean(_fx(spark, sf_dir), "transaction"))
 
 
+def _ttype_ids(txn: DataFrame) -> DataFrame:
+    return star.dim_transaction_type(txn, keyed=False)
+
+
 @query
 def fact_balance(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return star.fact_balance(_clean(fx, "balance"), star.dim_account(_clean(fx, "account")))
+    return star.fact_balance(_clean(fx, "balance"), star.account_ids(_clean(fx, "account")))
 
 
 @query
 def fact_transaction(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return star.fact_transaction(_clean(fx, "transaction"), star.dim_account(_clean(fx, "account")),
-                                 star.dim_transaction_type(_clean(fx, "transaction")))
+    txn = _clean(fx, "transaction")
+    return star.fact_transaction(txn, star.account_ids(_clean(fx, "account")), _ttype_ids(txn))
 
 
 @query
 def fact_balance_joined(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     d = _dims(fx)
-    fb = star.fact_balance(_clean(fx, "balance"), d["account"])
+    fb = star.fact_balance(_clean(fx, "balance"), star.account_ids(_clean(fx, "account")))
     return star.balance_star(fb, d["account"], d["product"], d["organization"], d["currency"])
 
 
 def _day2_accounts(fx: Fixtures) -> DataFrame:
-    """Account dimension rebuilt from the day-2 delivery (some accounts dropped)."""
-    return star.dim_account(_clean(fx, "account", day2=True))
+    """Account keys of the day-2 delivery (some accounts dropped)."""
+    return star.account_ids(_clean(fx, "account", day2=True))
 
 
 @query
@@ -415,8 +419,8 @@ def orphan_balances(spark, sf_dir):
 @query
 def orphan_transactions(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return star.transaction_orphans(_clean(fx, "transaction"), _day2_accounts(fx),
-                                    star.dim_transaction_type(_clean(fx, "transaction")))
+    txn = _clean(fx, "transaction")
+    return star.transaction_orphans(txn, _day2_accounts(fx), _ttype_ids(txn))
 
 
 SCD_TRACKED = [c for c in star.ACCOUNT_DIM_COLUMNS if c != "account_id"]
@@ -437,18 +441,18 @@ def dim_account_scd2(spark, sf_dir):
 @query
 def mart_balance_by_month(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    d = _dims(fx)
-    fb = star.fact_balance(_clean(fx, "balance"), d["account"])
-    return marts.balance_by_month(fb, d["product"], d["currency"])
+    acc = _clean(fx, "account")
+    rows = star.balance_rows(_clean(fx, "balance"), star.account_ids(acc))
+    return marts.balance_by_month(rows, star.dim_product(acc, keyed=False),
+                                  star.dim_currency(acc, keyed=False))
 
 
 @query
 def mart_transactions_by_type(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    acc = _clean(fx, "account")
     txn = _clean(fx, "transaction")
-    ft = star.fact_transaction(txn, star.dim_account(acc), star.dim_transaction_type(txn))
-    return marts.transactions_by_type(ft)
+    rows = star.transaction_rows(txn, star.account_ids(_clean(fx, "account")), _ttype_ids(txn))
+    return marts.transactions_by_type(rows)
 
 
 @query
