@@ -60,7 +60,7 @@ SELECT CAST(o.o_orderkey AS INT) AS LoanAccountBalanceId, 8 AS SourceId,
   CAST(o.o_custkey AS INT) AS LoanAccountId, a.ProductId, a.AccountCurrencyId,
   CAST(CASE o.o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS INT) AS AccountStatusId,
   1 AS NumOfTransactions, '0,00' AS NetTransactionAmount, 'NULL' AS NetTransactionAmountSek,
-  replace(CAST(CAST(o.o_totalprice / 1000 AS DECIMAL(12,2)) AS STRING), '.', ',') AS AccruedInterest,
+  replace(CAST(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(12,2)) AS STRING), '.', ',') AS AccruedInterest,
   '' AS AccruedInterestSEK,
   replace(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) AS STRING), '.', ',') AS Balance,
   replace(CAST(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) * CAST(11.5 AS DECIMAL(3,1)) AS DECIMAL(12,2)) AS STRING), '.', ',') AS BalanceSek,
