@@ -3,14 +3,18 @@
 ``row_number() over (order by k)`` moves every row into one task.  Instead:
 
 1. range-partition on the key and sort inside each partition;
-2. cut lineage with a reliable checkpoint (range bounds come from sampling
-   and must not change between the passes below, even if executors are lost);
-3. count rows per partition - one tiny aggregate, one row per partition;
-4. prefix-sum those counts (input bounded by the partition count) and
-   broadcast the offsets;
-5. identity = offset of the partition + position inside it + 1 (+ base).
-
-The result equals the global ``row_number`` over the key, which must be unique.
+2. in the same job, tag every row with its partition id and its position in
+   the partition, and write the tagged rows as a parquet table in the shared
+   work folder (``spark.checkpoint.dir``).  Range bounds are sampled once per
+   job; a retried task re-sends the same rows to the same partition (bounds
+   fixed, key unique) and the sort gives them the same positions, so the
+   stored tags are consistent even when executors are lost;
+3. count rows per partition from the stored table - one tiny aggregate;
+4. prefix-sum those counts (one row per partition) and broadcast the offsets;
+5. identity = offset of the partition + position + 1 (+ base).
+
+The result equals the global ``row_number`` over the key, which must be
+unique.  The written table cuts the lineage: later stages never re-sample.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lendstar.session import ensure_checkpoint_dir
+from lendstar.session import work_path
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
 
@@ -33,22 +37,25 @@ def assign_dense_identity(df: DataFrame, key, identity_col: str, base=None,
     (e.g. the current maximum identity of the target table).
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = [key] if isinstance(key, str) else list(key)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = [F.col(k).asc_nulls_first() for k in keys]
     ranged = df.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered)
-    ranged = ranged.checkpoint(eager=True)
-
-    tagged = ranged.select("*", F.spark_partition_id().alias("__pid"),
-                           F.monotonically_increasing_id().alias("__mid"))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    pid = F.spark_partition_id()
+    tagged = ranged.select("*", pid.alias("__pid"),
+                           (F.monotonically_increasing_id()
+                            - F.shiftleft(pid.cast("long"), _POS_BITS)).alias("__pos"))
+    path = work_path(spark, "identity")
+    tagged.write.parquet(path)
+    stored = spark.read.parquet(path)
+
+    counts = stored.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    # Window over at most one row per partition: bounded by the partition count.
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
 
-    pos = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), _POS_BITS)
-    ident = F.col("__off") + pos + F.lit(1)
-    out = tagged.join(F.broadcast(offsets), "__pid")  # one row per partition
+    ident = F.col("__off") + F.col("__pos") + F.lit(1)
+    out = stored.join(F.broadcast(offsets), "__pid")  # one row per partition
     if isinstance(base, DataFrame):
         # One-row frame -> scalar subquery, evaluated once.
         bcol = base.columns[0]
