@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lendstar.fixtures import RUN_DATE, Fixtures
 from lendstar.operators import lookup, profit
+from lendstar.session import work_path
 
 QUERIES: dict = {}
 
@@ -97,12 +98,14 @@ def _clean(fx: Fixtures, table: str, day2: bool = False) -> DataFrame:
 
 
 def _clean_shared(fx: Fixtures, table: str, day2: bool = False) -> DataFrame:
-    """The cleansed table written once to the shared folder (reliable
-    checkpoint) when several parts of one query read it, as the published
-    cleansed table would be; later reads scan it instead of re-cleansing."""
+    """The cleansed table written once as parquet to the shared folder when
+    several parts of one query read it, as the published cleansed table would
+    be; later reads scan it (columnar, pruned) instead of re-cleansing."""
     k = ("clean", table, day2)
     if k not in fx._cache:
-        fx._cache[k] = _clean(fx, table, day2).checkpoint(eager=True)
+        path = work_path(fx.spark, "cleansed", SPEC[table].name)
+        _clean(fx, table, day2).write.parquet(path)
+        fx._cache[k] = fx.spark.read.parquet(path)
     return fx._cache[k]
 
 
@@ -402,7 +405,7 @@ def fact_balance(spark, sf_dir):
 @query
 def fact_transaction(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    txn = _clean(fx, "transaction")
+    txn = _clean_shared(fx, "transaction")
     return star.fact_transaction(txn, star.account_ids(_clean(fx, "account")), _ttype_ids(txn))
 
 
@@ -428,7 +431,7 @@ def orphan_balances(spark, sf_dir):
 @query
 def orphan_transactions(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    txn = _clean(fx, "transaction")
+    txn = _clean_shared(fx, "transaction")
     return star.transaction_orphans(txn, _day2_accounts(fx), _ttype_ids(txn))
 
 
@@ -459,7 +462,7 @@ def mart_balance_by_month(spark, sf_dir):
 @query
 def mart_transactions_by_type(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    txn = _clean(fx, "transaction")
+    txn = _clean_shared(fx, "transaction")
     rows = star.transaction_rows(txn, star.account_ids(_clean(fx, "account")), _ttype_ids(txn))
     return marts.transactions_by_type(rows)
 
