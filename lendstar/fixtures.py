@@ -36,8 +36,8 @@ SELECT CAST(c.c_custkey AS INT) AS LoanAccountId, 8 AS SourceId, c.c_name AS Acc
   CAST(r.r_regionkey AS INT) AS OrganizationId, r.r_name AS OrganizationName,
   CAST(CASE WHEN c.c_custkey % 7 = 0 THEN NULL ELSE c.c_custkey % 7 END AS INT) AS ChannelID,
   CAST(c.c_nationkey AS INT) AS BrokerId,
-  CAST((2018 + c.c_custkey % 7 - v.v) * 10000 + (1 + c.c_custkey % 12) * 100 + 1 + c.c_custkey % 28 AS INT) AS OpenDateId,
-  make_date(CAST(2018 + c.c_custkey % 7 - v.v AS INT), CAST(1 + c.c_custkey % 12 AS INT), CAST(1 + c.c_custkey % 28 AS INT)) AS OpenDate,
+  CAST((2018 + c.c_custkey % 7 - c.v) * 10000 + (1 + c.c_custkey % 12) * 100 + 1 + c.c_custkey % 28 AS INT) AS OpenDateId,
+  make_date(CAST(2018 + c.c_custkey % 7 - c.v AS INT), CAST(1 + c.c_custkey % 12 AS INT), CAST(1 + c.c_custkey % 28 AS INT)) AS OpenDate,
   CAST(CASE WHEN c.c_custkey % 5 = 0 THEN 20250131 ELSE -1 END AS INT) AS CancelledDateId,
   CASE WHEN c.c_custkey % 5 = 0 THEN make_date(2025, 1, 31) ELSE NULL END AS CancelledDate,
   make_date(CAST(2018 + c.c_custkey % 7 AS INT), CAST(1 + c.c_custkey % 12 AS INT), 28) AS ValueDate,
@@ -50,8 +50,8 @@ SELECT CAST(c.c_custkey AS INT) AS LoanAccountId, 8 AS SourceId, c.c_name AS Acc
        ELSE concat(' ', replace(CAST(CAST(c.c_acctbal AS DECIMAL(12,2)) AS STRING), '.', ','), ' ') END AS CurrentInstallmentAmount,
   '29,50' AS CurrentInvoiceFee, CAST(NULL AS STRING) AS RepaymentRate,
   make_date(2025, 7, 14) AS NextInvoiceDate, CAST(NULL AS DATE) AS CalculatedMaturityDate
-FROM {customer} c JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey
-CROSS JOIN (VALUES (0), (1)) AS v(v) WHERE v.v = 0 OR c.c_custkey % 10 = 0
+FROM (SELECT *, 0 AS v FROM {customer} UNION ALL SELECT *, 1 AS v FROM {customer} WHERE c_custkey % 10 = 0) c
+JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
 TEMPLATES["raw_loan_balance"] = """

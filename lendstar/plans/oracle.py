@@ -68,8 +68,9 @@ FROM staged c JOIN depreciation_rates d
   ON (year(c.FileMonth) - c.ManufactureYear) BETWEEN d.MinYear AND d.MaxYear""", ("staged",))
 
 oracle("rate_asof", """
-SELECT c.RecordID, r.EffectiveDate, r.BaseInterestRate, r.is_fallback
-FROM staged c CROSS JOIN rate r""", ("staged", "rate"))
+SELECT c.RecordID, (SELECT EffectiveDate FROM rate) AS EffectiveDate,
+  (SELECT BaseInterestRate FROM rate) AS BaseInterestRate, (SELECT is_fallback FROM rate) AS is_fallback
+FROM staged c WHERE EXISTS (SELECT 1 FROM rate)""", ("staged", "rate"))
 
 oracle("rate_asof_by_month", """
 SELECT a.LoanAccountId, a.OpenDateId, a.rate_month,
@@ -85,17 +86,17 @@ LEFT JOIN (
 
 step("estimates", """
 SELECT c.RecordID, c.CarModel, c.EnergyClass, c.ManufactureYear, c.BasePrice, c.CustomerRiskTier,
-  r.BaseInterestRate + m.MarginRate + t.RiskAdjustment AS FinalInterestRate,
-  (c.BasePrice * (r.BaseInterestRate + m.MarginRate + t.RiskAdjustment) / 100) / 12 AS EstimatedMonthlyPayment,
+  (SELECT BaseInterestRate FROM rate) + m.MarginRate + t.RiskAdjustment AS FinalInterestRate,
+  (c.BasePrice * ((SELECT BaseInterestRate FROM rate) + m.MarginRate + t.RiskAdjustment) / 100) / 12 AS EstimatedMonthlyPayment,
   c.BasePrice * (1 - d.DepreciationRate) AS DepreciatedValue,
-  (c.BasePrice * (r.BaseInterestRate + m.MarginRate + t.RiskAdjustment) / 100)
+  (c.BasePrice * ((SELECT BaseInterestRate FROM rate) + m.MarginRate + t.RiskAdjustment) / 100)
     - (c.BasePrice - c.BasePrice * (1 - d.DepreciationRate)) AS EstimatedProfit,
   c.FileMonth
 FROM staged c
 JOIN energy_class_margin m ON c.EnergyClass = upper(trim(m.EnergyClass))
 JOIN credit_risk_tier t ON c.CustomerRiskTier = upper(trim(t.RiskTier))
 JOIN depreciation_rates d ON (year(c.FileMonth) - c.ManufactureYear) BETWEEN d.MinYear AND d.MaxYear
-CROSS JOIN rate r""", ("staged", "rate"))
+WHERE EXISTS (SELECT 1 FROM rate)""", ("staged", "rate"))
 oracle("loan_profit_estimates", "SELECT * FROM estimates", ("estimates",))
 
 
