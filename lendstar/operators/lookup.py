@@ -25,8 +25,21 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def provably_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Estimated size within ``max_bytes`` and the estimate is an upper bound.
+
+    Catalyst's size estimate bounds scans, filters, projections, joins and
+    aggregates from above; a generator (explode) can multiply rows without
+    the estimate following, so plans with one never count as small.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if int(str(plan.stats().sizeInBytes())) > max_bytes:
+        return False
+    return "Generate" not in plan.toString()
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    return estimated_bytes(df) <= max_bytes
+    return provably_small(df, max_bytes)
 
 
 def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
