@@ -61,14 +61,25 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
     return None if df.isEmpty() else df
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows without the marker column, malformed raw lines)."""
+def split_corrupt(df: DataFrame, staged_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(well-formed rows without the marker column, malformed raw lines).
+
+    Spark refuses queries on raw delimited files that reference only the
+    corrupt-record column (e.g. a count of good rows prunes everything else),
+    so the parsed delivery is first stored as parquet in the shared work
+    folder - parsed once, then split and read column-pruned any number of
+    times.
+    """
     if CORRUPT not in df.columns:
         return df, df.limit(0)
-    # Spark requires the parsed frame to be cached before filtering on the
-    # corrupt-record column alone; selecting it with the data avoids that.
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_line"))
+    spark = df.sparkSession
+    if staged_path is None:
+        from lendstar.session import work_path
+        staged_path = work_path(spark, "parsed")
+    df.write.parquet(staged_path)
+    parsed = spark.read.parquet(staged_path)
+    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_line"))
     return good, bad
 
 

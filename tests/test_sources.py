@@ -20,7 +20,8 @@ def test_csv_declared_schema_quarantines_bad_lines(spark, scratch):
     schema = "a int, b string, c string"
     from pyspark.sql.types import _parse_datatype_string
     df = files.read_delimited(spark, os.path.dirname(p), _parse_datatype_string(schema))
-    good, bad = files.split_corrupt(df.cache())
+    good, bad = files.split_corrupt(df, os.path.join(scratch, "parsed"))
+    assert good.count() == 2 and bad.count() == 1
     assert sorted(r.a for r in good.collect()) == [1, 3]
     assert [r.raw_line for r in bad.collect()] == ["not-a-number;y;1"]
 
