@@ -117,7 +117,7 @@ def run_table_etl(raw: DataFrame, spec: TableSpec, target_base: str, run_ts) ->
                 "row_count": 0, "output_name": f"{target_base}/v={current_version(spark, target_base)}"}
     snap = upsert.merge_upsert(current.select(spec.identity_col, *biz, *AUDIT_COLS), clean,
                                spec.key, spec.identity_col, biz, run_ts)
-    # Cut lineage to the version being replaced before writing the next one.
+    # The next version goes to a new folder; the one being read stays intact.
     path = publish(snap, target_base)
     return {"step": spec.name, "status": "ok", "message": "changes merged",
             "row_count": int(counts), "output_name": path}
