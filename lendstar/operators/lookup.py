@@ -110,12 +110,24 @@ def asof_lookup(left: DataFrame, left_date: str, rates: DataFrame, rate_date: st
                 rate_value: str, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """For each left row, the latest rate with ``rate_date <= left_date``.
 
-    The heavy left side is touched only twice: a distinct projection of its
+    A provably small rate history is turned into validity intervals and
+    broadcast-range-joined to the left rows.  Otherwise the heavy left side
+    is touched only twice: a distinct projection of its
     dates (partially aggregated) and one equi-join back on the date.  The
     as-of resolution itself runs on the union of distinct dates and rate dates,
     whose size is bounded by the calendar span, not by the row count.  Rows
     with no earlier rate get NULLs (left join).
     """
+    pts_small = rates.groupBy(rate_date).agg(F.max(rate_value).alias(rate_value))  # larger value wins ties
+    if provably_small(pts_small, max_bytes):
+        # Rate history -> validity intervals [from, next from); the window runs
+        # over the (provably small) rate table only.  Each left row then finds
+        # its interval in a broadcast range join: one pass over the left side.
+        nxt = F.lead(rate_date).over(Window.orderBy(rate_date))
+        iv = pts_small.select(F.col(rate_date).alias("__from"), nxt.alias("__to"), rate_date, rate_value)
+        ld = left[left_date]
+        cond = (ld >= iv["__from"]) & (iv["__to"].isNull() | (ld < iv["__to"]))
+        return left.join(F.broadcast(iv), cond, "left").drop("__from", "__to")
     dates = left.select(F.col(left_date).alias("__d")).distinct().filter(F.col("__d").isNotNull())
     rate_pts = rates.select(F.col(rate_date).alias("__d"), F.struct(
         F.col(rate_date).alias("d"), F.col(rate_value).alias("v")).alias("__r"))

@@ -86,3 +86,16 @@ def test_broadcast_check_uses_estimate(spark):
     assert not lookup.fits_broadcast(tiny, max_bytes=0)
     # A frame built from driver rows has no size estimate: never broadcast blindly.
     assert not lookup.fits_broadcast(spark.createDataFrame([(1,)], "a int"))
+
+
+def test_asof_lookup_interval_path_equals_general_path(spark):
+    rates_small = spark.sql("SELECT * FROM VALUES (DATE'2025-03-01', 1.0D), (DATE'2025-05-01', 2.0D), "
+                            "(DATE'2025-05-01', 2.5D) AS t(EffectiveDate, BaseInterestRate)")
+    rates_big = spark.createDataFrame(rates_small.collect(), rates_small.schema)  # no size proof
+    left = spark.sql("SELECT id, date_add(DATE'2025-02-20', CAST(id AS INT)) AS d FROM range(120)") \
+        .unionByName(spark.sql("SELECT 999L AS id, CAST(NULL AS DATE) AS d"))
+    a = lookup.asof_lookup(left, "d", rates_small, "EffectiveDate", "BaseInterestRate")
+    b = lookup.asof_lookup(left, "d", rates_big, "EffectiveDate", "BaseInterestRate")
+    assert "BroadcastNestedLoopJoin" in a._jdf.queryExecution().executedPlan().toString()
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    assert a.count() == 121
