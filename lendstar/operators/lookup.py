@@ -29,13 +29,15 @@ def provably_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Estimated size within ``max_bytes`` and the estimate is an upper bound.
 
     Catalyst's size estimate bounds scans, filters, projections, joins and
-    aggregates from above; a generator (explode) can multiply rows without
-    the estimate following, so plans with one never count as small.
+    aggregates from above; a generator (explode) or an Expand (rollup, cube,
+    distinct aggregates) multiplies rows without the estimate following, so
+    plans with one never count as small.
     """
     plan = df._jdf.queryExecution().optimizedPlan()
     if int(str(plan.stats().sizeInBytes())) > max_bytes:
         return False
-    return "Generate" not in plan.toString()
+    text = plan.toString()
+    return "Generate" not in text and "Expand" not in text
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:

@@ -27,6 +27,8 @@ def test_small_path_only_for_provably_small_inputs(spark):
     assert not provably_small(spark.createDataFrame([(1,)], "k int"))       # no estimate
     exploded = spark.sql("SELECT explode(sequence(1, 1000000)) AS k")
     assert not provably_small(exploded)                                      # generator
+    rolled = spark.sql("SELECT a, count(*) FROM VALUES (1), (2) AS t(a) GROUP BY ROLLUP(a)")
+    assert not provably_small(rolled)                                        # expand
 
 
 def test_dense_identity_with_base_frame(spark):
