@@ -1,0 +1,6 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"
