@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from lendstar.llm import bpe, packing
+from lendstar.llm import bpe, licenses, packing
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op3_pack": packing.op3_pack,
     "op4_bpe_roundtrip": bpe.op4_bpe_roundtrip,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_license_scan": licenses.op1_sql(),
+}
