@@ -29,6 +29,7 @@ from lendstar.llm.common import read_table
 from lendstar.llm.units import UnitMemo
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
+ROWS_AT_ONCE = 256  # rows whose ids are Python objects at a time
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,15 +53,18 @@ def _token_bytes(path: str) -> dict[int, bytes]:
 
 
 def _with_column(df: DataFrame, name: str, kind: T.DataType, src: str, make) -> DataFrame:
-    """``make(array) -> array`` over Arrow batches; other columns pass through."""
+    """``make(array) -> array`` over Arrow batches, some rows at a time; other
+    columns pass through."""
     keep = [f for f in df.schema.fields if f.name.lower() != name.lower()]
     schema = T.StructType([*keep, T.StructField(name, kind)])
     kept = [i for i, f in enumerate(df.schema.fields) if f.name.lower() != name.lower()]
     at, names = df.columns.index(src), [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in kept] + [make(b.column(at))], names=names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(start, ROWS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays([b.column(i) for i in kept] + [make(b.column(at))], names=names)
 
     return df.mapInArrow(run, schema)
 
