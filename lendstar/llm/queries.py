@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from lendstar.llm import bpe, licenses, minhash, packing, suffixes
+from lendstar.llm import bpe, licenses, linededup, minhash, packing, suffixes
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op3_pack": packing.op3_pack,
     "op4_bpe_roundtrip": bpe.op4_bpe_roundtrip,
+    "op5_line_dedup": linededup.op5_line_dedup,
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_minhash": minhash.op7_minhash,
 }
 
 ORACLE: dict[str, str] = {
     "op1_license_scan": licenses.op1_sql(),
+    "op5_line_dedup": linededup.op5_sql(),
 }
