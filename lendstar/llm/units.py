@@ -19,6 +19,8 @@ _WS = " \t\n\x0b\x0c\r\x85\xa0" + "".join(map(chr, [
     0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _CLASS_EDGE = re.compile(r"(?<=[A-Za-z])(?=[!-@\[-`{-~])|(?<=[0-9])(?=[!-/:-~])")
+# Punctuation behind a letter or digit, up to the unit's end: a run of its own.
+_TAIL = re.compile(r"(?<=[^\W_])[!-/:-@\[-`{-~]+$")
 
 LONG_UNIT = 2048
 
@@ -34,18 +36,28 @@ def split_units(text: str) -> list[str]:
 class UnitMemo(dict):
     """unit -> bytes of its ids (little-endian unsigned 32 bit), filled on demand.
 
-    ``max_units`` bounds the entries; only units of up to ``max_chars`` are kept.
+    Two generations bound the entries: when this one has ``max_units``, it
+    becomes the old one, from which units in use come back.  A word with
+    punctuation behind it is put together from the two, so that the library
+    sees each word once.  Only units of up to ``max_chars`` are kept.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], max_units: int = 300_000, max_chars: int = 64):
+    def __init__(self, encode: Callable[[str], list[int]], max_units: int = 400_000, max_chars: int = 64):
         super().__init__()
         self.encode_ids, self.max_units, self.max_chars = encode, max_units, max_chars
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self.encode_ids(unit)
-        out = b"".join([i.to_bytes(4, "little") for i in ids])
+        out = self.old.get(unit)
+        if out is None:
+            tail = _TAIL.search(unit)
+            if tail:
+                out = self[unit[:tail.start()]] + self[tail.group()]
+            else:
+                out = b"".join([i.to_bytes(4, "little") for i in self.encode_ids(unit)])
         if len(unit) <= self.max_chars:
             if len(self) >= self.max_units:
+                self.old = dict(self)
                 self.clear()
             self[unit] = out
         return out
