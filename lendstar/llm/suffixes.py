@@ -45,8 +45,9 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lendstar.llm.common import read_table, stored
+from lendstar.llm.common import fresh_names, read_table, stored
 from lendstar.llm.minhash import mix64
 
 WINDOW = 200
@@ -327,40 +328,67 @@ def covered(spans: list, size: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            rows = []
-            for r in batch.slice(lo, 256).to_pylist():
-                data = _bytes_of(r["z"])
-                gone = covered([(s["start"], s["n"]) for s in r["spans"] or ()], len(data))
-                kept, at = [], 0
-                for a, b in gone:
-                    kept.append(data[at:a])
-                    at = b
-                kept.append(data[at:])
-                rows.append((r["id"], r["tag"], len(data), sum(b - a for a, b in gone), len(gone), b"".join(kept)))
-            if rows:
-                kinds = [pa.int64(), pa.int32()] + [pa.int64()] * 3 + [pa.binary()]
+def _cut_out(others: int, names: list[str]):
+    """Rows (others..., id, tag, z, spans) -> (others..., the four results)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                b = batch.slice(lo, 256)
+                rows = []
+                for z, spans in zip(b.column(others).to_pylist(), b.column(others + 1).to_pylist()):
+                    data = _bytes_of(z)
+                    gone = covered([(s["start"], s["n"]) for s in spans or ()], len(data))
+                    kept, at = [], 0
+                    for x, y in gone:
+                        kept.append(data[at:x])
+                        at = y
+                    kept.append(data[at:])
+                    rows.append((len(data), sum(y - x for x, y in gone), len(gone), b"".join(kept)))
+                kinds = [pa.int64()] * 3 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                    names=["id", "tag", "n_bytes", "n_removed", "n_spans", "kept"])
+                    [*b.columns[:others], *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]], names=names)
+
+    return run
+
+
+def _packed_rows(others: list[int], i: int, t: int, names: list[str]):
+    z = lambda d: zstandard.ZstdCompressor(level=3).compress(d)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                b = batch.slice(lo, 512)
+                data = [(x or "").encode("utf-8", "surrogatepass") for x in b.column(t).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(k) for k in others], b.column(i).cast(pa.int64()),
+                     pa.array([text_tag(d) for d in data], pa.int32()), pa.array([z(d) for d in data], pa.binary())],
+                    names=names)
+
+    return run
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept) of every row: ``kept`` are the
-    bytes that stay, concatenated (a cut may fall within a character)."""
+    """The rows of ``df`` without the text, with ``n_bytes``, ``n_removed``,
+    ``n_spans`` and ``kept``: the bytes that stay, concatenated (a cut may fall
+    within a character).  Columns of these names are replaced."""
+    results = ["n_bytes", "n_removed", "n_spans", "kept"]
+    others = [f for f in df.schema.fields if f.name != text_col and f.name.lower() not in results]
+    i, t, z, si, st, sp = fresh_names(df, "id", "tag", "z", "sid", "stag", "spans")
     spans = stored(repeated_spans(df, id_col, text_col), "spans").groupBy("id", "tag").agg(
-        F.collect_list(F.struct("start", "n")).alias("spans"))
-    spans = spans.select(F.col("id").alias("sid"), F.col("tag").alias("stag"), "spans")
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    packed = src.mapInArrow(_packed, "id long, tag int, z binary")
-    joined = packed.join(spans, F.col("id").eqNullSafe(F.col("sid")) & (F.col("tag") == F.col("stag")), "left")
-    return joined.select("id", "tag", "z", "spans").mapInArrow(
-        _cut_out, "id long, tag int, n_bytes long, n_removed long, n_spans long, kept binary").drop("tag")
+        F.collect_list(F.struct("start", "n")).alias(sp)).withColumnsRenamed({"id": si, "tag": st})
+    kinds = T.StructType([*others, T.StructField(i, T.LongType()), T.StructField(t, T.IntegerType()),
+                          T.StructField(z, T.BinaryType())])
+    at = {c: k for k, c in enumerate(df.columns)}
+    packed = df.mapInArrow(_packed_rows([at[f.name] for f in others], at[id_col], at[text_col], kinds.names), kinds)
+    joined = packed.join(spans, F.col(i).eqNullSafe(F.col(si)) & (F.col(t) == F.col(st)), "left")
+    out = T.StructType([*others, *[T.StructField(c, T.LongType()) for c in results[:3]],
+                        T.StructField("kept", T.BinaryType())])
+    return joined.select(*[f.name for f in others], z, sp).mapInArrow(_cut_out(len(others), out.names), out)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` without bytes covered by a repeated 200-byte string."""
-    return remove_repeats(read_table(spark, sf_dir, "documents")).select(
-        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
