@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lendstar.llm import bpe, langid, licenses, linededup, minhash, packing, suffixes
+from lendstar.llm import bpe, fingerprints, langid, licenses, linededup, minhash, packing, suffixes
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_line_dedup": linededup.op5_line_dedup,
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_minhash": minhash.op7_minhash,
+    "op8_fingerprint": fingerprints.op8_fingerprint,
     "op10_language": langid.op10_language,
     "pages_language": langid.pages_language,
 }
@@ -18,4 +19,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op1_license_scan": licenses.op1_sql(),
     "op5_line_dedup": linededup.op5_sql(),
+    "op8_fingerprint": fingerprints.op8_sql(),
 }
