@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lendstar.llm import bpe, fingerprints, langid, licenses, linededup, minhash, packing, suffixes
+from lendstar.llm import bpe, embeddings, fingerprints, langid, licenses, linededup, minhash, packing, suffixes
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_minhash": minhash.op7_minhash,
     "op8_fingerprint": fingerprints.op8_fingerprint,
+    "op9_embeddings": embeddings.op9_embeddings,
     "op10_language": langid.op10_language,
     "pages_language": langid.pages_language,
 }
