@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lendstar.llm import bpe, embeddings, fingerprints, langid, licenses, linededup, minhash, packing, suffixes
+from lendstar.llm import bpe, embeddings, fingerprints, langid, licenses, linededup, minhash, packing, suffixes, warc
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
+    "op2_warc": warc.op2_warc,
     "op3_pack": packing.op3_pack,
     "op4_bpe_roundtrip": bpe.op4_bpe_roundtrip,
     "op5_line_dedup": linededup.op5_line_dedup,
