@@ -38,6 +38,7 @@ from lendstar.llm.common import fresh_names, read_table, stored
 
 SAMPLE_ROWS = 400
 MAX_LANGUAGES = 64
+DOCUMENT_TRIGRAMS = 500  # what a sampled document counts at most, so that no long one outweighs the rest
 BUCKETS = 1 << 16
 UND = "und"
 UND_PRIOR = 1e-3
@@ -65,8 +66,8 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     totals: dict[str, np.ndarray] = {}
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            t = totals.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
-            t += np.bincount(trigrams(text), minlength=BUCKETS)
+            t, found = totals.setdefault(lang, np.zeros(BUCKETS)), trigrams(text)
+            t += np.bincount(found, minlength=BUCKETS) * min(1.0, DOCUMENT_TRIGRAMS / max(1, len(found)))
     for lang, t in totals.items():
         at = np.flatnonzero(t)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(t[at])],
@@ -85,7 +86,7 @@ def fit(df: DataFrame, id_col: str, text_col: str, label: Column, rows: int = SA
         share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, rows / r["count"]))])
         draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20)
         sample = labelled.filter(F.col("lang").isin(langs) & draw).select("lang", "text")
-        counts = sample.mapInArrow(_sample_counts, "lang string, bucket long, n long")
+        counts = sample.mapInArrow(_sample_counts, "lang string, bucket long, n double")
         table = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
         for lang, part in table.groupby("lang"):
             model[langs.index(lang), part["bucket"].to_numpy()] = part["n"].to_numpy()

@@ -167,24 +167,24 @@ def op1_sql() -> str:
     return rf"""
 WITH phrase(label, base, t, w, n, phrase_at, size) AS (VALUES {phrase}),
 template(label, t, w) AS (VALUES {template}),
-d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
-p AS (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS i FROM d),
-found AS (SELECT p.doc_id, f.label, f.base, p.i - f.t AS start, any_value(f.phrase_at) AS phrase_at,
+p AS (SELECT rid, unnest(words) AS w, unnest(range(len(words))) AS i FROM d),
+found AS (SELECT p.rid, f.label, f.base, p.i - f.t AS start, any_value(f.phrase_at) AS phrase_at,
         any_value(f.size) AS size
-    FROM p JOIN phrase f ON p.w = f.w GROUP BY p.doc_id, f.label, f.base, p.i - f.t, f.n HAVING count(*) = f.n),
-same AS (SELECT found.doc_id, found.label, found.start, any_value(found.size) AS size, count(*) AS n
+    FROM p JOIN phrase f ON p.w = f.w GROUP BY p.rid, f.label, f.base, p.i - f.t, f.n HAVING count(*) = f.n),
+same AS (SELECT found.rid, found.label, found.start, any_value(found.size) AS size, count(*) AS n
     FROM found JOIN template t ON t.label = found.label
-    JOIN p ON p.doc_id = found.doc_id AND p.i = found.start - found.phrase_at + t.t AND p.w = t.w
-    GROUP BY found.doc_id, found.label, found.start),
-best AS (SELECT doc_id, max(n / size) AS score FROM same GROUP BY doc_id),
-g AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+    JOIN p ON p.rid = found.rid AND p.i = found.start - found.phrase_at + t.t AND p.w = t.w
+    GROUP BY found.rid, found.label, found.start),
+best AS (SELECT rid, max(n / size) AS score FROM same GROUP BY rid),
+g AS (SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
         max(start) FILTER (base) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
-        string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY doc_id)
+        string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY rid)
 SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(g.n_base, 0) AS BIGINT) AS n_base,
     CAST(g.first_word AS BIGINT) AS first_word, CAST(g.last_word AS BIGINT) AS last_word,
     coalesce(g.base_labels, '') AS base_labels, coalesce(g.labels, '') AS labels,
     CAST(coalesce(best.score, 0) AS DOUBLE) AS score
-FROM d LEFT JOIN g USING (doc_id) LEFT JOIN best USING (doc_id)
+FROM d LEFT JOIN g USING (rid) LEFT JOIN best USING (rid)
 """
