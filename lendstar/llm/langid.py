@@ -52,6 +52,11 @@ _LOWER[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _LOWER[ord("A"):ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 
 
+def letters(text: str | None) -> int:
+    """Bytes of letters (all of a character beyond ASCII count)."""
+    return int((_LOWER[np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)] != 32).sum())
+
+
 def trigrams(text: str | None) -> np.ndarray:
     """Bucket of every byte trigram that holds two letters or more."""
     b = _LOWER[np.frombuffer(b" " + (text or "").encode("utf-8", "surrogatepass") + b" ", dtype=np.uint8)]
@@ -102,11 +107,11 @@ def _likelihoods(model: np.ndarray):
             n, ll = [], []
             for text in b.column(b.num_columns - 1).to_pylist():
                 t = trigrams(text)
-                n.append(len(t))
+                n.append(len(t) or letters(text))
                 ll.append(by_bucket[t].sum(axis=0, dtype=np.float64).tolist())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(n, pa.int64()), pa.array(ll, pa.list_(pa.float64()))],
-                names=["id", "tag", "declared", "suffix", "host", "n_trigrams", "ll"])
+                names=["id", "tag", "declared", "suffix", "host", "evidence", "ll"])
 
     return run
 
@@ -148,13 +153,13 @@ def decisions(df: DataFrame, id_col: str, text_col: str, declared: Column | None
                     declared.alias("declared"), suffix.alias("suffix"), host.alias("host"),
                     F.col(text_col).alias("text"))
     seen = src.mapInArrow(_likelihoods(model), "id long, tag long, declared string, suffix string, host string, "
-                                               "n_trigrams long, ll array<double>")
+                                               "evidence long, ll array<double>")
     prior0 = F.array(*[F.lit((1 - UND_PRIOR) / max(1, n - 1)) for _ in langs[:-1]], F.lit(UND_PRIOR))
     text = F.transform("ll", lambda x, i: x * TEXT_WEIGHT + F.log(F.get(prior0, i)))
     seen = stored(seen.withColumn("text", text).withColumn(
         "best", (F.array_position("text", F.array_max("text")) - 1).cast("int")).drop("ll"), "language")
 
-    known = seen.filter("n_trigrams > 0").select("declared", "suffix", "host", "best")
+    known = seen.filter("evidence > 0").select("declared", "suffix", "host", "best")
     index = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
     says = _given(known, "declared", n, index[F.col("declared")])
     ends = _given(known, "suffix", n, None)
@@ -185,7 +190,7 @@ def decisions(df: DataFrame, id_col: str, text_col: str, declared: Column | None
     top = F.array_max("post")
     fused = fused.withColumn("post", F.transform("text", total))
     mass = F.aggregate("post", F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    blank = F.col("n_trigrams") == 0
+    blank = F.col("evidence") == 0
     pick = (F.array_position("post", top) - 1).cast("int")
     return fused.select(
         "id", "tag", F.when(blank, UND).otherwise(F.get(names, pick)).alias("lang_pred"),
