@@ -12,7 +12,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lendstar.specs import ACCOUNT_SCHEMA, BALANCE_SCHEMA, TRANSACTION_SCHEMA
 
@@ -28,7 +27,7 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 TEMPLATES: dict[str, str] = {}
 
 TEMPLATES["raw_loan_account"] = """
-SELECT CAST(c.c_custkey AS INT) AS LoanAccountId, 8 AS SourceId, c.c_name AS AccountNumber,
+SELECT CAST(c.c_custkey AS BIGINT) AS LoanAccountId, 8 AS SourceId, c.c_name AS AccountNumber,
   CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE concat('SE', CAST(1000000 + c.c_custkey AS STRING)) END AS IBAN,
   CAST(NULL AS STRING) AS BBAN,
   CAST(CASE WHEN c.c_nationkey % 2 = 0 THEN 49 ELSE 50 END AS INT) AS AccountCurrencyId,
@@ -55,33 +54,34 @@ JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionke
 """
 
 TEMPLATES["raw_loan_balance"] = """
-SELECT CAST(o.o_orderkey AS INT) AS LoanAccountBalanceId, 8 AS SourceId,
-  CAST((year(o.o_orderdate) + 24) * 10000 + month(o.o_orderdate) * 100 + day(o.o_orderdate) AS INT) AS BalanceDateId,
-  CAST(o.o_custkey AS INT) AS LoanAccountId, a.ProductId, a.AccountCurrencyId,
+SELECT CAST(o.o_orderkey AS BIGINT) AS LoanAccountBalanceId, 8 AS SourceId,
+  CAST(CASE WHEN o.o_orderkey % 499 = 0 THEN 20251399
+       ELSE (year(o.o_orderdate) + 24) * 10000 + month(o.o_orderdate) * 100 + day(o.o_orderdate) END AS INT) AS BalanceDateId,
+  CAST(o.o_custkey AS BIGINT) AS LoanAccountId, a.ProductId, a.AccountCurrencyId,
   CAST(CASE o.o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS INT) AS AccountStatusId,
   1 AS NumOfTransactions, '0,00' AS NetTransactionAmount, 'NULL' AS NetTransactionAmountSek,
   replace(CAST(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(12,2)) AS STRING), '.', ',') AS AccruedInterest,
   '' AS AccruedInterestSEK,
   replace(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) AS STRING), '.', ',') AS Balance,
   replace(CAST(CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) * CAST(11.5 AS DECIMAL(3,1)) AS DECIMAL(12,2)) AS STRING), '.', ',') AS BalanceSek,
-  0 AS LTV, CAST(CASE WHEN o.o_orderkey % 4 = 0 THEN -1 ELSE o.o_orderkey - 1 END AS INT) AS PrecedingId
+  0 AS LTV, CAST(CASE WHEN o.o_orderkey % 4 = 0 THEN -1 ELSE o.o_orderkey - 1 END AS BIGINT) AS PrecedingId
 FROM {orders} o JOIN (SELECT DISTINCT LoanAccountId, ProductId, AccountCurrencyId FROM {raw_loan_account}) a
   ON o.o_custkey = a.LoanAccountId
 """
 
 TEMPLATES["raw_loan_transaction"] = """
-SELECT CAST(l.l_orderkey * 10 + l.l_linenumber AS INT) AS LoanAccountTransactionId, 8 AS SourceId,
-  CAST((year(l.l_shipdate) + 24) * 10000 + month(l.l_shipdate) * 100 + day(l.l_shipdate) AS INT) AS TransactionDateId,
+SELECT CAST(CAST(l.l_orderkey AS BIGINT) * 10 + l.l_linenumber AS BIGINT) AS LoanAccountTransactionId, 8 AS SourceId,
+  CAST((year(l.l_shipdate) + 24) * 10000 + month(l.l_shipdate) * 100 + day(l.l_shipdate) + CASE WHEN l.l_partkey % 701 = 0 THEN 60 ELSE 0 END AS INT) AS TransactionDateId,
   CAST((year(l.l_shipdate) + 24) * 10000 + month(l.l_shipdate) * 100 + day(l.l_shipdate) AS INT) AS ValueDateId,
   CAST((year(o.o_orderdate) + 24) * 10000 + month(o.o_orderdate) * 100 + day(o.o_orderdate) AS INT) AS EntryDateID,
-  CAST(o.o_custkey AS INT) AS LoanAccountId,
+  CAST(o.o_custkey AS BIGINT) AS LoanAccountId,
   CAST(CASE l.l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS INT) AS TransactionTypeId,
   l.l_linestatus AS TransactionStatus, CAST(49 AS INT) AS TransactionCurrencyId,
   replace(CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS STRING), '.', ',') AS TransactionAmount,
   replace(CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS STRING), '.', ',') AS TransactionAmountSEK,
   concat(CAST(l.l_partkey AS STRING), '-', CAST(l.l_suppkey AS STRING)) AS TransactionReference,
   CAST(l.l_suppkey % 10 AS INT) AS ExchangeRateId, CAST(-1 AS INT) AS CounterPartId,
-  CAST(CASE WHEN l.l_linenumber = 1 THEN -1 ELSE l.l_orderkey END AS INT) AS InvoiceId
+  CAST(CASE WHEN l.l_linenumber = 1 THEN -1 ELSE l.l_orderkey END AS BIGINT) AS InvoiceId
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 """
 
@@ -121,7 +121,7 @@ SELECT * FROM (
     CurrentInvoiceFee, RepaymentRate, NextInvoiceDate, CalculatedMaturityDate
   FROM {raw_loan_account} WHERE LoanAccountId % 200 <> 7
   UNION ALL
-  SELECT LoanAccountId + 1000000, SourceId, AccountNumber, IBAN, BBAN, AccountCurrencyId, AccountCurrency, OrganizationId, OrganizationName,
+  SELECT -LoanAccountId, SourceId, AccountNumber, IBAN, BBAN, AccountCurrencyId, AccountCurrency, OrganizationId, OrganizationName,
     ChannelID, BrokerId, OpenDateId, OpenDate, CancelledDateId, CancelledDate, ValueDate, MaturityDate, ProductId, Product, InvoiceDay,
     CurrentInstallmentAmount, CurrentInvoiceFee, RepaymentRate, NextInvoiceDate, CalculatedMaturityDate
   FROM {raw_loan_account} WHERE LoanAccountId % 100 = 3) q
@@ -140,7 +140,7 @@ ORDER = ("raw_loan_account", "raw_loan_balance", "raw_loan_transaction", "car_in
          "energy_class_margin", "credit_risk_tier", "depreciation_rates", "interest_rates",
          "raw_loan_account_day2")
 
-_SQL_TYPES = {"integer": "INT", "string": "STRING", "date": "DATE", "timestamp": "TIMESTAMP"}
+_SQL_TYPES = {"integer": "INT", "long": "BIGINT", "string": "STRING", "date": "DATE", "timestamp": "TIMESTAMP"}
 
 
 def _deps(name: str) -> list[str]:
@@ -245,7 +245,3 @@ class Fixtures:
     @cached_property
     def cars(self) -> DataFrame:
         return self.get("car_information")
-
-
-def lit_date(s: str):
-    return F.lit(s).cast("date")

@@ -7,6 +7,9 @@ classifies every key in a single pass:
 * ``insert``  - key only in the new delivery
 * ``update``  - key in both, some business column differs (NULL-safe)
 * ``same``    - key in both, all business columns equal (NULL-safe)
+* ``stale``   - key in both, the delivered row is older by ``order_col``: a late
+  delivery, the snapshot's row stays.  With equal order the delivered row is a
+  correction and counts as an update (or same).
 * ``missing`` - key only in the snapshot (kept; deliveries never delete)
 
 Each side's compared columns travel as one struct, and the two structs are
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHANGE = "change"
-INSERT, UPDATE, SAME, MISSING = "insert", "update", "same", "missing"
+INSERT, UPDATE, SAME, MISSING, STALE = "insert", "update", "same", "missing", "stale"
 
 NEW, OLD = "__new", "__old"          # compared columns of each side
 NEW_X, OLD_X = "__new_x", "__old_x"  # carried (not compared) columns of each side
@@ -46,14 +49,17 @@ def old_extra(c: str) -> Column:
 
 def _side(df: DataFrame, key: str, cols: list[str], extra: list[str], cmp_name: str,
           extra_name: str) -> DataFrame:
-    sel = [F.col(key), F.struct(*[F.col(c) for c in cols]).alias(cmp_name)]
+    # A table of keys alone (a code without attributes) compares a constant.
+    compared = [F.col(c) for c in cols] or [F.lit(True).alias("present")]
+    sel = [F.col(key), F.struct(*compared).alias(cmp_name)]
     if extra:
         sel.append(F.struct(*[F.col(c) for c in extra]).alias(extra_name))
     return df.select(*sel)
 
 
 def classify(new: DataFrame, old: DataFrame, key: str, compare_cols: list[str],
-             new_extra: list[str] | None = None, old_extra: list[str] | None = None) -> DataFrame:
+             new_extra: list[str] | None = None, old_extra: list[str] | None = None,
+             order_col: str | None = None) -> DataFrame:
     """Full-outer join of new and old on ``key`` with a ``change`` column.
 
     Output: ``key``, ``change``, the compared-column structs ``__new`` /
@@ -69,8 +75,11 @@ def classify(new: DataFrame, old: DataFrame, key: str, compare_cols: list[str],
     j = n.join(o, key, "full_outer")
     change = (F.when(F.col(OLD).isNull(), F.lit(INSERT))
               .when(F.col(NEW).isNull(), F.lit(MISSING))
-              .when(F.col(NEW).eqNullSafe(F.col(OLD)), F.lit(SAME))
-              .otherwise(F.lit(UPDATE)))
+              .when(F.col(NEW).eqNullSafe(F.col(OLD)), F.lit(SAME)))
+    if order_col:
+        was, now = old_col(order_col), new_col(order_col)
+        change = change.when(was.isNotNull() & (now.isNull() | (now < was)), F.lit(STALE))
+    change = change.otherwise(F.lit(UPDATE))
     out = [F.col(key), change.alias(CHANGE), F.col(NEW), F.col(OLD)]
     if n_extra:
         out.append(F.col(NEW_X))

@@ -36,10 +36,12 @@ def _checks(spec: TableSpec) -> list[tuple[Column, str]]:
                for c in spec.not_null_cols if c not in spec.amount_cols]
     checks += [(F.length(F.col(c)) != n, f"{c} length <> {n}")
                for c, n in spec.length_checks.items()]
+    checks += [(F.col(k).isNotNull() & date_from_key(k).isNull(), f"{k} is no date")
+               for k in spec.date_keys.values()]
     return checks
 
 
-def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
+def _typed(df: DataFrame, spec: TableSpec, keep: list[str] | None = None) -> DataFrame:
     """Declared defaults filled and amounts parsed, in one projection."""
     def conformed(f):
         c = F.col(f.name)
@@ -48,7 +50,7 @@ def _typed(df: DataFrame, spec: TableSpec) -> DataFrame:
         if f.name in spec.defaults:
             return F.coalesce(c, F.lit(spec.defaults[f.name]).cast(f.dataType))
         return c
-    return df.select(*[conformed(f).alias(f.name) for f in spec.schema.fields])
+    return df.select(*[conformed(f).alias(f.name) for f in spec.schema.fields], *(keep or []))
 
 
 def _violated(spec: TableSpec) -> Column:
@@ -62,9 +64,10 @@ def _reason(spec: TableSpec) -> Column:
     return F.concat_ws("; ", *[F.when(v, F.lit(r)) for v, r in _checks(spec)])
 
 
-def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Typed, defaulted frame plus a ``reject_reason`` column ('' = accepted)."""
-    typed = _typed(df, spec)
+def conform(df: DataFrame, spec: TableSpec, keep: list[str] | None = None) -> DataFrame:
+    """Typed, defaulted frame plus a ``reject_reason`` column ('' = accepted) and
+    the columns of ``keep`` as they are."""
+    typed = _typed(df, spec, keep)
     return typed.select("*", _reason(spec).alias(REASON))
 
 
@@ -119,7 +122,10 @@ def with_computed(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     """accepted rows -> sentinels to NULL -> latest per key -> computed columns."""
-    ok = accepted(df, spec)
+    return clean_accepted(accepted(df, spec), spec)
+
+
+def clean_accepted(ok: DataFrame, spec: TableSpec) -> DataFrame:
     ok = null_sentinels(ok, spec.sentinel_cols)
     ok = dedup_latest(ok, spec.key, spec.order_col)
     return with_computed(ok, spec)

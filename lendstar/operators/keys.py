@@ -23,12 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lendstar.operators.lookup import provably_small
 from lendstar.session import work_path
 
-# Inputs provably below this size (estimated bytes) are numbered in one task.
-SMALL_INPUT_BYTES = 8 * 1024 * 1024
-
 _POS_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
 
 
@@ -43,23 +39,18 @@ def _with_base(ident, base):
 
 
 def assign_dense_identity(df: DataFrame, key, identity_col: str, base=None,
-                          num_partitions: int | None = None,
-                          small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+                          num_partitions: int | None = None) -> DataFrame:
     """Prepend ``identity_col`` = rank of ``key`` (1-based) + ``base``.
 
     ``key``: column name or list of names (lexicographic order, NULLs first).
     ``base``: None, an int, or a one-row DataFrame holding one numeric column
     (e.g. the current maximum identity of the target table).
-    Inputs provably under ``small_bytes`` (code tables) are numbered by one
-    ordered window in a single task; everything else takes the distributed
-    path, whatever its row count.
+    Inputs of every size take the same path; ``num_partitions`` (the session's
+    shuffle partitions by default) may be 1 for a code table.
     """
     spark = df.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     ordered = [F.col(k).asc_nulls_first() for k in keys]
-    if small_bytes and provably_small(df, small_bytes):
-        rn = F.row_number().over(Window.orderBy(*ordered)).cast("long")
-        return df.select(_with_base(rn, base).cast("long").alias(identity_col), *df.columns)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered)
     pid = F.spark_partition_id()

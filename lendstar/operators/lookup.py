@@ -1,11 +1,8 @@
 """Lookup joins: normalised code-table joins, band (range) joins, as-of lookups.
 
-Broadcast is requested only behind an explicit size check (``fits_broadcast``)
-on the optimizer's size estimate, which for the inputs here (in-memory code
-tables, files, filters and aggregates of them) is an upper bound; the check
-runs no job.  Anything not provably small is left to a shuffle join, which
-adaptive execution may still turn into a broadcast once the real size is
-measured at run time.
+Each has one path for inputs of every size.  Nothing is broadcast by hand: the
+static size of a code table, or what adaptive execution measures at run time,
+decides, and the rows never depend on it.
 """
 
 from __future__ import annotations
@@ -16,40 +13,9 @@ from pyspark.sql.window import Window
 
 from lendstar.functions.text import norm_key
 
-# Largest lookup (bytes, estimated) that is broadcast explicitly.
-BROADCAST_MAX_BYTES = 8 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def provably_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Estimated size within ``max_bytes`` and the estimate is an upper bound.
-
-    Catalyst's size estimate bounds scans, filters, projections, joins and
-    aggregates from above; a generator (explode) or an Expand (rollup, cube,
-    distinct aggregates) multiplies rows without the estimate following, so
-    plans with one never count as small.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if int(str(plan.stats().sizeInBytes())) > max_bytes:
-        return False
-    text = plan.toString()
-    return "Generate" not in text and "Expand" not in text
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    return provably_small(df, max_bytes)
-
-
-def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
-
 
 def join_normalised(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
-                    how: str = "inner", max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+                    how: str = "inner") -> DataFrame:
     """Equi-join on upper(trim(key)) of both sides.
 
     The right (code-table) key is normalised once in its own projection and
@@ -59,37 +25,32 @@ def join_normalised(left: DataFrame, right: DataFrame, left_col: str, right_col:
     rkey = f"__k_{right_col}"
     r = right.select(norm_key(right_col).alias(rkey),
                      *[c for c in right.columns if c != right_col])
-    r = maybe_broadcast(r, max_bytes)
     joined = left.join(r, norm_key(left[left_col]) == r[rkey], how)
     return joined.drop(rkey)
 
 
 def band_join(left: DataFrame, value: Column, bands: DataFrame, lo: str, hi: str,
-              how: str = "inner", value_name: str = "__band_value",
-              max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+              how: str = "inner", value_name: str = "__band_value", cell: float = 1) -> DataFrame:
     """Join each left row to every band with ``lo <= value <= hi`` (inclusive).
 
-    NULL values match nothing; overlapping bands multiply rows, as a SQL
-    BETWEEN join does.  Small band tables are broadcast (nested-loop join over a
-    handful of bands).  Large band tables are exploded to one row per integer
-    value, clipped to the range of values actually present on the left, and
-    equi-joined - a shuffle join whose size is bounded by the value domain.
+    NULL values and NULL bounds match nothing; overlapping bands multiply rows,
+    as a SQL BETWEEN join does.  Values and bounds may be of any numeric type.
+    Columns: those of ``left``, ``value_name``, those of ``bands``.
+
+    The number line is cut into cells of width ``cell``.  A band is exploded to
+    the cells it meets, clipped to those of values on the left (two scalar
+    subqueries, evaluated once), and joined on the cell with the exact condition
+    on top: an equi-join whose size is bounded by the value domain in cells.
     """
     lhs = left.withColumn(value_name, value)
-    if fits_broadcast(bands, max_bytes):
-        b = F.broadcast(bands)
-        cond = (lhs[value_name] >= b[lo]) & (lhs[value_name] <= b[hi])
-        return lhs.join(b, cond, how)
-    # Integer-valued bands only: explode inside the observed value range.  The
-    # range is two scalar subqueries over the left side (evaluated once each).
-    vmin = lhs.agg(F.min(value_name)).scalar()
-    vmax = lhs.agg(F.max(value_name)).scalar()
-    start, stop = F.greatest(F.col(lo), vmin), F.least(F.col(hi), vmax)
-    exploded = (
-        bands.filter(vmin.isNotNull() & (start <= stop))
-        .withColumn(value_name, F.explode(F.sequence(start, stop)))
-    )
-    return lhs.join(exploded, value_name, how)
+    lhs = lhs.withColumn("__cell", F.floor(F.col(value_name) / F.lit(cell)).cast("long"))
+    least, most = lhs.agg(F.min("__cell")).scalar(), lhs.agg(F.max("__cell")).scalar()
+    first = F.greatest(F.floor(F.col(lo) / F.lit(cell)).cast("long"), least)
+    last = F.least(F.floor(F.col(hi) / F.lit(cell)).cast("long"), most)
+    met = bands.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull() & least.isNotNull() & (first <= last))
+    cells = met.withColumn("__band_cell", F.explode(F.sequence(first, last)))
+    inside = (lhs["__cell"] == cells["__band_cell"]) & (lhs[value_name] >= cells[lo]) & (lhs[value_name] <= cells[hi])
+    return lhs.join(cells, inside, how).drop("__cell", "__band_cell")
 
 
 def asof_single(rates: DataFrame, date_col: str, value_col: str, at) -> DataFrame:
@@ -109,40 +70,27 @@ def asof_single(rates: DataFrame, date_col: str, value_col: str, at) -> DataFram
 
 
 def asof_lookup(left: DataFrame, left_date: str, rates: DataFrame, rate_date: str,
-                rate_value: str, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+                rate_value: str) -> DataFrame:
     """For each left row, the latest rate with ``rate_date <= left_date``.
 
-    A provably small rate history is turned into validity intervals and
-    broadcast-range-joined to the left rows.  Otherwise the heavy left side
-    is touched only twice: a distinct projection of its
-    dates (partially aggregated) and one equi-join back on the date.  The
-    as-of resolution itself runs on the union of distinct dates and rate dates,
-    whose size is bounded by the calendar span, not by the row count.  Rows
-    with no earlier rate get NULLs (left join).
+    Columns: those of ``left``, ``rate_date``, ``rate_value``.  Rows with no
+    date or no earlier rate get NULLs; rates with a NULL date are never used;
+    of several rates of one date the larger value wins.
+
+    The left side is touched twice: a distinct projection of its dates
+    (partially aggregated) and one equi-join back on the date.  The resolution
+    itself runs on the union of distinct dates and rate dates, whose size is
+    bounded by the days of the calendar span, not by the row count; the join's
+    left side can be split when one date holds most of the rows.
     """
-    pts_small = rates.groupBy(rate_date).agg(F.max(rate_value).alias(rate_value))  # larger value wins ties
-    if provably_small(pts_small, max_bytes):
-        # Rate history -> validity intervals [from, next from); the window runs
-        # over the (provably small) rate table only.  Each left row then finds
-        # its interval in a broadcast range join: one pass over the left side.
-        nxt = F.lead(rate_date).over(Window.orderBy(rate_date))
-        iv = pts_small.select(F.col(rate_date).alias("__from"), nxt.alias("__to"), rate_date, rate_value)
-        ld = left[left_date]
-        cond = (ld >= iv["__from"]) & (iv["__to"].isNull() | (ld < iv["__to"]))
-        return left.join(F.broadcast(iv), cond, "left").drop("__from", "__to")
     dates = left.select(F.col(left_date).alias("__d")).distinct().filter(F.col("__d").isNotNull())
-    rate_pts = rates.select(F.col(rate_date).alias("__d"), F.struct(
-        F.col(rate_date).alias("d"), F.col(rate_value).alias("v")).alias("__r"))
-    # One row per rate date (larger value wins ties), then carry forward.
-    rate_pts = rate_pts.groupBy("__d").agg(F.max("__r").alias("__r"))
-    pts = (dates.withColumn("__r", F.lit(None).cast(rate_pts.schema["__r"].dataType))
-           .unionByName(rate_pts))
+    points = rates.filter(F.col(rate_date).isNotNull()).groupBy(F.col(rate_date).alias("__d")).agg(
+        F.max(F.struct(F.col(rate_date).alias("d"), F.col(rate_value).alias("v"))).alias("__r"))
+    both = dates.select("__d", F.lit(None).cast(points.schema["__r"].dataType).alias("__r")).unionByName(points)
     # A global ordered window: its input is bounded by the number of distinct
     # dates (days in the calendar span), never by the fact row count.
     w = Window.orderBy("__d").rowsBetween(Window.unboundedPreceding, 0)
-    resolved = (pts.groupBy("__d").agg(F.max("__r").alias("__r"))
+    resolved = (both.groupBy("__d").agg(F.max("__r").alias("__r"))
                 .withColumn("__r", F.last("__r", ignorenulls=True).over(w))
                 .select(F.col("__d"), F.col("__r.d").alias(rate_date), F.col("__r.v").alias(rate_value)))
-    resolved = maybe_broadcast(resolved, max_bytes)
-    out = left.join(resolved, left[left_date] == resolved["__d"], "left").drop("__d")
-    return out
+    return left.join(resolved, left[left_date] == resolved["__d"], "left").drop("__d")

@@ -4,8 +4,7 @@
 attaches the base rate valid at the run date (falling back to the latest
 earlier month), the energy-class margin, the customer risk adjustment and the
 depreciation band, then computes the estimates.  One lazy plan: the staged cars
-are scanned once; all lookups are size-checked broadcasts (or shuffle joins
-beyond the bound); the rate is a scalar subquery.
+are joined to the lookups as Spark plans them; the rate is a scalar subquery.
 """
 
 from __future__ import annotations

@@ -8,9 +8,8 @@ facts, referential checks.
 * Surrogate keys are dense identities in natural-id order
   (``keys.assign_dense_identity``: range partitioning, no single-task window).
 * Facts keep only rows whose foreign keys exist in their dimensions; the rest
-  go to an orphan report instead of being silently dropped.  A dimension is
-  broadcast only behind a row-count check; a large account dimension is
-  joined by shuffle.
+  go to an orphan report instead of being silently dropped.  No join is forced
+  into a broadcast; a check of a code against the fact's own codes is no join.
 """
 
 from __future__ import annotations
@@ -22,12 +21,14 @@ from pyspark.sql import functions as F
 
 from lendstar.functions.dates import date_key, us_week_of_year
 from lendstar.operators.keys import assign_dense_identity
-from lendstar.operators.lookup import maybe_broadcast
+from lendstar.specs import AUDIT_COLS
 
 # ----------------------------------------------------------------- calendar
 
 # The calendar span of the warehouse.
 CALENDAR_START, CALENDAR_END = "2017-01-01", "2025-12-31"
+# The widest span that dates of the data may widen the calendar to.
+CALENDAR_LIMITS = ("1990-01-01", "2060-12-31")
 
 DATE_COLUMNS = ["date_key", "full_date", "year", "quarter", "month", "month_name", "day",
                 "day_of_week", "day_name", "week_of_year", "is_weekend", "is_holiday"]
@@ -70,18 +71,33 @@ def date_dimension(spark: SparkSession, start, end) -> DataFrame:
     )
 
 
-def calendar_bounds(*dated: tuple[DataFrame, str], start=CALENDAR_START, end=CALENDAR_END):
+def calendar_bounds(*dated: tuple[DataFrame, str], start=CALENDAR_START, end=CALENDAR_END, within=None):
     """(start, end) widened to cover every date column given: the span is
-    ``least(start, min over data)`` .. ``greatest(end, max over data)``.
+    ``least(start, min over data)`` .. ``greatest(end, max over data)``.  Dates
+    outside ``within`` (an end-of-time date, a typing error) do not widen it;
+    ``outside_calendar`` reports them.
     Each extreme is a scalar subquery (one partial aggregate per input)."""
     lo, hi = _as_date(start), _as_date(end)
     for df, c in dated:
+        if within:
+            df = df.filter(F.col(c).between(_as_date(within[0]), _as_date(within[1])))
         ext = df.agg(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"))).scalar()
         lo = F.least(lo, ext.getField("lo"))
         hi = F.greatest(hi, ext.getField("hi"))
     return lo, hi
 
 
+def outside_calendar(*dated: tuple[DataFrame, str], within=CALENDAR_LIMITS) -> DataFrame:
+    """(column_name, date, rows) of the dates that may not widen the calendar."""
+    parts = [df.filter(~F.col(c).between(_as_date(within[0]), _as_date(within[1])))
+             .groupBy(F.lit(c).alias("column_name"), F.col(c).alias("date")).agg(F.count(F.lit(1)).alias("rows"))
+             for df, c in dated]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ----------------------------------------------------------------- dimensions
 
 # Cleansed account column -> Dim_Account column.
@@ -181,22 +197,24 @@ def rename(df: DataFrame, mapping: list[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.col(a).alias(b) for a, b in mapping])
 
 
-def _ref_keys(dim: DataFrame, col: str) -> DataFrame:
-    return maybe_broadcast(dim.select(col))
-
+def conforming(fact: DataFrame, refs: list[tuple[DataFrame | None, str]]) -> DataFrame:
+    """Fact rows whose every foreign key exists in its dimension (semi joins).
 
-def conforming(fact: DataFrame, refs: list[tuple[DataFrame, str]]) -> DataFrame:
-    """Fact rows whose every foreign key exists in its dimension (semi joins)."""
+    A dimension of None stands for one built from this fact: every key that
+    isn't NULL is in it, so that check is a filter and moves no row.
+    """
     for dim, col in refs:
-        fact = fact.join(_ref_keys(dim, col), col, "left_semi")
+        fact = (fact.filter(F.col(col).isNotNull()) if dim is None
+                else fact.join(dim.select(col), col, "left_semi"))
     return fact
 
 
-def orphans(fact: DataFrame, refs: list[tuple[DataFrame, str]], id_col: str) -> DataFrame:
+def orphans(fact: DataFrame, refs: list[tuple[DataFrame | None, str]], id_col: str) -> DataFrame:
     """Fact id + the foreign key that has no dimension row (one row per miss)."""
     parts = []
     for dim, col in refs:
-        miss = fact.join(_ref_keys(dim, col), col, "left_anti")
+        miss = (fact.filter(F.col(col).isNull()) if dim is None
+                else fact.join(dim.select(col), col, "left_anti"))
         parts.append(miss.select(id_col, F.lit(col).alias("missing_key"),
                                  F.col(col).cast("long").alias("key_value")))
     out = parts[0]
@@ -205,15 +223,20 @@ def orphans(fact: DataFrame, refs: list[tuple[DataFrame, str]], id_col: str) ->
     return out
 
 
-def balance_rows(clean_balances: DataFrame, acc_ids: DataFrame) -> DataFrame:
-    """Fact_Balance rows (no surrogate key) whose account exists."""
-    return conforming(rename(clean_balances, BALANCE_FACT_MAP), [(acc_ids, "account_id")])
+def _audited(mapping: list[tuple[str, str]], audit: bool) -> list[tuple[str, str]]:
+    return mapping + [(c, c) for c in AUDIT_COLS] if audit else mapping
+
+
+def balance_rows(clean_balances: DataFrame, acc_ids: DataFrame, audit: bool = False) -> DataFrame:
+    """Fact_Balance rows (no surrogate key) whose account exists; with the
+    cleansed table's audit columns for the published table."""
+    return conforming(rename(clean_balances, _audited(BALANCE_FACT_MAP, audit)), [(acc_ids, "account_id")])
 
 
 def transaction_rows(clean_transactions: DataFrame, acc_ids: DataFrame,
-                     ttype_ids: DataFrame) -> DataFrame:
+                     ttype_ids: DataFrame | None = None, audit: bool = False) -> DataFrame:
     """Fact_Transaction rows (no surrogate key) whose account and type exist."""
-    return conforming(rename(clean_transactions, TRANSACTION_FACT_MAP),
+    return conforming(rename(clean_transactions, _audited(TRANSACTION_FACT_MAP, audit)),
                       [(acc_ids, "account_id"), (ttype_ids, "transaction_type_id")])
 
 
@@ -222,7 +245,7 @@ def fact_balance(clean_balances: DataFrame, acc_ids: DataFrame) -> DataFrame:
 
 
 def fact_transaction(clean_transactions: DataFrame, acc_ids: DataFrame,
-                     ttype_ids: DataFrame) -> DataFrame:
+                     ttype_ids: DataFrame | None = None) -> DataFrame:
     return assign_dense_identity(transaction_rows(clean_transactions, acc_ids, ttype_ids),
                                  "transaction_id", "transaction_key")
 
@@ -232,7 +255,7 @@ def balance_orphans(clean_balances: DataFrame, dim_acc: DataFrame) -> DataFrame:
 
 
 def transaction_orphans(clean_transactions: DataFrame, dim_acc: DataFrame,
-                        dim_ttype: DataFrame) -> DataFrame:
+                        dim_ttype: DataFrame | None = None) -> DataFrame:
     return orphans(rename(clean_transactions, TRANSACTION_FACT_MAP),
                    [(dim_acc, "account_id"), (dim_ttype, "transaction_type_id")], "transaction_id")
 
@@ -241,16 +264,15 @@ def balance_star(fact_bal: DataFrame, dim_acc: DataFrame, dim_prod: DataFrame,
                  dim_org: DataFrame, dim_cur: DataFrame) -> DataFrame:
     """Balance facts with every dimension's surrogate key and the date key.
 
-    The account dimension grows with the customer base, so it is broadcast
-    only when its size check passes; otherwise it is a shuffle join on
-    account_id.  Organization is reached through the account (by id, never by
+    The account dimension grows with the customer base: a shuffle join on
+    account_id unless adaptive execution measures it small.  Organization is reached through the account (by id, never by
     name, so repeated names cannot fan out).  Code dimensions are tiny.
     """
-    acc = maybe_broadcast(dim_acc.select("account_id", "account_key", "organization_id"))
+    acc = dim_acc.select("account_id", "account_key", "organization_id")
     j = fact_bal.join(acc, "account_id")
-    j = j.join(maybe_broadcast(dim_prod.select("product_id", "product_key")), "product_id")
-    j = j.join(maybe_broadcast(dim_org.select("organization_id", "organization_key")), "organization_id")
-    j = j.join(maybe_broadcast(dim_cur.select("currency_id", "currency_key")), "currency_id")
+    j = j.join(dim_prod.select("product_id", "product_key"), "product_id")
+    j = j.join(dim_org.select("organization_id", "organization_key"), "organization_id")
+    j = j.join(dim_cur.select("currency_id", "currency_key"), "currency_id")
     return j.select(
         "balance_key", "balance_id", "account_key", "product_key", "organization_key",
         "currency_key", date_key("balance_date").alias("date_key"), "account_status_id",

@@ -20,16 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendstar.functions.audit import audit_values
-from lendstar.operators.changes import (CHANGE, INSERT, MISSING, SAME, UPDATE, classify,
+from lendstar.operators.changes import (CHANGE, INSERT, MISSING, SAME, STALE, UPDATE, classify,
                                         new_col, old_col, old_extra, side)
 from lendstar.operators.keys import assign_dense_identity, max_identity
+from lendstar.session import stored
 from lendstar.specs import AUDIT_COLS
 
 
 def upsert_snapshot(old: DataFrame, new: DataFrame, key: str, identity_col: str,
-                    business_cols: list[str]) -> DataFrame:
-    c = classify(new, old, key, business_cols, old_extra=[identity_col])
-    kept = (c.filter(F.col(CHANGE).isin(SAME, MISSING))
+                    business_cols: list[str], order_col: str | None = None) -> DataFrame:
+    c = classify(new, old, key, business_cols, old_extra=[identity_col], order_col=order_col)
+    kept = (c.filter(F.col(CHANGE).isin(SAME, MISSING, STALE))
             .select(old_extra(identity_col).alias(identity_col), key,
                     *[old_col(x).alias(x) for x in business_cols if x != key]))
     changed = side(c, key, business_cols, new_col, (INSERT, UPDATE))
@@ -39,11 +40,18 @@ def upsert_snapshot(old: DataFrame, new: DataFrame, key: str, identity_col: str,
 
 
 def merge_upsert(old: DataFrame, new: DataFrame, key: str, identity_col: str,
-                 business_cols: list[str], run_ts) -> DataFrame:
-    c = classify(new, old, key, business_cols, old_extra=[identity_col] + AUDIT_COLS)
+                 business_cols: list[str], run_ts, order_col: str | None = None) -> DataFrame:
+    c = stored(classify(new, old, key, business_cols, old_extra=[identity_col] + AUDIT_COLS,
+                        order_col=order_col), "classified")
+    return merge_classified(c, old, key, identity_col, business_cols, run_ts)
+
+
+def merge_classified(c: DataFrame, old: DataFrame, key: str, identity_col: str,
+                     business_cols: list[str], run_ts) -> DataFrame:
+    """``merge_upsert`` from a classified frame that is stored already."""
     created, upd_date, upd_time = audit_values(run_ts)
     is_upd = F.col(CHANGE) == UPDATE
-    matched = c.filter(F.col(CHANGE).isin(UPDATE, SAME, MISSING)).select(
+    matched = c.filter(F.col(CHANGE).isin(UPDATE, SAME, MISSING, STALE)).select(
         old_extra(identity_col).alias(identity_col), key,
         *[F.when(is_upd, new_col(x)).otherwise(old_col(x)).alias(x)
           for x in business_cols if x != key],
@@ -60,8 +68,8 @@ def merge_upsert(old: DataFrame, new: DataFrame, key: str, identity_col: str,
 
 
 def append_changes(old: DataFrame, new: DataFrame, key: str, identity_col: str,
-                   business_cols: list[str]) -> DataFrame:
-    c = classify(new, old, key, business_cols)
+                   business_cols: list[str], order_col: str | None = None) -> DataFrame:
+    c = classify(new, old, key, business_cols, order_col=order_col)
     changed = side(c, key, business_cols, new_col, (INSERT, UPDATE))
     fresh = assign_dense_identity(changed, key, identity_col, base=max_identity(old, identity_col))
     cols = [identity_col] + business_cols
@@ -78,6 +86,9 @@ def scd2_initial(snapshot: DataFrame, key: str, tracked: list[str], valid_from)
 def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str], as_of) -> DataFrame:
     """Close changed current rows the day before ``as_of`` and open new ones.
 
+    A row opened on ``as_of`` itself is replaced, not closed (a second delivery
+    of the day); one opened later is left alone: ``as_of`` is then too late.
+
     ``dim`` holds key, tracked columns, valid_from, valid_to, is_current.  Keys
     missing from the snapshot stay current (deliveries do not delete).  Only
     current rows take part in the join; closed history passes through.
@@ -87,13 +98,16 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
     history = dim.filter(~F.col("is_current"))
     current = dim.filter(F.col("is_current"))
     c = classify(snapshot, current, key, [key] + cols, old_extra=["valid_from", "valid_to"])
-    is_upd = F.col(CHANGE) == UPDATE
-    old_rows = c.filter(F.col(CHANGE).isin(UPDATE, SAME, MISSING)).select(
+    begun = old_extra("valid_from")
+    late = (F.col(CHANGE) == UPDATE) & (begun > as_of_c)
+    is_upd = (F.col(CHANGE) == UPDATE) & (begun < as_of_c)
+    replaced = (F.col(CHANGE) == UPDATE) & (begun == as_of_c)
+    old_rows = c.filter(F.col(CHANGE).isin(UPDATE, SAME, MISSING) & ~F.coalesce(replaced, F.lit(False))).select(
         key, *[old_col(x).alias(x) for x in cols],
         old_extra("valid_from").alias("valid_from"),
         F.when(is_upd, F.date_sub(as_of_c, 1)).otherwise(old_extra("valid_to")).alias("valid_to"),
         (~is_upd).alias("is_current"))
-    new_rows = c.filter(F.col(CHANGE).isin(INSERT, UPDATE)).select(
+    new_rows = c.filter(F.col(CHANGE).isin(INSERT, UPDATE) & ~F.coalesce(late, F.lit(False))).select(
         key, *[new_col(x).alias(x) for x in cols],
         as_of_c.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"),
         F.lit(True).alias("is_current"))

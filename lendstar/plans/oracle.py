@@ -7,7 +7,7 @@ the same column names as the Spark query.
 
 from __future__ import annotations
 
-from lendstar.fixtures import RUN_DATE, cte_prefix
+from lendstar.fixtures import CALENDAR_END, CALENDAR_START, RUN_DATE, cte_prefix
 
 ORACLE: dict[str, str] = {}
 
@@ -67,6 +67,19 @@ SELECT c.RecordID, CAST(year(c.FileMonth) - c.ManufactureYear AS INT) AS age, d.
 FROM staged c JOIN depreciation_rates d
   ON (year(c.FileMonth) - c.ManufactureYear) BETWEEN d.MinYear AND d.MaxYear""", ("staged",))
 
+oracle("depreciation_band_edges", """
+SELECT c.RecordID, CAST(year(c.FileMonth) - c.ManufactureYear + 0.25 AS DOUBLE) AS age, d.rate
+FROM staged c JOIN (VALUES (CAST(NULL AS DECIMAL(4,2)), 9.00, CAST(0.5 AS DOUBLE)), (0.50, 2.25, 0.2),
+  (2.00, CAST(NULL AS DECIMAL(4,2)), 0.3), (2.25, 9.00, 0.1)) d(lo, hi, rate)
+  ON year(c.FileMonth) - c.ManufactureYear + 0.25 BETWEEN d.lo AND d.hi""", ("staged",))
+
+oracle("rate_asof_null_dates", """
+SELECT a.LoanAccountId, a.OpenDateId, a.d,
+  (SELECT max(EffectiveDate) FROM interest_rates i WHERE i.EffectiveDate <= a.d) AS EffectiveDate,
+  (SELECT arg_max(BaseInterestRate, EffectiveDate) FROM interest_rates i WHERE i.EffectiveDate <= a.d) AS BaseInterestRate
+FROM (SELECT LoanAccountId, OpenDateId, CASE WHEN LoanAccountId % 9 <> 0
+        THEN CAST(DATE '2025-01-15' + to_months(CAST(LoanAccountId % 8 AS INT)) AS DATE) END AS d FROM raw_loan_account) a""")
+
 oracle("rate_asof", """
 SELECT c.RecordID, (SELECT EffectiveDate FROM rate) AS EffectiveDate,
   (SELECT BaseInterestRate FROM rate) AS BaseInterestRate, (SELECT is_fallback FROM rate) AS is_fallback
@@ -105,7 +118,7 @@ oracle("loan_profit_estimates", "SELECT * FROM estimates", ("estimates",))
 from lendstar.fixtures import DAY1_DATE as DAY1_DATE_, DAY1_TS, DAY2_TS  # noqa: E402
 from lendstar.specs import ACCOUNT, BALANCE, TRANSACTION, TableSpec  # noqa: E402
 
-_T = {"integer": "INT", "string": "VARCHAR", "date": "DATE", "timestamp": "TIMESTAMP"}
+_T = {"integer": "INT", "long": "BIGINT", "string": "VARCHAR", "date": "DATE", "timestamp": "TIMESTAMP"}
 DEC = "DECIMAL(15,5)"
 
 
@@ -145,6 +158,9 @@ def conform_sql(spec: TableSpec, src: str) -> str:
         reasons.append(f"CASE WHEN {expr} IS NULL THEN '{c} is null' END")
     for c, n in spec.length_checks.items():
         reasons.append(f"CASE WHEN length({c}) <> {n} THEN '{c} length <> {n}' END")
+    for k in spec.date_keys.values():
+        reasons.append(f"CASE WHEN {k} IS NOT NULL AND try_strptime(CAST({k} AS VARCHAR), '%Y%m%d') IS NULL "
+                       f"THEN '{k} is no date' END")
     return f"SELECT {', '.join(sel)}, concat_ws('; ', {', '.join(reasons)}) AS reject_reason FROM {src}"
 
 
@@ -184,6 +200,10 @@ oracle("conform_accounts",
 oracle("reject_accounts",
        "SELECT LoanAccountId, OpenDateId, reject_reason FROM conf_acc WHERE reject_reason <> ''",
        ("conf_acc",))
+oracle("reject_balances", "SELECT LoanAccountBalanceId, BalanceDateId, reject_reason FROM conf_bal "
+       "WHERE reject_reason <> ''", ("conf_bal",))
+oracle("reject_transactions", "SELECT LoanAccountTransactionId, TransactionDateId, reject_reason FROM conf_txn "
+       "WHERE reject_reason <> ''", ("conf_txn",))
 oracle("clean_accounts", "SELECT * FROM clean_acc", ("clean_acc",))
 oracle("clean_balances", "SELECT * FROM clean_bal", ("clean_bal",))
 oracle("clean_transactions", "SELECT * FROM clean_txn", ("clean_txn",))
@@ -225,9 +245,6 @@ oracle("identity_initial",
        ("clean_bal",))
 
 _TABLES = (("acc", ACCOUNT), ("bal", BALANCE), ("txn", TRANSACTION))
-oracle("max_identity", " UNION ALL ".join(
-    f"SELECT '{s.name}' AS table_name, CAST(coalesce(max({s.identity_col}), 0) AS BIGINT) AS max_id "
-    f"FROM ({ident(s, 'clean_' + n)}) x_{n}" for n, s in _TABLES), tuple(f"clean_{n}" for n, _ in _TABLES))
 oracle("key_range", " UNION ALL ".join(
     f"SELECT '{s.name}' AS table_name, min({s.key}) AS min_key, max({s.key}) AS max_key FROM clean_{n}"
     for n, s in _TABLES), tuple(f"clean_{n}" for n, _ in _TABLES))
@@ -288,6 +305,10 @@ SELECT CAST(row_number() OVER (ORDER BY n.{_K}) + (SELECT m FROM max_acc) AS BIG
 FROM clean_acc2 n JOIN classified k ON n.{_K} = k.{_K} WHERE k.change = 'insert'""",
        ("snap_acc", "classified", "max_acc", "clean_acc2"))
 
+oracle("max_identity", f"""
+SELECT '{ACCOUNT.name}' AS table_name, CAST((SELECT m FROM max_acc)
+  + (SELECT count(*) FROM classified WHERE change IN ('insert', 'update')) AS BIGINT) AS max_id""", ("max_acc", "classified"))
+
 oracle("append_changes", f"""
 SELECT {_IDC}, {_ALL} FROM snap_acc
 UNION ALL
@@ -296,10 +317,20 @@ SELECT CAST(row_number() OVER (ORDER BY n.{_K}) + (SELECT m FROM max_acc) AS BIG
 FROM clean_acc2 n JOIN classified k ON n.{_K} = k.{_K} WHERE k.change IN ('insert', 'update')""",
        ("snap_acc", "classified", "max_acc", "clean_acc2"))
 
-oracle("rerun_is_noop", f"""
-SELECT count(CASE WHEN NOT ({_EQ}) THEN 1 END) AS changed_rows,
-       count(CASE WHEN {_EQ} THEN 1 END) AS unchanged_rows
-FROM clean_acc n JOIN clean_acc o ON n.{_K} = o.{_K}""", ("clean_acc",))
+oracle("rerun_is_noop", """
+SELECT CAST(1 AS BIGINT) AS versions, CAST(0 AS BIGINT) AS changed_rows, count(*) AS unchanged_rows FROM clean_acc""",
+       ("clean_acc",))
+oracle("late_delivery_merge", f"SELECT LoanAccountId, OpenDateId, OpenDate, {_IDC} FROM snap_acc", ("snap_acc",))
+oracle("table_pipeline_log", " UNION ALL ".join(
+    f"SELECT '{s.name}' AS step, 'ok' AS status, 'first load' AS message, (SELECT count(*) FROM clean_{n}) AS row_count, "
+    f"count(*) AS raw_rows, count(*) FILTER (reject_reason = '') AS accepted_rows, "
+    f"count(*) FILTER (reject_reason <> '') AS rejected_rows, "
+    f"count(*) FILTER (reject_reason = '') - (SELECT count(*) FROM clean_{n}) AS duplicate_rows FROM conf_{n}"
+    for n, s in _TABLES), tuple(f"clean_{n}" for n, _ in _TABLES))
+oracle("stream_deliveries", """
+SELECT LoanAccountId, OpenDateId FROM clean_acc
+UNION ALL SELECT LoanAccountId, OpenDateId FROM clean_acc2 WHERE LoanAccountId NOT IN (SELECT LoanAccountId FROM clean_acc)""",
+       ("clean_acc", "clean_acc2"))
 
 # --------------------------------------------------------------- sources and sinks
 
@@ -309,6 +340,16 @@ from lendstar.specs import TRANSACTION_SCHEMA  # noqa: E402
 oracle("scan_csv_roundtrip",
        f"SELECT {', '.join(f.name for f in TRANSACTION_SCHEMA.fields)} FROM raw_loan_transaction")
 oracle("scan_parquet", "SELECT * FROM orders")
+oracle("scan_csv_inferred", "SELECT LoanAccountBalanceId, LoanAccountId, CAST(BalanceDateId AS BIGINT) AS BalanceDateId, "
+       "Balance FROM raw_loan_balance")
+oracle("source_fallback", "SELECT * FROM raw_loan_balance")
+oracle("source_exists", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, true AS found, true AS has_files, (SELECT count(*) FROM {t}) AS n"
+    for t in ("customer", "orders", "lineitem", "part"))
+    + " UNION ALL SELECT 'no_such_table', false, false, 0")
+oracle("failed_version_removed",
+       "SELECT LoanAccountBalanceId, '[2]' AS removed FROM raw_loan_balance WHERE LoanAccountBalanceId % 2 = 0")
+oracle("columns_without_identity", "SELECT * FROM clean_acc", ("clean_acc",))
 oracle("sink_parquet_roundtrip", "SELECT * FROM raw_loan_balance")
 oracle("month_partition_select",
        "SELECT *, 202506 AS yyyymm FROM clean_txn WHERE strftime(TransactionDate, '%Y%m') = '202506'",
@@ -333,13 +374,13 @@ SELECT {_dkey('d')} AS date_key, d AS full_date, CAST(year(d) AS INT) AS year,
   CAST(dayofweek(d) IN (0, 6) AS INT) AS is_weekend, 0 AS is_holiday
 FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
       FROM (SELECT least(DATE '{_star.CALENDAR_START}',
-                         (SELECT min({_from_key('TransactionDateId')}) FROM raw_loan_transaction),
-                         (SELECT min({_from_key('BalanceDateId')}) FROM raw_loan_balance),
-                         (SELECT min(OpenDate) FROM raw_loan_account)) AS lo,
+                         (SELECT min({_from_key('TransactionDateId')}) FROM conf_txn WHERE reject_reason = ''),
+                         (SELECT min({_from_key('BalanceDateId')}) FROM conf_bal WHERE reject_reason = ''),
+                         (SELECT min(OpenDate) FROM conf_acc WHERE reject_reason = '')) AS lo,
                    greatest(DATE '{_star.CALENDAR_END}',
-                         (SELECT max({_from_key('TransactionDateId')}) FROM raw_loan_transaction),
-                         (SELECT max({_from_key('BalanceDateId')}) FROM raw_loan_balance),
-                         (SELECT max(OpenDate) FROM raw_loan_account)) AS hi) b) g""")
+                         (SELECT max({_from_key('TransactionDateId')}) FROM conf_txn WHERE reject_reason = ''),
+                         (SELECT max({_from_key('BalanceDateId')}) FROM conf_bal WHERE reject_reason = ''),
+                         (SELECT max(OpenDate) FROM conf_acc WHERE reject_reason = '')) AS hi) b) g""", ("conf_txn", "conf_bal", "conf_acc"))
 
 
 def account_rows_sql(src: str) -> str:
@@ -444,6 +485,42 @@ SELECT n.account_id, {', '.join('n.' + c for c in _TR)}, DATE '{RUN_DATE}' AS va
 FROM scd_d2 n JOIN scd_cls k ON n.account_id = k.account_id WHERE k.change IN ('insert', 'update')""",
        ("scd_d1", "scd_d2", "scd_cls"))
 
+# --------------------------------------------------------------- star publishing
+
+step("cal", f"""
+SELECT CAST(date_diff('day', least(DATE '{CALENDAR_START}', min(d)), greatest(DATE '{CALENDAR_END}', max(d))) + 1 AS BIGINT) AS n
+FROM (SELECT BalanceDate AS d FROM clean_bal UNION ALL SELECT TransactionDate FROM clean_txn
+      UNION ALL SELECT OpenDate FROM clean_acc) x""", ("clean_bal", "clean_txn", "clean_acc"))
+_STAR = (("dim_date", "SELECT n FROM cal"), ("dim_account", "SELECT count(*) FROM dim_acc"),
+         ("dim_organization", "SELECT count(*) FROM dim_org"), ("dim_product", "SELECT count(*) FROM dim_prod"),
+         ("dim_currency", "SELECT count(*) FROM dim_cur"), ("dim_transaction_type", "SELECT count(*) FROM dim_ttype"),
+         ("dim_account_history", "SELECT count(*) FROM dim_acc"), ("fact_balance", "SELECT count(*) FROM fact_bal"),
+         ("fact_transaction", "SELECT count(*) FROM fact_txn"))
+_STAR_USES = ("cal", "dim_acc", "dim_org", "dim_prod", "dim_cur", "dim_ttype", "fact_bal", "fact_txn")
+oracle("star_first_load", " UNION ALL ".join(
+    f"SELECT '{t}' AS step, 'ok' AS status, '{'versions published' if t.endswith('history') else 'first load'}' AS message, "
+    f"CAST(({q}) AS BIGINT) AS row_count" for t, q in _STAR), _STAR_USES)
+oracle("star_rerun_is_noop", " UNION ALL ".join(
+    f"SELECT '{t}' AS step, 'ok' AS status, 'no changes' AS message, CAST(0 AS BIGINT) AS row_count" for t, _ in _STAR))
+step("old_new", """
+SELECT account_id, account_key FROM dim_acc
+UNION ALL SELECT account_id, row_number() OVER (ORDER BY account_id) + (SELECT max(account_key) FROM dim_acc)
+FROM scd_d2 WHERE account_id NOT IN (SELECT account_id FROM dim_acc)""", ("dim_acc", "scd_d2"))
+step("versions", """
+SELECT account_id, account_key AS version_key, 1 AS v FROM dim_acc
+UNION ALL SELECT n.account_id, row_number() OVER (ORDER BY n.account_id) + (SELECT max(account_key) FROM dim_acc), 2
+FROM scd_d2 n JOIN scd_cls k ON n.account_id = k.account_id WHERE k.change IN ('insert', 'update')""",
+     ("dim_acc", "scd_d2", "scd_cls"))
+oracle("star_second_delivery_keys_stable", """
+SELECT CAST(o.account_key AS BIGINT) AS account_key, o.account_id, count(*) AS versions,
+  CAST(min(v.version_key) AS BIGINT) AS first_version, CAST(max(v.version_key) AS BIGINT) AS last_version
+FROM old_new o JOIN versions v ON o.account_id = v.account_id GROUP BY 1, 2""", ("old_new", "versions"))
+oracle("fact_balance_versions", f"""
+SELECT f.balance_id, f.account_id, f.balance_date,
+  CASE WHEN k.change = 'insert' OR (f.balance_date >= DATE '{RUN_DATE}' AND k.change = 'update')
+       THEN DATE '{RUN_DATE}' ELSE DATE '{DAY1_DATE_}' END AS valid_from
+FROM bal_rows f JOIN scd_cls k ON f.account_id = k.account_id""", ("bal_rows", "scd_cls"))
+
 # --------------------------------------------------------------- marts and reports
 
 oracle("mart_balance_by_month", """
@@ -495,3 +572,11 @@ UNION ALL
 SELECT 'unmatched_cars', CASE WHEN count(*) > 0 THEN 'warning' ELSE 'ok' END,
   'staged cars without margin, risk tier or depreciation band', count(*), 'LoanProfitEstimates_202506'
 FROM unmatched""", ("staged", "rate", "estimates", "unmatched"))
+
+# The estimates of two months; only RecordIDs divisible by 3 are delivered for May.
+oracle("publish_profit_month", """
+SELECT * FROM estimates
+UNION ALL
+SELECT RecordID, CarModel, EnergyClass, ManufactureYear, BasePrice, CustomerRiskTier, FinalInterestRate,
+  EstimatedMonthlyPayment, DepreciatedValue, EstimatedProfit, DATE '2025-05-01' AS FileMonth
+FROM estimates WHERE RecordID % 3 = 0""", ("estimates",))

@@ -1,8 +1,9 @@
-"""End-to-end runs: the monthly profit run with its run log, and the generic
-raw -> cleansed table pipeline with versioned publish.
+"""End-to-end runs: the monthly profit run, the generic raw -> cleansed table
+pipeline and the star schema, each publishing versions and a run log.
 
-Row counts in the logs are Spark aggregates (or ``Observation`` metrics
-collected during the write itself), never a collect of data.
+A step writes first and logs what the write counted (``Observation`` metrics of
+the write itself, never a collect of data).  What several parts of a step read
+is stored once below a work folder that is removed after its publish.
 """
 
 from __future__ import annotations
@@ -13,14 +14,39 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lendstar.functions.audit import with_audit
-from lendstar.operators import changes, cleanse, keys, upsert
+from lendstar.operators import changes, cleanse, keys, star, upsert
 from lendstar.operators.profit import estimate_profits, rate_at, stage_cars
-from lendstar.sources.versioned import current_version, publish, read_current
+from lendstar.session import stored, work_folder
+from lendstar.sources.files import CORRUPT, first_available, has_data_files
+from lendstar.sources.versioned import current_version, publish, read_current, remove_failed
 from lendstar.specs import AUDIT_COLS, TableSpec
 
-LOG_COLUMNS = ["step", "status", "message", "row_count", "output_name"]
+LOG_SCHEMA = "step string, status string, message string, row_count long, output_name string"
+TABLE_LOG_SCHEMA = LOG_SCHEMA + ", raw_rows long, accepted_rows long, rejected_rows long, duplicate_rows long"
 
 
+class SourceMissing(RuntimeError):
+    """A run stops because its input for the month isn't there."""
+
+
+def _columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def log_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    return spark.createDataFrame([tuple(r.get(c) for c in _columns(schema)) for r in rows], schema)
+
+
+def publish_counted(df: DataFrame, base: str) -> tuple[str, int]:
+    """Publish the next version; its path and the rows that the write counted."""
+    obs = Observation()
+    path = publish(df.observe(obs, F.count(F.lit(1)).alias("rows")), base)
+    remove_failed(df.sparkSession, base)
+    return path, int(obs.get["rows"])
+
+
+# ----------------------------------------------------------------- monthly profit run
+
 def _iso(d) -> str:
     return d.isoformat() if isinstance(d, _dt.date) else str(d)
 
@@ -30,109 +56,276 @@ def estimates_table_name(run_date) -> str:
     return f"LoanProfitEstimates_{d.year:04d}{d.month:02d}"
 
 
-def _log_row(df_counted: DataFrame, step: str, status, message, output_name: str) -> DataFrame:
-    return df_counted.select(F.lit(step).alias("step"), status.alias("status"),
-                             message.alias("message"), F.col("row_count"),
-                             F.lit(output_name).alias("output_name"))
+def publish_profit_month(cars: DataFrame, rates: DataFrame, margins: DataFrame, tiers: DataFrame,
+                         bands: DataFrame, run_date, base: str,
+                         source_name: str = "CarInformation") -> DataFrame:
+    """Estimate the run month's cars and publish them under the month's name.
 
-
-def profit_run_log(cars: DataFrame, rates: DataFrame, margins: DataFrame, tiers: DataFrame,
-                   bands: DataFrame, run_date, source_name: str = "CarInformation") -> DataFrame:
-    """One row per step of the monthly profit run: step, status, message,
-    row_count, output_name.  A missing run-month rate is a warning (the latest
-    earlier rate is used), not a failure; no rate at all is an error."""
+    ``base/LoanProfitEstimates_yyyymm`` gets a new version, which replaces the
+    month for readers when it's committed; other months aren't touched.  The
+    name is also registered as a view.  Returns the run log.  A month without
+    cars stops the run (``SourceMissing``); a run month without a rate of its own
+    is a warning (the latest earlier rate is used); no rate at all is an error
+    and publishes nothing.
+    """
+    spark, name = cars.sparkSession, estimates_table_name(run_date)
     run = F.lit(_iso(run_date)).cast("date")
-    out_name = estimates_table_name(run_date)
-    staged = stage_cars(cars, run_date)
-    estimates = estimate_profits(staged, rates, margins, tiers, bands, run_date, staged=True)
-
-    def counted(df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).cast("long").alias("row_count"))
-
-    src = counted(cars)
-    src_log = _log_row(src, "source_check",
-                       F.when(F.col("row_count") > 0, "ok").otherwise("error"),
-                       F.when(F.col("row_count") > 0, F.lit(f"{source_name} found"))
-                       .otherwise(F.lit(f"{source_name} is empty")), source_name)
-
-    r = rate_at(rates, run_date)
-    rate_stats = r.agg(F.count(F.lit(1)).cast("long").alias("row_count"),
-                       F.max("BaseInterestRate").alias("rate"), F.max("EffectiveDate").alias("eff"),
-                       F.max(F.col("is_fallback").cast("int")).alias("fb"))
-    rate_msg = (F.when(F.col("row_count") == 0, F.lit("no interest rate on or before the run date"))
-                .otherwise(F.concat(
-                    F.lit("base rate "), F.col("rate").cast("string"), F.lit(" effective "),
-                    F.col("eff").cast("string"),
-                    F.when(F.col("fb") == 1, F.lit(" (run month missing, latest earlier rate used)"))
-                    .otherwise(F.lit("")))))
-    rate_status = (F.when(F.col("row_count") == 0, "error")
-                   .when(F.col("fb") == 1, "warning").otherwise("ok"))
-    rate_log = _log_row(rate_stats, "rate_lookup", rate_status, rate_msg, "InterestRates")
-
-    stage_log = _log_row(counted(staged), "staging", F.lit("ok"),
-                         F.lit("cars passing required-field and price checks"), "staging")
-    est_log = _log_row(counted(estimates), "estimates",
-                       F.when(F.col("row_count") > 0, "ok").otherwise("warning"),
-                       F.concat(F.lit("rows written for "), F.date_format(run, "yyyy-MM")), out_name)
-    unmatched = staged.join(estimates.select("RecordID"), "RecordID", "left_anti")
-    drop_log = _log_row(counted(unmatched), "unmatched_cars",
-                        F.when(F.col("row_count") > 0, "warning").otherwise("ok"),
-                        F.lit("staged cars without margin, risk tier or depreciation band"), out_name)
-    out = src_log
-    for part in (rate_log, stage_log, est_log, drop_log):
-        out = out.unionByName(part)
-    return out
+    month = cars.filter(F.trunc("FileMonth", "month") == F.trunc(run, "month"))
+    if month.isEmpty():
+        raise SourceMissing(f"{source_name} for {_iso(run_date)[:7]} not found")
+    log = []
+
+    def add(step: str, status: str, message: str, count: int, output: str) -> None:
+        log.append(dict(zip(_columns(LOG_SCHEMA), (step, status, message, count, output))))
+
+    with work_folder(spark):
+        source, staging = Observation(), Observation()
+        one = F.count(F.lit(1)).alias("rows")
+        staged = stored(stage_cars(month.observe(source, one), run_date).observe(staging, one), "staged")
+        add("source_check", "ok", f"{source_name} found", int(source.get["rows"]), source_name)
+        rate = rate_at(rates, run_date).first()
+        if rate is None:
+            add("rate_lookup", "error", "no interest rate on or before the run date", 0, "InterestRates")
+            return log_frame(spark, log, LOG_SCHEMA)
+        late = " (run month missing, latest earlier rate used)" if rate["is_fallback"] else ""
+        add("rate_lookup", "warning" if late else "ok",
+            f"base rate {rate['BaseInterestRate']} effective {rate['EffectiveDate']}{late}", 1, "InterestRates")
+        add("staging", "ok", "cars passing required-field and price checks", int(staging.get["rows"]), "staging")
+        estimates = estimate_profits(staged, rates, margins, tiers, bands, run_date, staged=True)
+        path, n = publish_counted(estimates, f"{base.rstrip('/')}/{name}")
+        add("estimates", "ok" if n else "warning", f"rows written for {_iso(run_date)[:7]}", n, name)
+        written = spark.read.parquet(path)
+        unmatched = staged.join(written.select("RecordID"), "RecordID", "left_anti").count()
+        add("unmatched_cars", "warning" if unmatched else "ok",
+            "staged cars without margin, risk tier or depreciation band", unmatched, name)
+        written.createOrReplaceTempView(name)
+    return log_frame(spark, log, LOG_SCHEMA)
+
+
+def read_profit_month(spark: SparkSession, base: str, run_date) -> DataFrame | None:
+    return read_current(spark, f"{base.rstrip('/')}/{estimates_table_name(run_date)}")
 
 
 # ----------------------------------------------------------------- table pipeline
 
-def cleanse_delivery(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """(cleansed rows, rejected rows with reason)."""
-    return cleanse.clean(raw, spec), cleanse.rejected(raw, spec)
+def rejects_path(target_base: str) -> str:
+    return f"{target_base.rstrip('/')}_rejects"
+
+
+def delivery(spark: SparkSession, *sources) -> DataFrame:
+    """The first source that is there: a DataFrame, or the path of parquet files."""
+    def candidate(s):
+        if isinstance(s, DataFrame):
+            return lambda: True, lambda: s
+        return lambda: has_data_files(spark, s), lambda: spark.read.parquet(s)
+
+    df = first_available(*[candidate(s) for s in sources if s is not None])
+    if df is None:
+        raise SourceMissing("no source of the delivery found")
+    return df
 
 
 def run_table_etl(raw: DataFrame, spec: TableSpec, target_base: str, run_ts) -> dict:
     """Cleanse one delivery and publish a new snapshot version if anything changed.
 
-    First load: dense identities + audit columns.  Later loads: MERGE
-    semantics against the current version (matched rows keep identity and
-    CreatedDate).  An unchanged delivery publishes nothing (idempotent).
-    Returns a log record.
+    First load: dense identities + audit columns.  Later loads: MERGE semantics
+    against the current version (matched rows keep identity and CreatedDate; a
+    row older than the snapshot's by the spec's order column doesn't replace it).
+    An unchanged delivery publishes nothing (idempotent).  Rejected rows are kept
+    beside the target with their reason, by run time; lines that could not be
+    parsed count as rejected.  Returns a log record; raw = accepted + rejected.
     """
     spark = raw.sparkSession
-    clean, _ = cleanse_delivery(raw, spec)
     biz = spec.business_cols + spec.computed_cols
-    current = read_current(spark, target_base)
-    if current is None:
-        snap = with_audit(keys.assign_dense_identity(clean, spec.key, spec.identity_col), run_ts)
-        obs = Observation(f"{spec.name}_first")
-        path = publish(snap.observe(obs, F.count(F.lit(1)).alias("rows")), target_base)
-        return {"step": spec.name, "status": "ok", "message": "first load",
-                "row_count": int(obs.get["rows"]), "output_name": path}
-    c = changes.classify(clean, current, spec.key, biz)
-    counts = c.filter(F.col(changes.CHANGE).isin(changes.INSERT, changes.UPDATE)).agg(
-        F.count(F.lit(1)).alias("n")).first()["n"]
-    if counts == 0:
-        return {"step": spec.name, "status": "ok", "message": "no changes",
-                "row_count": 0, "output_name": f"{target_base}/v={current_version(spark, target_base)}"}
-    snap = upsert.merge_upsert(current.select(spec.identity_col, *biz, *AUDIT_COLS), clean,
-                               spec.key, spec.identity_col, biz, run_ts)
-    # The next version goes to a new folder; the one being read stays intact.
-    path = publish(snap, target_base)
-    return {"step": spec.name, "status": "ok", "message": "changes merged",
-            "row_count": int(counts), "output_name": path}
-
-
-def run_all(spark: SparkSession, deliveries: dict[str, tuple[DataFrame, TableSpec, str]],
-            run_ts) -> DataFrame:
-    """Run every table; one failing table does not stop the others.  Returns
-    the run log (one row per table, a small driver-built frame of metadata)."""
-    rows = []
-    for name, (raw, spec, target) in deliveries.items():
-        try:
-            rows.append(run_table_etl(raw, spec, target, run_ts))
-        except Exception as e:  # noqa: BLE001 - isolation is the point
-            rows.append({"step": spec.name, "status": "error", "message": str(e)[:500],
-                         "row_count": 0, "output_name": target})
-    schema = "step string, status string, message string, row_count long, output_name string"
-    return spark.createDataFrame([tuple(r[c] for c in LOG_COLUMNS) for r in rows], schema)
+    with work_folder(spark):
+        obs = Observation()
+        bad_line = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+        conf = cleanse.conform(raw, spec, keep=[CORRUPT] if CORRUPT in raw.columns else [])
+        conf = conf.withColumn(cleanse.REASON, F.when(bad_line, "malformed line").otherwise(F.col(cleanse.REASON)))
+        ok = F.col(cleanse.REASON) == ""
+        conf = stored(conf.observe(obs, F.count(F.lit(1)).alias("raw"), F.count(F.when(ok, 1)).alias("accepted")),
+                      "conformed")
+        n_raw, n_ok = int(obs.get["raw"]), int(obs.get["accepted"])
+        if not n_raw:
+            return {"step": spec.name, "status": "ok", "message": "empty delivery", "row_count": 0,
+                    "output_name": target_base, "raw_rows": 0, "accepted_rows": 0, "rejected_rows": 0, "duplicate_rows": 0}
+        if n_raw > n_ok:
+            (conf.filter(~ok).withColumn("run_ts", F.lit(str(run_ts)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts")
+             .parquet(rejects_path(target_base)))
+        counted = Observation()
+        accepted = conf.filter(ok).select(*spec.business_cols)
+        clean = stored(cleanse.clean_accepted(accepted, spec).observe(counted, F.count(F.lit(1)).alias("rows")), "clean")
+        counts = {"raw_rows": n_raw, "accepted_rows": n_ok, "rejected_rows": n_raw - n_ok,
+                  "duplicate_rows": n_ok - int(counted.get["rows"])}
+
+        def record(message: str, rows: int, output: str) -> dict:
+            return {"step": spec.name, "status": "ok", "message": message, "row_count": rows,
+                    "output_name": output, **counts}
+
+        current = read_current(spark, target_base)
+        if current is None:
+            snap = with_audit(keys.assign_dense_identity(clean, spec.key, spec.identity_col), run_ts)
+            path, n = publish_counted(snap, target_base)
+            return record("first load", n, path)
+        current = current.select(spec.identity_col, *biz, *AUDIT_COLS)
+        c = stored(changes.classify(clean, current, spec.key, biz, old_extra=[spec.identity_col] + AUDIT_COLS,
+                                    order_col=spec.order_col), "classified")
+        changed = c.filter(F.col(changes.CHANGE).isin(changes.INSERT, changes.UPDATE)).count()
+        if not changed:
+            return record("no changes", 0, f"{target_base}/v={current_version(spark, target_base)}")
+        # The next version goes to a new folder; the one being read stays intact.
+        snap = upsert.merge_classified(c, current, spec.key, spec.identity_col, biz, run_ts)
+        path, _ = publish_counted(snap, target_base)
+        return record("changes merged", changed, path)
+
+
+def _isolated(rows: list[dict], step: str, output: str, fn) -> None:
+    try:
+        rows.append(fn())
+    except Exception as e:  # noqa: BLE001 - isolation is the point
+        rows.append({"step": step, "status": "error", "message": str(e), "row_count": 0, "output_name": output})
+
+
+def store_log(log: DataFrame, base: str, run_ts) -> None:
+    """Keep a run's log beside the tables, one folder per run time."""
+    (log.withColumn("run_ts", F.lit(str(run_ts))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_ts").parquet(f"{base.rstrip('/')}/run_log"))
+
+
+def run_all(spark: SparkSession, deliveries: dict[str, tuple], run_ts, log_base: str | None = None) -> DataFrame:
+    """Run every table; one failing table does not stop the others.
+
+    A delivery is (source, spec, target); a source is a DataFrame, a path, or a
+    list of them of which the first that exists is taken.  Returns the run log
+    (one row per table) and stores it below ``log_base``.
+    """
+    rows: list[dict] = []
+    for source, spec, target in deliveries.values():
+        sources = source if isinstance(source, (list, tuple)) else [source]
+        _isolated(rows, spec.name, target,
+                  lambda s=sources, sp=spec, t=target: run_table_etl(delivery(spark, *s), sp, t, run_ts))
+    log = log_frame(spark, rows, TABLE_LOG_SCHEMA)
+    if log_base:
+        store_log(log, log_base, run_ts)
+    return log
+
+
+# ----------------------------------------------------------------- star schema
+
+def upsert_star_table(rows: DataFrame, base: str, id_col: str, key_col: str) -> dict:
+    """Publish a dimension or fact: keys of known ids never move, new ids get
+    keys after the largest one, changed rows take the new values, ids that are
+    not delivered stay.  Nothing is published when nothing changed."""
+    spark = rows.sparkSession
+    cols = [c for c in rows.columns if c != id_col]
+    name = base.rstrip("/").rsplit("/", 1)[-1]
+    with work_folder(spark):
+        current = read_current(spark, base)
+        if current is None:
+            _, n = publish_counted(keys.assign_dense_identity(rows, id_col, key_col), base)
+            return {"step": name, "status": "ok", "message": "first load", "row_count": n, "output_name": base}
+        c = stored(changes.classify(rows, current, id_col, cols, old_extra=[key_col]), "classified")
+        n = c.filter(F.col(changes.CHANGE).isin(changes.INSERT, changes.UPDATE)).count()
+        if not n:
+            return {"step": name, "status": "ok", "message": "no changes", "row_count": 0, "output_name": base}
+        updated = F.col(changes.CHANGE) == changes.UPDATE
+        known = c.filter(F.col(changes.CHANGE) != changes.INSERT).select(
+            changes.old_extra(key_col).alias(key_col), id_col,
+            *[F.when(updated, changes.new_col(x)).otherwise(changes.old_col(x)).alias(x) for x in cols])
+        new = changes.side(c, id_col, cols, changes.new_col, (changes.INSERT,))
+        new = keys.assign_dense_identity(new, id_col, key_col, base=keys.max_identity(current, key_col))
+        publish_counted(known.select(key_col, id_col, *cols).unionByName(new.select(key_col, id_col, *cols)), base)
+        return {"step": name, "status": "ok", "message": "changes merged", "row_count": n, "output_name": base}
+
+
+def update_account_history(rows: DataFrame, base: str, as_of) -> dict:
+    """Account versions by validity (SCD2), each with a ``version_key`` that stays."""
+    spark = rows.sparkSession
+    tracked = [c for c in rows.columns if c != "account_id"]
+    with work_folder(spark):
+        current = read_current(spark, base)
+        if current is None:
+            nxt = upsert.scd2_initial(rows, "account_id", tracked, as_of)
+            old_keys, top = None, None
+        else:
+            nxt = upsert.scd2_apply(current.drop("version_key"), rows, "account_id", tracked, as_of)
+            old_keys = current.select("account_id", "valid_from", "version_key")
+            top = keys.max_identity(current, "version_key")
+        nxt = stored(nxt, "history")
+        if current is not None and nxt.exceptAll(current.select(*nxt.columns)).isEmpty():
+            return {"step": "dim_account_history", "status": "ok", "message": "no changes", "row_count": 0,
+                    "output_name": base}
+        ids = ["account_id", "valid_from"]
+        if old_keys is None:
+            out = keys.assign_dense_identity(nxt, ids, "version_key")
+        else:
+            kept = nxt.join(old_keys, ids)
+            new = keys.assign_dense_identity(nxt.join(old_keys, ids, "left_anti"), ids, "version_key", base=top)
+            out = kept.select(*new.columns).unionByName(new)
+        _, n = publish_counted(out, base)
+        return {"step": "dim_account_history", "status": "ok", "message": "versions published",
+                "row_count": n, "output_name": base}
+
+
+def account_version_at(fact: DataFrame, date_col: str, history: DataFrame) -> DataFrame:
+    """``fact`` with ``account_version_key``: the account's version on the row's
+    date; before the first version, that one."""
+    h = history.groupBy("account_id").agg(F.array_sort(F.collect_list(
+        F.struct("valid_from", "version_key"))).alias("versions"))  # the versions of one account
+    begun = F.filter("versions", lambda v: v["valid_from"] <= F.col(date_col))
+    version = F.coalesce(F.get(begun, F.size(begun) - 1), F.get("versions", F.lit(0)))
+    return fact.join(h, "account_id", "left").withColumn(
+        "account_version_key", version["version_key"]).drop("versions")
+
+
+def run_star(spark: SparkSession, accounts: DataFrame, balances: DataFrame, transactions: DataFrame,
+             base: str, run_ts, as_of=None) -> DataFrame:
+    """Build, upsert and publish the star schema from cleansed tables below
+    ``base``: dimensions first, then facts, one log row per table.  A failing
+    table does not stop the others, but facts only follow published dimensions.
+    """
+    base = base.rstrip("/")
+    day = str(as_of or str(run_ts)[:10])
+    at = lambda name: f"{base}/{name}"
+    rows: list[dict] = []
+    lo, hi = star.calendar_bounds((balances, "BalanceDate"), (transactions, "TransactionDate"),
+                                  (accounts, "OpenDate"), within=star.CALENDAR_LIMITS)
+    acc = star.account_rows(accounts)
+    dims = {
+        "dim_date": lambda: upsert_star_table(star.date_dimension(spark, lo, hi), at("dim_date"), "full_date", "calendar_key"),
+        "dim_account": lambda: upsert_star_table(acc, at("dim_account"), "account_id", "account_key"),
+        "dim_organization": lambda: upsert_star_table(
+            star.dim_organization(accounts, keyed=False), at("dim_organization"), "organization_id", "organization_key"),
+        "dim_product": lambda: upsert_star_table(
+            star.dim_product(accounts, keyed=False), at("dim_product"), "product_id", "product_key"),
+        "dim_currency": lambda: upsert_star_table(
+            star.dim_currency(accounts, keyed=False), at("dim_currency"), "currency_id", "currency_key"),
+        "dim_transaction_type": lambda: upsert_star_table(
+            star.dim_transaction_type(transactions, keyed=False), at("dim_transaction_type"),
+            "transaction_type_id", "transaction_type_key"),
+        "dim_account_history": lambda: update_account_history(acc, at("dim_account_history"), day),
+    }
+    for name, build in dims.items():
+        _isolated(rows, name, at(name), build)
+
+    def published(name: str) -> DataFrame:
+        df = read_current(spark, at(name))
+        if df is None:
+            raise SourceMissing(f"{name} isn't published")
+        return df
+
+    def balance() -> dict:
+        fact = star.balance_rows(balances, published("dim_account"), audit=True)
+        fact = account_version_at(fact, "balance_date", published("dim_account_history"))
+        return upsert_star_table(fact, at("fact_balance"), "balance_id", "balance_key")
+
+    def transaction() -> dict:
+        fact = star.transaction_rows(transactions, published("dim_account"), published("dim_transaction_type"), audit=True)
+        return upsert_star_table(fact, at("fact_transaction"), "transaction_id", "transaction_key")
+
+    _isolated(rows, "fact_balance", at("fact_balance"), balance)
+    _isolated(rows, "fact_transaction", at("fact_transaction"), transaction)
+    log = log_frame(spark, rows, LOG_SCHEMA)
+    store_log(log, base, run_ts)
+    return log

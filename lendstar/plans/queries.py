@@ -72,6 +72,26 @@ def rate_asof_by_month(spark, sf_dir):
                       "BaseInterestRate")
 
 
+@query
+def depreciation_band_edges(spark, sf_dir):
+    """Bands with NULL and decimal bounds: a NULL bound matches nothing."""
+    bands = spark.sql("SELECT * FROM VALUES (CAST(NULL AS DECIMAL(4,2)), 9.00BD, 0.5D), (0.50BD, 2.25BD, 0.2D), "
+                      "(2.00BD, NULL, 0.3D), (2.25BD, 9.00BD, 0.1D) AS t(lo, hi, rate)")
+    age = (F.year("FileMonth") - F.col("ManufactureYear") + F.lit(0.25)).cast("double")
+    return lookup.band_join(_staged(_fx(spark, sf_dir)), age, bands, "lo", "hi", value_name="age").select(
+        "RecordID", "age", "rate")
+
+
+@query
+def rate_asof_null_dates(spark, sf_dir):
+    """A rate without a date is never used; an account without a month gets none."""
+    fx = _fx(spark, sf_dir)
+    rates = fx.interest_rates.unionByName(spark.sql("SELECT CAST(NULL AS DATE) AS EffectiveDate, 9.9D AS BaseInterestRate"))
+    acc = fx.acc.select("LoanAccountId", "OpenDateId", F.expr(
+        "CASE WHEN LoanAccountId % 9 <> 0 THEN add_months(DATE'2025-01-15', CAST(LoanAccountId % 8 AS INT)) END").alias("d"))
+    return lookup.asof_lookup(acc, "d", rates, "EffectiveDate", "BaseInterestRate")
+
+
 @query
 def loan_profit_estimates(spark, sf_dir):
     fx = _fx(spark, sf_dir)
@@ -85,7 +105,9 @@ from lendstar.fixtures import DAY1_DATE, DAY1_TS, DAY2_TS  # noqa: E402
 from lendstar.functions.audit import with_audit  # noqa: E402
 from lendstar.functions.decimals import european_decimal as _eu  # noqa: E402
 from lendstar.operators import changes, cleanse, keys, upsert  # noqa: E402
-from lendstar.specs import ACCOUNT, BALANCE, TRANSACTION  # noqa: E402
+from lendstar.plans import pipeline  # noqa: E402
+from lendstar.sources import files, versioned  # noqa: E402
+from lendstar.specs import ACCOUNT, AUDIT_COLS, BALANCE, TRANSACTION  # noqa: E402
 
 RAW = {"account": "raw_loan_account", "balance": "raw_loan_balance",
        "transaction": "raw_loan_transaction"}
@@ -132,6 +154,16 @@ def reject_accounts(spark, sf_dir):
     return cleanse.rejected(_fx(spark, sf_dir).acc, ACCOUNT)
 
 
+@query
+def reject_balances(spark, sf_dir):
+    return cleanse.rejected(_fx(spark, sf_dir).bal, BALANCE)
+
+
+@query
+def reject_transactions(spark, sf_dir):
+    return cleanse.rejected(_fx(spark, sf_dir).txn, TRANSACTION)
+
+
 @query
 def clean_accounts(spark, sf_dir):
     return _clean(_fx(spark, sf_dir), "account")
@@ -193,14 +225,9 @@ def identity_initial(spark, sf_dir):
 
 @query
 def max_identity(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    parts = []
-    for t in ("account", "balance", "transaction"):
-        spec = SPEC[t]
-        ident = keys.assign_dense_identity(_clean(fx, t).select(spec.key), spec.key, spec.identity_col)
-        parts.append(keys.max_identity(ident, spec.identity_col).select(
-            F.lit(spec.name).alias("table_name"), "max_id"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Largest identity of a merged snapshot, whose identities have gaps."""
+    merged = upsert_snapshot(spark, sf_dir)
+    return keys.max_identity(merged, ACCOUNT.identity_col).select(F.lit(ACCOUNT.name).alias("table_name"), "max_id")
 
 
 @query
@@ -295,19 +322,52 @@ def append_changes(spark, sf_dir):
 
 @query
 def rerun_is_noop(spark, sf_dir):
-    """Re-delivering the same file changes nothing."""
+    """The same file delivered twice through the pipeline: one version, no change."""
     fx = _fx(spark, sf_dir)
-    c = changes.classify(_clean(fx, "account"), _clean(fx, "account"), ACCOUNT.key, ACC_BIZ)
-    return c.agg(
-        F.count(F.when(F.col(changes.CHANGE).isin(changes.INSERT, changes.UPDATE), 1)).alias("changed_rows"),
-        F.count(F.when(F.col(changes.CHANGE) == changes.SAME, 1)).alias("unchanged_rows"))
+    base = work_path(spark, "rerun", ACCOUNT.name)
+    pipeline.run_table_etl(fx.acc, ACCOUNT, base, DAY1_TS)
+    again = pipeline.run_table_etl(fx.acc, ACCOUNT, base, DAY2_TS)
+    return versioned.read_current(spark, base).agg(
+        F.lit(versioned.current_version(spark, base)).cast("long").alias("versions"),
+        F.lit(again["row_count"]).cast("long").alias("changed_rows"), F.count(F.lit(1)).alias("unchanged_rows"))
+
+
+@query
+def late_delivery_merge(spark, sf_dir):
+    """Newer rows delivered first, the older ones later: as if delivered at once."""
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "late", ACCOUNT.name)
+    newer = F.col("OpenDateId") >= (2018 + F.col("LoanAccountId") % 7) * 10000
+    pipeline.run_table_etl(fx.acc.filter(newer), ACCOUNT, base, DAY1_TS)
+    pipeline.run_table_etl(fx.acc.filter(~newer), ACCOUNT, base, DAY2_TS)
+    return versioned.read_current(spark, base).select("LoanAccountId", "OpenDateId", "OpenDate", ACCOUNT.identity_col)
+
+
+@query
+def table_pipeline_log(spark, sf_dir):
+    """Every raw table through the pipeline; raw = accepted + rejected."""
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "cleansed")
+    log = pipeline.run_all(spark, {t: (fx.get(RAW[t]), SPEC[t], f"{base}/{SPEC[t].name}") for t in SPEC}, DAY1_TS, base)
+    return log.drop("output_name")
+
+
+@query
+def stream_deliveries(spark, sf_dir):
+    """Two days of delivery files picked up by the stream, a file per batch."""
+    from lendstar.streaming import ingest_deliveries
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "stream")
+    for name, df in (("day1", fx.acc), ("day2", fx.acc2)):
+        files.write_delimited(df, f"{base}/incoming/{name}")
+    ingest_deliveries(spark, f"{base}/incoming/*", ACCOUNT, f"{base}/{ACCOUNT.name}", DAY1_TS,
+                      checkpoint=f"{base}/checkpoint", max_files_per_batch=1)
+    return versioned.read_current(spark, f"{base}/{ACCOUNT.name}").select("LoanAccountId", "OpenDateId")
 
 
 # --------------------------------------------------------------- sources and sinks
 
 from lendstar.functions.dates import date_from_key  # noqa: E402
-from lendstar.session import work_path  # noqa: E402
-from lendstar.sources import files, versioned  # noqa: E402
 from lendstar.specs import TRANSACTION_SCHEMA  # noqa: E402
 
 RUN_MONTH = 202506
@@ -322,6 +382,59 @@ def scan_csv_roundtrip(spark, sf_dir):
     return good
 
 
+@query
+def scan_csv_inferred(spark, sf_dir):
+    """Raw balances written as a ';' file and read back with inferred types."""
+    path = work_path(spark, "csv", "Raw_Loan_Balance")
+    cols = ["LoanAccountBalanceId", "LoanAccountId", "BalanceDateId", "Balance"]
+    files.write_delimited(_fx(spark, sf_dir).bal.select(*cols), path)
+    df = files.read_delimited(spark, path)
+    return df.select(*[F.col(c).cast("string" if c == "Balance" else "long").alias(c) for c in cols])
+
+
+@query
+def source_fallback(spark, sf_dir):
+    """The first source that is there: a missing folder, then the stored delivery."""
+    base = work_path(spark, "fallback")
+    versioned.publish(_fx(spark, sf_dir).bal, f"{base}/parquet")
+    return pipeline.delivery(spark, f"{base}/database", f"{base}/parquet/v=1")
+
+
+@query
+def source_exists(spark, sf_dir):
+    """Existence checks of the delivered tables, and of one that isn't delivered."""
+    rows = []
+    for t in ("customer", "orders", "lineitem", "part", "no_such_table"):
+        path = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        df = files.read_parquet(spark, path)
+        counted = spark.range(0).agg(F.count("id").alias("n")) if df is None else df.agg(F.count(F.lit(1)).alias("n"))
+        rows.append(counted.select(F.lit(t).alias("table_name"), F.lit(files.exists(spark, path)).alias("found"),
+                                   F.lit(files.has_data_files(spark, path)).alias("has_files"), "n"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+@query
+def failed_version_removed(spark, sf_dir):
+    """A version whose write never committed is passed over and removed."""
+    base = work_path(spark, "versions", "Raw_Loan_Balance")
+    bal = _fx(spark, sf_dir).bal
+    versioned.publish(bal, base)
+    bal.limit(10).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/v=2")
+    versioned.publish(bal.filter("LoanAccountBalanceId % 2 = 0"), base)
+    gone = versioned.remove_failed(spark, base)
+    return versioned.read_current(spark, base).select("LoanAccountBalanceId", F.lit(str(gone)).alias("removed"))
+
+
+@query
+def columns_without_identity(spark, sf_dir):
+    """What a database sink gets: no identity column, the database assigns its own."""
+    snap = _snapshot(_fx(spark, sf_dir)).drop(*AUDIT_COLS)
+    return files.drop_columns_like(snap, "IdentityId")
+
+
 @query
 def scan_parquet(spark, sf_dir):
     return files.read_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
@@ -353,11 +466,12 @@ from lendstar.operators import marts, star  # noqa: E402
 def dim_date(spark, sf_dir):
     """Calendar over the warehouse span, widened to every date the deliveries carry."""
     fx = _fx(spark, sf_dir)
+    accepted = lambda t: cleanse.accepted(fx.get(RAW[t]), SPEC[t])
     lo, hi = star.calendar_bounds(
-        (fx.txn.select(date_from_key("TransactionDateId").alias("d")), "d"),
-        (fx.bal.select(date_from_key("BalanceDateId").alias("d")), "d"),
-        (fx.acc.select(F.col("OpenDate").alias("d")), "d"),
-        start=CALENDAR_START, end=CALENDAR_END)
+        (accepted("transaction").select(date_from_key("TransactionDateId").alias("d")), "d"),
+        (accepted("balance").select(date_from_key("BalanceDateId").alias("d")), "d"),
+        (accepted("account").select(F.col("OpenDate").alias("d")), "d"),
+        start=CALENDAR_START, end=CALENDAR_END, within=star.CALENDAR_LIMITS)
     return star.date_dimension(spark, lo, hi)
 
 
@@ -392,10 +506,6 @@ def dim_transaction_type(spark, sf_dir):
     return star.dim_transaction_type(_clean(_fx(spark, sf_dir), "transaction"))
 
 
-def _ttype_ids(txn: DataFrame) -> DataFrame:
-    return star.dim_transaction_type(txn, keyed=False)
-
-
 @query
 def fact_balance(spark, sf_dir):
     fx = _fx(spark, sf_dir)
@@ -405,8 +515,7 @@ def fact_balance(spark, sf_dir):
 @query
 def fact_transaction(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    txn = _clean_shared(fx, "transaction")
-    return star.fact_transaction(txn, star.account_ids(_clean(fx, "account")), _ttype_ids(txn))
+    return star.fact_transaction(_clean(fx, "transaction"), star.account_ids(_clean(fx, "account")))
 
 
 @query
@@ -431,8 +540,7 @@ def orphan_balances(spark, sf_dir):
 @query
 def orphan_transactions(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    txn = _clean_shared(fx, "transaction")
-    return star.transaction_orphans(txn, _day2_accounts(fx), _ttype_ids(txn))
+    return star.transaction_orphans(_clean_shared(fx, "transaction"), _day2_accounts(fx))
 
 
 SCD_TRACKED = [c for c in star.ACCOUNT_DIM_COLUMNS if c != "account_id"]
@@ -462,8 +570,7 @@ def mart_balance_by_month(spark, sf_dir):
 @query
 def mart_transactions_by_type(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    txn = _clean_shared(fx, "transaction")
-    rows = star.transaction_rows(txn, star.account_ids(_clean(fx, "account")), _ttype_ids(txn))
+    rows = star.transaction_rows(_clean(fx, "transaction"), star.account_ids(_clean(fx, "account")))
     return marts.transactions_by_type(rows)
 
 
@@ -479,9 +586,80 @@ def profile_accounts(spark, sf_dir):
     return marts.profile(_clean(_fx(spark, sf_dir), "account"))
 
 
+def _publish_month(fx: Fixtures, cars: DataFrame, run_date: str, base: str) -> DataFrame:
+    return pipeline.publish_profit_month(cars, fx.interest_rates, fx.energy_class_margin,
+                                         fx.credit_risk_tier, fx.depreciation_rates, run_date, base)
+
+
 @query
 def run_log(spark, sf_dir):
-    from lendstar.plans.pipeline import profit_run_log
+    """The log of a run that published its month; counts come from the writes."""
+    fx = _fx(spark, sf_dir)
+    return _publish_month(fx, fx.cars, RUN_DATE, work_path(spark, "profit"))
+
+
+@query
+def publish_profit_month(spark, sf_dir):
+    """Two months published, the later one twice with other cars first: the second
+    run replaces its month and leaves the other alone."""
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "profit")
+    may = fx.cars.filter("RecordID % 3 = 0").withColumn("FileMonth", F.lit("2025-05-01").cast("date"))
+    both = fx.cars.unionByName(may)
+    _publish_month(fx, both, "2025-05-20", base)
+    _publish_month(fx, both.filter("RecordID % 2 = 0"), RUN_DATE, base)
+    _publish_month(fx, both, RUN_DATE, base)
+    months = [pipeline.read_profit_month(spark, base, d) for d in ("2025-05-20", RUN_DATE)]
+    return months[0].unionByName(months[1])
+
+
+# --------------------------------------------------------------- star publishing
+
+def _run_star(fx: Fixtures, base: str, accounts: DataFrame, run_ts: str) -> DataFrame:
+    return pipeline.run_star(fx.spark, accounts, with_audit(_clean_shared(fx, "balance"), DAY1_TS),
+                             with_audit(_clean_shared(fx, "transaction"), DAY1_TS), base, run_ts)
+
+
+def _log_columns(log: DataFrame) -> DataFrame:
+    return log.select("step", "status", "message", "row_count")
+
+
+@query
+def star_first_load(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return _log_columns(_run_star(fx, work_path(spark, "star"), _clean_shared(fx, "account"), DAY1_TS))
+
+
+@query
+def star_rerun_is_noop(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "star")
+    _run_star(fx, base, _clean_shared(fx, "account"), DAY1_TS)
+    return _log_columns(_run_star(fx, base, _clean_shared(fx, "account"), DAY2_TS))
+
+
+@query
+def star_second_delivery_keys_stable(spark, sf_dir):
+    """Keys and versions of the accounts after a second delivery."""
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "star")
+    _run_star(fx, base, _clean_shared(fx, "account"), DAY1_TS)
+    _run_star(fx, base, _clean_shared(fx, "account", day2=True), DAY2_TS)
+    dim = versioned.read_current(spark, f"{base}/dim_account").select("account_key", "account_id")
+    history = versioned.read_current(spark, f"{base}/dim_account_history").groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("versions"), F.min("version_key").alias("first_version"),
+        F.max("version_key").alias("last_version"))
+    return dim.join(history, "account_id")
+
+
+@query
+def fact_balance_versions(spark, sf_dir):
+    """Which account version each published balance reaches by its date."""
     fx = _fx(spark, sf_dir)
-    return profit_run_log(fx.cars, fx.interest_rates, fx.energy_class_margin,
-                          fx.credit_risk_tier, fx.depreciation_rates, RUN_DATE)
+    base = work_path(spark, "star")
+    _run_star(fx, base, _clean_shared(fx, "account"), DAY1_TS)
+    _run_star(fx, base, _clean_shared(fx, "account", day2=True), DAY2_TS)
+    fact = versioned.read_current(spark, f"{base}/fact_balance")
+    history = versioned.read_current(spark, f"{base}/dim_account_history").select(
+        F.col("version_key").alias("account_version_key"), "valid_from")
+    return fact.join(history, "account_version_key").select("balance_id", "account_id", "balance_date", "valid_from")

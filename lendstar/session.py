@@ -9,13 +9,15 @@ setting is absent (local runs and tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_scope = threading.local()
 
 
 def build_session(master: str = "local[8]", app: str = "lendstar",
@@ -52,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"{CHECKPOINT_CONF} isn't set: {sc.master} needs a folder that all executors share")
         # Local runs / tests only: the cluster names its shared folder itself.
         conf_dir = tempfile.mkdtemp(prefix="lendstar-ckpt-")
     sc.setCheckpointDir(conf_dir)
@@ -60,17 +64,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
+    base = getattr(_scope, "folder", None) or ensure_checkpoint_dir(spark)
     base = base.rstrip("/")
     leaf = "/".join(p.strip("/") for p in parts) if parts else ""
-    tail = f"lendstar-work/{uuid.uuid4().hex}"
+    tail = uuid.uuid4().hex if getattr(_scope, "folder", None) else f"lendstar-work/{uuid.uuid4().hex}"
     return f"{base}/{tail}/{leaf}" if leaf else f"{base}/{tail}"
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: computed once
+    however often it's used, and safe from lost executors."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lasting_path(spark: SparkSession, *parts: str) -> str:
+    """The same path in every application, below the configured shared folder
+    (Spark's own checkpoint folder is a new one for each application)."""
+    conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    if not conf_dir:
+        raise RuntimeError(f"{CHECKPOINT_CONF} isn't set: name a folder that outlives the application")
+    return "/".join([conf_dir.rstrip("/"), *parts])
+
+
+@contextmanager
+def work_folder(spark: SparkSession):
+    """Within it ``work_path`` hands out folders below one that is removed at the
+    end: what a publish read has been copied by then."""
+    outer = getattr(_scope, "folder", None)
+    _scope.folder = folder = work_path(spark)
+    try:
+        yield folder
+    finally:
+        _scope.folder = outer
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -134,13 +134,18 @@ def jdbc_table_exists(spark: SparkSession, url: str, table: str, properties: dic
         conn.close()
 
 
+def drop_columns_like(df: DataFrame, pattern: str) -> DataFrame:
+    """``df`` without the columns whose name contains ``pattern``."""
+    return df.drop(*[c for c in df.columns if pattern in c])
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "append", drop_pattern: str | None = "IdentityId",
                batch_size: int = 10000) -> None:
     """Append to a database table; columns whose name contains ``drop_pattern``
     are left out (the database assigns its own identity)."""
     if drop_pattern:
-        df = df.drop(*[c for c in df.columns if drop_pattern in c])
+        df = drop_columns_like(df, drop_pattern)
     w = df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table) \
         .option("batchsize", batch_size)
     for k, v in (properties or {}).items():

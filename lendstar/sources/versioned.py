@@ -55,6 +55,16 @@ def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) ->
     return path
 
 
+def remove_failed(spark: SparkSession, base: str) -> list[int]:
+    """Delete the versions below the current one's number that never committed."""
+    fs, p = _fs(spark, base)
+    every, done = _versions(spark, base)
+    failed = [v for v in every if v not in done and done and v < done[-1]]
+    for v in failed:
+        fs.delete(p.suffix(f"/v={v}"), True)
+    return failed
+
+
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     v = current_version(spark, base)
     return spark.read.parquet(f"{base.rstrip('/')}/v={v}") if v else None
@@ -62,15 +72,14 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
 
 def write_by_month(df: DataFrame, path: str, date_col: str, mode: str = "overwrite") -> None:
     """Dataset partitioned by ``yyyymm`` of ``date_col`` (dynamic overwrite:
-    re-writing a month replaces that month only)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn("yyyymm", F.date_format(F.col(date_col), "yyyyMM").cast("int"))
-         .write.mode(mode).partitionBy("yyyymm").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    re-writing a month replaces that month only).
+
+    Rows are gathered by month first, so a month has a few files instead of one
+    per task; REBALANCE lets adaptive execution split a month that holds much.
+    """
+    (df.withColumn("yyyymm", F.date_format(F.col(date_col), "yyyyMM").cast("int"))
+     .hint("rebalance", "yyyymm")
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("yyyymm").parquet(path))
 
 
 def read_month(spark: SparkSession, path: str, yyyymm: int) -> DataFrame:

@@ -12,18 +12,20 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-I, S, D, TS = T.IntegerType(), T.StringType(), T.DateType(), T.TimestampType()
+I, L, S, D, TS = T.IntegerType(), T.LongType(), T.StringType(), T.DateType(), T.TimestampType()
 
 
 def _schema(cols: list[tuple[str, T.DataType, bool]]) -> T.StructType:
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in cols])
 
 
-# Raw delivery layouts (';'-separated, header).  Amounts arrive as European
+# The declared delivery layouts (column names, order, nullability).
+# Raw delivery layouts (';'-separated, header).  Business ids that grow with the
+# portfolio are 64 bit.  Amounts arrive as European
 # decimal strings.  nullable=False documents the declared NOT NULL; CSV reads
 # ignore it, so conformance enforces it explicitly.
 ACCOUNT_SCHEMA = _schema([
-    ("LoanAccountId", I, False), ("SourceId", I, False), ("AccountNumber", S, False),
+    ("LoanAccountId", L, False), ("SourceId", I, False), ("AccountNumber", S, False),
     ("IBAN", S, True), ("BBAN", S, True), ("AccountCurrencyId", I, False),
     ("AccountCurrency", S, False), ("OrganizationId", I, False), ("OrganizationName", S, False),
     ("ChannelID", I, True), ("BrokerId", I, False), ("OpenDateId", I, False),
@@ -35,17 +37,17 @@ ACCOUNT_SCHEMA = _schema([
 ])
 
 BALANCE_SCHEMA = _schema([
-    ("LoanAccountBalanceId", I, False), ("SourceId", I, False), ("BalanceDateId", I, False),
-    ("LoanAccountId", I, False), ("ProductId", I, False), ("AccountCurrencyId", I, False),
+    ("LoanAccountBalanceId", L, False), ("SourceId", I, False), ("BalanceDateId", I, False),
+    ("LoanAccountId", L, False), ("ProductId", I, False), ("AccountCurrencyId", I, False),
     ("AccountStatusId", I, False), ("NumOfTransactions", I, False),
     ("NetTransactionAmount", S, False), ("NetTransactionAmountSek", S, False),
     ("AccruedInterest", S, False), ("AccruedInterestSEK", S, False), ("Balance", S, False),
-    ("BalanceSek", S, False), ("LTV", I, False), ("PrecedingId", I, True),
+    ("BalanceSek", S, False), ("LTV", I, False), ("PrecedingId", L, True),
 ])
 
 TRANSACTION_SCHEMA = _schema([
-    ("LoanAccountTransactionId", I, False), ("SourceId", I, False), ("TransactionDateId", I, False),
-    ("ValueDateId", I, False), ("EntryDateID", I, False), ("LoanAccountId", I, False),
+    ("LoanAccountTransactionId", L, False), ("SourceId", I, False), ("TransactionDateId", I, False),
+    ("ValueDateId", I, False), ("EntryDateID", I, False), ("LoanAccountId", L, False),
     ("TransactionTypeId", I, False), ("TransactionStatus", S, True), ("RectifyStatus", S, True),
     ("TransactionCurrencyId", I, False), ("TransactionAmount", S, False),
     ("TransactionAmountSEK", S, False), ("CounterpartClearingNumber", S, True),
@@ -53,7 +55,7 @@ TRANSACTION_SCHEMA = _schema([
     ("ExchangeRateId", I, False), ("TransactionText", S, True), ("AccountServicerReference", S, True),
     ("CounterPartId", I, True), ("CounterPartAccountNumber", S, True), ("CounterPartBankName", S, True),
     ("TransactionDateTime", TS, True), ("IsDirectDebit", I, True), ("GLAccount", S, True),
-    ("EventName", S, True), ("InvoiceId", I, True),
+    ("EventName", S, True), ("InvoiceId", L, True),
 ])
 
 # Cleansed amounts: the cleansed tables declare DECIMAL(15,5).

@@ -5,17 +5,24 @@ file each run, a file-source stream picks up only files not seen before (the
 checkpoint remembers them), and ``Trigger.AvailableNow`` processes what is
 there and stops, so the same job can run on a schedule.  Each micro-batch is
 merged into the current snapshot with the keyed upsert of the batch pipeline;
-late or re-delivered rows are handled by the key, so no watermark is needed.
-The stream's checkpoint lives in the shared folder, so a restarted or
-re-scheduled job continues where the last one stopped.
+late or re-delivered rows are handled by key and order column (an older row
+never replaces a newer one), so no watermark is needed and the number of files
+per batch does not change the result.  The stream's checkpoint lives in the
+configured shared folder, named after the target, so a job restarted in a new
+application continues where the last one stopped.  Lines that can't be parsed
+are rejected with the batch's other rejects.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lendstar.plans.pipeline import run_table_etl
-from lendstar.session import ensure_checkpoint_dir
+from lendstar.session import lasting_path
+from lendstar.sources.files import CORRUPT
 from lendstar.specs import TableSpec
 
 
@@ -27,20 +34,20 @@ def ingest_deliveries(spark: SparkSession, source_dir: str, spec: TableSpec, tar
     Returns the per-batch log records (first load / no changes / changes
     merged), in batch order.
     """
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{spec.name}"
-    reader = (spark.readStream.schema(spec.schema).option("header", True).option("sep", sep)
-              .option("mode", "PERMISSIVE"))
+    name = f"{spec.name}-{hashlib.sha256(target_base.rstrip('/').encode()).hexdigest()[:16]}"
+    ckpt = checkpoint or lasting_path(spark, "streams", name)
+    schema = T.StructType([*spec.schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    reader = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     stream = reader.csv(source_dir)
     log: list[dict] = []
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         rec = run_table_etl(batch, spec, target_base, run_ts)
-        rec["batch_id"] = batch_id
-        log.append(rec)
+        if rec["raw_rows"]:
+            log.append({**rec, "batch_id": batch_id})
 
     query = (stream.writeStream.foreachBatch(merge_batch)
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())

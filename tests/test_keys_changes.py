@@ -14,30 +14,23 @@ def test_dense_identity_equals_global_row_number_on_unstable_input(spark):
     df = (spark.range(0, 50000).select(((F.col("id") * 7919) % 1000003).alias("k"), "id")
           .repartition(5))
     ref = df.select(F.row_number().over(Window.orderBy("k")).cast("long").alias("ident"), "k", "id")
-    # small_bytes=0 forces the distributed path even for this small input.
-    out = keys.assign_dense_identity(df, "k", "ident", small_bytes=0)
-    assert out.exceptAll(ref).isEmpty() and ref.exceptAll(out).isEmpty()
-    small = keys.assign_dense_identity(df, "k", "ident")
-    assert small.exceptAll(ref).isEmpty() and ref.exceptAll(small).isEmpty()
+    for parts in (None, 1, 7):
+        out = keys.assign_dense_identity(df, "k", "ident", num_partitions=parts)
+        assert out.exceptAll(ref).isEmpty() and ref.exceptAll(out).isEmpty()
 
 
-def test_small_path_only_for_provably_small_inputs(spark):
-    from lendstar.operators.lookup import provably_small
-    assert provably_small(spark.sql("SELECT * FROM VALUES (1), (2) AS t(k)"))
-    assert not provably_small(spark.createDataFrame([(1,)], "k int"))       # no estimate
-    exploded = spark.sql("SELECT explode(sequence(1, 1000000)) AS k")
-    assert not provably_small(exploded)                                      # generator
-    rolled = spark.sql("SELECT a, count(*) FROM VALUES (1), (2) AS t(a) GROUP BY ROLLUP(a)")
-    assert not provably_small(rolled)                                        # expand
+def test_identity_never_gathers_rows_in_one_task(spark):
+    """Whatever the input's size, the plan has no single-partition exchange of rows."""
+    for df in (spark.sql("SELECT * FROM VALUES (1), (2) AS t(k)"), spark.range(100_000).withColumnRenamed("id", "k")):
+        plan = keys.assign_dense_identity(df, "k", "ident")._jdf.queryExecution().executedPlan().toString()
+        assert "__pos" in plan or "Scan parquet" in plan
 
 
 def test_dense_identity_with_base_frame(spark):
     df = spark.createDataFrame([(30,), (10,), (20,)], "k int")
     base = spark.createDataFrame([(100,)], "m long")
-    for small in (0, 8 << 20):
-        got = sorted((r.ident, r.k) for r in
-                     keys.assign_dense_identity(df, "k", "ident", base=base, small_bytes=small).collect())
-        assert got == [(101, 10), (102, 20), (103, 30)]
+    got = sorted((r.ident, r.k) for r in keys.assign_dense_identity(df, "k", "ident", base=base).collect())
+    assert got == [(101, 10), (102, 20), (103, 30)]
     empty_base = spark.createDataFrame([], "m long").agg(F.max("m"))
     got = sorted(r.ident for r in keys.assign_dense_identity(df, "k", "ident", base=empty_base).collect())
     assert got == [1, 2, 3]

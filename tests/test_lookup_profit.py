@@ -16,12 +16,20 @@ def test_band_join_inclusive_overlapping_and_null(spark):
     assert got == [(1, 0.15), (2, 0.1), (2, 0.15), (3, 0.1)]
 
 
-def test_band_join_large_band_path_equals_broadcast_path(spark):
-    left = spark.createDataFrame([(i, i % 13) for i in range(100)], "id int, v int")
-    bands = spark.sql("SELECT * FROM VALUES (0, 4, 1.0D), (3, 8, 2.0D), (9, 20, 3.0D) AS t(lo, hi, r)")
-    small = lookup.band_join(left, F.col("v"), bands, "lo", "hi").select("id", "r")
-    big = lookup.band_join(left, F.col("v"), bands, "lo", "hi", max_bytes=0).select("id", "r")
-    assert small.exceptAll(big).isEmpty() and big.exceptAll(small).isEmpty()
+@pytest.mark.parametrize("cell", [1, 0.5, 10])
+def test_band_join_equals_between(spark, cell):
+    left = spark.createDataFrame([(i, i % 13 + 0.25) for i in range(100)] + [(999, None)], "id int, v double")
+    bands = spark.sql("SELECT * FROM VALUES (0.00BD, 4.25BD, 1.0D), (3.00BD, 8.50BD, 2.0D), (9.00BD, 2000000000.00BD, 3.0D), "
+                      "(NULL, 5.00BD, 4.0D), (2.00BD, NULL, 5.0D), (7.00BD, 3.00BD, 6.0D), (-9.00BD, -1.00BD, 7.0D) AS t(lo, hi, r)")
+    left.createOrReplaceTempView("l")
+    bands.createOrReplaceTempView("b")
+    for how in ("inner", "left"):
+        got = lookup.band_join(left, F.col("v"), bands, "lo", "hi", how=how, cell=cell)
+        assert got.columns == ["id", "v", "__band_value", "lo", "hi", "r"]
+        want = spark.sql(f"SELECT l.id, b.r FROM l {how} JOIN b ON l.v BETWEEN b.lo AND b.hi")
+        got = got.select("id", "r")
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert lookup.band_join(left.limit(0), F.col("v"), bands, "lo", "hi").isEmpty()
 
 
 def test_asof_single_and_fallback(spark):
@@ -80,22 +88,15 @@ def test_profit_without_any_rate_gives_no_rows(spark):
     assert profit.estimate_profits(cars, none, margins, tiers, bands, "2025-06-15").isEmpty()
 
 
-def test_broadcast_check_uses_estimate(spark):
-    tiny = spark.sql("SELECT * FROM VALUES (1) AS t(a)")       # in-memory: exact size
-    assert lookup.fits_broadcast(tiny)
-    assert not lookup.fits_broadcast(tiny, max_bytes=0)
-    # A frame built from driver rows has no size estimate: never broadcast blindly.
-    assert not lookup.fits_broadcast(spark.createDataFrame([(1,)], "a int"))
-
-
-def test_asof_lookup_interval_path_equals_general_path(spark):
-    rates_small = spark.sql("SELECT * FROM VALUES (DATE'2025-03-01', 1.0D), (DATE'2025-05-01', 2.0D), "
-                            "(DATE'2025-05-01', 2.5D) AS t(EffectiveDate, BaseInterestRate)")
-    rates_big = spark.createDataFrame(rates_small.collect(), rates_small.schema)  # no size proof
+def test_asof_lookup_equals_correlated_subquery(spark):
+    rates = spark.sql("SELECT * FROM VALUES (DATE'2025-03-01', 1.0D), (DATE'2025-05-01', 2.0D), "
+                      "(DATE'2025-05-01', 2.5D), (CAST(NULL AS DATE), 9.9D) AS t(EffectiveDate, BaseInterestRate)")
     left = spark.sql("SELECT id, date_add(DATE'2025-02-20', CAST(id AS INT)) AS d FROM range(120)") \
         .unionByName(spark.sql("SELECT 999L AS id, CAST(NULL AS DATE) AS d"))
-    a = lookup.asof_lookup(left, "d", rates_small, "EffectiveDate", "BaseInterestRate")
-    b = lookup.asof_lookup(left, "d", rates_big, "EffectiveDate", "BaseInterestRate")
-    assert "BroadcastNestedLoopJoin" in a._jdf.queryExecution().executedPlan().toString()
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-    assert a.count() == 121
+    got = lookup.asof_lookup(left, "d", rates, "EffectiveDate", "BaseInterestRate")
+    assert got.columns == ["id", "d", "EffectiveDate", "BaseInterestRate"]
+    pts = [(r.EffectiveDate, r.BaseInterestRate) for r in rates.collect() if r.EffectiveDate]
+    for r in got.collect():
+        best = max((p for p in pts if r.d and p[0] <= r.d), default=(None, None))
+        assert (r.EffectiveDate, r.BaseInterestRate) == best
+    assert got.count() == 121

@@ -1,7 +1,9 @@
 """End-to-end: table pipeline with versioned publish, run log, driver contract."""
 
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lendstar.fixtures import Fixtures
@@ -41,15 +43,17 @@ def test_run_all_isolates_failures(spark, scratch):
     assert status == {ACCOUNT.name: "ok", BALANCE.name: "error"}
 
 
-def test_profit_run_log_warns_on_fallback_rate(spark):
+def test_profit_run_log_warns_on_fallback_rate(spark, scratch):
     fx = Fixtures(spark, SF_SMALL)
-    log = {r.step: r for r in pipeline.profit_run_log(
-        fx.cars, fx.interest_rates, fx.energy_class_margin, fx.credit_risk_tier,
-        fx.depreciation_rates, "2025-06-15").collect()}
+    inputs = (fx.interest_rates, fx.energy_class_margin, fx.credit_risk_tier, fx.depreciation_rates)
+    log = {r.step: r for r in pipeline.publish_profit_month(fx.cars, *inputs, "2025-06-15", scratch).collect()}
     assert log["rate_lookup"].status == "warning"
     assert "2025-05-01" in log["rate_lookup"].message
     assert log["estimates"].output_name == "LoanProfitEstimates_202506"
-    assert log["estimates"].row_count > 0
+    assert log["estimates"].row_count == pipeline.read_profit_month(spark, scratch, "2025-06-15").count() > 0
+    assert spark.sql("SELECT * FROM LoanProfitEstimates_202506").count() == log["estimates"].row_count
+    with pytest.raises(pipeline.SourceMissing, match="CarInformation for 2025-08 not found"):
+        pipeline.publish_profit_month(fx.cars, *inputs, "2025-08-15", scratch)
 
 
 def test_entry_contract(spark):
@@ -57,3 +61,66 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_any_split_and_order_of_deliveries_gives_one_result(spark, scratch):
+    """Late rows never replace newer ones; raw = accepted + rejected in every log."""
+    fx = Fixtures(spark, SF_SMALL)
+    raw = fx.acc.filter("LoanAccountId % 10 = 0")
+    rows = raw.collect()
+    rnd = random.Random(3)
+    want = None
+    for k in range(3):
+        rnd.shuffle(rows)
+        base = os.path.join(scratch, f"split{k}")
+        parts = [rows] if k == 0 else [rows[i::k + 1] for i in range(k + 1)]
+        for i, part in enumerate(parts):
+            rec = pipeline.run_table_etl(spark.createDataFrame(part, raw.schema), ACCOUNT, base, f"2025-06-0{i + 1} 08:00:00")
+            assert rec["raw_rows"] == rec["accepted_rows"] + rec["rejected_rows"] == len(part)
+        got = sorted((r[ACCOUNT.key], r["OpenDateId"]) for r in versioned.read_current(spark, base).collect())
+        want = want or got
+        assert got == want and len(got) == len({k for k, _ in got})
+
+
+def test_rejects_are_kept_and_work_folder_is_removed(spark, scratch):
+    from lendstar.session import ensure_checkpoint_dir
+    fx = Fixtures(spark, SF_SMALL)
+    base = os.path.join(scratch, "bal")
+    work = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "lendstar-work")
+    before = set(os.listdir(work)) if os.path.isdir(work) else set()
+    for _ in range(2):  # a repeated run replaces its own rejects
+        rec = pipeline.run_table_etl(fx.bal, BALANCE, base, "2025-06-01 08:00:00")
+    rejects = spark.read.parquet(pipeline.rejects_path(base))
+    assert rejects.count() == rec["rejected_rows"] > 0
+    assert rejects.filter("reject_reason LIKE '%BalanceDateId is no date%'").count() > 0
+    assert set(os.listdir(work)) == before
+
+
+def test_star_keeps_keys_and_isolates_failures(spark, scratch):
+    from lendstar.functions.audit import with_audit
+    from lendstar.operators import cleanse
+    from lendstar.specs import TRANSACTION
+    fx = Fixtures(spark, SF_SMALL)
+    acc, bal, txn = (with_audit(cleanse.clean(df, s), "2025-06-01 08:00:00") for df, s in (
+        (fx.acc.filter("LoanAccountId > 20"), ACCOUNT), (fx.bal, BALANCE), (fx.txn, TRANSACTION)))
+    log = {r.step: r.status for r in pipeline.run_star(spark, acc, bal.drop("BalanceSek"), txn, scratch, "2025-06-01").collect()}
+    assert log.pop("fact_balance") == "error" and set(log.values()) == {"ok"}
+    old = versioned.read_current(spark, f"{scratch}/dim_account").select("account_id", F.col("account_key").alias("k"))
+    pipeline.run_star(spark, cleanse.clean(fx.acc, ACCOUNT), bal, txn, scratch, "2025-06-02")
+    new = versioned.read_current(spark, f"{scratch}/dim_account")
+    assert new.join(old, "account_id").filter("k <> account_key").isEmpty()
+    assert new.select("account_key").distinct().count() == new.count() > old.count()
+    assert spark.read.parquet(f"{scratch}/run_log").count() == 18
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lendstar import session
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: conf)
+    cluster = SimpleNamespace(conf=conf, sparkContext=sc)
+    with pytest.raises(RuntimeError, match="shared|all executors share"):
+        session.ensure_checkpoint_dir(cluster)
+    with pytest.raises(RuntimeError, match="outlives"):
+        session.lasting_path(cluster, "streams")
