@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendstar.session import work_path
+from lendstar.session import stored
+
+__all__ = ["ascii_lower", "fresh_names", "read_table", "stored", "text_or_empty"]
 
 # Words of lower-cased text, as the licence scan and the fingerprints use them.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -15,18 +17,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once below the shared folder and read back.
-
-    Later stages then start from files that survive a lost executor, and a
-    frame used twice is computed once.
-    """
-    spark = df.sparkSession
-    path = work_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: Column | str) -> Column:
     """A-Z to a-z; every other character stays (same in every SQL engine)."""
     return F.translate(c, UPPER, LOWER)

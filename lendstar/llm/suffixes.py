@@ -35,7 +35,6 @@ that share an id but not the text are told apart by a text tag; null ids too.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
