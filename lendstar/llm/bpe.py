@@ -44,7 +44,7 @@ def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 @lru_cache(maxsize=2)
 def _memo(path: str, pattern: str) -> UnitMemo:
-    return UnitMemo(_encoding(path, pattern).encode_ordinary)
+    return UnitMemo(_encoding(path, pattern).encode_ordinary, max_units=300_000)
 
 
 @lru_cache(maxsize=2)

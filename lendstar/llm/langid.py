@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendstar.llm.common import fresh_names, read_table, stored
+from lendstar.llm.units import release_memory
 
 SAMPLE_ROWS = 400
 MAX_LANGUAGES = 64
@@ -68,8 +69,9 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release_memory()
     totals: dict[str, np.ndarray] = {}
-    for b in batches:
+    for b in (w.slice(lo, 512) for w in batches for lo in range(0, w.num_rows, 512)):
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             t, found = totals.setdefault(lang, np.zeros(BUCKETS)), trigrams(text)
             t += np.bincount(found, minlength=BUCKETS) * min(1.0, DOCUMENT_TRIGRAMS / max(1, len(found)))
@@ -102,16 +104,19 @@ def fit(df: DataFrame, id_col: str, text_col: str, label: Column, rows: int = SA
 
 def _likelihoods(model: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         by_bucket = np.ascontiguousarray(model.T)
-        for b in batches:
-            n, ll = [], []
-            for text in b.column(b.num_columns - 1).to_pylist():
-                t = trigrams(text)
-                n.append(len(t) or letters(text))
-                ll.append(by_bucket[t].sum(axis=0, dtype=np.float64).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(n, pa.int64()), pa.array(ll, pa.list_(pa.float64()))],
-                names=["id", "tag", "declared", "suffix", "host", "evidence", "ll"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 512):
+                b = whole.slice(lo, 512)
+                n, ll = [], []
+                for text in b.column(b.num_columns - 1).to_pylist():
+                    t = trigrams(text)
+                    n.append(len(t) or letters(text))
+                    ll.append(by_bucket[t].sum(axis=0, dtype=np.float64).tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:-1], pa.array(n, pa.int64()), pa.array(ll, pa.list_(pa.float64()))],
+                    names=["id", "tag", "declared", "suffix", "host", "evidence", "ll"])
 
     return run
 

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from lendstar.llm.common import fresh_names, read_table, stored
 from lendstar.llm.components import components
+from lendstar.llm.units import release_memory
 
 BANDS, ROWS = 30, 5
 COORDINATES = BANDS * ROWS
@@ -104,7 +105,8 @@ def band_keys(coordinates: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 def _sketches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        release_memory()
+        for b in (w.slice(lo, 512) for w in batches for lo in range(0, w.num_rows, 512)):
             n, digest, bands = [], [], []
             for text in b.column(1).to_pylist():
                 s = shingle_set(text, size)
@@ -127,7 +129,7 @@ def _star(size: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, hub_set = None, None
-        for batch in batches:
+        for batch in (w.slice(lo, 512) for w in batches for lo in range(0, w.num_rows, 512)):
             out = []
             for a, ta, b, tb in zip(*[c.to_pylist() for c in batch.columns]):
                 if hub != (b, tb):

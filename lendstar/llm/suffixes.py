@@ -48,6 +48,7 @@ from pyspark.sql import types as T
 
 from lendstar.llm.common import fresh_names, read_table, stored
 from lendstar.llm.minhash import mix64
+from lendstar.llm.units import release_memory
 
 WINDOW = 200
 Q = 48
@@ -112,6 +113,7 @@ def text_tag(b: bytes) -> int:
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, string, id, tag, start, n) of every run of n windows."""
+    release_memory()
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
             b = batch.slice(lo, 512)

@@ -12,8 +12,11 @@ Units repeat, so the bytes of their ids are kept in a bounded dictionary.
 from __future__ import annotations
 
 import re
+import weakref
 from collections.abc import Callable
 
+import pyarrow as pa
+
 # Unicode White_Space, spelled out: Python's \s also holds U+001C to U+001F.
 _WS = " \t\n\x0b\x0c\r\x85\xa0" + "".join(map(chr, [
     0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -33,6 +36,17 @@ def split_units(text: str) -> list[str]:
     return [p for u in units for p in (_CLASS_EDGE.split(u) if len(u) > LONG_UNIT else (u,)) if p]
 
 
+_MEMOS: "weakref.WeakSet[UnitMemo]" = weakref.WeakSet()
+
+
+def release_memory() -> None:
+    """Let go of what earlier stages kept in a Python worker that is used again."""
+    for memo in list(_MEMOS):
+        memo.clear()
+        memo.old.clear()
+    pa.default_memory_pool().release_unused()
+
+
 class UnitMemo(dict):
     """unit -> bytes of its ids (little-endian unsigned 32 bit), filled on demand.
 
@@ -44,9 +58,12 @@ class UnitMemo(dict):
 
     def __init__(self, encode: Callable[[str], list[int]], max_units: int = 400_000, max_chars: int = 64):
         super().__init__()
+        _MEMOS.add(self)
         self.encode_ids, self.max_units, self.max_chars = encode, max_units, max_chars
         self.old: dict[str, bytes] = {}
 
+    __hash__ = object.__hash__
+
     def __missing__(self, unit: str) -> bytes:
         out = self.old.get(unit)
         if out is None:
