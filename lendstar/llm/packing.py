@@ -41,6 +41,7 @@ WINDOW = 2048
 OPEN_WINDOWS = 32
 MIN_CUT = 64
 FAN_IN = 32
+MEMO_UNITS = 600_000  # of each of two generations: about 250 MB a worker
 
 PIECE = ("doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary, "
          "sequence_id long, offset long")
@@ -52,7 +53,7 @@ _BATCH_BYTES = 8 << 20
 def _memo(path: str) -> UnitMemo:
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    return UnitMemo(lambda s: tok.encode(s, add_special_tokens=False).ids)
+    return UnitMemo(lambda s: tok.encode(s, add_special_tokens=False).ids, max_units=MEMO_UNITS)
 
 
 class OpenWindows:
