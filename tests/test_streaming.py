@@ -1,6 +1,8 @@
 """File-source stream: each new delivery is merged once; re-runs pick up nothing."""
 
 import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -35,3 +37,33 @@ def test_stream_ingests_new_files_once(spark, scratch):
     snap = versioned.read_current(spark, target)
     assert snap.groupBy(ACCOUNT.key).count().filter(F.col("count") > 1).isEmpty()
     assert snap.filter(F.col(ACCOUNT.key) < 0).count() > 0
+
+
+_APP = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from lendstar.session import build_session
+from lendstar.specs import ACCOUNT
+from lendstar.streaming import ingest_deliveries
+spark = build_session("local[2]", shuffle_partitions=2, extra={"spark.checkpoint.dir": sys.argv[2] + "/shared"})
+log = ingest_deliveries(spark, sys.argv[2] + "/in/*", ACCOUNT, sys.argv[2] + "/acc", "2025-06-01 08:00:00")
+print("LOG", [(r["message"], r["raw_rows"], r["rejected_rows"]) for r in log])
+"""
+
+
+def test_two_applications_share_the_default_checkpoint(spark, scratch):
+    """A second application reads nothing again; a broken line is rejected, not lost."""
+    fx = Fixtures(spark, SF_SMALL)
+    rows = fx.acc.filter("LoanAccountId <= 20")
+    n = rows.count()
+    files.write_delimited(rows.coalesce(1), os.path.join(scratch, "out"))
+    part = next(f for f in os.listdir(os.path.join(scratch, "out")) if f.endswith(".csv"))
+    os.makedirs(os.path.join(scratch, "in", "d1"))
+    with open(os.path.join(scratch, "out", part)) as src, open(os.path.join(scratch, "in", "d1", "day1.csv"), "w") as dst:
+        dst.write(src.read() + "no;such;line\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = [subprocess.run([sys.executable, "-c", _APP, root, scratch], capture_output=True, text=True, timeout=300).stdout
+            for _ in range(2)]
+    assert f"LOG [('first load', {n + 1}, " in said[0] and "LOG []" in said[1]
+    rejects = spark.read.parquet(os.path.join(scratch, "acc_rejects"))
+    assert rejects.filter("reject_reason = 'malformed line'").count() == 1
