@@ -50,7 +50,6 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="lendstar-bench", shuffle_partitions=cpus)
     names = only or HEADLINE
     times: dict[str, float] = {}
-    rows: dict[str, int] = {}
     for name in names:
         samples = []
         for _ in range(runs):
