@@ -218,9 +218,8 @@ def _snapshot(fx: Fixtures, table: str = "account") -> DataFrame:
 
 @query
 def identity_initial(spark, sf_dir):
-    c = _clean(_fx(spark, sf_dir), "balance")
-    out = keys.assign_dense_identity(c, BALANCE.key, BALANCE.identity_col)
-    return out.select(BALANCE.identity_col, BALANCE.key)
+    c = _clean(_fx(spark, sf_dir), "balance").select(BALANCE.key)
+    return keys.assign_dense_identity(c, BALANCE.key, BALANCE.identity_col)
 
 
 @query

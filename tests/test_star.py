@@ -1,10 +1,13 @@
 """Calendar, dimensions, facts, referential checks, marts."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 from lendstar.operators import marts, star
 
+from conftest import SF_SMALL
+
 
 def test_calendar_span_and_attributes(spark):
     cal = star.date_dimension(spark, "2017-01-01", "2025-12-31")
@@ -58,3 +61,27 @@ def test_profile(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "b")], "x int, y string")
     got = {r.column_name: tuple(r)[1:] for r in marts.profile(df).collect()}
     assert got == {"x": (3, 2, "1", "2"), "y": (2, 2, "a", "b")}
+
+
+def test_no_fact_is_exchanged_on_a_code_key(spark):
+    """With broadcasts off, facts move on the account id only."""
+    from lendstar.fixtures import Fixtures
+    from lendstar.operators import cleanse, marts, star
+    from lendstar.specs import ACCOUNT, BALANCE, TRANSACTION
+    fx = Fixtures(spark, SF_SMALL)
+    acc, bal, txn = (cleanse.clean(df, s) for df, s in ((fx.acc, ACCOUNT), (fx.bal, BALANCE), (fx.txn, TRANSACTION)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = [marts.transactions_by_type(star.transaction_rows(txn, star.account_ids(acc))),
+                  star.transaction_orphans(txn, star.account_ids(acc)),
+                  marts.balance_by_month(star.balance_rows(bal, star.account_ids(acc)),
+                                         star.dim_product(acc, keyed=False), star.dim_currency(acc, keyed=False))]
+        for df in frames:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[([a-zA-Z_]+)#", plan)
+            codes = {"transaction_type_id", "product_id", "currency_id",
+                     "TransactionTypeId", "ProductId", "AccountCurrencyId"}
+            assert joins and codes.isdisjoint(joins), joins
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
