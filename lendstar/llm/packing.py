@@ -49,11 +49,28 @@ _PART = PIECE + ", leftover boolean, part int"
 _BATCH_BYTES = 8 << 20
 
 
+# Byte-level models write a byte as itself where it prints, else as the next
+# character from U+0100 on.
+_PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+_PROBE = [" the", " Gr\u00f6\u00dfe", " \u043c\u0438\u0440", " xyzzyqq", " \u4e2d\u6587"]
+
+
 @lru_cache(maxsize=2)
 def _memo(path: str) -> UnitMemo:
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    return UnitMemo(lambda s: tok.encode(s, add_special_tokens=False).ids, max_units=MEMO_UNITS)
+    model = tok.model
+
+    def whole(s: str) -> list[int]:
+        return tok.encode(s, add_special_tokens=False).ids
+
+    def word(s: str) -> list[int]:
+        """A space and letters: one piece of the pre-split, so the merges alone."""
+        return [t.id for t in model.tokenize(s.encode("utf-8", "surrogatepass").decode("latin-1").translate(_BYTE_CHARS))]
+
+    direct = all(word(w) == whole(w) for w in _PROBE)  # else the file's model isn't byte level
+    return UnitMemo(lambda s: word(s) if direct and s[0] == " " and s[1:].isalpha() else whole(s), max_units=MEMO_UNITS)
 
 
 class OpenWindows:

@@ -12,6 +12,7 @@ Units repeat, so the bytes of their ids are kept in a bounded dictionary.
 from __future__ import annotations
 
 import re
+import struct
 import weakref
 from collections.abc import Callable
 
@@ -31,7 +32,7 @@ LONG_UNIT = 2048
 def split_units(text: str) -> list[str]:
     """Units whose encodings concatenate to the encoding of ``text``."""
     units = _UNIT.findall(text)
-    if len(text) <= LONG_UNIT or all(len(u) <= LONG_UNIT for u in units):
+    if len(text) <= LONG_UNIT or max(map(len, units)) <= LONG_UNIT:
         return units
     return [p for u in units for p in (_CLASS_EDGE.split(u) if len(u) > LONG_UNIT else (u,)) if p]
 
@@ -71,7 +72,8 @@ class UnitMemo(dict):
             if tail:
                 out = self[unit[:tail.start()]] + self[tail.group()]
             else:
-                out = b"".join([i.to_bytes(4, "little") for i in self.encode_ids(unit)])
+                ids = self.encode_ids(unit)
+                out = struct.pack(f"<{len(ids)}I", *ids)
         if len(unit) <= self.max_chars:
             if len(self) >= self.max_units:
                 self.old = dict(self)
