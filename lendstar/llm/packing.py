@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lendstar.llm.common import read_table, stored
-from lendstar.llm.units import UnitMemo
+from lendstar.llm.units import UnitMemo, release_memory
 
 VOCABULARY = "byte_bpe_50k.json"
 EOS_ID = 1
@@ -41,7 +41,7 @@ WINDOW = 2048
 OPEN_WINDOWS = 32
 MIN_CUT = 64
 FAN_IN = 32
-MEMO_UNITS = 600_000  # of each of two generations: about 250 MB a worker
+MEMO_UNITS = 400_000  # of each of two generations: about 170 MB a worker
 
 PIECE = ("doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary, "
          "sequence_id long, offset long")
@@ -201,6 +201,7 @@ def _first_pass(path: str, window: int, count: int, min_cut: int, eos: int):
 
 def _merge_pass(window: int, count: int, min_cut: int, rnd: int, last: bool):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        release_memory()  # the words of the first pass
         group = key[0].as_py()
         open_, out = OpenWindows(window, count, min_cut), _Out(group, (rnd << 56) | (group << 32))
         table = table.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
