@@ -12,11 +12,13 @@ For every row the log posterior of each language adds up
 Declaration and suffix tables and the three levels of priors are grouped
 aggregates of the text-only decisions over all rows.  Only the trigram models
 are fitted on a sample of labelled rows: about ``SAMPLE_ROWS`` whole texts per
-label (drawn by hash of the id, at most ``MAX_LANGUAGES`` labels, the most
-frequent ones).  The driver holds the models, ``BUCKETS`` numbers per language.
+label (drawn by hash of the id).  Every label has a model.  The driver and the
+workers hold them as a (bucket, language) table of the trigrams seen, some ten
+bytes for each; a row's evidence is a number per label.
 
-A row is rejected if it has no letters or "und" wins.  A declared language alone
-never rejects or rescues a text.
+A row is rejected if it has no letters, or if "und" wins and the text is noise:
+its trigrams hardly repeat, as in no language.  A text in a language without a
+model is "und" and stays, and so does one too short to tell (``is_noise``).
 
 Defined results: null or empty text is rejected ("und", confidence 1); null
 declaration, suffix or host adds no evidence (a null host has its suffix's
@@ -38,14 +40,17 @@ from lendstar.llm.common import fresh_names, read_table, stored
 from lendstar.llm.units import release_memory
 
 SAMPLE_ROWS = 400
-MAX_LANGUAGES = 64
+COUNTED_LABELS = 64   # labels that a worker counts at once before it passes the counts on
 DOCUMENT_TRIGRAMS = 500  # what a sampled document counts at most, so that no long one outweighs the rest
 BUCKETS = 1 << 16
+UNSEEN = 0.05
 UND = "und"
 UND_PRIOR = 1e-3
 TEXT_WEIGHT = 0.3     # neighbouring trigrams overlap: each counts for less than one
 TABLE_WEIGHT = 20.0   # rows that a table's prior is worth
 DECLARED_RIGHT = 0.9
+NOISE_KINDS = 4000    # as many equally likely trigrams: languages have about 1000 or fewer, random letters 10,000
+NOISE_PAIRS = 3       # equal pairs to be expected of so many kinds before a text is called noise
 
 _LOWER = np.full(256, 32, dtype=np.uint8)  # everything but letters is a space
 _LOWER[128:] = np.arange(128, 256)
@@ -68,55 +73,95 @@ def trigrams(text: str | None) -> np.ndarray:
     return ((code * np.uint32(2654435769)) >> np.uint32(16))[near].astype(np.int64)
 
 
+def is_noise(counts: np.ndarray) -> bool:
+    """Whether trigrams with these counts repeat less than ``NOISE_KINDS`` equally
+    likely ones would; below about 155 trigrams that can't be told."""
+    n = int(counts.sum())
+    expected = n * (n - 1) / 2 / NOISE_KINDS
+    return expected >= NOISE_PAIRS and float((counts * (counts - 1)).sum()) / 2 < expected
+
+
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release_memory()
     totals: dict[str, np.ndarray] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for lang, t in totals.items():
+            at = np.flatnonzero(t)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(t[at])],
+                                             names=["lang", "bucket", "n"])
+        totals.clear()
+
     for b in (w.slice(lo, 512) for w in batches for lo in range(0, w.num_rows, 512)):
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if lang not in totals and len(totals) == COUNTED_LABELS:
+                yield from counted()
             t, found = totals.setdefault(lang, np.zeros(BUCKETS)), trigrams(text)
             t += np.bincount(found, minlength=BUCKETS) * min(1.0, DOCUMENT_TRIGRAMS / max(1, len(found)))
-    for lang, t in totals.items():
-        at = np.flatnonzero(t)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(t[at])],
-                                         names=["lang", "bucket", "n"])
+    yield from counted()
+
+
+class Models:
+    """Log probabilities of trigrams per language, "und" (all alike) last.
+
+    ``unseen``: that of a trigram the language's sample doesn't have; what the
+    others have above it is held by bucket: entries ``start[b]`` to
+    ``start[b + 1]`` of ``lang`` and ``gain``.
+    """
+
+    def __init__(self, langs: int, lang: np.ndarray, bucket: np.ndarray, n: np.ndarray):
+        total = np.bincount(lang, weights=n, minlength=langs) + UNSEEN * BUCKETS
+        self.unseen = np.append(np.log(UNSEEN / total), -np.log(BUCKETS))
+        order = np.argsort(bucket, kind="stable")
+        self.lang = lang[order].astype(np.int32)
+        self.gain = np.log1p(n[order] / UNSEEN).astype(np.float32)
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=BUCKETS))])
+
+    def score(self, buckets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Log likelihood per language of distinct buckets with their counts."""
+        lo = self.start[buckets]
+        size = self.start[buckets + 1] - lo
+        at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
+        gain = np.bincount(self.lang[at], weights=self.gain[at] * np.repeat(counts, size), minlength=len(self.unseen))
+        return counts.sum() * self.unseen + gain
 
 
-def fit(df: DataFrame, id_col: str, text_col: str, label: Column, rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and their log probabilities (language x bucket), "und" last."""
+def fit(df: DataFrame, id_col: str, text_col: str, label: Column, rows: int = SAMPLE_ROWS) -> tuple[list[str], Models]:
+    """Languages, "und" last, and their models."""
     labelled = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), label.alias("lang"))
     labelled = labelled.filter((F.col("lang") != "") & (F.col("lang") != UND))
-    # At most MAX_LANGUAGES rows reach the driver.
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().orderBy("lang").collect()  # a row per label
     langs = sorted(r["lang"] for r in sizes)
-    model = np.zeros((len(langs) + 1, BUCKETS))
-    if langs:
-        share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, rows / r["count"]))])
-        draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20)
-        sample = labelled.filter(F.col("lang").isin(langs) & draw).select("lang", "text")
-        counts = sample.mapInArrow(_sample_counts, "lang string, bucket long, n double")
-        table = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-        for lang, part in table.groupby("lang"):
-            model[langs.index(lang), part["bucket"].to_numpy()] = part["n"].to_numpy()
-    model += 0.05
-    model[-1] = 1.0
-    return [*langs, UND], np.log(model / model.sum(axis=1, keepdims=True)).astype(np.float32)
-
-
-def _likelihoods(model: np.ndarray):
+    if not langs:
+        none = np.zeros(0, dtype=np.int64)
+        return [UND], Models(0, none, none, none)
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, rows / r["count"]))])
+    number = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20)
+    counts = labelled.filter(draw).select("lang", "text").mapInArrow(_sample_counts, "lang string, bucket long, n double")
+    table = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    table = table.select(number[F.col("lang")].alias("lang"), F.col("bucket").cast("int"), F.col("n").cast("float")).toArrow()
+    return [*langs, UND], Models(len(langs), table["lang"].to_numpy(), table["bucket"].to_numpy(),
+                                 table["n"].to_numpy().astype(np.float64))
+
+
+def _likelihoods(models: Models):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
-        by_bucket = np.ascontiguousarray(model.T)
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 b = whole.slice(lo, 512)
-                n, ll = [], []
+                n, noise, ll = [], [], []
                 for text in b.column(b.num_columns - 1).to_pylist():
                     t = trigrams(text)
+                    buckets, counts = np.unique(t, return_counts=True)
                     n.append(len(t) or letters(text))
-                    ll.append(by_bucket[t].sum(axis=0, dtype=np.float64).tolist())
+                    noise.append(is_noise(counts))
+                    ll.append(models.score(buckets, counts).tolist())
                 yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:-1], pa.array(n, pa.int64()), pa.array(ll, pa.list_(pa.float64()))],
-                    names=["id", "tag", "declared", "suffix", "host", "evidence", "ll"])
+                    [*b.columns[:-1], pa.array(n, pa.int64()), pa.array(noise, pa.bool_()),
+                     pa.array(ll, pa.list_(pa.float64()))],
+                    names=["id", "tag", "declared", "suffix", "host", "evidence", "noise", "ll"])
 
     return run
 
@@ -152,14 +197,14 @@ def decisions(df: DataFrame, id_col: str, text_col: str, declared: Column | None
     """(id, tag, lang_pred, confidence, text_lang, rejected), one row per row."""
     none = F.lit(None).cast("string")
     declared, suffix, host = (none if c is None else c for c in (declared, suffix, host))
-    langs, model = fit(df, id_col, text_col, declared if label is None else label)
+    langs, models = fit(df, id_col, text_col, declared if label is None else label)
     n = len(langs)
     src = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tag"),
                     declared.alias("declared"), suffix.alias("suffix"), host.alias("host"),
                     F.col(text_col).alias("text"))
-    seen = src.mapInArrow(_likelihoods(model), "id long, tag long, declared string, suffix string, host string, "
-                                               "evidence long, ll array<double>")
-    prior0 = F.array(*[F.lit((1 - UND_PRIOR) / max(1, n - 1)) for _ in langs[:-1]], F.lit(UND_PRIOR))
+    seen = src.mapInArrow(_likelihoods(models), "id long, tag long, declared string, suffix string, host string, "
+                                                "evidence long, noise boolean, ll array<double>")
+    prior0 = F.concat(F.array_repeat(F.lit((1 - UND_PRIOR) / max(1, n - 1)), n - 1), F.array(F.lit(UND_PRIOR)))
     text = F.transform("ll", lambda x, i: x * TEXT_WEIGHT + F.log(F.get(prior0, i)))
     seen = stored(seen.withColumn("text", text).withColumn(
         "best", (F.array_position("text", F.array_max("text")) - 1).cast("int")).drop("ll"), "language")
@@ -185,7 +230,7 @@ def decisions(df: DataFrame, id_col: str, text_col: str, declared: Column | None
     fused = (seen.join(says, "declared", "left").join(ends, "suffix", "left")
              .join(by_suffix, "suffix", "left").join(by_host, at_host, "left").withColumn("p", whole.scalar()))
     log_prior = F.transform(F.coalesce("host_prior", "suffix_prior", "p"), lambda x: F.log(x))
-    zero = F.array(*[F.lit(0.0)] * n)
+    zero = F.array_repeat(F.lit(0.0), n)
 
     def total(x: Column, i: Column) -> Column:
         return (x - F.log(F.get(prior0, i)) + F.get(F.coalesce(log_prior, zero), i)
@@ -201,7 +246,7 @@ def decisions(df: DataFrame, id_col: str, text_col: str, declared: Column | None
         "id", "tag", F.when(blank, UND).otherwise(F.get(names, pick)).alias("lang_pred"),
         F.when(blank, F.lit(1.0)).otherwise(F.lit(1.0) / mass).alias("confidence"),
         F.when(blank, UND).otherwise(F.get(names, F.col("best"))).alias("text_lang"),
-        (blank | (F.lit(n > 1) & (F.col("best") == n - 1))).alias("rejected"))
+        (blank | (F.lit(n > 1) & (F.col("best") == n - 1) & F.col("noise"))).alias("rejected"))
 
 
 def drop_rejected(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **evidence: Column) -> DataFrame:

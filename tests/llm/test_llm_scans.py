@@ -141,6 +141,33 @@ def test_language_evidence_and_edges(spark):
     assert all(r["lang_pred"] == "und" for r in langid.decisions(df, "doc_id", "text").collect())
 
 
+def test_every_label_has_a_model_and_only_noise_is_rejected(spark):
+    rnd = random.Random(64)
+
+    def words(n, letters="abcdefghijklmnopqrstuvwxyz"):
+        return ["".join(rnd.choices(letters, k=rnd.randrange(3, 9))) for _ in range(n)]
+
+    def texts(vocabulary, n):
+        return [" ".join(rnd.choices(vocabulary, k=80)) for _ in range(n)]
+
+    data, want = [], {}
+    for k in range(70):  # the last ones are the rarest
+        vocabulary = words(40)
+        label = f"l{k:02d}"
+        data += [(len(data) + i, t, label) for i, t in enumerate(texts(vocabulary, 6 if k < 66 else 4))]
+        held = 1000 + k
+        want[held] = label
+        data.append((held, texts(vocabulary, 1)[0], None))
+    thai = words(60, "".join(map(chr, range(0xE01, 0xE2F))))
+    data += [(2000 + i, t, None) for i, t in enumerate(texts(thai, 3))]
+    data += [(3000 + i, " ".join(words(60)), None) for i in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    out = {r["id"]: r for r in langid.decisions(df, "doc_id", "text", F.col("lang")).collect()}
+    assert {i: out[i]["text_lang"] for i in want} == want
+    assert all(out[2000 + i]["text_lang"] == "und" for i in range(3))
+    assert {i for i, r in out.items() if r["rejected"]} == {3000, 3001, 3002}
+
+
 def test_page_evidence(spark, sf_dir):
     page = spark.createDataFrame([("https://U:p@Blog.x.example.de:80/a", '<html class=a LANG="de-AT"><script>x</script><p>Hallo</p>')],
                                  "u string, h string")
