@@ -16,8 +16,8 @@ label (drawn by hash of the id).  Every label has a model.  The driver and the
 workers hold them as a (bucket, language) table of the trigrams seen, some ten
 bytes for each; a row's evidence is a number per label.
 
-A row is rejected if it has no letters, or if "und" wins and the text is noise:
-its trigrams hardly repeat, as in no language.  A text in a language without a
+A row is rejected if it has no letters, or if "und" wins with all evidence (it is
+``lang_pred``) and the text is noise: its trigrams hardly repeat, as in no language.  A text in a language without a
 model is "und" and stays, and so does one too short to tell (``is_noise``).
 
 Defined results: null or empty text is rejected ("und", confidence 1); null
@@ -246,7 +246,7 @@ def decisions(df: DataFrame, id_col: str, text_col: str, declared: Column | None
         "id", "tag", F.when(blank, UND).otherwise(F.get(names, pick)).alias("lang_pred"),
         F.when(blank, F.lit(1.0)).otherwise(F.lit(1.0) / mass).alias("confidence"),
         F.when(blank, UND).otherwise(F.get(names, F.col("best"))).alias("text_lang"),
-        (blank | (F.lit(n > 1) & (F.col("best") == n - 1) & F.col("noise"))).alias("rejected"))
+        (blank | (F.lit(n > 1) & (pick == n - 1) & F.col("noise"))).alias("rejected"))
 
 
 def drop_rejected(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **evidence: Column) -> DataFrame:

@@ -168,6 +168,30 @@ def test_every_label_has_a_model_and_only_noise_is_rejected(spark):
     assert {i for i, r in out.items() if r["rejected"]} == {3000, 3001, 3002}
 
 
+def test_rejection_follows_the_fused_evidence(spark):
+    rnd = random.Random(65)
+
+    def word():
+        return "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randrange(3, 9)))
+
+    known = [word() for _ in range(300)]
+
+    def mixed(n):
+        picked = rnd.sample(known, n) + [word() for _ in range(70 - n)]
+        return " ".join(rnd.sample(picked, 70))
+
+    data = [(i, mixed(70), "en", "clean") for i in range(600)] + [(1000 + i, mixed(0), None, "junk") for i in range(600)]
+    # Between language and noise, once with all evidence for and once against "en".
+    data += [(2000 + 2 * i + k, mixed(20 + i % 6), *x) for i in range(60) for k, x in enumerate([("en", "clean"), (None, "junk")])]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    label = F.when(F.col("doc_id") < 2000, F.col("lang"))
+    out = langid.decisions(df, "doc_id", "text", F.col("lang"), F.col("source"), F.col("source"), label).collect()
+    rescued = [r["rejected"] for r in out if (r["text_lang"], r["lang_pred"]) == ("und", "en")]
+    overruled = [r["rejected"] for r in out if (r["text_lang"], r["lang_pred"]) == ("en", "und")]
+    assert rescued and not any(rescued)
+    assert overruled and all(overruled)
+
+
 def test_page_evidence(spark, sf_dir):
     page = spark.createDataFrame([("https://U:p@Blog.x.example.de:80/a", '<html class=a LANG="de-AT"><script>x</script><p>Hallo</p>')],
                                  "u string, h string")
