@@ -108,6 +108,9 @@ def read_profit_month(spark: SparkSession, base: str, run_date) -> DataFrame | N
 
 # ----------------------------------------------------------------- table pipeline
 
+WHOLE_RUN = -1  # batch_id of the rejects of a run that isn't cut into batches
+
+
 def rejects_path(target_base: str) -> str:
     return f"{target_base.rstrip('/')}_rejects"
 
@@ -125,15 +128,15 @@ def delivery(spark: SparkSession, *sources) -> DataFrame:
     return df
 
 
-def run_table_etl(raw: DataFrame, spec: TableSpec, target_base: str, run_ts) -> dict:
+def run_table_etl(raw: DataFrame, spec: TableSpec, target_base: str, run_ts, batch_id: int = WHOLE_RUN) -> dict:
     """Cleanse one delivery and publish a new snapshot version if anything changed.
 
     First load: dense identities + audit columns.  Later loads: MERGE semantics
     against the current version (matched rows keep identity and CreatedDate; a
     row older than the snapshot's by the spec's order column doesn't replace it).
     An unchanged delivery publishes nothing (idempotent).  Rejected rows are kept
-    beside the target with their reason, by run time; lines that could not be
-    parsed count as rejected.  Returns a log record; raw = accepted + rejected.
+    beside the target with their reason, by run time and batch, so that a repeated
+    batch replaces its own only; lines that could not be parsed count as rejected.  Returns a log record; raw = accepted + rejected.
     """
     spark = raw.sparkSession
     biz = spec.business_cols + spec.computed_cols
@@ -150,8 +153,8 @@ def run_table_etl(raw: DataFrame, spec: TableSpec, target_base: str, run_ts) ->
             return {"step": spec.name, "status": "ok", "message": "empty delivery", "row_count": 0,
                     "output_name": target_base, "raw_rows": 0, "accepted_rows": 0, "rejected_rows": 0, "duplicate_rows": 0}
         if n_raw > n_ok:
-            (conf.filter(~ok).withColumn("run_ts", F.lit(str(run_ts)))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts")
+            (conf.filter(~ok).withColumn("run_ts", F.lit(str(run_ts))).withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_ts", "batch_id")
              .parquet(rejects_path(target_base)))
         counted = Observation()
         accepted = conf.filter(ok).select(*spec.business_cols)

@@ -10,7 +10,7 @@ never replaces a newer one), so no watermark is needed and the number of files
 per batch does not change the result.  The stream's checkpoint lives in the
 configured shared folder, named after the target, so a job restarted in a new
 application continues where the last one stopped.  Lines that can't be parsed
-are rejected with the batch's other rejects.
+are rejected with the batch's other rejects, which are kept by run time and batch.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def ingest_deliveries(spark: SparkSession, source_dir: str, spec: TableSpec, tar
     log: list[dict] = []
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rec = run_table_etl(batch, spec, target_base, run_ts)
+        rec = run_table_etl(batch, spec, target_base, run_ts, batch_id)
         if rec["raw_rows"]:
             log.append({**rec, "batch_id": batch_id})
 

@@ -67,3 +67,22 @@ def test_two_applications_share_the_default_checkpoint(spark, scratch):
     assert f"LOG [('first load', {n + 1}, " in said[0] and "LOG []" in said[1]
     rejects = spark.read.parquet(os.path.join(scratch, "acc_rejects"))
     assert rejects.filter("reject_reason = 'malformed line'").count() == 1
+
+
+def test_rejects_of_every_batch_of_a_run_are_kept(spark, scratch):
+    """Two files with a broken line each, a file per batch, one run time."""
+    fx = Fixtures(spark, SF_SMALL)
+    files.write_delimited(fx.acc.filter("LoanAccountId <= 20").coalesce(1), os.path.join(scratch, "out"))
+    part = next(f for f in os.listdir(os.path.join(scratch, "out")) if f.endswith(".csv"))
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    for name in ("day1", "day2"):
+        with open(os.path.join(scratch, "out", part)) as rows, open(os.path.join(src, f"{name}.csv"), "w") as dst:
+            dst.write(rows.read() + f"no;such;{name}\n")
+    target = os.path.join(scratch, "acc")
+    log = ingest_deliveries(spark, src, ACCOUNT, target, "2025-06-01 08:00:00",
+                            checkpoint=os.path.join(scratch, "ckpt"), max_files_per_batch=1)
+    rejects = spark.read.parquet(f"{target}_rejects")
+    assert len(log) == 2 and rejects.count() == sum(r["rejected_rows"] for r in log)
+    assert {r["batch_id"]: r["count"] for r in rejects.filter("reject_reason = 'malformed line'")
+            .groupBy("batch_id").count().collect()} == {0: 1, 1: 1}
