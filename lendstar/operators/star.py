@@ -75,7 +75,7 @@ def calendar_bounds(*dated: tuple[DataFrame, str], start=CALENDAR_START, end=CAL
     """(start, end) widened to cover every date column given: the span is
     ``least(start, min over data)`` .. ``greatest(end, max over data)``.  Dates
     outside ``within`` (an end-of-time date, a typing error) do not widen it;
-    ``outside_calendar`` reports them.
+    ``outside_calendar`` reports them (``pipeline.run_star`` logs its counts).
     Each extreme is a scalar subquery (one partial aggregate per input)."""
     lo, hi = _as_date(start), _as_date(end)
     for df, c in dated:

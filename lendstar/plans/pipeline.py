@@ -282,18 +282,30 @@ def account_version_at(fact: DataFrame, date_col: str, history: DataFrame) -> Da
         "account_version_key", version["version_key"]).drop("versions")
 
 
+def _calendar_warnings(dated: tuple, output: str) -> list[dict]:
+    """A log row per column with dates outside the widest calendar."""
+    found = star.outside_calendar(*dated).groupBy("column_name").agg(
+        F.sum("rows").alias("n"), F.count(F.lit(1)).alias("dates"),
+        F.min("date").cast("string").alias("lo"), F.max("date").cast("string").alias("hi"))
+    lo, hi = star.CALENDAR_LIMITS
+    return [{"step": "calendar_check", "status": "warning", "row_count": r["n"], "output_name": output,
+             "message": f"{r['column_name']}: {r['dates']} dates outside {lo}..{hi}, from {r['lo']} to {r['hi']}"}
+            for r in found.orderBy("column_name").collect()]  # one per column
+
+
 def run_star(spark: SparkSession, accounts: DataFrame, balances: DataFrame, transactions: DataFrame,
              base: str, run_ts, as_of=None) -> DataFrame:
     """Build, upsert and publish the star schema from cleansed tables below
     ``base``: dimensions first, then facts, one log row per table.  A failing
     table does not stop the others, but facts only follow published dimensions.
+    Each date column with dates that the calendar may not cover adds a warning.
     """
     base = base.rstrip("/")
     day = str(as_of or str(run_ts)[:10])
     at = lambda name: f"{base}/{name}"
     rows: list[dict] = []
-    lo, hi = star.calendar_bounds((balances, "BalanceDate"), (transactions, "TransactionDate"),
-                                  (accounts, "OpenDate"), within=star.CALENDAR_LIMITS)
+    dated = ((balances, "BalanceDate"), (transactions, "TransactionDate"), (accounts, "OpenDate"))
+    lo, hi = star.calendar_bounds(*dated, within=star.CALENDAR_LIMITS)
     acc = star.account_rows(accounts)
     dims = {
         "dim_date": lambda: upsert_star_table(star.date_dimension(spark, lo, hi), at("dim_date"), "full_date", "calendar_key"),
@@ -329,6 +341,11 @@ def run_star(spark: SparkSession, accounts: DataFrame, balances: DataFrame, tran
 
     _isolated(rows, "fact_balance", at("fact_balance"), balance)
     _isolated(rows, "fact_transaction", at("fact_transaction"), transaction)
+    try:
+        rows += _calendar_warnings(dated, at("dim_date"))
+    except Exception as e:  # noqa: BLE001 - the tables are published
+        rows.append({"step": "calendar_check", "status": "error", "message": str(e), "row_count": 0,
+                     "output_name": at("dim_date")})
     log = log_frame(spark, rows, LOG_SCHEMA)
     store_log(log, base, run_ts)
     return log

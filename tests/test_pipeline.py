@@ -113,6 +113,29 @@ def test_star_keeps_keys_and_isolates_failures(spark, scratch):
     assert spark.read.parquet(f"{scratch}/run_log").count() == 18
 
 
+def test_star_logs_dates_outside_the_calendar(spark):
+    days = spark.createDataFrame([("9999-12-31",), ("9999-12-31",), ("1889-01-01",), ("2024-02-29",), (None,)], "d string")
+    bal = days.select(F.col("d").cast("date").alias("BalanceDate"))
+    acc = bal.filter("BalanceDate = '2024-02-29'").withColumnRenamed("BalanceDate", "OpenDate")
+    log = pipeline._calendar_warnings(((bal, "BalanceDate"), (acc, "OpenDate")), "dim_date")
+    assert [(r["step"], r["status"], r["row_count"], r["message"]) for r in log] == [
+        ("calendar_check", "warning", 3, "BalanceDate: 2 dates outside 1990-01-01..2060-12-31, from 1889-01-01 to 9999-12-31")]
+
+
+def test_star_run_stores_calendar_warnings(spark, scratch):
+    from lendstar.functions.audit import with_audit
+    from lendstar.operators import cleanse
+    from lendstar.specs import TRANSACTION
+    fx = Fixtures(spark, SF_SMALL)
+    acc, bal, txn = (with_audit(cleanse.clean(df.limit(50), s), "2025-06-01 08:00:00") for df, s in (
+        (fx.acc, ACCOUNT), (fx.bal, BALANCE), (fx.txn, TRANSACTION)))
+    acc = acc.withColumn("OpenDate", F.lit("9999-12-31").cast("date"))
+    log = pipeline.run_star(spark, acc, bal, txn, scratch, "2025-06-01").filter("step = 'calendar_check'").collect()
+    assert [(r["status"], r["row_count"]) for r in log] == [("warning", acc.count())]
+    stored = spark.read.parquet(f"{scratch}/run_log").filter("step = 'calendar_check'")
+    assert stored.count() == 1
+
+
 def test_cluster_needs_a_shared_folder():
     from types import SimpleNamespace
 
