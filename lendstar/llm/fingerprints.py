@@ -3,9 +3,13 @@
 The sketch of a text keeps every distinct shingle hash below a fixed fraction
 of the hash range, so its size follows the text's, the sketch of a union is the
 union of sketches (``merge``), and the containment of one text in another is
-estimated without bias however unequal they are.  A text whose hashes all lie
-above the threshold keeps its smallest one, so that only wordless texts have an
-empty sketch; merging drops such a hash as soon as there's one below.
+estimated however unequal they are.  A text whose hashes all lie above the
+threshold (probability (7/8)^n with n shingles: about half of the texts with
+five) keeps its smallest one, so that only wordless texts have an empty sketch;
+merging drops such a hash as soon as there's one below.  ``containment`` of such
+a text is 1 or 0: 1 only if the other has kept the same hash, which then has none
+below the threshold either; in a text with hashes below it, it's 0 even if the
+text is wholly contained.
 
 Hashes are the first 16 hex digits of the shingle's MD5 (a shingle is five
 words joined by spaces; a shorter text is one shingle); as text they sort like
