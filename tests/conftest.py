@@ -20,4 +20,6 @@ def scratch(spark, tmp_path):
     return str(tmp_path)
 
 
-SF_SMALL = "/root/testdata/sf0.001"
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"

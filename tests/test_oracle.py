@@ -8,7 +8,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 from lendstar.plans.oracle import ORACLE
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -36,16 +35,16 @@ def _bag(cols, rows):
 
 
 @pytest.fixture(scope="module")
-def duck():
+def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     return con
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
-def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+def test_query_matches_oracle(spark, duck, name, sf_dir):
+    df = E.queries()[name](spark, sf_dir)
     srows = [tuple(r) for r in df.collect()]
     res = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]

@@ -11,11 +11,10 @@ from lendstar.plans import pipeline
 from lendstar.sources import versioned
 from lendstar.specs import ACCOUNT, BALANCE
 
-from conftest import SF_SMALL
 
 
-def test_table_pipeline_first_load_rerun_and_changes(spark, scratch):
-    fx = Fixtures(spark, SF_SMALL)
+def test_table_pipeline_first_load_rerun_and_changes(spark, scratch, sf_dir):
+    fx = Fixtures(spark, sf_dir)
     base = os.path.join(scratch, "acc")
     first = pipeline.run_table_etl(fx.acc, ACCOUNT, base, "2025-06-01 08:00:00")
     assert first["message"] == "first load" and first["row_count"] > 0
@@ -32,8 +31,8 @@ def test_table_pipeline_first_load_rerun_and_changes(spark, scratch):
     assert moved.isEmpty()
 
 
-def test_run_all_isolates_failures(spark, scratch):
-    fx = Fixtures(spark, SF_SMALL)
+def test_run_all_isolates_failures(spark, scratch, sf_dir):
+    fx = Fixtures(spark, sf_dir)
     broken = fx.bal.drop("Balance")
     log = pipeline.run_all(spark, {
         "account": (fx.acc, ACCOUNT, os.path.join(scratch, "a")),
@@ -43,8 +42,8 @@ def test_run_all_isolates_failures(spark, scratch):
     assert status == {ACCOUNT.name: "ok", BALANCE.name: "error"}
 
 
-def test_profit_run_log_warns_on_fallback_rate(spark, scratch):
-    fx = Fixtures(spark, SF_SMALL)
+def test_profit_run_log_warns_on_fallback_rate(spark, scratch, sf_dir):
+    fx = Fixtures(spark, sf_dir)
     inputs = (fx.interest_rates, fx.energy_class_margin, fx.credit_risk_tier, fx.depreciation_rates)
     log = {r.step: r for r in pipeline.publish_profit_month(fx.cars, *inputs, "2025-06-15", scratch).collect()}
     assert log["rate_lookup"].status == "warning"
@@ -63,9 +62,9 @@ def test_entry_contract(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_any_split_and_order_of_deliveries_gives_one_result(spark, scratch):
+def test_any_split_and_order_of_deliveries_gives_one_result(spark, scratch, sf_dir):
     """Late rows never replace newer ones; raw = accepted + rejected in every log."""
-    fx = Fixtures(spark, SF_SMALL)
+    fx = Fixtures(spark, sf_dir)
     raw = fx.acc.filter("LoanAccountId % 10 = 0")
     rows = raw.collect()
     rnd = random.Random(3)
@@ -82,9 +81,9 @@ def test_any_split_and_order_of_deliveries_gives_one_result(spark, scratch):
         assert got == want and len(got) == len({k for k, _ in got})
 
 
-def test_rejects_are_kept_and_work_folder_is_removed(spark, scratch):
+def test_rejects_are_kept_and_work_folder_is_removed(spark, scratch, sf_dir):
     from lendstar.session import ensure_checkpoint_dir
-    fx = Fixtures(spark, SF_SMALL)
+    fx = Fixtures(spark, sf_dir)
     base = os.path.join(scratch, "bal")
     work = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "lendstar-work")
     before = set(os.listdir(work)) if os.path.isdir(work) else set()
@@ -96,11 +95,11 @@ def test_rejects_are_kept_and_work_folder_is_removed(spark, scratch):
     assert set(os.listdir(work)) == before
 
 
-def test_star_keeps_keys_and_isolates_failures(spark, scratch):
+def test_star_keeps_keys_and_isolates_failures(spark, scratch, sf_dir):
     from lendstar.functions.audit import with_audit
     from lendstar.operators import cleanse
     from lendstar.specs import TRANSACTION
-    fx = Fixtures(spark, SF_SMALL)
+    fx = Fixtures(spark, sf_dir)
     acc, bal, txn = (with_audit(cleanse.clean(df, s), "2025-06-01 08:00:00") for df, s in (
         (fx.acc.filter("LoanAccountId > 20"), ACCOUNT), (fx.bal, BALANCE), (fx.txn, TRANSACTION)))
     log = {r.step: r.status for r in pipeline.run_star(spark, acc, bal.drop("BalanceSek"), txn, scratch, "2025-06-01").collect()}
@@ -122,11 +121,11 @@ def test_star_logs_dates_outside_the_calendar(spark):
         ("calendar_check", "warning", 3, "BalanceDate: 2 dates outside 1990-01-01..2060-12-31, from 1889-01-01 to 9999-12-31")]
 
 
-def test_star_run_stores_calendar_warnings(spark, scratch):
+def test_star_run_stores_calendar_warnings(spark, scratch, sf_dir):
     from lendstar.functions.audit import with_audit
     from lendstar.operators import cleanse
     from lendstar.specs import TRANSACTION
-    fx = Fixtures(spark, SF_SMALL)
+    fx = Fixtures(spark, sf_dir)
     acc, bal, txn = (with_audit(cleanse.clean(df.limit(50), s), "2025-06-01 08:00:00") for df, s in (
         (fx.acc, ACCOUNT), (fx.bal, BALANCE), (fx.txn, TRANSACTION)))
     acc = acc.withColumn("OpenDate", F.lit("9999-12-31").cast("date"))

@@ -6,15 +6,14 @@ from lendstar.fixtures import Fixtures
 from lendstar.operators import changes, cleanse, keys, upsert
 from lendstar.specs import ACCOUNT, TRANSACTION
 
-from conftest import SF_SMALL
 
 
 def _same(a, b):
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_cleansing_independent_of_partitioning(spark):
-    txn = Fixtures(spark, SF_SMALL).txn
+def test_cleansing_independent_of_partitioning(spark, sf_dir):
+    txn = Fixtures(spark, sf_dir).txn
     one = cleanse.clean(txn.repartition(1), TRANSACTION)
     many = cleanse.clean(txn.repartition(7, "TransactionReference"), TRANSACTION)
     assert _same(one, many)
@@ -32,8 +31,8 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert cleanse.duplicate_keys(df, "k").collect()[0].n == n // 3
 
 
-def test_split_delivery_equals_single_delivery_for_inserts(spark):
-    fx = Fixtures(spark, SF_SMALL)
+def test_split_delivery_equals_single_delivery_for_inserts(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
     old = keys.assign_dense_identity(cleanse.clean(fx.acc, ACCOUNT), ACCOUNT.key, ACCOUNT.identity_col)
     new = cleanse.clean(fx.acc2, ACCOUNT)
     inserts = changes.new_keys(new, old, ACCOUNT.key).join(new, ACCOUNT.key)
@@ -49,8 +48,8 @@ def test_split_delivery_equals_single_delivery_for_inserts(spark):
     assert sorted(ids) == list(range(1, len(ids) + 1))
 
 
-def test_upsert_keys_unique(spark):
-    fx = Fixtures(spark, SF_SMALL)
+def test_upsert_keys_unique(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
     old = keys.assign_dense_identity(cleanse.clean(fx.acc, ACCOUNT), ACCOUNT.key, ACCOUNT.identity_col)
     snap = upsert.upsert_snapshot(old, cleanse.clean(fx.acc2, ACCOUNT), ACCOUNT.key,
                                   ACCOUNT.identity_col, ACCOUNT.business_cols)

@@ -6,7 +6,6 @@ from decimal import Decimal
 
 from lendstar.operators import marts, star
 
-from conftest import SF_SMALL
 
 
 def test_calendar_span_and_attributes(spark):
@@ -63,12 +62,12 @@ def test_profile(spark):
     assert got == {"x": (3, 2, "1", "2"), "y": (2, 2, "a", "b")}
 
 
-def test_no_fact_is_exchanged_on_a_code_key(spark):
+def test_no_fact_is_exchanged_on_a_code_key(spark, sf_dir):
     """With broadcasts off, facts move on the account id only."""
     from lendstar.fixtures import Fixtures
     from lendstar.operators import cleanse, marts, star
     from lendstar.specs import ACCOUNT, BALANCE, TRANSACTION
-    fx = Fixtures(spark, SF_SMALL)
+    fx = Fixtures(spark, sf_dir)
     acc, bal, txn = (cleanse.clean(df, s) for df, s in ((fx.acc, ACCOUNT), (fx.bal, BALANCE), (fx.txn, TRANSACTION)))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

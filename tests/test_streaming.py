@@ -11,11 +11,10 @@ from lendstar.sources import files, versioned
 from lendstar.specs import ACCOUNT
 from lendstar.streaming import ingest_deliveries
 
-from conftest import SF_SMALL
 
 
-def test_stream_ingests_new_files_once(spark, scratch):
-    fx = Fixtures(spark, SF_SMALL)
+def test_stream_ingests_new_files_once(spark, scratch, sf_dir):
+    fx = Fixtures(spark, sf_dir)
     src = os.path.join(scratch, "incoming")
     target = os.path.join(scratch, "acc")
     ckpt = os.path.join(scratch, "ckpt")
@@ -51,9 +50,9 @@ print("LOG", [(r["message"], r["raw_rows"], r["rejected_rows"]) for r in log])
 """
 
 
-def test_two_applications_share_the_default_checkpoint(spark, scratch):
+def test_two_applications_share_the_default_checkpoint(spark, scratch, sf_dir):
     """A second application reads nothing again; a broken line is rejected, not lost."""
-    fx = Fixtures(spark, SF_SMALL)
+    fx = Fixtures(spark, sf_dir)
     rows = fx.acc.filter("LoanAccountId <= 20")
     n = rows.count()
     files.write_delimited(rows.coalesce(1), os.path.join(scratch, "out"))
@@ -69,9 +68,9 @@ def test_two_applications_share_the_default_checkpoint(spark, scratch):
     assert rejects.filter("reject_reason = 'malformed line'").count() == 1
 
 
-def test_rejects_of_every_batch_of_a_run_are_kept(spark, scratch):
+def test_rejects_of_every_batch_of_a_run_are_kept(spark, scratch, sf_dir):
     """Two files with a broken line each, a file per batch, one run time."""
-    fx = Fixtures(spark, SF_SMALL)
+    fx = Fixtures(spark, sf_dir)
     files.write_delimited(fx.acc.filter("LoanAccountId <= 20").coalesce(1), os.path.join(scratch, "out"))
     part = next(f for f in os.listdir(os.path.join(scratch, "out")) if f.endswith(".csv"))
     src = os.path.join(scratch, "in")
