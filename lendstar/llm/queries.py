@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from lendstar.llm import bpe, embeddings, fingerprints, langid, licenses, linededup, minhash, packing, suffixes, warc
+from lendstar.llm import (
+    bpe, countmin, embeddings, fingerprints, langid, licenses, linededup, minhash, orchard, packing, prefixtrie, suffixes,
+    warc,
+)
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -15,6 +18,9 @@ QUERIES = {
     "op8_fingerprint": fingerprints.op8_fingerprint,
     "op9_embeddings": embeddings.op9_embeddings,
     "op10_language": langid.op10_language,
+    "op11_prefix_trie": prefixtrie.op11_prefix_trie,
+    "op12_orchard": orchard.op12_orchard,
+    "op13_substring_dedup": countmin.op13_substring_dedup,
     "pages_language": langid.pages_language,
 }
 
@@ -22,4 +28,7 @@ ORACLE: dict[str, str] = {
     "op1_license_scan": licenses.op1_sql(),
     "op5_line_dedup": linededup.op5_sql(),
     "op8_fingerprint": fingerprints.op8_sql(),
+    "op11_prefix_trie": prefixtrie.op11_sql(),
+    "op12_orchard": orchard.op12_sql(),
+    "op13_substring_dedup": countmin.op13_sql(),
 }
