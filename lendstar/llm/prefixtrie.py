@@ -14,14 +14,13 @@ copied.  Path bytes compose in the same way, by addition.
    scanned; products of a conversation that goes on in the next partition are
    composed from one row for each partition.  A conversation of any length is
    dealt over partitions.  The stored turns carry value, product and text.
-2. Prefixes: heads from the base (at most ``HEAD`` for a conversation), then
+2. Prefixes: heads from the base (under ``HEADS`` for a conversation), then
    the own turns, each with its product, its parent's, and a reference to the
    stored turn.  A node is a group of equal (depth, product).
 3. Equality is verified.  In each node all members must have the same last
-   turn's value and the same parent, and every value that a node met under
-   several references is looked up among the stored turns, where role and text
-   must be equal.  By induction equal nodes are equal sequences.  A collision
-   starts the work again with another seed.
+   turn's value and the same parent, and the stored turns that the references
+   of a value name must all have one role and text.  By induction equal nodes
+   are equal sequences.  A collision starts the work again with another seed.
 4. Subtrees without walking them: along a conversation's path the smallest
    member grows, so it owns the tail of its path from its first own node on.
    With E the path's bytes up to there, a node's subtree saves the sum over its
@@ -60,7 +59,7 @@ NODE = ["depth", "s1", "s2"]
 
 class Trie(NamedTuple):
     """``nodes``: one row for each node, with its key (depth, s1, s2), the results
-    of the module and the stored reference (src, pos) of its last turn.
+    of the module; (conv_id, depth) refers to its last turn.
     ``ends``: (depth, s1, s2, conv) of every conversation's last node."""
 
     nodes: DataFrame
@@ -255,10 +254,9 @@ def _verified(nodes: DataFrame, turns: DataFrame) -> bool:
     differ = nodes.filter("x1 <> x1_hi OR x2 <> x2_hi OR p1 <> p1_hi OR p2 <> p2_hi")
     if not differ.isEmpty():
         return False
-    met = nodes.filter("src <> src_hi OR pos <> pos_hi").select("x1", "x2").distinct()
-    text = turns.select("x1", "x2", "role", "text").join(met, ["x1", "x2"], "left_semi").groupBy("x1", "x2").agg(
-        *[f(c).alias(f"{k}_{c}") for c in ("role", "text") for f, k in ((F.min, "lo"), (F.max, "hi"))])
-    return text.filter("lo_role <> hi_role OR lo_text <> hi_text").isEmpty()
+    # Equal turns collapse before the shuffle, so a turn that many share moves once a task.
+    texts = turns.select("x1", "x2", "role", "text").distinct()
+    return texts.groupBy("x1", "x2").count().filter("count > 1").isEmpty()
 
 
 def prefix_trie(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
@@ -268,7 +266,7 @@ def prefix_trie(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     for seed in range(SEEDS):
         turns, prefixes = _turns(df, columns, seed, digest_bytes)
         paths, ends = _paths(prefixes, seed)
-        both = [f(c).alias(k) for c in ("x1", "x2", "p1", "p2", "src", "pos") for f, k in ((F.min, c), (F.max, f"{c}_hi"))]
+        both = [f(c).alias(k) for c in ("x1", "x2", "p1", "p2") for f, k in ((F.min, c), (F.max, f"{c}_hi"))]
         nodes = stored(paths.groupBy(*NODE).agg(
             F.min("conv").alias("conv_id"), F.count("*").alias("n_convs"), F.min("nbytes").alias("nbytes"),
             F.min("b").alias("b"), *both), "nodes")
@@ -280,7 +278,7 @@ def prefix_trie(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     children = nodes.filter("depth > 0").groupBy(
         (F.col("depth") - 1).alias("depth"), F.col("p1").alias("s1"), F.col("p2").alias("s2")).agg(
         F.count("*").alias("n_children"))
-    nodes = stored(nodes.select(*NODE, "conv_id", "n_convs", "nbytes", "b", "p1", "p2", "src", "pos").join(
+    nodes = stored(nodes.select(*NODE, "conv_id", "n_convs", "nbytes", "b", "p1", "p2").join(
         children, NODE, "left").fillna(0, ["n_children"]), "nodes-children")
     owned = nodes.groupBy(F.col("conv_id").alias("conv")).agg(
         F.min("depth").alias("own"), F.min(F.col("b") - F.col("nbytes")).alias("e"),
@@ -295,8 +293,8 @@ def prefix_trie(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     up = nodes.select((F.col("depth") + 1).alias("depth"), F.col("s1").alias("p1"), F.col("s2").alias("p2"),
                       F.col("conv_id").alias("parent_conv_id"))
     out = nodes.join(below, NODE).join(up, ["depth", "p1", "p2"], "left")
-    return Trie(out.select(*NODE, "conv_id", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
-                           "src", "pos"), ends.select(*NODE, "conv"))
+    return Trie(out.select(*NODE, "conv_id", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"),
+                ends.select(*NODE, "conv"))
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
