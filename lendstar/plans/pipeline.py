@@ -13,13 +13,13 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lendstar.functions.audit import with_audit
-from lendstar.operators import changes, cleanse, keys, star, upsert
+from lendstar.operators import cleanse, keys, star, upsert
 from lendstar.operators.profit import estimate_profits, rate_at, stage_cars
+from lendstar.plans.buckets import upsert_buckets
 from lendstar.session import stored, work_folder
 from lendstar.sources.files import CORRUPT, first_available, has_data_files
 from lendstar.sources.versioned import current_version, publish, read_current, remove_failed
-from lendstar.specs import AUDIT_COLS, TableSpec
+from lendstar.specs import TableSpec
 
 LOG_SCHEMA = "step string, status string, message string, row_count long, output_name string"
 TABLE_LOG_SCHEMA = LOG_SCHEMA + ", raw_rows long, accepted_rows long, rejected_rows long, duplicate_rows long"
@@ -133,7 +133,8 @@ def run_table_etl(raw: DataFrame, spec: TableSpec, target_base: str, run_ts, bat
 
     First load: dense identities + audit columns.  Later loads: MERGE semantics
     against the current version (matched rows keep identity and CreatedDate; a
-    row older than the snapshot's by the spec's order column doesn't replace it).
+    row older than the snapshot's by the spec's order column doesn't replace it);
+    only buckets with changes are written.
     An unchanged delivery publishes nothing (idempotent).  Rejected rows are kept
     beside the target with their reason, by run time and batch, so that a repeated
     batch replaces its own only; lines that could not be parsed count as rejected.  Returns a log record; raw = accepted + rejected.
@@ -166,21 +167,9 @@ def run_table_etl(raw: DataFrame, spec: TableSpec, target_base: str, run_ts, bat
             return {"step": spec.name, "status": "ok", "message": message, "row_count": rows,
                     "output_name": output, **counts}
 
-        current = read_current(spark, target_base)
-        if current is None:
-            snap = with_audit(keys.assign_dense_identity(clean, spec.key, spec.identity_col), run_ts)
-            path, n = publish_counted(snap, target_base)
-            return record("first load", n, path)
-        current = current.select(spec.identity_col, *biz, *AUDIT_COLS)
-        c = stored(changes.classify(clean, current, spec.key, biz, old_extra=[spec.identity_col] + AUDIT_COLS,
-                                    order_col=spec.order_col), "classified")
-        changed = c.filter(F.col(changes.CHANGE).isin(changes.INSERT, changes.UPDATE)).count()
-        if not changed:
-            return record("no changes", 0, f"{target_base}/v={current_version(spark, target_base)}")
-        # The next version goes to a new folder; the one being read stays intact.
-        snap = upsert.merge_classified(c, current, spec.key, spec.identity_col, biz, run_ts)
-        path, _ = publish_counted(snap, target_base)
-        return record("changes merged", changed, path)
+        done = upsert_buckets(clean, target_base, spec.key, spec.identity_col, biz, spec.order_col, run_ts)
+        path = f"{target_base}/v={current_version(spark, target_base)}"
+        return {**record(done["message"], done["row_count"], path), "buckets": done["buckets"]}
 
 
 def _isolated(rows: list[dict], step: str, output: str, fn) -> None:
@@ -220,26 +209,11 @@ def upsert_star_table(rows: DataFrame, base: str, id_col: str, key_col: str) ->
     """Publish a dimension or fact: keys of known ids never move, new ids get
     keys after the largest one, changed rows take the new values, ids that are
     not delivered stay.  Nothing is published when nothing changed."""
-    spark = rows.sparkSession
-    cols = [c for c in rows.columns if c != id_col]
     name = base.rstrip("/").rsplit("/", 1)[-1]
-    with work_folder(spark):
-        current = read_current(spark, base)
-        if current is None:
-            _, n = publish_counted(keys.assign_dense_identity(rows, id_col, key_col), base)
-            return {"step": name, "status": "ok", "message": "first load", "row_count": n, "output_name": base}
-        c = stored(changes.classify(rows, current, id_col, cols, old_extra=[key_col]), "classified")
-        n = c.filter(F.col(changes.CHANGE).isin(changes.INSERT, changes.UPDATE)).count()
-        if not n:
-            return {"step": name, "status": "ok", "message": "no changes", "row_count": 0, "output_name": base}
-        updated = F.col(changes.CHANGE) == changes.UPDATE
-        known = c.filter(F.col(changes.CHANGE) != changes.INSERT).select(
-            changes.old_extra(key_col).alias(key_col), id_col,
-            *[F.when(updated, changes.new_col(x)).otherwise(changes.old_col(x)).alias(x) for x in cols])
-        new = changes.side(c, id_col, cols, changes.new_col, (changes.INSERT,))
-        new = keys.assign_dense_identity(new, id_col, key_col, base=keys.max_identity(current, key_col))
-        publish_counted(known.select(key_col, id_col, *cols).unionByName(new.select(key_col, id_col, *cols)), base)
-        return {"step": name, "status": "ok", "message": "changes merged", "row_count": n, "output_name": base}
+    with work_folder(rows.sparkSession):
+        done = upsert_buckets(stored(rows, name), base, id_col, key_col, [c for c in rows.columns if c != id_col])
+    return {"step": name, "status": "ok", "message": done["message"], "row_count": done["row_count"],
+            "output_name": base, "buckets": done["buckets"]}
 
 
 def update_account_history(rows: DataFrame, base: str, as_of) -> dict:

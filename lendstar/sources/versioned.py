@@ -7,18 +7,42 @@ a failed or interrupted write (lost executors, killed job) never replaces the
 previous version and a re-run simply writes the next number.  Overwriting the
 folder being read is never needed, which plain parquet cannot do safely.
 
+A number is claimed before anything is written, by a file that only one writer
+can create.  A writer that builds on a version names it (``after``): it stops
+with ``ConcurrentPublish`` when a later version is there or under way, so its
+result never hides another's.  A claim whose writer died is passed over after
+``CLAIM_HOURS``.
+
+Keyed tables are cut into a fixed number of buckets by a hash of the key
+(``publish_buckets``).  A version then lists the folder of each bucket, in its
+own folder or an earlier version's: an update writes the buckets it changes and
+lists the others where they are.
+
 Monthly tables are one dataset partitioned by ``yyyymm``; a filter on the
 month prunes to that folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import time
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendstar.sources.files import _fs
 
 MARKER = "_SUCCESS"
+LISTING = "_buckets.json"
+CLAIMS = "_claims"
+CLAIM_HOURS = 24
+BUCKET = "bucket"
+
+
+class ConcurrentPublish(RuntimeError):
+    """Another writer publishes, or has published, a version after the same one."""
 
 
 def _versions(spark: SparkSession, base: str) -> tuple[list[int], list[int]]:
@@ -43,23 +67,170 @@ def current_version(spark: SparkSession, base: str) -> int:
     return done[-1] if done else 0
 
 
-def publish(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
+def _claims(spark: SparkSession, base: str) -> dict[int, float]:
+    """Version number -> hours since it was claimed."""
+    fs, p = _fs(spark, f"{base.rstrip('/')}/{CLAIMS}")
+    if not fs.exists(p):
+        return {}
+    now = time.time() * 1000
+    return {int(st.getPath().getName()): (now - st.getModificationTime()) / 3.6e6 for st in fs.listStatus(p)}
+
+
+def claim(spark: SparkSession, base: str, after: int | None = None) -> int:
+    """The next version number, taken by this writer alone."""
+    base = base.rstrip("/")
+    while True:
+        every, done = _versions(spark, base)
+        claimed = _claims(spark, base)
+        if after is not None:
+            busy = [v for v, hours in claimed.items() if v > after and v not in done and hours < CLAIM_HOURS]
+            if busy or (done and done[-1] > after):
+                raise ConcurrentPublish(f"{base}: v={max([*busy, *done])} after v={after}")
+        n = max([0, *every, *claimed]) + 1
+        fs, p = _fs(spark, f"{base}/{CLAIMS}/{n}")
+        try:
+            fs.create(p, False).close()  # fails if the file is there
+        except Exception:  # noqa: BLE001 - taken meanwhile, or no folder to write to
+            if not fs.exists(p):
+                raise
+            continue
+        if after is not None and any(after < v < n and h < CLAIM_HOURS and v not in _versions(spark, base)[1]
+                                     for v, h in _claims(spark, base).items()):
+            release(spark, base, n)
+            raise ConcurrentPublish(f"{base}: another writer is under way after v={after}")
+        return n
+
+
+def release(spark: SparkSession, base: str, n: int) -> None:
+    fs, p = _fs(spark, f"{base.rstrip('/')}/{CLAIMS}/{n}")
+    fs.delete(p, False)
+
+
+def publish(df: DataFrame, base: str, partition_by: list[str] | None = None, after: int | None = None) -> str:
     """Write ``df`` as the next version of ``base`` and return its path."""
     spark = df.sparkSession
-    every, _ = _versions(spark, base)
-    path = f"{base.rstrip('/')}/v={(every[-1] if every else 0) + 1}"
+    n = claim(spark, base, after)
+    path = f"{base.rstrip('/')}/v={n}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    try:
+        w.parquet(path)
+    finally:
+        release(spark, base, n)
     return path
 
 
+# ----------------------------------------------------------------- buckets
+
+class Buckets(NamedTuple):
+    """What a version lists: the key, the number of buckets, the folder of each
+    bucket that has rows (relative to the table's) and the columns."""
+
+    version: int
+    key: str
+    count: int
+    paths: dict[int, str]
+    schema: T.StructType
+
+
+def bucket_of(key: str, count: int) -> Column:
+    return (F.crc32(F.col(key).cast("string").cast("binary")) % count).cast("int")
+
+
+def bucket_listing(spark: SparkSession, base: str, version: int | None = None) -> Buckets | None:
+    """The listing of a version (the current one by default); ``None`` if it has none."""
+    n = version or current_version(spark, base)
+    fs, p = _fs(spark, f"{base.rstrip('/')}/v={n}/{LISTING}")
+    if not n or not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        d = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return Buckets(n, d["key"], d["count"], {int(k): v for k, v in d["paths"].items()},
+                   T.StructType.fromJson(d["schema"]))
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def publish_buckets(df: DataFrame, base: str, key: str, count: int, keep: Buckets | None = None,
+                    buckets: list[int] | None = None) -> Buckets:
+    """Write ``df`` as the next version, cut into ``count`` buckets.
+
+    With ``keep`` the version builds on that one: ``df`` holds all rows of
+    ``buckets``, which are written, and the others are listed where they are.
+    Rows are gathered by bucket first; REBALANCE lets a large bucket have many
+    files.  The marker comes last, so a failed write is never current.
+    """
+    spark, base = df.sparkSession, base.rstrip("/")
+    n = claim(spark, base, keep.version if keep else None)
+    try:
+        path = f"{base}/v={n}"
+        (df.withColumn(BUCKET, bucket_of(key, count)).hint("rebalance", BUCKET)
+         .write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+         .partitionBy(BUCKET).parquet(path))
+        fs, p = _fs(spark, path)
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        paths = {int(x.split("=")[1]): f"v={n}/{x}" for x in names if x.startswith(f"{BUCKET}=")}
+        if keep:
+            paths = {**{b: x for b, x in keep.paths.items() if b not in (buckets or ())}, **paths}
+        out = Buckets(n, key, count, paths, df.schema)
+        _put(spark, f"{path}/{LISTING}", json.dumps({"key": key, "count": count, "schema": df.schema.jsonValue(),
+                                                     "paths": paths}))
+        _put(spark, f"{path}/{MARKER}", "")
+    finally:
+        release(spark, base, n)
+    return out
+
+
+def read_buckets(spark: SparkSession, base: str, listing: Buckets, only: list[int] | None = None) -> DataFrame:
+    """The rows of a listed version, of the buckets ``only`` if given."""
+    paths = [f"{base.rstrip('/')}/{x}" for b, x in sorted(listing.paths.items()) if only is None or b in set(only)]
+    reader = spark.read.schema(listing.schema)
+    return reader.parquet(*paths) if paths else spark.createDataFrame([], listing.schema)
+
+
+def _in_use(spark: SparkSession, base: str, versions: list[int]) -> set[str]:
+    """Bucket folders that these versions list."""
+    found = (bucket_listing(spark, base, v) for v in versions)
+    return {x for b in found if b for x in b.paths.values()}
+
+
+def retire(spark: SparkSession, base: str, keep: int) -> list[int]:
+    """Remove all committed versions but the last ``keep``; a retired version's
+    buckets that a kept one lists stay.  Returns the retired numbers."""
+    _, done = _versions(spark, base)
+    old, used = done[:-keep] if keep else [], _in_use(spark, base, done[-keep:])
+    fs, p = _fs(spark, base)
+    for v in old:
+        folder = p.suffix(f"/v={v}")
+        fs.delete(folder.suffix(f"/{MARKER}"), False)  # from here on no reader starts on it
+        for st in fs.listStatus(folder):
+            if f"v={v}/{st.getPath().getName()}" not in used:
+                fs.delete(st.getPath(), True)
+        if not fs.listStatus(folder):
+            fs.delete(folder, True)
+    return old
+
+
 def remove_failed(spark: SparkSession, base: str) -> list[int]:
     """Delete the versions below the current one's number that never committed."""
     fs, p = _fs(spark, base)
     every, done = _versions(spark, base)
     failed = [v for v in every if v not in done and done and v < done[-1]]
+    if failed:  # not those of a writer under way, nor retired ones whose buckets are listed
+        used = {x.split("/")[0] for x in _in_use(spark, base, done)}
+        busy = {v for v, hours in _claims(spark, base).items() if hours < CLAIM_HOURS}
+        failed = [v for v in failed if v not in busy and f"v={v}" not in used]
     for v in failed:
         fs.delete(p.suffix(f"/v={v}"), True)
     return failed
@@ -67,7 +238,13 @@ def remove_failed(spark: SparkSession, base: str) -> list[int]:
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     v = current_version(spark, base)
-    return spark.read.parquet(f"{base.rstrip('/')}/v={v}") if v else None
+    if not v:
+        return None
+    listing = bucket_listing(spark, base, v)
+    if listing:
+        df = read_buckets(spark, base, listing)
+        return df.drop(*[c for c in df.columns if c.startswith("__")])
+    return spark.read.parquet(f"{base.rstrip('/')}/v={v}")
 
 
 def write_by_month(df: DataFrame, path: str, date_col: str, mode: str = "overwrite") -> None:
