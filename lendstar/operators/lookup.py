@@ -29,6 +29,31 @@ def join_normalised(left: DataFrame, right: DataFrame, left_col: str, right_col:
     return joined.drop(rkey)
 
 
+_HALF = 1 << 61  # cells are clamped to +-2^61, so that 63 levels cover the line
+
+
+def _cell(value: Column, cell: float) -> Column:
+    """Number of the cell that holds a value, from 0.  It never falls as values
+    rise, also where a double can't hold them all; NULL stays NULL."""
+    low, high = F.lit(-float(_HALF)), F.lit(float(_HALF))
+    x = F.greatest(F.least(value.cast("double") / F.lit(float(cell)), high), low)  # NaN is above all numbers
+    return F.when(value.isNotNull(), F.floor(x).cast("long") + F.lit(_HALF))
+
+
+def _cover(bands: DataFrame, lo: str, hi: str, cell: float) -> DataFrame:
+    """``bands`` with (level, cell) of the dyadic cells that make up each band,
+    at most two on a level."""
+    b = bands.withColumn("__a", _cell(F.col(lo), cell)).withColumn("__z", _cell(F.col(hi), cell) + 1)
+    cells = F.expr("""flatten(transform(sequence(0, 62), k -> transform(
+        filter(array(struct(shiftright(__a - 1, k) + 1 AS at, shiftright(__a - 1, k) + 1 AS l, shiftright(__z, k) AS r, true AS first),
+                     struct(shiftright(__z, k) - 1 AS at, shiftright(__a - 1, k) + 1 AS l, shiftright(__z, k) AS r, false AS first)),
+               c -> c.l < c.r AND CASE WHEN c.first THEN c.l % 2 = 1 ELSE c.r % 2 = 1 END),
+        c -> struct(k AS level, c.at AS cell))))""")
+    met = b.filter(F.col("__a").isNotNull() & F.col("__z").isNotNull() & (F.col("__a") < F.col("__z")))
+    return met.withColumn("__c", F.explode(cells)).select(
+        *bands.columns, F.col("__c.level").alias("__band_level"), F.col("__c.cell").alias("__band_cell"))
+
+
 def band_join(left: DataFrame, value: Column, bands: DataFrame, lo: str, hi: str,
               how: str = "inner", value_name: str = "__band_value", cell: float = 1) -> DataFrame:
     """Join each left row to every band with ``lo <= value <= hi`` (inclusive).
@@ -37,20 +62,32 @@ def band_join(left: DataFrame, value: Column, bands: DataFrame, lo: str, hi: str
     as a SQL BETWEEN join does.  Values and bounds may be of any numeric type.
     Columns: those of ``left``, ``value_name``, those of ``bands``.
 
-    The number line is cut into cells of width ``cell``.  A band is exploded to
-    the cells it meets, clipped to those of values on the left (two scalar
-    subqueries, evaluated once), and joined on the cell with the exact condition
-    on top: an equi-join whose size is bounded by the value domain in cells.
+    The number line is cut into cells of width ``cell``, and pairs of cells into
+    cells of the next level, and so on.  A band is the union of at most two cells
+    a level, whatever its width, and a value lies in one cell of each level, so
+    it meets a band in one cell at most: an equi-join on (level, cell) with the
+    exact condition on top.  Values look up only the levels that some band uses
+    (a scalar of the bands; the left side is read once).  A left join resolves the
+    distinct values and joins them back.
     """
     lhs = left.withColumn(value_name, value)
-    lhs = lhs.withColumn("__cell", F.floor(F.col(value_name) / F.lit(cell)).cast("long"))
-    least, most = lhs.agg(F.min("__cell")).scalar(), lhs.agg(F.max("__cell")).scalar()
-    first = F.greatest(F.floor(F.col(lo) / F.lit(cell)).cast("long"), least)
-    last = F.least(F.floor(F.col(hi) / F.lit(cell)).cast("long"), most)
-    met = bands.filter(F.col(lo).isNotNull() & F.col(hi).isNotNull() & least.isNotNull() & (first <= last))
-    cells = met.withColumn("__band_cell", F.explode(F.sequence(first, last)))
-    inside = (lhs["__cell"] == cells["__band_cell"]) & (lhs[value_name] >= cells[lo]) & (lhs[value_name] <= cells[hi])
-    return lhs.join(cells, inside, how).drop("__cell", "__band_cell")
+    cells = _cover(bands, lo, hi, cell)
+    levels = cells.agg(F.collect_set("__band_level")).scalar()  # 63 numbers at most
+
+    def met(rows: DataFrame) -> DataFrame:
+        keyed = rows.withColumn("__v", _cell(F.col(value_name), cell)).filter(F.col("__v").isNotNull())
+        keyed = keyed.withColumn("__level", F.explode(levels)).withColumn("__cell", F.expr("shiftright(__v, __level)"))
+        inside = ((keyed["__level"] == cells["__band_level"]) & (keyed["__cell"] == cells["__band_cell"])
+                  & (keyed[value_name] >= cells[lo]) & (keyed[value_name] <= cells[hi]))
+        return keyed.join(cells, inside).drop("__v", "__level", "__cell", "__band_level", "__band_cell")
+
+    if how == "inner":
+        return met(lhs)
+    if how != "left":
+        raise ValueError(f"inner or left, not {how}")
+    found = met(lhs.select(F.col(value_name).alias("__value")).distinct().withColumn(value_name, F.col("__value")))
+    found = found.drop(value_name)
+    return lhs.join(found, F.col(value_name) == F.col("__value"), "left").drop("__value")
 
 
 def asof_single(rates: DataFrame, date_col: str, value_col: str, at) -> DataFrame:

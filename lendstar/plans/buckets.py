@@ -20,7 +20,7 @@ from lendstar.sources.versioned import (Buckets, bucket_listing, bucket_of, publ
                                         read_current, remove_failed)
 from lendstar.specs import AUDIT_COLS
 
-BUCKETS = 32
+BUCKETS = 16  # of a table that doesn't say; size it for a few hundred MB to a few GB a bucket
 DIGEST = "__digest"
 
 

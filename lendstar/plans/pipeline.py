@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lendstar.operators import cleanse, keys, star, upsert
 from lendstar.operators.profit import estimate_profits, rate_at, stage_cars
-from lendstar.plans.buckets import upsert_buckets
+from lendstar.plans.buckets import BUCKETS, upsert_buckets
 from lendstar.session import stored, work_folder
 from lendstar.sources.files import CORRUPT, first_available, has_data_files
 from lendstar.sources.versioned import current_version, publish, read_current, remove_failed
@@ -205,13 +205,18 @@ def run_all(spark: SparkSession, deliveries: dict[str, tuple], run_ts, log_base:
 
 # ----------------------------------------------------------------- star schema
 
-def upsert_star_table(rows: DataFrame, base: str, id_col: str, key_col: str) -> dict:
+CODE_TABLE = 1  # bucket of a table with a row for each code or day
+
+
+def upsert_star_table(rows: DataFrame, base: str, id_col: str, key_col: str, count: int = BUCKETS) -> dict:
     """Publish a dimension or fact: keys of known ids never move, new ids get
     keys after the largest one, changed rows take the new values, ids that are
     not delivered stay.  Nothing is published when nothing changed."""
     name = base.rstrip("/").rsplit("/", 1)[-1]
     with work_folder(rows.sparkSession):
-        done = upsert_buckets(stored(rows, name), base, id_col, key_col, [c for c in rows.columns if c != id_col])
+        if current_version(rows.sparkSession, base):
+            rows = stored(rows, name)  # compared first, then written from
+        done = upsert_buckets(rows, base, id_col, key_col, [c for c in rows.columns if c != id_col], count=count)
     return {"step": name, "status": "ok", "message": done["message"], "row_count": done["row_count"],
             "output_name": base, "buckets": done["buckets"]}
 
@@ -282,17 +287,18 @@ def run_star(spark: SparkSession, accounts: DataFrame, balances: DataFrame, tran
     lo, hi = star.calendar_bounds(*dated, within=star.CALENDAR_LIMITS)
     acc = star.account_rows(accounts)
     dims = {
-        "dim_date": lambda: upsert_star_table(star.date_dimension(spark, lo, hi), at("dim_date"), "full_date", "calendar_key"),
+        "dim_date": lambda: upsert_star_table(
+            star.date_dimension(spark, lo, hi), at("dim_date"), "full_date", "calendar_key", CODE_TABLE),
         "dim_account": lambda: upsert_star_table(acc, at("dim_account"), "account_id", "account_key"),
         "dim_organization": lambda: upsert_star_table(
-            star.dim_organization(accounts, keyed=False), at("dim_organization"), "organization_id", "organization_key"),
+            star.dim_organization(accounts, keyed=False), at("dim_organization"), "organization_id", "organization_key", CODE_TABLE),
         "dim_product": lambda: upsert_star_table(
-            star.dim_product(accounts, keyed=False), at("dim_product"), "product_id", "product_key"),
+            star.dim_product(accounts, keyed=False), at("dim_product"), "product_id", "product_key", CODE_TABLE),
         "dim_currency": lambda: upsert_star_table(
-            star.dim_currency(accounts, keyed=False), at("dim_currency"), "currency_id", "currency_key"),
+            star.dim_currency(accounts, keyed=False), at("dim_currency"), "currency_id", "currency_key", CODE_TABLE),
         "dim_transaction_type": lambda: upsert_star_table(
             star.dim_transaction_type(transactions, keyed=False), at("dim_transaction_type"),
-            "transaction_type_id", "transaction_type_key"),
+            "transaction_type_id", "transaction_type_key", CODE_TABLE),
         "dim_account_history": lambda: update_account_history(acc, at("dim_account_history"), day),
     }
     for name, build in dims.items():

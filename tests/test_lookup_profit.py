@@ -100,3 +100,21 @@ def test_asof_lookup_equals_correlated_subquery(spark):
         best = max((p for p in pts if r.d and p[0] <= r.d), default=(None, None))
         assert (r.EffectiveDate, r.BaseInterestRate) == best
     assert got.count() == 121
+
+
+def test_band_join_of_any_width_equals_between(spark):
+    """Bands over billions of cells, decimal and overlapping ones, NULL and reversed bounds, huge values."""
+    bands = spark.sql("""SELECT * FROM VALUES (0D, 3e9D, 1), (2.5D, 2.5D, 2), (-1e300D, 1e300D, 3), (NULL, 5D, 4), (5D, NULL, 5),
+        (9D, 1D, 6), (7D, 1e9D, 7), (-5D, -1.5D, 8), (9007199254740993D, 9007199254740995D, 9), (-7D, 4e18D, 10) AS t(lo, hi, r)""")
+    values = [0.0, 3e9, 3e9 + 1, 2.5, 2.4999, -2.0, -1.5, -1.4, 1e9, 1e9 + 0.5, 1e301, -1e301, float("nan"), float("inf"), None,
+              9007199254740994.0, 9007199254740992.0, 4e18, 5e18, 6.999, 7.0] + [i * 0.37 - 3 for i in range(40)]
+    left = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    left.createOrReplaceTempView("band_left")
+    bands.createOrReplaceTempView("band_right")
+    for how in ("inner", "left"):
+        want = spark.sql(f"SELECT id, r FROM band_left {how} JOIN band_right ON v BETWEEN lo AND hi")
+        for cell in (1, 0.25, 1000):
+            got = lookup.band_join(left, F.col("v"), bands, "lo", "hi", how=how, cell=cell).select("id", "r")
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    cover = lookup._cover(bands, "lo", "hi", 1).groupBy("r").count().collect()
+    assert max(r["count"] for r in cover) <= 2 * 62
