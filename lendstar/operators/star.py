@@ -223,20 +223,33 @@ def orphans(fact: DataFrame, refs: list[tuple[DataFrame | None, str]], id_col: s
     return out
 
 
-def _audited(mapping: list[tuple[str, str]], audit: bool) -> list[tuple[str, str]]:
+def marked(fact: DataFrame, refs: list[tuple[DataFrame | None, str]], name: str = "missing_key") -> DataFrame:
+    """``fact`` with the first foreign key that has no dimension row, NULL if
+    all have one: conforming rows and orphans from one pass."""
+    missing = []
+    for i, (dim, col) in enumerate(refs):
+        found = F.col(col).isNotNull()
+        if dim is not None:
+            fact = fact.join(dim.select(F.col(col), F.lit(True).alias(f"__found{i}")), col, "left")
+            found = F.col(f"__found{i}").isNotNull()
+        missing.append(F.when(~found, F.lit(col)))
+    return fact.withColumn(name, F.coalesce(*missing)).drop(*[f"__found{i}" for i in range(len(refs))])
+
+
+def audited(mapping: list[tuple[str, str]], audit: bool = True) -> list[tuple[str, str]]:
     return mapping + [(c, c) for c in AUDIT_COLS] if audit else mapping
 
 
 def balance_rows(clean_balances: DataFrame, acc_ids: DataFrame, audit: bool = False) -> DataFrame:
     """Fact_Balance rows (no surrogate key) whose account exists; with the
     cleansed table's audit columns for the published table."""
-    return conforming(rename(clean_balances, _audited(BALANCE_FACT_MAP, audit)), [(acc_ids, "account_id")])
+    return conforming(rename(clean_balances, audited(BALANCE_FACT_MAP, audit)), [(acc_ids, "account_id")])
 
 
 def transaction_rows(clean_transactions: DataFrame, acc_ids: DataFrame,
                      ttype_ids: DataFrame | None = None, audit: bool = False) -> DataFrame:
     """Fact_Transaction rows (no surrogate key) whose account and type exist."""
-    return conforming(rename(clean_transactions, _audited(TRANSACTION_FACT_MAP, audit)),
+    return conforming(rename(clean_transactions, audited(TRANSACTION_FACT_MAP, audit)),
                       [(acc_ids, "account_id"), (ttype_ids, "transaction_type_id")])
 
 

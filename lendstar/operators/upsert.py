@@ -11,13 +11,14 @@ move and a re-run with unchanged input produces an identical snapshot.
   CreatedDate, updated rows take new values and UpdatedDate/Time.
 * ``append_changes``: history by appending every changed version.
 * ``scd2_apply``: slowly changing dimension type 2 (valid_from / valid_to /
-  is_current).
+  is_current); ``scd2_merge`` the same for deliveries in any order.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lendstar.functions.audit import audit_values
 from lendstar.operators.changes import (CHANGE, INSERT, MISSING, SAME, STALE, UPDATE, classify,
@@ -114,3 +115,50 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
     out_cols = [key] + cols + ["valid_from", "valid_to", "is_current"]
     return (history.select(*out_cols).unionByName(old_rows.select(*out_cols))
             .unionByName(new_rows.select(*out_cols)))
+
+
+def scd2_merge(versions: DataFrame, delivery: DataFrame, key: str, tracked: list[str], as_of,
+               seen: DataFrame | None = None) -> DataFrame:
+    """All versions of the keys whose history the delivery of ``as_of`` changes.
+
+    The delivery may be older than versions that are there.  A version lasts
+    until the next delivery that holds the key shows something else, so with the
+    days on which each key was delivered (``seen``: key, as_of) any order of
+    deliveries gives one history.  At ``as_of`` a version begins, replaces one
+    that begins there, or joins an equal one before or behind; where it falls
+    inside a version, that one goes on from the key's next delivery.  Without
+    ``seen`` the next delivery is taken to be the next version's first.
+
+    ``versions``: key, tracked columns, valid_from.  Result: key, tracked columns,
+    valid_from, valid_to, is_current.
+    """
+    cols, t = [c for c in tracked if c != key], F.lit(str(as_of)).cast("date")
+    begun = F.col("valid_from")
+    was = versions.select(key, "valid_from", F.struct(*cols).alias("was"))
+    now = delivery.select(key, F.struct(*cols).alias("now"))
+    row = F.struct("valid_from", "was")
+    around = was.join(now.select(key), key, "left_semi").groupBy(key).agg(
+        F.max(F.when(begun <= t, row)).alias("cur"), F.max(F.when(begun < t, row)).alias("prev"),
+        F.min(F.when(begun > t, row)).alias("nxt"))
+    at = now.join(around, key, "left").filter(F.col("cur").isNull() | ~F.col("cur.was").eqNullSafe(F.col("now")))
+    if seen is not None:  # no folder of a later day: nothing is read
+        later = seen.filter(F.col("as_of") > t).groupBy(key).agg(F.min("as_of").alias("next_seen"))
+        at = at.join(later, key, "left")
+    else:
+        at = at.withColumn("next_seen", F.lit(None).cast("date"))
+    after = F.least("next_seen", "nxt.valid_from")
+    none = F.lit(None).cast(was.schema["was"].dataType)
+    starts = F.array(
+        F.when(F.col("prev").isNull() | ~F.col("prev.was").eqNullSafe(F.col("now")),
+               F.struct(t.alias("valid_from"), F.col("now").alias("was"))),
+        F.when(after.isNotNull() & (F.col("nxt").isNull() | (F.col("nxt.valid_from") > after)),
+               F.struct(after.alias("valid_from"), F.coalesce(F.col("cur.was"), none).alias("was"))))
+    fresh = at.select(key, F.explode(starts).alias("s")).filter(F.col("s").isNotNull()).select(key, "s.*")
+    joins = at.select(key, F.when(F.col("nxt.was").eqNullSafe(F.col("now")) & (F.col("nxt.valid_from") == after),
+                                  F.col("nxt.valid_from")).alias("joined"))
+    stay = was.join(joins, key).filter((begun != t) & ~begun.eqNullSafe(F.col("joined"))).drop("joined")
+    w = Window.partitionBy(key).orderBy("valid_from")  # the versions of one key
+    until = F.lead("valid_from").over(w)
+    return stay.unionByName(fresh).select(
+        key, *[F.col("was").getField(c).alias(c) for c in cols], "valid_from",
+        F.date_sub(until, 1).alias("valid_to"), until.isNull().alias("is_current"))

@@ -73,6 +73,9 @@ FROM staged c JOIN (VALUES (CAST(NULL AS DECIMAL(4,2)), 9.00, CAST(0.5 AS DOUBLE
   (2.00, CAST(NULL AS DECIMAL(4,2)), 0.3), (2.25, 9.00, 0.1)) d(lo, hi, rate)
   ON year(c.FileMonth) - c.ManufactureYear + 0.25 BETWEEN d.lo AND d.hi""", ("staged",))
 
+_BANDS = """(VALUES (CAST(0 AS DECIMAL(15,5)), CAST(3000000000 AS DECIMAL(15,5)), 1), (-3000000000, 99.995, 2), (1000.5, 1000.5, 3),
+  (2500.25, 250000.75, 4), (9, 1, 5), (CAST(NULL AS DECIMAL(15,5)), 5, 6), (5, CAST(NULL AS DECIMAL(15,5)), 7)) d(lo, hi, band)"""
+
 oracle("rate_asof_null_dates", """
 SELECT a.LoanAccountId, a.OpenDateId, a.d,
   (SELECT max(EffectiveDate) FROM interest_rates i WHERE i.EffectiveDate <= a.d) AS EffectiveDate,
@@ -213,6 +216,8 @@ oracle("dedup_balances", "SELECT LoanAccountBalanceId, BalanceDateId, LoanAccoun
 oracle("dedup_transactions",
        "SELECT LoanAccountTransactionId, TransactionDateId, TransactionReference FROM clean_txn",
        ("clean_txn",))
+oracle("band_join_wide", f"""
+SELECT LoanAccountBalanceId, Balance, band FROM clean_bal JOIN {_BANDS} ON Balance BETWEEN lo AND hi""", ("clean_bal",))
 oracle("duplicate_keys", """
 SELECT LoanAccountTransactionId, count(*) AS n FROM raw_loan_transaction
 GROUP BY LoanAccountTransactionId HAVING count(*) > 1""")
@@ -320,6 +325,33 @@ FROM clean_acc2 n JOIN classified k ON n.{_K} = k.{_K} WHERE k.change IN ('inser
 oracle("rerun_is_noop", """
 SELECT CAST(1 AS BIGINT) AS versions, CAST(0 AS BIGINT) AS changed_rows, count(*) AS unchanged_rows FROM clean_acc""",
        ("clean_acc",))
+
+def _crc32(c: str) -> str:
+    """CRC-32 of the decimal text of an integer, bit by bit."""
+    step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    digits = f"list_transform(string_split(CAST({c} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return (f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {digits}), lambda a, b: list_reduce(list_concat([xor(a, b)], "
+            f"list_transform(range(8), lambda i: CAST(0 AS BIGINT))), lambda c, z: {step})), 4294967295)")
+
+
+step("raw_acc_changed", "SELECT * REPLACE (CASE WHEN LoanAccountId % 100 = 1 THEN '777,70' ELSE CurrentInstallmentAmount END "
+                        "AS CurrentInstallmentAmount) FROM raw_loan_account")
+step("conf_acc_changed", conform_sql(ACCOUNT, "raw_acc_changed"), ("raw_acc_changed",))
+step("clean_acc_changed", clean_sql(ACCOUNT, "conf_acc_changed"), ("conf_acc_changed",))
+step("acc_changes", "SELECT n.LoanAccountId, o.LoanAccountId IS NULL AS is_new FROM clean_acc_changed n LEFT JOIN clean_acc o "
+                    "ON n.LoanAccountId = o.LoanAccountId WHERE n.CurrentInstallmentAmount IS DISTINCT FROM o.CurrentInstallmentAmount",
+     ("clean_acc_changed", "clean_acc"))
+oracle("upsert_changed_buckets", f"""
+SELECT x.*, (SELECT count(*) FROM acc_changes) AS changed_rows,
+  (SELECT count(DISTINCT {_crc32('LoanAccountId')} % 16) FROM acc_changes) AS written_buckets
+FROM (SELECT s.{_IDC}, s.LoanAccountId, n.CurrentInstallmentAmount, s.CreatedDate,
+        CASE WHEN s.LoanAccountId IN (SELECT LoanAccountId FROM acc_changes) THEN CAST({_lt2} AS DATE) ELSE s.UpdatedDate END AS UpdatedDate
+      FROM snap_acc s JOIN clean_acc_changed n ON n.LoanAccountId = s.LoanAccountId
+      UNION ALL
+      SELECT CAST(row_number() OVER (ORDER BY n.LoanAccountId) + (SELECT m FROM max_acc) AS BIGINT), n.LoanAccountId,
+        n.CurrentInstallmentAmount, {_lt2}, CAST({_lt2} AS DATE)
+      FROM clean_acc_changed n JOIN acc_changes c ON c.LoanAccountId = n.LoanAccountId WHERE c.is_new) x""",
+       ("snap_acc", "acc_changes", "max_acc"))
 oracle("late_delivery_merge", f"SELECT LoanAccountId, OpenDateId, OpenDate, {_IDC} FROM snap_acc", ("snap_acc",))
 oracle("table_pipeline_log", " UNION ALL ".join(
     f"SELECT '{s.name}' AS step, 'ok' AS status, 'first load' AS message, (SELECT count(*) FROM clean_{n}) AS row_count, "
@@ -338,6 +370,9 @@ from lendstar.specs import TRANSACTION_SCHEMA  # noqa: E402
 
 oracle("scan_csv_roundtrip",
        f"SELECT {', '.join(f.name for f in TRANSACTION_SCHEMA.fields)} FROM raw_loan_transaction")
+oracle("scan_csv_layouts", "SELECT " + ", ".join(
+    "CASE WHEN LoanAccountTransactionId % 3 <> 2 THEN TransactionReference END AS TransactionReference"
+    if f.name == "TransactionReference" else f.name for f in TRANSACTION_SCHEMA.fields) + " FROM raw_loan_transaction")
 oracle("scan_parquet", "SELECT * FROM orders")
 oracle("scan_csv_inferred", "SELECT LoanAccountBalanceId, LoanAccountId, CAST(BalanceDateId AS BIGINT) AS BalanceDateId, "
        "Balance FROM raw_loan_balance")
@@ -495,6 +530,17 @@ SELECT n.account_id, {', '.join('n.' + c for c in _TR)}, DATE '{RUN_DATE}' AS va
 FROM scd_d2 n JOIN scd_cls k ON n.account_id = k.account_id WHERE k.change IN ('insert', 'update')""",
        ("scd_d1", "scd_d2", "scd_cls"))
 
+step("history_seen", f"""
+SELECT *, DATE '{DAY1_DATE_}' AS d FROM scd_d1 UNION ALL SELECT *, DATE '{RUN_DATE}' FROM scd_d2
+UNION ALL SELECT * REPLACE (invoice_day + CASE WHEN account_id % 3 = 0 THEN 1 ELSE 0 END AS invoice_day), DATE '2025-06-08'
+FROM scd_d1 WHERE account_id % 7 <> 3""", ("scd_d1", "scd_d2"))
+oracle("account_history_late_delivery", f"""
+SELECT account_id, {', '.join(_TR)}, d AS valid_from,
+  CAST(lead(d) OVER w - INTERVAL 1 DAY AS DATE) AS valid_to, lead(d) OVER w IS NULL AS is_current
+FROM (SELECT *, lag(x) OVER (PARTITION BY account_id ORDER BY d) AS before, row_number() OVER (PARTITION BY account_id ORDER BY d) AS n
+      FROM (SELECT *, struct_pack({', '.join(f'{c} := {c}' for c in _TR)}) AS x FROM history_seen) a) b
+WHERE n = 1 OR x IS DISTINCT FROM before WINDOW w AS (PARTITION BY account_id ORDER BY d)""", ("history_seen",))
+
 # --------------------------------------------------------------- star publishing
 
 step("cal", f"""
@@ -512,6 +558,26 @@ oracle("star_first_load", " UNION ALL ".join(
     f"CAST(({q}) AS BIGINT) AS row_count" for t, q in _STAR), _STAR_USES)
 oracle("star_rerun_is_noop", " UNION ALL ".join(
     f"SELECT '{t}' AS step, 'ok' AS status, 'no changes' AS message, CAST(0 AS BIGINT) AS row_count" for t, _ in _STAR))
+_WAIT = "rows without dimension row kept for a later run"
+
+
+def _orphans_sql(fact: str, rows: str) -> str:
+    """Loaded and waiting rows of two runs, the second one with every account and no facts."""
+    has = lambda *dims: " OR ".join(f"EXISTS (SELECT 1 FROM {d} d WHERE d.account_id = f.account_id)" for d in dims)
+    one, both = f"({has('dim_acc2')})", f"({has('dim_acc', 'dim_acc2')})"
+    q = lambda cond: f"(SELECT count(*) FROM {rows} f WHERE {cond})"
+    waits = f"SELECT {{run}} AS run, '{fact}_orphans' AS step, CASE WHEN n > 0 THEN 'warning' ELSE 'ok' END AS status, " \
+            f"CASE WHEN n > 0 THEN '{_WAIT}' ELSE 'no rows waiting' END AS message, n AS row_count FROM (SELECT {{n}} AS n) x"
+    return " UNION ALL ".join([
+        f"SELECT 1 AS run, '{fact}' AS step, 'ok' AS status, 'first load' AS message, {q(one)} AS row_count",
+        waits.format(run=1, n=q(f"NOT {one}")) + " WHERE n > 0",
+        f"SELECT 2, '{fact}', 'ok', CASE WHEN n > 0 THEN 'changes merged' ELSE 'no changes' END, n "
+        f"FROM (SELECT {q(f'NOT {one} AND {both}')} AS n) x",
+        waits.format(run=2, n=q(f"NOT {both}")) + f" WHERE {q(f'NOT {one}')} > 0"])
+
+
+oracle("star_orphans_retried", _orphans_sql("fact_balance", "bal_rows") + " UNION ALL "
+       + _orphans_sql("fact_transaction", "txn_rows"), ("bal_rows", "txn_rows", "dim_acc", "dim_acc2"))
 step("old_new", """
 SELECT account_id, account_key FROM dim_acc
 UNION ALL SELECT account_id, row_number() OVER (ORDER BY account_id) + (SELECT max(account_key) FROM dim_acc)
@@ -533,16 +599,30 @@ FROM bal_rows f JOIN scd_cls k ON f.account_id = k.account_id""", ("bal_rows", "
 
 # --------------------------------------------------------------- marts and reports
 
+step("last_bal", """
+SELECT *, lead(m) OVER (PARTITION BY account_id ORDER BY m) AS nxt
+FROM (SELECT account_id, product_id, currency_id, balance_eur, year(balance_date) * 12 + month(balance_date) - 1 AS m,
+        row_number() OVER (PARTITION BY account_id, year(balance_date) * 12 + month(balance_date)
+                           ORDER BY balance_date DESC, balance_id DESC) AS rn
+      FROM fact_bal WHERE balance_date IS NOT NULL) x WHERE rn = 1""", ("fact_bal",))
 oracle("mart_balance_by_month", """
 SELECT month, product_name, currency_code, count(DISTINCT account_id) AS accounts,
   CAST(sum(balance) AS DECIMAL(18,2)) AS balance,
   CAST(GROUPING(month, product_name, currency_code) AS INT) AS rollup_level
-FROM (SELECT CAST(year(f.balance_date) * 100 + month(f.balance_date) AS INT) AS month,
-        p.product_name, c.currency_code, f.account_id, sum(f.balance_eur) AS balance
-      FROM fact_bal f JOIN dim_prod p ON f.product_id = p.product_id
-      JOIN dim_cur c ON f.currency_id = c.currency_id
-      GROUP BY 1, f.product_id, f.currency_id, p.product_name, c.currency_code, f.account_id) x
-GROUP BY ROLLUP (month, product_name, currency_code)""", ("fact_bal", "dim_prod", "dim_cur"))
+FROM (SELECT CAST(f.m // 12 * 100 + f.m % 12 + 1 AS INT) AS month,
+        p.product_name, c.currency_code, f.account_id, f.balance_eur AS balance
+      FROM last_bal f JOIN dim_prod p ON f.product_id = p.product_id
+      JOIN dim_cur c ON f.currency_id = c.currency_id) x
+GROUP BY ROLLUP (month, product_name, currency_code)""", ("last_bal", "dim_prod", "dim_cur"))
+
+# Every account in every month from its first balance on.
+oracle("mart_month_end_balance", """
+SELECT month, product_name, currency_code, count(*) AS accounts, CAST(sum(balance_eur) AS DECIMAL(18,2)) AS balance,
+  CAST(GROUPING(month, product_name, currency_code) AS INT) AS rollup_level
+FROM (SELECT CAST(g.m // 12 * 100 + g.m % 12 + 1 AS INT) AS month, p.product_name, c.currency_code, g.balance_eur
+      FROM (SELECT * EXCLUDE (m), unnest(range(m, coalesce(nxt, (SELECT max(m) FROM last_bal) + 1))) AS m FROM last_bal) g
+      JOIN dim_prod p ON g.product_id = p.product_id JOIN dim_cur c ON g.currency_id = c.currency_id) x
+GROUP BY GROUPING SETS ((month, product_name, currency_code), (month, product_name), (month))""", ("last_bal", "dim_prod", "dim_cur"))
 
 oracle("mart_transactions_by_type", """
 SELECT CAST(year(transaction_date) * 100 + month(transaction_date) AS INT) AS month,

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from lendstar.operators import cleanse, keys, star, upsert
 from lendstar.operators.profit import estimate_profits, rate_at, stage_cars
-from lendstar.plans.buckets import BUCKETS, upsert_buckets
+from lendstar.plans.buckets import BUCKETS, touched, upsert_buckets
 from lendstar.session import stored, work_folder
 from lendstar.sources.files import CORRUPT, first_available, has_data_files
-from lendstar.sources.versioned import current_version, publish, read_current, remove_failed
+from lendstar.sources.versioned import (bucket_listing, current_version, publish, publish_buckets, read_buckets,
+                                        read_current, remove_failed)
 from lendstar.specs import TableSpec
 
 LOG_SCHEMA = "step string, status string, message string, row_count long, output_name string"
@@ -174,7 +175,8 @@ def run_table_etl(raw: DataFrame, spec: TableSpec, target_base: str, run_ts, bat
 
 def _isolated(rows: list[dict], step: str, output: str, fn) -> None:
     try:
-        rows.append(fn())
+        done = fn()
+        rows += done if isinstance(done, list) else [done]
     except Exception as e:  # noqa: BLE001 - isolation is the point
         rows.append({"step": step, "status": "error", "message": str(e), "row_count": 0, "output_name": output})
 
@@ -205,6 +207,29 @@ def run_all(spark: SparkSession, deliveries: dict[str, tuple], run_ts, log_base:
 
 # ----------------------------------------------------------------- star schema
 
+def _load_fact(rows: DataFrame, refs: list[tuple], base: str, id_col: str, key_col: str, finish=None) -> list[dict]:
+    """Load the rows whose foreign keys exist, among them those that waited for
+    their dimension rows; the others are stored beside the fact and tried again
+    by each run.  A delivered row replaces a waiting one.  Returns log rows."""
+    spark, kept, name = rows.sparkSession, f"{base}_orphans", base.rsplit("/", 1)[-1]
+    waiting = read_current(spark, kept)
+    if waiting is not None:
+        rows = rows.unionByName(waiting.select(*rows.columns).join(rows.select(id_col), id_col, "left_anti"))
+    with work_folder(spark):
+        all_rows = stored(star.marked(rows, refs), "marked")
+        good = all_rows.filter("missing_key IS NULL").select(*rows.columns)
+        log = [upsert_star_table(finish(good) if finish else good, base, id_col, key_col)]
+        bad = all_rows.filter("missing_key IS NOT NULL")
+        n = bad.count()
+        if waiting is None and not n:
+            return log
+        if waiting is None or waiting.count() != n or not bad.exceptAll(waiting.select(*bad.columns)).isEmpty():
+            publish_counted(bad, kept)
+        log.append({"step": f"{name}_orphans", "status": "warning" if n else "ok", "row_count": n, "output_name": kept,
+                    "message": "rows without dimension row kept for a later run" if n else "no rows waiting"})
+    return log
+
+
 CODE_TABLE = 1  # bucket of a table with a row for each code or day
 
 
@@ -221,33 +246,59 @@ def upsert_star_table(rows: DataFrame, base: str, id_col: str, key_col: str, cou
             "output_name": base, "buckets": done["buckets"]}
 
 
+def sightings_path(base: str) -> str:
+    return f"{base.rstrip('/')}_sightings"
+
+
+def _sighted(rows: DataFrame, base: str, as_of) -> None:
+    """Note which accounts the delivery of this day holds, each once."""
+    spark, path = rows.sparkSession, sightings_path(base)
+    seen = rows.select("account_id", F.lit(str(as_of)).cast("date").alias("as_of"))
+    if has_data_files(spark, path):
+        seen = seen.join(spark.read.parquet(path).filter(F.col("as_of") == F.lit(str(as_of)).cast("date"))
+                         .select("account_id"), "account_id", "left_anti")
+    seen.write.mode("append").partitionBy("as_of").parquet(path)
+
+
 def update_account_history(rows: DataFrame, base: str, as_of) -> dict:
-    """Account versions by validity (SCD2), each with a ``version_key`` that stays."""
-    spark = rows.sparkSession
-    tracked = [c for c in rows.columns if c != "account_id"]
+    """Account versions by validity (SCD2), each with a ``version_key`` that stays.
+
+    Deliveries may come in any order: an older one splits the versions that it
+    falls into.  For that, the accounts of each delivery are noted beside the
+    table, a folder a day; a delivery that isn't late reads none of them.  Only
+    buckets with changed accounts are written.
+    """
+    spark, key, ids = rows.sparkSession, "account_id", ["account_id", "valid_from"]
+    tracked = [c for c in rows.columns if c != key]
+    done = {"step": "dim_account_history", "status": "ok", "message": "versions published", "output_name": base}
     with work_folder(spark):
-        current = read_current(spark, base)
-        if current is None:
-            nxt = upsert.scd2_initial(rows, "account_id", tracked, as_of)
-            old_keys, top = None, None
-        else:
-            nxt = upsert.scd2_apply(current.drop("version_key"), rows, "account_id", tracked, as_of)
-            old_keys = current.select("account_id", "valid_from", "version_key")
-            top = keys.max_identity(current, "version_key")
-        nxt = stored(nxt, "history")
-        if current is not None and nxt.exceptAll(current.select(*nxt.columns)).isEmpty():
-            return {"step": "dim_account_history", "status": "ok", "message": "no changes", "row_count": 0,
-                    "output_name": base}
-        ids = ["account_id", "valid_from"]
-        if old_keys is None:
-            out = keys.assign_dense_identity(nxt, ids, "version_key")
-        else:
-            kept = nxt.join(old_keys, ids)
-            new = keys.assign_dense_identity(nxt.join(old_keys, ids, "left_anti"), ids, "version_key", base=top)
-            out = kept.select(*new.columns).unionByName(new)
-        _, n = publish_counted(out, base)
-        return {"step": "dim_account_history", "status": "ok", "message": "versions published",
-                "row_count": n, "output_name": base}
+        rows = stored(rows, "delivery")
+        listing = bucket_listing(spark, base)
+        if listing is None:
+            current = read_current(spark, base)
+            if current is None:
+                first = keys.assign_dense_identity(upsert.scd2_initial(rows, key, tracked, as_of), ids, "version_key")
+                publish_buckets(first, base, key, BUCKETS)
+                _sighted(rows, base, as_of)
+                return {**done, "row_count": read_current(spark, base).count()}
+            listing = publish_buckets(current, base, key, BUCKETS)  # a table of an earlier layout
+        versions = read_buckets(spark, base, listing, touched(rows, key, listing.count))
+        seen = spark.read.parquet(sightings_path(base)) if has_data_files(spark, sightings_path(base)) else None
+        changed = stored(upsert.scd2_merge(versions, rows, key, tracked, as_of, seen), "changed")
+        buckets = touched(changed, key, listing.count)
+        if not buckets:
+            _sighted(rows, base, as_of)
+            return {**done, "message": "no changes", "row_count": 0}
+        old_keys = versions.select(*ids, "version_key")
+        new = changed.join(old_keys, ids, "left_anti")
+        top = keys.max_identity(read_buckets(spark, base, listing), "version_key")
+        new = keys.assign_dense_identity(new, ids, "version_key", base=top)
+        rest = read_buckets(spark, base, listing, buckets).join(changed.select(key).distinct(), key, "left_anti")
+        out = rest.unionByName(changed.join(old_keys, ids)).unionByName(new)
+        publish_buckets(out.select(*listing.schema.names), base, key, listing.count, listing, buckets)
+        remove_failed(spark, base)
+        _sighted(rows, base, as_of)
+        return {**done, "row_count": changed.count()}
 
 
 def account_version_at(fact: DataFrame, date_col: str, history: DataFrame) -> DataFrame:
@@ -277,6 +328,7 @@ def run_star(spark: SparkSession, accounts: DataFrame, balances: DataFrame, tran
     """Build, upsert and publish the star schema from cleansed tables below
     ``base``: dimensions first, then facts, one log row per table.  A failing
     table does not stop the others, but facts only follow published dimensions.
+    Facts without their account or type are kept, logged and tried again.
     Each date column with dates that the calendar may not cover adds a warning.
     """
     base = base.rstrip("/")
@@ -310,14 +362,16 @@ def run_star(spark: SparkSession, accounts: DataFrame, balances: DataFrame, tran
             raise SourceMissing(f"{name} isn't published")
         return df
 
-    def balance() -> dict:
-        fact = star.balance_rows(balances, published("dim_account"), audit=True)
-        fact = account_version_at(fact, "balance_date", published("dim_account_history"))
-        return upsert_star_table(fact, at("fact_balance"), "balance_id", "balance_key")
+    def balance() -> list[dict]:
+        history = published("dim_account_history")
+        return _load_fact(star.rename(balances, star.audited(star.BALANCE_FACT_MAP)), [(published("dim_account"), "account_id")],
+                          at("fact_balance"), "balance_id", "balance_key",
+                          lambda good: account_version_at(good, "balance_date", history))
 
-    def transaction() -> dict:
-        fact = star.transaction_rows(transactions, published("dim_account"), published("dim_transaction_type"), audit=True)
-        return upsert_star_table(fact, at("fact_transaction"), "transaction_id", "transaction_key")
+    def transaction() -> list[dict]:
+        refs = [(published("dim_account"), "account_id"), (published("dim_transaction_type"), "transaction_type_id")]
+        return _load_fact(star.rename(transactions, star.audited(star.TRANSACTION_FACT_MAP)), refs,
+                          at("fact_transaction"), "transaction_id", "transaction_key")
 
     _isolated(rows, "fact_balance", at("fact_balance"), balance)
     _isolated(rows, "fact_transaction", at("fact_transaction"), transaction)

@@ -82,6 +82,15 @@ def depreciation_band_edges(spark, sf_dir):
         "RecordID", "age", "rate")
 
 
+@query
+def band_join_wide(spark, sf_dir):
+    """Bands of balances over billions of cells, overlapping, decimal, open and reversed."""
+    bands = spark.sql("SELECT * FROM VALUES (0BD, 3000000000BD, 1), (-3000000000BD, 99.995BD, 2), (1000.5BD, 1000.5BD, 3), "
+                      "(2500.25BD, 250000.75BD, 4), (9BD, 1BD, 5), (NULL, 5BD, 6), (5BD, NULL, 7) AS t(lo, hi, band)")
+    bal = cleanse.clean(_fx(spark, sf_dir).bal, BALANCE).select("LoanAccountBalanceId", "Balance")
+    return lookup.band_join(bal, F.col("Balance"), bands, "lo", "hi").select("LoanAccountBalanceId", "Balance", "band")
+
+
 @query
 def rate_asof_null_dates(spark, sf_dir):
     """A rate without a date is never used; an account without a month gets none."""
@@ -331,6 +340,20 @@ def rerun_is_noop(spark, sf_dir):
         F.lit(again["row_count"]).cast("long").alias("changed_rows"), F.count(F.lit(1)).alias("unchanged_rows"))
 
 
+@query
+def upsert_changed_buckets(spark, sf_dir):
+    """A second delivery with one changed row in a hundred: the merged table, and
+    how many of its buckets were written anew."""
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "buckets", ACCOUNT.name)
+    pipeline.run_table_etl(fx.acc, ACCOUNT, base, DAY1_TS)
+    amount = F.when(F.col("LoanAccountId") % 100 == 1, "777,70").otherwise(F.col("CurrentInstallmentAmount"))
+    done = pipeline.run_table_etl(fx.acc.withColumn("CurrentInstallmentAmount", amount), ACCOUNT, base, DAY2_TS)
+    return versioned.read_current(spark, base).select(
+        ACCOUNT.identity_col, "LoanAccountId", "CurrentInstallmentAmount", "CreatedDate", "UpdatedDate",
+        F.lit(done["row_count"]).cast("long").alias("changed_rows"), F.lit(done["buckets"]).cast("long").alias("written_buckets"))
+
+
 @query
 def late_delivery_merge(spark, sf_dir):
     """Newer rows delivered first, the older ones later: as if delivered at once."""
@@ -381,6 +404,19 @@ def scan_csv_roundtrip(spark, sf_dir):
     return good
 
 
+@query
+def scan_csv_layouts(spark, sf_dir):
+    """Raw transactions in files of three layouts (declared order; reversed; one column
+    left out and one added): one table, by the names in the headers."""
+    txn = _fx(spark, sf_dir).txn
+    path, third = work_path(spark, "csv", "layouts"), F.col("LoanAccountTransactionId") % 3
+    files.write_delimited(txn.filter(third == 0), f"{path}/declared")
+    files.write_delimited(txn.filter(third == 1).select(*reversed(txn.columns)), f"{path}/reversed")
+    files.write_delimited(txn.filter(third == 2).drop("TransactionReference").withColumn("Remark", F.lit("x")), f"{path}/other")
+    good, _bad = files.split_corrupt(files.read_delimited(spark, f"{path}/*", TRANSACTION_SCHEMA))
+    return good
+
+
 @query
 def scan_csv_inferred(spark, sf_dir):
     """Raw balances written as a ';' file and read back with inferred types."""
@@ -463,14 +499,16 @@ from lendstar.operators import marts, star  # noqa: E402
 
 @query
 def dim_date(spark, sf_dir):
-    """Calendar over the warehouse span, widened to every date the deliveries carry."""
-    fx = _fx(spark, sf_dir)
-    accepted = lambda t: cleanse.accepted(fx.get(RAW[t]), SPEC[t])
-    lo, hi = star.calendar_bounds(
-        (accepted("transaction").select(date_from_key("TransactionDateId").alias("d")), "d"),
-        (accepted("balance").select(date_from_key("BalanceDateId").alias("d")), "d"),
-        (accepted("account").select(F.col("OpenDate").alias("d")), "d"),
-        start=CALENDAR_START, end=CALENDAR_END, within=star.CALENDAR_LIMITS)
+    """Calendar over the warehouse span, widened to every date the deliveries carry.
+
+    Only rows dated outside the span can widen it, so no others are cleansed."""
+    fx = _fx(spark, sf_dir)
+    dated = (("transaction", date_from_key("TransactionDateId")), ("balance", date_from_key("BalanceDateId")),
+             ("account", F.col("OpenDate")))
+    span = [F.lit(d).cast("date") for d in (CALENDAR_START, CALENDAR_END)]
+    dates = [cleanse.accepted(fx.get(RAW[t]).filter(~d.between(*span)), SPEC[t]).select(d.alias("d")) for t, d in dated]
+    every = dates[0].unionByName(dates[1]).unionByName(dates[2])
+    lo, hi = star.calendar_bounds((every, "d"), start=CALENDAR_START, end=CALENDAR_END, within=star.CALENDAR_LIMITS)
     return star.date_dimension(spark, lo, hi)
 
 
@@ -555,6 +593,19 @@ def dim_account_scd2(spark, sf_dir):
     return upsert.scd2_apply(day1, day2, "account_id", SCD_TRACKED, RUN_DATE)
 
 
+@query
+def account_history_late_delivery(spark, sf_dir):
+    """Three deliveries, the middle one last: the history as if they came in order."""
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "history")
+    first, last = (star.account_rows(_clean_shared(fx, "account", day2)) for day2 in (False, True))
+    middle = first.filter("account_id % 7 <> 3").withColumn(
+        "invoice_day", (F.col("invoice_day") + (F.col("account_id") % 3 == 0).cast("int")).cast(first.schema["invoice_day"].dataType))
+    for rows, day in ((first, DAY1_DATE), (last, RUN_DATE), (middle, "2025-06-08")):
+        pipeline.update_account_history(rows, base, day)
+    return versioned.read_current(spark, base).drop("version_key")
+
+
 # --------------------------------------------------------------- marts, reports
 
 @query
@@ -566,6 +617,14 @@ def mart_balance_by_month(spark, sf_dir):
                                   star.dim_currency(acc, keyed=False))
 
 
+@query
+def mart_month_end_balance(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    acc = _clean_shared(fx, "account")
+    rows = star.balance_rows(_clean(fx, "balance"), star.account_ids(acc))
+    return marts.month_end_balance(rows, star.dim_product(acc, keyed=False), star.dim_currency(acc, keyed=False))
+
+
 @query
 def mart_transactions_by_type(spark, sf_dir):
     fx = _fx(spark, sf_dir)
@@ -662,3 +721,15 @@ def fact_balance_versions(spark, sf_dir):
     history = versioned.read_current(spark, f"{base}/dim_account_history").select(
         F.col("version_key").alias("account_version_key"), "valid_from")
     return fact.join(history, "account_version_key").select("balance_id", "account_id", "balance_date", "valid_from")
+
+
+@query
+def star_orphans_retried(spark, sf_dir):
+    """Facts before their accounts: kept, and loaded when the accounts arrive."""
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "star")
+    none = lambda t: with_audit(_clean_shared(fx, t), DAY1_TS).filter("false")
+    logs = [_run_star(fx, base, _clean_shared(fx, "account", day2=True), DAY1_TS),
+            pipeline.run_star(spark, _clean_shared(fx, "account"), none("balance"), none("transaction"), base, DAY2_TS)]
+    out = [_log_columns(x).filter("step LIKE 'fact%'").select(F.lit(i).alias("run"), "*") for i, x in enumerate(logs, 1)]
+    return out[0].unionByName(out[1])

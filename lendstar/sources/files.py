@@ -7,6 +7,9 @@ never by catching a failed read of the data.
 
 from __future__ import annotations
 
+import csv
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,25 +43,108 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The non-hidden files of a file, folder or glob pattern."""
+    fs, p = _fs(spark, path)
+    out = []
+    for st in fs.globStatus(p) or []:
+        it = fs.listFiles(st.getPath(), True)
+        while it.hasNext():
+            f = it.next().getPath()
+            if not any(part.startswith(("_", ".")) for part in f.toString()[len(st.getPath().toString()):].split("/")[1:]):
+                out.append(f.toString())
+    return sorted(out)
+
+
+def header_of(spark: SparkSession, path: str, sep: str = ";") -> tuple[str, ...]:
+    """Column names in a delimited file's first line (compressed files too)."""
+    fs, p = _fs(spark, path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    raw = fs.open(p)
+    try:
+        stream = codec.createInputStream(raw) if codec else raw
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        raw.close()
+    if not line:
+        return ()
+    return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")], delimiter=sep)))
+
+
+class Layout(NamedTuple):
+    """Files with one header, and how it differs from the declared columns."""
+
+    header: tuple[str, ...]
+    files: list[str]
+    missing: list[str]
+    extra: list[str]
+    reordered: bool
+
+
+def delivery_layouts(spark: SparkSession, paths: list[str], schema: T.StructType, sep: str = ";") -> list[Layout]:
+    """The distinct headers of the files; files without any line are left out.
+    One line of each file is read here."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in paths:
+        header = header_of(spark, f, sep)
+        if header:
+            groups.setdefault(header, []).append(f)
+    declared = {f.name.lower(): i for i, f in enumerate(schema.fields)}
+    out = []
+    for header, files in sorted(groups.items()):
+        at = [declared[h.lower()] for h in header if h.lower() in declared]
+        if not at:
+            raise ValueError(f"no declared column in the header of {files[0]}: {sep.join(header)}")
+        if len(at) > len(set(at)):
+            raise ValueError(f"a column twice in the header of {files[0]}: {sep.join(header)}")
+        out.append(Layout(header, files, [f.name for i, f in enumerate(schema.fields) if i not in at],
+                          [h for h in header if h.lower() not in declared], at != sorted(at)))
+    return out
+
+
+def read_layouts(spark: SparkSession, layouts: list[Layout], schema: T.StructType, sep: str = ";",
+                 keep_corrupt: bool = True) -> DataFrame | None:
+    """Files of any declared-by-name layouts as one table of the declared columns:
+    a reordered column is found by its name, a missing one is NULL (conformance
+    gives it its default or rejects the row), an extra one is left out."""
+    declared = {f.name.lower(): f for f in schema.fields}
+    marker = [T.StructField(CORRUPT, T.StringType(), True)] if keep_corrupt else []
+    out = None
+    for one in layouts:
+        fields, names = [], {}
+        for i, h in enumerate(one.header):
+            f = declared.get(h.lower())
+            fields.append(T.StructField(f"__{i}", f.dataType if f else T.StringType(), True))
+            if f:
+                names[f.name] = f"__{i}"
+        reader = spark.read.option("header", True).option("sep", sep).schema(T.StructType(fields + marker))
+        if keep_corrupt:
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        df = reader.csv(one.files).select(
+            *[F.col(names[f.name]).alias(f.name) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name)
+              for f in schema.fields], *[m.name for m in marker])
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    sep: str = ";", keep_corrupt: bool = True) -> DataFrame | None:
-    """Delimited file with header; ``None`` when missing or without rows.
+    """Delimited files with headers; ``None`` when missing or without rows.
 
-    With a declared schema, malformed lines are kept in ``_corrupt_record``
+    With a declared schema, columns are taken by the names in each file's header
+    (``read_layouts``), and malformed lines are kept in ``_corrupt_record``
     (PERMISSIVE) so they can be quarantined with ``split_corrupt``; without a
     schema the types are inferred (exploration only: it reads the data twice).
     """
-    if not has_data_files(spark, path):
+    files = data_files(spark, path)
+    if not files:
         return None
-    reader = spark.read.option("header", True).option("sep", sep)
     if schema is not None:
-        if keep_corrupt:
-            schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        df = reader.schema(schema).csv(path)
+        df = read_layouts(spark, delivery_layouts(spark, files, schema, sep), schema, sep, keep_corrupt)
     else:
-        df = reader.option("inferSchema", True).csv(path)
-    return None if df.isEmpty() else df
+        df = spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
+    return None if df is None or df.isEmpty() else df
 
 
 def split_corrupt(df: DataFrame, staged_path: str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -45,15 +45,39 @@ def test_facts_reject_orphans(spark):
 
 def test_rollup_mart(spark):
     rows = spark.createDataFrame(
-        [(1, 1, 49, dt.date(2025, 1, 5), Decimal("10.00")), (1, 1, 49, dt.date(2025, 1, 9), Decimal("5.00")),
-         (2, 1, 49, dt.date(2025, 2, 1), Decimal("1.00"))],
-        "account_id int, product_id int, currency_id int, balance_date date, balance_eur decimal(15,5)")
+        [(1, 1, 1, 49, dt.date(2025, 1, 5), Decimal("10.00")), (2, 1, 1, 49, dt.date(2025, 1, 9), Decimal("5.00")),
+         (3, 2, 1, 49, dt.date(2025, 2, 1), Decimal("1.00"))],
+        "balance_id int, account_id int, product_id int, currency_id int, balance_date date, balance_eur decimal(15,5)")
     prod = spark.createDataFrame([(1, "CAR")], "product_id int, product_name string")
     cur = spark.createDataFrame([(49, "SEK")], "currency_id int, currency_code string")
     out = {(r.month, r.product_name, r.currency_code): (r.accounts, r.balance, r.rollup_level)
            for r in marts.balance_by_month(rows, prod, cur).collect()}
-    assert out[(202501, "CAR", "SEK")] == (1, Decimal("15.00"), 0)
-    assert out[(None, None, None)] == (2, Decimal("16.00"), 7)
+    assert out[(202501, "CAR", "SEK")] == (1, Decimal("5.00"), 0)  # the month's last balance
+    assert out[(None, None, None)] == (2, Decimal("6.00"), 7)
+
+
+def test_month_end_balance_carries_idle_accounts(spark):
+    rows = [(1, 1, 1, 49, dt.date(2024, 11, 5), Decimal("10.00")), (2, 1, 1, 49, dt.date(2025, 2, 9), Decimal("5.00")),
+            (3, 2, 1, 49, dt.date(2025, 1, 1), Decimal("1.00")), (4, 2, 2, 49, dt.date(2025, 1, 1), Decimal("2.00")),
+            (5, 3, 2, 50, dt.date(2025, 3, 31), Decimal("7.50")), (6, 3, 1, 49, None, Decimal("99.00")),
+            (7, 3, 2, 50, dt.date(2025, 3, 30), Decimal("8.00")), (8, 1, 2, 49, dt.date(2025, 5, 1), Decimal("-4.00"))]
+    df = spark.createDataFrame(rows, "balance_id int, account_id int, product_id int, currency_id int, balance_date date, "
+                                     "balance_eur decimal(15,5)")
+    prod = spark.createDataFrame([(1, "CAR"), (2, "HOME")], "product_id int, product_name string")
+    cur = spark.createDataFrame([(49, "SEK"), (50, "EUR")], "currency_id int, currency_code string")
+    want = {}
+    for m in (202411, 202412, 202501, 202502, 202503, 202504, 202505):
+        for a in (1, 2, 3):
+            seen = [r for r in rows if r[1] == a and r[4] and r[4].year * 100 + r[4].month <= m]
+            if seen:
+                b = max(seen, key=lambda r: (r[4], r[0]))
+                p, c = {1: "CAR", 2: "HOME"}[b[2]], {49: "SEK", 50: "EUR"}[b[3]]
+                for k in ((m, p, c, 0), (m, p, None, 1), (m, None, None, 3)):
+                    n, t = want.get(k, (0, Decimal(0)))
+                    want[k] = (n + 1, t + b[5])
+    got = {(r.month, r.product_name, r.currency_code, r.rollup_level): (r.accounts, r.balance)
+           for r in marts.month_end_balance(df, prod, cur).collect()}
+    assert got == want
 
 
 def test_profile(spark):
