@@ -1,9 +1,9 @@
 """Line dedup by a deletion-neighbourhood join: edit distance 1, earliest stays.
 
-A line is compared trimmed of spaces, A-Z as a-z, if it then has ``MIN_CHARS``
-characters or more; shorter lines always stay.  A line goes when an earlier
-place (document id, line number) holds a line within one inserted, deleted or
-replaced character of it, itself removed or not.
+A line is compared trimmed of spaces, A-Z as a-z.  Empty lines stay.  A line goes
+when an earlier place (document id, line number) holds an equal line or, where
+both have ``MIN_CHARS`` characters or more, a line within one inserted, deleted
+or replaced character of it, itself removed or not.
 
 Two lines are within one edit exactly if they are equal, or one variant with one
 character deleted is shared at the same place (replacement), or one line is such
@@ -17,7 +17,9 @@ variants; three exact filters come first:
    their length (a power of two); a class alone with both leaves;
 3. what is left is cut into blocks of ``BLOCK`` characters; lines within one
    edit have everything in front of and behind one block in common.  Only blocks
-   for which another class has the same surroundings emit their variants.
+   for which another class has the same surroundings emit their variants.  In
+   lines of more than ``LONG`` characters the surroundings are named by running
+   sums over the blocks' hashes, so the work is linear in their length.
 
 Links found by keys are verified with the edit distance of the lines' texts.
 
@@ -31,11 +33,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lendstar.llm.common import ascii_lower, fresh_names, read_table, stored, text_or_empty
 
 MIN_CHARS = 10
 BLOCK = 32
+LONG = 8192
 
 
 def lines_of(text: Column) -> Column:
@@ -67,9 +71,9 @@ def classes(src: DataFrame) -> DataFrame:
     """(cls, place, keys) of the distinct lines; src: id, text."""
     line = src.select("id", F.posexplode(lines_of(text_or_empty("text"))).alias("pos", "raw"))
     line = line.select("id", "pos", normal(F.col("raw")).alias("line")).withColumn("n", F.length("line"))
-    line = line.filter((F.col("n") >= MIN_CHARS) & F.col("id").isNotNull())
-    row = line.select(F.unhex(F.md5("line")).alias("cls"), F.struct("id", "pos").alias("place"),
-                      _part_keys(F.col("line"), F.col("n")).alias("keys"))
+    line = line.filter((F.col("n") > 0) & F.col("id").isNotNull())
+    keys = F.when(F.col("n") >= MIN_CHARS, _part_keys(F.col("line"), F.col("n"))).otherwise(F.array().cast("array<long>"))
+    row = line.select(F.unhex(F.md5("line")).alias("cls"), F.struct("id", "pos").alias("place"), keys.alias("keys"))
     return stored(row.groupBy("cls").agg(F.min("place").alias("place"), F.first("keys").alias("keys")), "line-classes")
 
 
@@ -89,6 +93,59 @@ def _blocks(line: Column, n: Column, cut: int) -> Column:
         F.substr(line, j * BLOCK + 1, F.lit(BLOCK - cut)).alias("block")))
 
 
+def _long_blocks(line: DataFrame, cut: int) -> DataFrame:
+    """The same of long lines, a row a block: what surrounds a block is named by
+    the exclusive-or of the hashes, each with its number, of the blocks on either
+    side.  The shorter of two lines has its blocks behind the cut one a character
+    earlier, so those are taken from the line with one character in front."""
+    full = F.col("n") + cut
+    of = ["cls", "place"]
+
+    def blocks(text: Column) -> DataFrame:
+        # Cut in two steps: finding a place in a text takes as long as it's far.
+        part = F.transform(F.sequence(F.lit(0), F.floor((full - 1) / LONG).cast("int")), lambda g: F.struct(
+            g.alias("g"), F.substr(text, g * LONG + 1, F.lit(LONG)).alias("part")))
+        rows = line.select(*of, full.alias("full"), F.explode(part).alias("p"))
+        count = F.ceil(F.length("p.part") / BLOCK).cast("int")
+        inner = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(
+            (F.col("p.g") * (LONG // BLOCK) + i).alias("j"), F.substr("p.part", i * BLOCK + 1, F.lit(BLOCK)).alias("block")))
+        rows = rows.filter(F.length("p.part") > 0)
+        return rows.select(*of, "full", F.explode(inner).alias("b")).select(*of, "full", "b.*")
+
+    w = Window.partitionBy(*of)  # the blocks of one line
+    upto = w.orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    named = blocks(F.col("line")).withColumn("h", F.xxhash64("j", "block"))
+    if cut:
+        late = blocks(F.concat(F.lit("\n"), F.col("line"))).withColumnRenamed("block", "late")
+        named = named.join(late, [*of, "full", "j"], "full").withColumn("h", F.coalesce("h", F.lit(0)))
+        named = named.withColumn("behind", F.coalesce(F.xxhash64("j", "late"), F.lit(0)))
+        named = named.withColumn("block", F.substr(F.coalesce("block", F.lit("")), F.lit(1), F.lit(BLOCK - 1)))
+    else:
+        named = named.withColumn("behind", F.col("h"))
+    named = named.withColumn("before", F.bit_xor("h").over(upto).bitwiseXOR(F.col("h")))
+    named = named.withColumn("after", F.bit_xor("behind").over(w).bitwiseXOR(F.bit_xor("behind").over(upto)))
+    key = F.xxhash64(F.lit("long"), "j", "full", "before", "after")
+    return named.select(*of, F.lit(cut).alias("role"), key.alias("key"), "block")
+
+
+def within_one_edit(a: Column, b: Column) -> Column:
+    """Whether one inserted, deleted or replaced character at most parts two texts:
+    the common start, found by halving, then what's behind it."""
+    n, m = F.length(a), F.length(b)
+    steps = F.sequence(F.floor(F.log2(F.least(n, m).cast("double") + 1)).cast("int"), F.lit(0), F.lit(-1))
+
+    def longer(at: Column, bit: Column) -> Column:
+        to = at + F.pow(F.lit(2.0), bit).cast("int")
+        same = (to <= F.least(n, m)) & (F.substr(a, F.lit(1), to) == F.substr(b, F.lit(1), to))
+        return F.when(same, to).otherwise(at)
+
+    start = F.aggregate(steps, F.lit(0), longer)
+    behind = lambda at: (
+        (F.substr(a, at + 2, n) == F.substr(b, at + 2, m)) | (F.substr(a, at + 1, n) == F.substr(b, at + 2, m))
+        | (F.substr(a, at + 2, n) == F.substr(b, at + 1, m)))
+    return (F.abs(n - m) <= 1) & F.transform(F.array(start), behind)[0]
+
+
 def near_links(src: DataFrame, found: DataFrame) -> DataFrame:
     """(cls): classes with an earlier one within one edit."""
     key = found.select("cls", F.explode("keys").alias("key"), F.xxhash64("cls").alias("who"))
@@ -101,10 +158,13 @@ def near_links(src: DataFrame, found: DataFrame) -> DataFrame:
     line = stored(line.filter(F.unhex(F.md5("line")) == F.col("cls")).distinct()
                   .withColumn("n", F.length("line")), "line-texts")
 
-    same = line.select("cls", "place", F.lit(0).alias("role"), F.explode(_blocks(F.col("line"), F.col("n"), 0)).alias("b"))
-    less = line.select("cls", "place", F.lit(1).alias("role"), F.explode(_blocks(F.col("line"), F.col("n"), 1)).alias("b"))
-    block = same.unionByName(less).select("cls", "place", "role", F.col("b.key").alias("key"),
-                                          F.col("b.block").alias("block"), F.xxhash64("cls").alias("who"))
+    block = None
+    for cut in (0, 1):  # keys are made one way for the longer line and the shorter one
+        usual = line.filter(F.col("n") + cut <= LONG).select("cls", "place", F.lit(cut).alias("role"), F.explode(
+            _blocks(F.col("line"), F.col("n"), cut)).alias("b")).select("cls", "place", "role", "b.key", "b.block")
+        both = usual.unionByName(_long_blocks(line.filter(F.col("n") + cut > LONG), cut))
+        block = both if block is None else block.unionByName(both)
+    block = block.withColumn("who", F.xxhash64("cls"))
     block = stored(shared_only(block, "key", "who").drop("who"), "line-blocks")
 
     i, b = F.col("i"), F.col("block")
@@ -127,11 +187,11 @@ def near_links(src: DataFrame, found: DataFrame) -> DataFrame:
     mine = line.select("cls", F.col("line").alias("mine"))
     theirs = line.select(F.col("cls").alias("earlier"), F.col("line").alias("theirs"))
     return (link.join(mine, "cls").join(theirs, "earlier")
-            .filter(F.levenshtein("mine", "theirs", 1) >= 0).select("cls").distinct())
+            .filter(within_one_edit(F.col("mine"), F.col("theirs"))).select("cls").distinct())
 
 
 def kept_places(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, kept): the numbers (from 0) of the compared lines that stay."""
+    """(id, kept): the numbers (from 0) of the lines that stay and aren't empty."""
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     src = src.filter("id IS NOT NULL")
     found = classes(src)
@@ -144,7 +204,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     key, kept = fresh_names(df, "id", "kept")
     places = kept_places(df, id_col, text_col).select(F.col("id").alias(key), F.col("kept").alias(kept))
     joined = df.join(places, F.col(id_col).cast("long") == F.col(key), "left")
-    stays = F.filter(lines_of(F.col(text_col)), lambda line, i: (F.length(normal(line)) < MIN_CHARS)
+    stays = F.filter(lines_of(F.col(text_col)), lambda line, i: (normal(line) == "")
                      | F.coalesce(F.array_contains(F.col(kept), i), F.lit(False)))
     text = F.when(F.col(id_col).isNull(), F.col(text_col)).otherwise(F.array_join(stays, "\n"))
     return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in df.columns])
@@ -155,7 +215,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = lines_of(text_or_empty("text"))
     counts = docs.select("doc_id", F.size(lines).cast("long").alias("n_lines"), F.size(
-        F.filter(lines, lambda x: F.length(normal(x)) >= MIN_CHARS)).cast("long").alias("n_compared"))
+        F.filter(lines, lambda x: normal(x) != "")).cast("long").alias("n_compared"))
     places = kept_places(docs).withColumnRenamed("id", "doc_id")
     return counts.join(places, "doc_id", "left").select(
         "doc_id", "n_lines", (F.col("n_compared") - F.coalesce(F.size("kept"), F.lit(0))).alias("n_removed"),
@@ -168,9 +228,9 @@ def op5_sql() -> str:
     return rf"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS l, unnest(range(len(ls))) AS pos FROM d),
-x AS (SELECT doc_id, pos, {low} AS t FROM l WHERE length({low}) >= {MIN_CHARS}),
+x AS (SELECT doc_id, pos, {low} AS t FROM l WHERE length({low}) > 0),
 c AS (SELECT t, length(t) AS n, min((doc_id, pos)) AS place FROM x GROUP BY t),
-k AS (SELECT t, n, place, m, m // 2 AS h FROM (SELECT *, unnest([n, n + 1]) AS m FROM c)),
+k AS (SELECT t, n, place, m, m // 2 AS h FROM (SELECT *, unnest([n, n + 1]) AS m FROM c WHERE n >= {MIN_CHARS})),
 keys AS (SELECT t, n, place, m, 'l' AS side, left(t, h) AS part FROM k
     UNION ALL SELECT t, n, place, m, 'r', right(t, m - h) FROM k),
 pair AS (SELECT DISTINCT a.t AS a, b.t AS b, a.n AS n, b.n AS bn, a.place AS pa, b.place AS pb

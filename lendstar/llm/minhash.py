@@ -175,12 +175,11 @@ def _blocks(size: int, percent: int):
 
 
 def link_components(df: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """(id, n_shingles, component) for every row of ``df`` with an id."""
+    """(id, n_shingles, component) for every row of ``df``."""
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    src = src.filter(F.col("id").isNotNull())
     drawn = stored(src.mapInArrow(_sketches(shingle), "id long, n_shingles long, digest binary, bands array<long>"),
                    "sketches")
-    classes = drawn.filter("digest IS NOT NULL").groupBy("digest").agg(
+    classes = drawn.filter("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(
         F.min(F.struct("id", "n_shingles", "bands")).alias("c")).select("digest", "c.*")
     classes = stored(classes, "classes")
     member = classes.select("id", "n_shingles", F.explode("bands").alias("key"))
@@ -194,7 +193,14 @@ def link_components(df: DataFrame, id_col: str, text_col: str, shingle: int, per
     pairs = member.filter("id <> hub").select("id", "hub").distinct()
     star = (texts.join(pairs, "id").join(hub, "hub")
             .select("id", "text", "hub", "hub_text").mapInArrow(_star(shingle, percent), "a long, b long"))
-    star = stored(star, "links")
+    # Rows that share an id are one document: their classes are linked.
+    who = F.coalesce(F.xxhash64("digest"), F.lit(0))
+    several = drawn.filter("id IS NOT NULL").groupBy("id").agg(F.min(who).alias("lo"), F.max(who).alias("hi")).filter("lo < hi")
+    own = drawn.select("id", "digest").join(several.select("id"), "id").join(
+        classes.select("digest", F.col("id").alias("cls")), "digest").select("id", "cls")
+    own = stored(own, "shared-ids")
+    same = own.join(own.groupBy("id").agg(F.min("cls").alias("b")), "id").select(F.col("cls").alias("a"), "b").filter("a <> b")
+    star = stored(star.unionByName(same), "links")
     first = components(star)
 
     # Buckets that still hold more than one component, each set of members once.
@@ -216,9 +222,12 @@ def link_components(df: DataFrame, id_col: str, text_col: str, shingle: int, per
 
     reach = classes.join(final.withColumnRenamed("node", "id"), "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component"))
-    # A document's own rows are one document: the smallest component of its rows.
-    out = drawn.join(reach, "digest", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
-    return out
+    # A wordless row of an id with other rows goes where they are.
+    others = own.join(final, F.col("cls") == F.col("node"), "left").groupBy("id").agg(
+        F.min(F.coalesce("component", "cls")).alias("of_id"))
+    linked_rows = drawn.join(reach, "digest", "left").join(others, "id", "left")
+    return linked_rows.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.least(
+        F.coalesce("component", "id"), "of_id")).alias("component"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -238,4 +247,4 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of ``documents`` on four-word shingles."""
     found = link_components(read_table(spark, sf_dir, "documents"), "doc_id", "text", 4, 80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
-                        (F.col("id") == F.col("component")).alias("kept"))
+                        F.col("id").eqNullSafe(F.col("component")).alias("kept"))

@@ -21,6 +21,8 @@ row by row; an empty table gives no pieces; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -59,7 +61,7 @@ _PROBE = [" the", " Gr\u00f6\u00dfe", " \u043c\u0438\u0440", " xyzzyqq", " \u4e2
 @lru_cache(maxsize=2)
 def _memo(path: str) -> UnitMemo:
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
+    tok.encode_special_tokens = True  # units have none of their strings, see ``_Encoder``
     model = tok.model
 
     def whole(s: str) -> list[int]:
@@ -73,6 +75,36 @@ def _memo(path: str) -> UnitMemo:
     return UnitMemo(lambda s: word(s) if direct and s[0] == " " and s[1:].isalpha() else whole(s), max_units=MEMO_UNITS)
 
 
+class _Encoder:
+    """Ids as of the tokenizer as loaded: the strings of the file's added tokens
+    are tokens of their own, and what's between them is encoded on its own."""
+
+    def __init__(self, path: str):
+        self.memo, self.tok = _memo(path), Tokenizer.from_file(path)
+        added = self.tok.get_added_tokens_decoder()
+        plain = {t.content: i for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
+        self.ids = {c: struct.pack("<I", i) for c, i in plain.items()}
+        longest = sorted(plain, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if plain else None
+        # Tokens that take white space or word edges into account: the library's whole work.
+        self.odd = [t.content for t in added.values() if t.content not in plain]
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if any(c in text for c in self.odd):
+            ids = self.tok.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        if self.cut is None or not any(c in text for c in self.ids):
+            return self.memo.encode(text)
+        return b"".join(self.ids.get(part) or self.memo.encode(part) for part in self.cut.split(text))
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
+
+
 class OpenWindows:
     """At most ``count`` open windows; a window is its pieces and its length.
 
@@ -177,11 +209,11 @@ class _Out:
 def _first_pass(path: str, window: int, count: int, min_cut: int, eos: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        memo, end = _memo(path), eos.to_bytes(4, "little")
+        encoder, end = _encoder(path), eos.to_bytes(4, "little")
         open_, out = OpenWindows(window, count, min_cut), _Out(part, part << 32)
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = memo.encode(text) + end
+                ids = encoder.encode(text) + end
                 total = len(ids) // 4
                 full = total - total % window
                 for s in range(0, full, window):

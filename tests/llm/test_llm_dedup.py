@@ -57,8 +57,9 @@ def test_line_dedup_brute_force(spark, monkeypatch):
     docs += [(200, None), (201, ""), (202, "short\nshort"), (203, "page 1 of the book\npage 2 of the book"), (204, "z" * 9000),
              (205, "z" * 4000 + "y" + "z" * 4999)]
     low = lambda s: "".join(c.lower() if "A" <= c <= "Z" else c for c in s.strip(" "))
-    places = [(i, p, low(x)) for i, t in docs for p, x in enumerate((t or "").split("\n")) if len(low(x)) >= 10]
-    gone = {(i, p) for i, p, x in places if any((j, q) < (i, p) and one_edit(x, y) for j, q, y in places)}
+    places = [(i, p, low(x)) for i, t in docs for p, x in enumerate((t or "").split("\n")) if low(x)]
+    near = lambda x, y: x == y or min(len(x), len(y)) >= 10 and one_edit(x, y)
+    gone = {(i, p) for i, p, x in places if any((j, q) < (i, p) and near(x, y) for j, q, y in places)}
     assert len(gone) > 50
     df = spark.createDataFrame([(t, 0, i, 1) for i, t in docs], "text string, id int, doc_id long, kept int")
     out = linededup.dedup_lines(df.repartition(3))
@@ -248,3 +249,30 @@ def test_estimates_are_bounded():
     assert (up >= x @ x.T).mean() > 0.9999
     est = up - codes.bound[:, None]
     assert abs((est - x @ x.T)[:200, :200][~np.eye(200, dtype=bool)].mean()) < 0.01
+
+
+def test_op7_null_and_repeated_ids(spark, tmp_path):
+    """Rows of one id are one document, also where their texts differ; null ids are linked with nothing."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    docs = [(None, a), (None, a), (1, a), (3, a), (3, b), (5, b + " more"), (7, c), (7, c), (8, ""), (5, None), (None, None), (9, "c0 c1")]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((tuple(r) for r in minhash.op7_minhash(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted([(None, 57, None, True), (None, 57, None, True), (1, 57, 1, True), (3, 57, 1, False), (3, 57, 1, False),
+                          (5, 58, 1, False), (7, 57, 7, True), (7, 57, 7, True), (8, 0, 8, True), (5, 0, 1, False),
+                          (None, 0, None, True), (9, 1, 9, True)], key=repr)
+
+
+def test_line_dedup_of_very_long_lines(spark):
+    """Lines of a megabyte one edit apart, on both sides of the length where keys are made another way."""
+    rnd = random.Random(6)
+    long = "".join(rnd.choice("abcdefgh ") for _ in range(1 << 20)).strip() + "z"
+    edge = "".join(rnd.choice("abcdefgh ") for _ in range(linededup.LONG)).replace(" ", "x")
+    k = 700_001
+    docs = [(1, long), (2, long[:k] + "Z" + long[k + 1:]), (3, long[:k] + long[k + 1:]), (4, long[:40] + "Q" + long[40:]),
+            (5, long[:9] + "QQ" + long[9:]), (6, edge), (7, edge[:-1]), (8, "y" + edge), (9, edge[:77] + "q" + edge[78:]),
+            (10, edge[:5] + "qq" + edge[7:]), (11, edge[:-1] + "w"), (12, "ok\n\nok\nhm\n ok \n"), (13, "hm\n\nhmm")]
+    out = linededup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert {i for i, t in got.items() if t == ""} == {2, 3, 4, 7, 8, 9, 11}
+    assert got[1] == long and got[5] == docs[4][1] and got[6] == edge and got[10] == docs[9][1]
+    assert got[12] == "ok\n\nhm\n" and got[13] == "\nhmm"

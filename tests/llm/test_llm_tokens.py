@@ -14,7 +14,7 @@ from lendstar.llm import bpe, packing
 from lendstar.llm.units import split_units
 
 TEXTS = ["", None, "a", " ", "  a  b\n\n c", "don't y'all'd've 12 3x4", "x" * 5000, "ab1" * 4000 + "'s",
-         " " * 3000 + "z", "<|endoftext|> hi", "é́ a\x1cb　", "\U0001f600 ok " * 700, "the end\n"]
+         " " * 3000 + "z", "<|endoftext|> hi", "a <|endoftext|><|endoftext|>b <|endoftext| >", "don<|endoftext|>'t  <|endoftext|>\n", "é́ a\x1cb　", "\U0001f600 ok " * 700, "the end\n"]
 
 
 @pytest.fixture(scope="module")
@@ -25,9 +25,7 @@ def enc():
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
 
 
 @settings(max_examples=200, deadline=None)
