@@ -64,7 +64,7 @@ def _part_keys(line: Column, n: Column) -> Column:
         return [F.xxhash64(F.lit("p"), p, F.substr(line, F.lit(1), p)),
                 F.xxhash64(F.lit("s"), p, F.substr(line, n - p + 1, p))]
 
-    return F.array_distinct(F.array(*pair(own), *pair(longer)))
+    return F.when(own == longer, F.array(*pair(own))).otherwise(F.array(*pair(own), *pair(longer)))
 
 
 def classes(src: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     key, kept = fresh_names(df, "id", "kept")
     places = kept_places(df, id_col, text_col).select(F.col("id").alias(key), F.col("kept").alias(kept))
     joined = df.join(places, F.col(id_col).cast("long") == F.col(key), "left")
-    stays = F.filter(lines_of(F.col(text_col)), lambda line, i: (normal(line) == "")
+    stays = F.filter(lines_of(F.col(text_col)), lambda line, i: (F.trim(line) == "")
                      | F.coalesce(F.array_contains(F.col(kept), i), F.lit(False)))
     text = F.when(F.col(id_col).isNull(), F.col(text_col)).otherwise(F.array_join(stays, "\n"))
     return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in df.columns])
@@ -215,7 +215,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = lines_of(text_or_empty("text"))
     counts = docs.select("doc_id", F.size(lines).cast("long").alias("n_lines"), F.size(
-        F.filter(lines, lambda x: normal(x) != "")).cast("long").alias("n_compared"))
+        F.filter(lines, lambda x: F.trim(x) != "")).cast("long").alias("n_compared"))
     places = kept_places(docs).withColumnRenamed("id", "doc_id")
     return counts.join(places, "doc_id", "left").select(
         "doc_id", "n_lines", (F.col("n_compared") - F.coalesce(F.size("kept"), F.lit(0))).alias("n_removed"),
