@@ -553,12 +553,18 @@ _STAR = (("dim_date", "SELECT n FROM cal"), ("dim_account", "SELECT count(*) FRO
          ("dim_account_history", "SELECT count(*) FROM dim_acc"), ("fact_balance", "SELECT count(*) FROM fact_bal"),
          ("fact_transaction", "SELECT count(*) FROM fact_txn"))
 _STAR_USES = ("cal", "dim_acc", "dim_org", "dim_prod", "dim_cur", "dim_ttype", "fact_bal", "fact_txn")
+_WAIT = "rows without dimension row kept for a later run"
+
+_WAITING = "".join(
+    f" UNION ALL SELECT '{fact}_orphans', 'warning', '{_WAIT}', n FROM (SELECT count(*) AS n FROM {rows} f WHERE NOT EXISTS "
+    f"(SELECT 1 FROM dim_acc d WHERE d.account_id = f.account_id)) x WHERE n > 0"
+    for fact, rows in (("fact_balance", "bal_rows"), ("fact_transaction", "txn_rows")))
 oracle("star_first_load", " UNION ALL ".join(
     f"SELECT '{t}' AS step, 'ok' AS status, '{'versions published' if t.endswith('history') else 'first load'}' AS message, "
-    f"CAST(({q}) AS BIGINT) AS row_count" for t, q in _STAR), _STAR_USES)
+    f"CAST(({q}) AS BIGINT) AS row_count" for t, q in _STAR) + _WAITING, _STAR_USES)
 oracle("star_rerun_is_noop", " UNION ALL ".join(
-    f"SELECT '{t}' AS step, 'ok' AS status, 'no changes' AS message, CAST(0 AS BIGINT) AS row_count" for t, _ in _STAR))
-_WAIT = "rows without dimension row kept for a later run"
+    f"SELECT '{t}' AS step, 'ok' AS status, 'no changes' AS message, CAST(0 AS BIGINT) AS row_count" for t, _ in _STAR)
+       + _WAITING, _STAR_USES)
 
 
 def _orphans_sql(fact: str, rows: str) -> str:
