@@ -382,7 +382,7 @@ oracle("source_exists", " UNION ALL ".join(
     for t in ("customer", "orders", "lineitem", "part"))
     + " UNION ALL SELECT 'no_such_table', false, false, 0")
 oracle("failed_version_removed",
-       "SELECT LoanAccountBalanceId, '[2]' AS removed FROM raw_loan_balance WHERE LoanAccountBalanceId % 2 = 0")
+       "SELECT LoanAccountBalanceId, SourceId + 1 AS SourceId, '[2]' AS removed FROM raw_loan_balance")
 oracle("columns_without_identity", "SELECT * FROM clean_acc", ("clean_acc",))
 oracle("sink_parquet_roundtrip", "SELECT * FROM raw_loan_balance")
 oracle("month_partition_select",
@@ -669,10 +669,10 @@ SELECT 'unmatched_cars', CASE WHEN count(*) > 0 THEN 'warning' ELSE 'ok' END,
   'staged cars without margin, risk tier or depreciation band', count(*), 'LoanProfitEstimates_202506'
 FROM unmatched""", ("staged", "rate", "estimates", "unmatched"))
 
-# The estimates of two months; only RecordIDs divisible by 3 are delivered for May.
+# The estimates of two months with the same cars.
 oracle("publish_profit_month", """
 SELECT * FROM estimates
 UNION ALL
 SELECT RecordID, CarModel, EnergyClass, ManufactureYear, BasePrice, CustomerRiskTier, FinalInterestRate,
   EstimatedMonthlyPayment, DepreciatedValue, EstimatedProfit, DATE '2025-05-01' AS FileMonth
-FROM estimates WHERE RecordID % 3 = 0""", ("estimates",))
+FROM estimates""", ("estimates",))

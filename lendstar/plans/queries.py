@@ -458,9 +458,9 @@ def failed_version_removed(spark, sf_dir):
     bal = _fx(spark, sf_dir).bal
     versioned.publish(bal, base)
     bal.limit(10).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/v=2")
-    versioned.publish(bal.filter("LoanAccountBalanceId % 2 = 0"), base)
+    versioned.publish(bal.withColumn("SourceId", F.col("SourceId") + 1), base)
     gone = versioned.remove_failed(spark, base)
-    return versioned.read_current(spark, base).select("LoanAccountBalanceId", F.lit(str(gone)).alias("removed"))
+    return versioned.read_current(spark, base).select("LoanAccountBalanceId", "SourceId", F.lit(str(gone)).alias("removed"))
 
 
 @query
@@ -658,14 +658,14 @@ def run_log(spark, sf_dir):
 
 @query
 def publish_profit_month(spark, sf_dir):
-    """Two months published, the later one twice with other cars first: the second
+    """Two months published, the later one twice with other prices first: the second
     run replaces its month and leaves the other alone."""
     fx = _fx(spark, sf_dir)
     base = work_path(spark, "profit")
-    may = fx.cars.filter("RecordID % 3 = 0").withColumn("FileMonth", F.lit("2025-05-01").cast("date"))
+    may = fx.cars.withColumn("FileMonth", F.lit("2025-05-01").cast("date"))
     both = fx.cars.unionByName(may)
     _publish_month(fx, both, "2025-05-20", base)
-    _publish_month(fx, both.filter("RecordID % 2 = 0"), RUN_DATE, base)
+    _publish_month(fx, both.withColumn("BasePrice", F.col("BasePrice") * 2), RUN_DATE, base)
     _publish_month(fx, both, RUN_DATE, base)
     months = [pipeline.read_profit_month(spark, base, d) for d in ("2025-05-20", RUN_DATE)]
     return months[0].unionByName(months[1])
