@@ -635,6 +635,32 @@ SELECT CAST(year(transaction_date) * 100 + month(transaction_date) AS INT) AS mo
   transaction_type_id, count(*) AS transactions, CAST(sum(transaction_amount) AS DECIMAL(18,2)) AS amount
 FROM fact_txn GROUP BY 1, 2""", ("fact_txn",))
 
+step("raw_txn_2", """
+SELECT * REPLACE (CASE WHEN LoanAccountTransactionId % 100 = 1 THEN '777,70' ELSE TransactionAmount END AS TransactionAmount,
+  CASE WHEN LoanAccountTransactionId % 100 = 2 THEN TransactionTypeId + 1000 ELSE TransactionTypeId END AS TransactionTypeId,
+  CASE WHEN LoanAccountTransactionId % 100 = 3 THEN 20601231 ELSE TransactionDateId END AS TransactionDateId)
+FROM raw_loan_transaction""")
+step("conf_txn_2", conform_sql(TRANSACTION, "raw_txn_2"), ("raw_txn_2",))
+step("clean_txn_2", clean_sql(TRANSACTION, "conf_txn_2"), ("conf_txn_2",))
+step("txn_states", """
+SELECT 1 AS delivery, * FROM clean_txn WHERE LoanAccountTransactionId % 50 <> 7
+UNION ALL SELECT 2, * FROM clean_txn_2
+UNION ALL SELECT 3, * FROM clean_txn WHERE LoanAccountTransactionId % 100 <> 3
+UNION ALL SELECT 3, * FROM clean_txn_2 WHERE LoanAccountTransactionId % 100 = 3
+  OR LoanAccountTransactionId NOT IN (SELECT LoanAccountTransactionId FROM clean_txn)""", ("clean_txn", "clean_txn_2"))
+oracle("mart_kept_by_changes", """
+SELECT CAST(delivery AS INT) AS delivery, CAST(year(TransactionDate) * 100 + month(TransactionDate) AS INT) AS month,
+  TransactionTypeId AS transaction_type_id, count(DISTINCT LoanAccountId) AS accounts, count(*) AS transactions,
+  CAST(sum(TransactionAmount) AS DECIMAL(18,2)) AS amount
+FROM txn_states GROUP BY 1, 2, 3""", ("txn_states",))
+_CHANGED = ("TransactionDate", "TransactionTypeId", "TransactionAmount")
+oracle("changed_transactions", f"""
+SELECT n.LoanAccountTransactionId, {', '.join(f'o.{c} AS before_{c}' for c in _CHANGED)},
+  {', '.join(f'n.{c} AS after_{c}' for c in _CHANGED)}
+FROM (FROM txn_states WHERE delivery = 2) n LEFT JOIN (FROM txn_states WHERE delivery = 1) o
+  ON n.LoanAccountTransactionId = o.LoanAccountTransactionId
+WHERE o.LoanAccountTransactionId IS NULL OR {' OR '.join(f'n.{c} IS DISTINCT FROM o.{c}' for c in _CHANGED)}""", ("txn_states",))
+
 oracle("latest_transactions_top10", """
 SELECT LoanAccountTransactionId, TransactionDate, LoanAccountId, TransactionAmount
 FROM clean_txn ORDER BY LoanAccountTransactionId DESC LIMIT 10""", ("clean_txn",))
@@ -645,6 +671,16 @@ oracle("profile_accounts", " UNION ALL ".join(
     f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM clean_acc"
     for c in _PROFILE_COLS), ("clean_acc",))
 
+_NUMERIC = [f.name for f in BALANCE.schema.fields
+            if f.name in BALANCE.amount_cols or f.dataType.typeName() in ("integer", "long")]
+oracle("profile_numeric_balances", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS non_null, round(avg(CAST({c} AS DOUBLE)), 4) AS mean, "
+    f"round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS deviation, "
+    + ", ".join(f"(SELECT CAST({c} AS DOUBLE) FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS rn, count(*) OVER () AS n "
+                f"FROM clean_bal WHERE {c} IS NOT NULL) q WHERE rn = CAST(ceil({p} * n) AS BIGINT)) AS {name}"
+                for name, p in (("q25", 0.25), ("median", 0.5), ("q75", 0.75))) + " FROM clean_bal"
+    for c in _NUMERIC), ("clean_bal",))
+
 step("unmatched", "SELECT RecordID FROM staged s WHERE NOT EXISTS "
                   "(SELECT 1 FROM estimates e WHERE e.RecordID = s.RecordID)", ("staged", "estimates"))
 oracle("run_log", """

@@ -114,7 +114,7 @@ from lendstar.fixtures import DAY1_DATE, DAY1_TS, DAY2_TS  # noqa: E402
 from lendstar.functions.audit import with_audit  # noqa: E402
 from lendstar.functions.decimals import european_decimal as _eu  # noqa: E402
 from lendstar.operators import changes, cleanse, keys, upsert  # noqa: E402
-from lendstar.plans import pipeline  # noqa: E402
+from lendstar.plans import kept, pipeline  # noqa: E402
 from lendstar.sources import files, versioned  # noqa: E402
 from lendstar.specs import ACCOUNT, AUDIT_COLS, BALANCE, TRANSACTION  # noqa: E402
 
@@ -632,6 +632,45 @@ def mart_transactions_by_type(spark, sf_dir):
     return marts.transactions_by_type(rows)
 
 
+def _transaction_deliveries(fx: Fixtures) -> list[DataFrame]:
+    """New rows, other amounts, types and dates in the second delivery; the third is
+    the table as it is, where rows that the second dated later stay."""
+    key = F.col("LoanAccountTransactionId")
+    second = (fx.txn.withColumn("TransactionAmount", F.when(key % 100 == 1, "777,70").otherwise(F.col("TransactionAmount")))
+              .withColumn("TransactionTypeId", F.when(key % 100 == 2, F.col("TransactionTypeId") + 1000)
+                          .otherwise(F.col("TransactionTypeId")).cast(fx.txn.schema["TransactionTypeId"].dataType))
+              .withColumn("TransactionDateId", F.when(key % 100 == 3, 20601231).otherwise(F.col("TransactionDateId"))))
+    return [fx.txn.filter(key % 50 != 7), second, fx.txn]
+
+
+@query
+def mart_kept_by_changes(spark, sf_dir):
+    """The transactions mart, adjusted by each of three deliveries."""
+    fx = _fx(spark, sf_dir)
+    base, mart = work_path(spark, "deliveries", TRANSACTION.name), work_path(spark, "kept")
+    out = []
+    for i, delivery in enumerate(_transaction_deliveries(fx), 1):
+        pipeline.run_table_etl(delivery, TRANSACTION, base, DAY1_TS)
+        kept.keep_transactions_by_type(spark, base, mart)
+        totals = versioned.read_current(spark, f"{mart}/totals")
+        out.append(totals.select(F.lit(i).alias("delivery"), "month", "transaction_type_id", "accounts", "transactions",
+                                 F.col("amount").cast(marts.MONEY).alias("amount")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query
+def changed_transactions(spark, sf_dir):
+    """Rows that the second delivery changed, as they were and as they are."""
+    fx = _fx(spark, sf_dir)
+    base = work_path(spark, "deliveries", TRANSACTION.name)
+    first, second, _ = _transaction_deliveries(fx)
+    pipeline.run_table_etl(first, TRANSACTION, base, DAY1_TS)
+    pipeline.run_table_etl(second, TRANSACTION, base, DAY2_TS)
+    cols = ["TransactionDate", "TransactionTypeId", "TransactionAmount"]
+    return kept.changed_rows(spark, base, 1, cols).select(
+        TRANSACTION.key, *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after") for c in cols])
+
+
 @query
 def latest_transactions_top10(spark, sf_dir):
     return marts.latest(_clean(_fx(spark, sf_dir), "transaction"), "LoanAccountTransactionId", 10,
@@ -644,6 +683,12 @@ def profile_accounts(spark, sf_dir):
     return marts.profile(_clean(_fx(spark, sf_dir), "account"))
 
 
+@query
+def profile_numeric_balances(spark, sf_dir):
+    """Mean, deviation and exact quartiles of every numeric column."""
+    return marts.numeric_profile(_clean_shared(_fx(spark, sf_dir), "balance"))
+
+
 def _publish_month(fx: Fixtures, cars: DataFrame, run_date: str, base: str) -> DataFrame:
     return pipeline.publish_profit_month(cars, fx.interest_rates, fx.energy_class_margin,
                                          fx.credit_risk_tier, fx.depreciation_rates, run_date, base)

@@ -125,17 +125,19 @@ def publish(df: DataFrame, base: str, partition_by: list[str] | None = None, aft
 
 class Buckets(NamedTuple):
     """What a version lists: the key, the number of buckets, the folder of each
-    bucket that has rows (relative to the table's) and the columns."""
+    bucket that has rows (relative to the table's), the columns and, of a table
+    kept up from another, that one's version."""
 
     version: int
     key: str
     count: int
     paths: dict[int, str]
     schema: T.StructType
+    source: int | None = None
 
 
 def bucket_of(key: str, count: int) -> Column:
-    return (F.crc32(F.col(key).cast("string").cast("binary")) % count).cast("int")
+    return F.coalesce((F.crc32(F.col(key).cast("string").cast("binary")) % count).cast("int"), F.lit(0))
 
 
 def bucket_listing(spark: SparkSession, base: str, version: int | None = None) -> Buckets | None:
@@ -150,7 +152,7 @@ def bucket_listing(spark: SparkSession, base: str, version: int | None = None) -
     finally:
         stream.close()
     return Buckets(n, d["key"], d["count"], {int(k): v for k, v in d["paths"].items()},
-                   T.StructType.fromJson(d["schema"]))
+                   T.StructType.fromJson(d["schema"]), d.get("source"))
 
 
 def _put(spark: SparkSession, path: str, text: str) -> None:
@@ -163,7 +165,7 @@ def _put(spark: SparkSession, path: str, text: str) -> None:
 
 
 def publish_buckets(df: DataFrame, base: str, key: str, count: int, keep: Buckets | None = None,
-                    buckets: list[int] | None = None) -> Buckets:
+                    buckets: list[int] | None = None, source: int | None = None) -> Buckets:
     """Write ``df`` as the next version, cut into ``count`` buckets.
 
     With ``keep`` the version builds on that one: ``df`` holds all rows of
@@ -183,9 +185,9 @@ def publish_buckets(df: DataFrame, base: str, key: str, count: int, keep: Bucket
         paths = {int(x.split("=")[1]): f"v={n}/{x}" for x in names if x.startswith(f"{BUCKET}=")}
         if keep:
             paths = {**{b: x for b, x in keep.paths.items() if b not in (buckets or ())}, **paths}
-        out = Buckets(n, key, count, paths, df.schema)
+        out = Buckets(n, key, count, paths, df.schema, source)
         _put(spark, f"{path}/{LISTING}", json.dumps({"key": key, "count": count, "schema": df.schema.jsonValue(),
-                                                     "paths": paths}))
+                                                     "paths": paths, "source": source}))
         _put(spark, f"{path}/{MARKER}", "")
     finally:
         release(spark, base, n)
