@@ -23,8 +23,10 @@ links, never all pairs.
 
 Defined results: a vector that's null, empty, zero or holds a null or non-finite
 component, or whose label is null, links with nothing (n_links 0, its own
-component, kept).  Vectors of different dimension are never linked.  Rows that
-share an id are one vector for components; a null id is kept and its own.
+component, kept).  Vectors of different dimension are never linked.  Labels of
+any type are compared as they are (by their text).  Rows that share an id are one
+vector for components, and n_links counts a row's own links; a null id is kept
+and its own.
 """
 
 from __future__ import annotations
@@ -101,6 +103,14 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      pa.array(key.ravel())], names=["cls", "label", "dim", "key"])
 
 
+GROUP = ["label", "dim", "key", "i", "j"]
+
+
+def _marks(t: pa.Table) -> np.ndarray:
+    """The group columns of each row."""
+    return np.column_stack([np.array(t[c].to_pylist(), dtype=object) for c in GROUP])
+
+
 def _compare(threshold: float):
     """Rows sorted by (label, dim, key, i, j): links of each group of rows."""
 
@@ -148,7 +158,7 @@ def _compare(threshold: float):
         held: list[pa.Table] = []
 
         def emit(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            g = np.column_stack([t[c].to_numpy().astype(np.int64) for c in ("label", "dim", "key", "i", "j")])
+            g = _marks(t)
             cuts = np.flatnonzero((g[1:] != g[:-1]).any(axis=1)) + 1
             rows = [r for a, z in zip([0, *cuts], [*cuts, len(g)]) if z - a > 1 for r in links(t.slice(a, z - a))]
             cols = list(zip(*rows)) or [(), (), ()]
@@ -158,13 +168,13 @@ def _compare(threshold: float):
             if not b.num_rows:
                 continue
             t = pa.Table.from_batches([b])
-            g = np.column_stack([t[c].to_numpy().astype(np.int64) for c in ("label", "dim", "key", "i", "j")])
+            g = _marks(t)
             tail = np.flatnonzero((g != g[-1]).any(axis=1))
             cut = int(tail[-1]) + 1 if len(tail) else 0  # the last group may go on
             if cut:
                 yield from emit(pa.concat_tables([*held, t.slice(0, cut)]).combine_chunks())
                 held = []
-            elif held and not (np.array([held[-1][c][0].as_py() for c in ("label", "dim", "key", "i", "j")]) == g[-1]).all():
+            elif held and [held[-1][c][0].as_py() for c in GROUP] != g[-1].tolist():
                 yield from emit(pa.concat_tables(held).combine_chunks())
                 held = []
             held.append(t.slice(cut))
@@ -177,7 +187,7 @@ def _compare(threshold: float):
 def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                  threshold: float = THRESHOLD) -> DataFrame:
     """(id, n_links, component) for every row of ``df``."""
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"),
+    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                     F.col(vector_col).cast("array<double>").alias("vec"))
     big = F.lit(float("inf"))
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)) & F.exists("vec", lambda x: x != 0)
@@ -185,9 +195,11 @@ def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     # -0.0 and 0.0 are one value
     same = F.transform("vec", lambda x: x + F.lit(0.0))
     src = stored(src.select("id", "label", F.when(valid, same).alias("vec")), "vectors")
+    # numbered as they are written, so an id with several vectors has a class for each
     classes = stored(src.filter("vec IS NOT NULL").groupBy("label", "vec").agg(
-        F.min("id").alias("cls"), F.count("*").alias("weight")), "vector-classes")
-    keys = classes.select("cls", "label", "vec").mapInArrow(_key_rows, "cls long, label int, dim int, key long")
+        F.min("id").alias("node"), F.count("*").alias("weight")).withColumn("cls", F.monotonically_increasing_id()),
+        "vector-classes")
+    keys = classes.select("cls", "label", "vec").mapInArrow(_key_rows, "cls long, label string, dim int, key long")
     keys = stored(keys, "vector-keys")
     cell = ["label", "dim", "key"]
     shared = keys.groupBy(*cell).count().filter("count > 1").withColumn(
@@ -195,19 +207,23 @@ def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     placed = keys.join(shared, cell).withColumn("own", F.expr("pmod(xxhash64(cls), blocks)").cast("int"))
     placed = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cls", *cell, "own", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
-    rows = placed.join(classes, ["cls", "label"]).filter(F.size("vec") == F.col("dim"))
-    group = [*cell, "i", "j"]
-    found = (rows.select("cls", *group, "own", "weight", "vec").repartition(*group).sortWithinPartitions(*group)
+    rows = placed.join(classes.select("cls", "weight", "vec"), "cls")
+    found = (rows.select("cls", *GROUP, "own", "weight", "vec").repartition(*GROUP).sortWithinPartitions(*GROUP)
              .mapInArrow(_compare(threshold), "a long, b long, n long"))
     found = stored(found, "vector-links")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))
-    reach = components(found.filter("b IS NOT NULL").select("a", "b")).select(F.col("node").alias("cls"), "component")
-    per_class = classes.join(counts, "cls", "left").join(reach, "cls", "left").select(
-        "label", "vec", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("component", "cls").alias("component"))
-    out = src.join(per_class, ["label", "vec"], "left")
-    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("component", "id").alias("component"))
+    per_class = classes.join(counts, "cls", "left").select(
+        "label", "vec", "cls", "node", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    member = stored(src.join(per_class, ["label", "vec"], "left").select("id", "cls", "node", "n_links"), "vector-members")
+    ends = [classes.select(F.col("cls").alias(c), F.col("node").alias(n)) for c, n in (("a", "x"), ("b", "y"))]
+    edges = found.filter("b IS NOT NULL").select("a", "b").join(ends[0], "a").join(ends[1], "b").select("x", "y")
+    several = member.groupBy("id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("id")
+    edges = edges.unionByName(member.filter("cls IS NOT NULL").join(several, "id").select(
+        F.col("node").alias("x"), F.col("id").alias("y")))
+    reach = components(edges, "x", "y")
+    return member.join(reach, "node", "left").select(
+        "id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component", "node", "id").alias("component"))
 
 
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

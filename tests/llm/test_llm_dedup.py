@@ -239,6 +239,32 @@ def test_op9_recall(spark, tmp_path):
     assert links > 300 and links >= found >= 0.95 * links
 
 
+def test_op9_labels_of_any_type_and_repeated_ids(spark, tmp_path):
+    """Labels are compared as they are; an id with several vectors joins their groups and each row has its own links."""
+    rng = np.random.default_rng(4)
+    a, b, c = (rng.standard_normal(64).astype(np.float32).tolist() for _ in range(3))
+    data = [(1, a, "x"), (2, a, "x"), (3, a, "y"), (4, b, "x"), (2, b, "x"), (5, b, "x "), (6, c, "1.2"), (7, c, "1.7"), (8, c, "1.7"),
+            (7, c, "1.7"), (9, None, "x"), (None, a, "x"), (2, None, "x")]
+    want = sorted([(1, 1, 1), (2, 1, 1), (3, 0, 3), (4, 1, 1), (2, 1, 1), (5, 0, 5), (6, 0, 6), (7, 2, 7), (8, 2, 7), (7, 2, 7),
+                   (9, 0, 9), (None, 0, None), (2, 0, 2)], key=repr)
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, label string").repartition(3)
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = [tuple(r) for r in embeddings.op9_embeddings(spark, str(tmp_path)).collect()]
+    assert sorted((r[:3] for r in got), key=repr) == want and all(r[3] == (r[0] == r[2]) for r in got)
+    halves = df.filter("label LIKE '1%'").withColumn("label", F.col("label").cast("double"))
+    assert sorted(tuple(r) for r in embeddings.link_vectors(halves).collect()) == [(6, 0, 6), (7, 2, 7), (7, 2, 7), (8, 2, 7)]
+
+
+def test_op9_query_against_brute_force(spark, sf_dir):
+    """The whole table of the smallest data: no link below the threshold, recall of at least 0.9."""
+    data = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    want = naive_vectors(data)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.op9_embeddings(spark, sf_dir).collect()}
+    assert got.keys() == want.keys() and all(got[i][0] <= want[i][0] for i in got)
+    assert sum(n for n, _ in got.values()) >= 0.9 * sum(n for n, _ in want.values())
+    assert sum(got[i][1] == want[i][1] for i in got) >= 0.9 * len(got)
+
+
 def test_estimates_are_bounded():
     rng = np.random.default_rng(9)
     x = rng.standard_normal((400, 64))
