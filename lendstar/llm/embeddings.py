@@ -11,6 +11,9 @@ smaller by the root of their number.
 * The same sign bits give the index: ``BANDS`` keys of ``BITS`` bits.  At cosine
   0.93 two vectors share a bit with probability 0.881 and some key with 0.965;
   at 0.95 with 0.995.  Every row is indexed; nothing is fitted.
+* Codes and factors are made once, stored, and moved with the candidates: keys
+  and estimates rest on the same bits.  The estimate takes the code of one vector
+  and the other one turned, so the vectors move as well.
 * Vectors that share a key (and label and dimension) are compared by the
   estimate; only pairs whose upper bound reaches the threshold are computed
   again in double precision, and only pairs at or above it are links.
@@ -36,6 +39,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,50 +61,89 @@ def rotations(dim: int) -> np.ndarray:
     return np.stack([np.linalg.qr(rng.standard_normal((dim, dim)))[0] for _ in range(count)])
 
 
+def _turned(unit: np.ndarray) -> np.ndarray:
+    """Every rotation of each row: (n, rotations * dim)."""
+    dim = unit.shape[1]
+    return unit @ rotations(dim).reshape(-1, dim).T
+
+
+def _unit(vectors: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    flat = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    x = flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _bytes(rows: list[bytes], kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), dtype=kind).reshape(len(rows), -1)
+
+
 class Codes:
-    """Codes, correction factors, bounds and keys of unit vectors (n x dim)."""
+    """Signs and correction factors of unit vectors of one dimension, as stored."""
 
-    def __init__(self, unit: np.ndarray):
+    def __init__(self, signs: np.ndarray, factor: np.ndarray):
+        self.signs, self.factor = signs, factor  # (n, rotations * dim) of 0 and 1; (n, rotations): <o', o>
+
+    @classmethod
+    def of(cls, unit: np.ndarray) -> "Codes":
+        turned = _turned(unit)
         n, dim = unit.shape
-        self.turned = np.einsum("rij,nj->nri", rotations(dim), unit)
-        self.signs = np.where(self.turned >= 0, 1.0, -1.0)
-        self.factor = np.abs(self.turned).sum(axis=2) / np.sqrt(dim)  # <o', o> per rotation
-        spread = np.sqrt(np.maximum(0.0, 1 - self.factor**2)) / (self.factor * np.sqrt(max(1, dim - 1)))
-        count = self.factor.shape[1]
-        self.bound = EPSILON * np.sqrt((spread**2).sum(axis=1)) / count
-        scaled = self.signs / (self.factor * np.sqrt(dim) * count)[:, :, None]
-        self.scaled = scaled.reshape(n, -1).astype(np.float32)
-        self.flat = self.turned.reshape(n, -1).astype(np.float32)
+        return cls((turned >= 0).astype(np.uint8), np.abs(turned).reshape(n, -1, dim).sum(axis=2) / np.sqrt(dim))
+
+    @classmethod
+    def read(cls, code: list[bytes], factor: list[bytes], dim: int) -> "Codes":
+        count = rotations(dim).shape[0]
+        return cls(np.unpackbits(_bytes(code, np.uint8), axis=1, count=count * dim), _bytes(factor, np.float64))
+
+    def stored(self) -> tuple[list[bytes], list[bytes]]:
+        return [r.tobytes() for r in np.packbits(self.signs, axis=1)], [r.tobytes() for r in self.factor]
 
     def keys(self) -> np.ndarray:
-        bits = (self.signs.reshape(len(self.signs), -1)[:, :BANDS * BITS] > 0).reshape(-1, BANDS, BITS)
-        return (bits * (1 << np.arange(BITS))).sum(axis=2)
+        bits = self.signs[:, :BANDS * BITS].reshape(-1, BANDS, BITS).astype(np.int64)
+        return (bits << np.arange(BITS)).sum(axis=2)
 
-    def upper(self, at: slice, other: "Codes") -> np.ndarray:
-        """Upper bounds of the cosines of rows ``at`` with all rows of ``other``."""
-        return self.scaled[at] @ other.flat.T + self.bound[at][:, None]
+    def bounds(self) -> np.ndarray:
+        n, count = self.factor.shape
+        dim = self.signs.shape[1] // count
+        spread = np.sqrt(np.maximum(0.0, 1 - self.factor**2)) / (self.factor * np.sqrt(max(1, dim - 1)))
+        return EPSILON * np.sqrt((spread**2).sum(axis=1)) / count
 
+    def scaled(self) -> np.ndarray:
+        """Rows whose products with turned vectors estimate the cosines."""
+        n, count = self.factor.shape
+        dim = self.signs.shape[1] // count
+        signs = (self.signs.astype(np.float32) * 2 - 1).reshape(n, count, dim)
+        return (signs / (self.factor * np.sqrt(dim) * count)[:, :, None].astype(np.float32)).reshape(n, -1)
 
-def _unit(vectors: list) -> np.ndarray:
-    x = np.array(vectors, dtype=np.float64)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+def _by_dim(whole: pa.RecordBatch, column: int, size) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Slices of bounded size, each of rows of one dimension."""
+    for lo in range(0, whole.num_rows, 2048):
+        b = whole.slice(lo, 2048)
+        dims = size(b.column(column))
+        for d in np.unique(dims):
+            yield b.take(pa.array(np.flatnonzero(dims == d))), int(d)
+
+
+def _code_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, label, vec) to (cls, label, dim, code, factor)."""
+    for whole in batches:
+        for b, d in _by_dim(whole, 2, lambda c: pc.list_value_length(c).to_numpy(zero_copy_only=False)):
+            code, factor = Codes.of(_unit(b.column(2), d)).stored()
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(np.full(b.num_rows, d, np.int32)), pa.array(code, pa.binary()),
+                 pa.array(factor, pa.binary())], names=["cls", "label", "dim", "code", "factor"])
 
 
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, label, dim, code, factor) to a row for each key of the code."""
     for whole in batches:
-        for lo in range(0, whole.num_rows, 2048):
-            b = whole.slice(lo, 2048)
-            vectors = b.column(2).to_pylist()
-            dims = np.array([len(v) for v in vectors])
-            for d in np.unique(dims):
-                rows = np.flatnonzero(dims == d)
-                keys = Codes(_unit([vectors[i] for i in rows])).keys()
-                band = np.arange(BANDS, dtype=np.int64)
-                key = (band << BITS)[None, :] | keys
-                pick = pa.array(np.repeat(rows, BANDS))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pick), b.column(1).take(pick), pa.array(np.full(len(pick), d, np.int32)),
-                     pa.array(key.ravel())], names=["cls", "label", "dim", "key"])
+        for b, d in _by_dim(whole, 2, lambda c: c.to_numpy(zero_copy_only=False)):
+            codes = Codes.read(b.column(3).to_pylist(), b.column(4).to_pylist(), d)
+            key = (np.arange(BANDS, dtype=np.int64) << BITS)[None, :] | codes.keys()
+            pick = pa.array(np.repeat(np.arange(b.num_rows), BANDS))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pick), b.column(1).take(pick), pa.array(np.full(len(pick), d, np.int32)),
+                 pa.array(key.ravel())], names=["cls", "label", "dim", "key"])
 
 
 GROUP = ["label", "dim", "key", "i", "j"]
@@ -108,7 +151,7 @@ GROUP = ["label", "dim", "key", "i", "j"]
 
 def _marks(t: pa.Table) -> np.ndarray:
     """The group columns of each row."""
-    return np.column_stack([np.array(t[c].to_pylist(), dtype=object) for c in GROUP])
+    return np.column_stack([t[c].to_pandas().to_numpy(dtype=object) for c in GROUP])
 
 
 def _compare(threshold: float):
@@ -118,9 +161,10 @@ def _compare(threshold: float):
         first_block, second_block = t["i"][0].as_py(), t["j"][0].as_py()
         cls, weight = t["cls"].to_numpy(), t["weight"].to_numpy()
         own = t["own"].to_numpy()
-        unit = _unit(t["vec"].to_pylist())
-        codes = Codes(unit)
-        keys = codes.keys()
+        dim = t["dim"][0].as_py()
+        unit = _unit(t["vec"], dim)
+        codes = Codes.read(t["code"].to_pylist(), t["factor"].to_pylist(), dim)
+        keys, turned, scaled, bound = codes.keys(), _turned(unit).astype(np.float32), codes.scaled(), codes.bounds()
         band = t["key"][0].as_py() >> BITS
         up = np.arange(len(cls))
 
@@ -133,7 +177,7 @@ def _compare(threshold: float):
         count = np.zeros(len(cls), dtype=np.int64)
         edges = []
         for lo in range(0, len(cls), 256):
-            maybe = codes.upper(slice(lo, lo + 256), codes) >= threshold
+            maybe = scaled[lo:lo + 256] @ turned.T + bound[lo:lo + 256, None] >= threshold
             a, b = np.nonzero(maybe)
             a += lo
             # either direction's bound may rule a pair out only together
@@ -199,16 +243,17 @@ def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     classes = stored(src.filter("vec IS NOT NULL").groupBy("label", "vec").agg(
         F.min("id").alias("node"), F.count("*").alias("weight")).withColumn("cls", F.monotonically_increasing_id()),
         "vector-classes")
-    keys = classes.select("cls", "label", "vec").mapInArrow(_key_rows, "cls long, label string, dim int, key long")
-    keys = stored(keys, "vector-keys")
+    codes = stored(classes.select("cls", "label", "vec").mapInArrow(
+        _code_rows, "cls long, label string, dim int, code binary, factor binary"), "vector-codes")
+    keys = stored(codes.mapInArrow(_key_rows, "cls long, label string, dim int, key long"), "vector-keys")
     cell = ["label", "dim", "key"]
     shared = keys.groupBy(*cell).count().filter("count > 1").withColumn(
         "blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count")
     placed = keys.join(shared, cell).withColumn("own", F.expr("pmod(xxhash64(cls), blocks)").cast("int"))
     placed = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cls", *cell, "own", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"))
-    rows = placed.join(classes.select("cls", "weight", "vec"), "cls")
-    found = (rows.select("cls", *GROUP, "own", "weight", "vec").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    rows = placed.join(classes.select("cls", "weight", "vec").join(codes.select("cls", "code", "factor"), "cls"), "cls")
+    found = (rows.select("cls", *GROUP, "own", "weight", "vec", "code", "factor").repartition(*GROUP).sortWithinPartitions(*GROUP)
              .mapInArrow(_compare(threshold), "a long, b long, n long"))
     found = stored(found, "vector-links")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))

@@ -270,10 +270,12 @@ def test_estimates_are_bounded():
     x = rng.standard_normal((400, 64))
     x[200:] = x[:200] + rng.standard_normal((200, 64)) * 0.3
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    codes = embeddings.Codes(x)
-    up = codes.upper(slice(0, 400), codes)
+    made = embeddings.Codes.of(x)
+    codes = embeddings.Codes.read(*made.stored(), 64)
+    assert (codes.keys() == made.keys()).all() and (codes.factor == made.factor).all()
+    up = codes.scaled() @ embeddings._turned(x).T + codes.bounds()[:, None]
     assert (up >= x @ x.T).mean() > 0.9999
-    est = up - codes.bound[:, None]
+    est = up - codes.bounds()[:, None]
     assert abs((est - x @ x.T)[:200, :200][~np.eye(200, dtype=bool)].mean()) < 0.01
 
 
