@@ -32,8 +32,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines within one edit of an earlier one go; every document stays."""
-    return _recounted(dedup_lines(docs))
+    """Lines within one edit of an earlier one go; a document without any other goes with them."""
+    return _recounted(dedup_lines(docs)).filter(r"text RLIKE '[^\\x20\\x09-\\x0D]'")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
