@@ -162,6 +162,7 @@ def _likelihoods(models: Models):
                     [*b.columns[:-1], pa.array(n, pa.int64()), pa.array(noise, pa.bool_()),
                      pa.array(ll, pa.list_(pa.float64()))],
                     names=["id", "tag", "declared", "suffix", "host", "evidence", "noise", "ll"])
+        release_memory()
 
     return run
 

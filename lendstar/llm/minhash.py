@@ -116,6 +116,7 @@ def _sketches(size: int):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64()))], names=["id", "n_shingles", "digest", "bands"])
+        release_memory()
 
     return run
 

@@ -11,6 +11,7 @@ Units repeat, so the bytes of their ids are kept in a bounded dictionary.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import struct
 import weakref
@@ -41,11 +42,15 @@ _MEMOS: "weakref.WeakSet[UnitMemo]" = weakref.WeakSet()
 
 
 def release_memory() -> None:
-    """Let go of what earlier stages kept in a Python worker that is used again."""
+    """Let go of what a stage kept in a Python worker: before the next one uses the
+    worker again, and after its own rows, as the worker stays beside the JVM."""
     for memo in list(_MEMOS):
         memo.clear()
         memo.old.clear()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
 
 
 class UnitMemo(dict):
