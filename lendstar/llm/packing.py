@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lendstar.llm.common import read_table, stored
-from lendstar.llm.units import UnitMemo, release_memory
+from lendstar.llm.units import UnitMemo, release_memory, trim_memory
 
 VOCABULARY = "byte_bpe_50k.json"
 EOS_ID = 1
@@ -43,7 +43,7 @@ WINDOW = 2048
 OPEN_WINDOWS = 32
 MIN_CUT = 64
 FAN_IN = 32
-MEMO_UNITS = 400_000  # of each of two generations: about 170 MB a worker
+MEMO_UNITS = 300_000  # of each of two generations: about 130 MB a worker
 
 PIECE = ("doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary, "
          "sequence_id long, offset long")
@@ -208,10 +208,11 @@ class _Out:
 
 def _first_pass(path: str, window: int, count: int, min_cut: int, eos: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim_memory()
         part = TaskContext.get().partitionId()
         encoder, end = _encoder(path), eos.to_bytes(4, "little")
         open_, out = OpenWindows(window, count, min_cut), _Out(part, part << 32)
-        for b in batches:
+        for b in (w.slice(lo, 512) for w in batches for lo in range(0, w.num_rows, 512)):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = encoder.encode(text) + end
                 total = len(ids) // 4

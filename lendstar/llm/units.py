@@ -47,6 +47,11 @@ def release_memory() -> None:
     for memo in list(_MEMOS):
         memo.clear()
         memo.old.clear()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    """Give free memory of the worker back; memos stay."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
     if trim:
