@@ -43,7 +43,7 @@ WINDOW = 2048
 OPEN_WINDOWS = 32
 MIN_CUT = 64
 FAN_IN = 32
-MEMO_UNITS = 300_000  # of each of two generations: about 130 MB a worker
+MEMO_UNITS = 400_000  # of each of two generations: about 170 MB a worker
 
 PIECE = ("doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary, "
          "sequence_id long, offset long")
@@ -59,7 +59,7 @@ _PROBE = [" the", " Gr\u00f6\u00dfe", " \u043c\u0438\u0440", " xyzzyqq", " \u4e2
 
 
 @lru_cache(maxsize=2)
-def _memo(path: str) -> UnitMemo:
+def _memo(path: str, units: int) -> UnitMemo:
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True  # units have none of their strings, see ``_Encoder``
     model = tok.model
@@ -72,15 +72,15 @@ def _memo(path: str) -> UnitMemo:
         return [t.id for t in model.tokenize(s.encode("utf-8", "surrogatepass").decode("latin-1").translate(_BYTE_CHARS))]
 
     direct = all(word(w) == whole(w) for w in _PROBE)  # else the file's model isn't byte level
-    return UnitMemo(lambda s: word(s) if direct and s[0] == " " and s[1:].isalpha() else whole(s), max_units=MEMO_UNITS)
+    return UnitMemo(lambda s: word(s) if direct and s[0] == " " and s[1:].isalpha() else whole(s), max_units=units)
 
 
 class _Encoder:
     """Ids as of the tokenizer as loaded: the strings of the file's added tokens
     are tokens of their own, and what's between them is encoded on its own."""
 
-    def __init__(self, path: str):
-        self.memo, self.tok = _memo(path), Tokenizer.from_file(path)
+    def __init__(self, path: str, units: int = MEMO_UNITS):
+        self.memo, self.tok = _memo(path, units), Tokenizer.from_file(path)
         added = self.tok.get_added_tokens_decoder()
         plain = {t.content: i for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
         self.ids = {c: struct.pack("<I", i) for c, i in plain.items()}
@@ -101,8 +101,8 @@ class _Encoder:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> _Encoder:
-    return _Encoder(path)
+def _encoder(path: str, units: int) -> _Encoder:
+    return _Encoder(path, units)
 
 
 class OpenWindows:
@@ -206,11 +206,11 @@ class _Out:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
 
-def _first_pass(path: str, window: int, count: int, min_cut: int, eos: int):
+def _first_pass(path: str, window: int, count: int, min_cut: int, eos: int, units: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim_memory()
         part = TaskContext.get().partitionId()
-        encoder, end = _encoder(path), eos.to_bytes(4, "little")
+        encoder, end = _encoder(path, units), eos.to_bytes(4, "little")
         open_, out = OpenWindows(window, count, min_cut), _Out(part, part << 32)
         for b in (w.slice(lo, 512) for w in batches for lo in range(0, w.num_rows, 512)):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -256,13 +256,14 @@ def _merge_pass(window: int, count: int, min_cut: int, rnd: int, last: bool):
 
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer_path: str | None = None,
          eos_id: int = EOS_ID, window: int = WINDOW, open_windows: int = OPEN_WINDOWS,
-         min_cut: int = MIN_CUT, fan_in: int = FAN_IN) -> DataFrame:
+         min_cut: int = MIN_CUT, fan_in: int = FAN_IN, memo_units: int = MEMO_UNITS) -> DataFrame:
     """Pieces of packed sequences: ``PIECE`` columns, ids as little-endian
-    unsigned 32-bit bytes, ``offset`` gapless from 0 within a sequence."""
+    unsigned 32-bit bytes, ``offset`` gapless from 0 within a sequence.  A smaller
+    ``memo_units`` takes less memory of the workers and more time; results are the same."""
     path = tokenizer_path or public_tokenizers.path(VOCABULARY)
     src = df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     names = [f.split()[0] for f in PIECE.split(", ")]
-    first = stored(src.mapInArrow(_first_pass(path, window, open_windows, min_cut, eos_id), _PART), "pack")
+    first = stored(src.mapInArrow(_first_pass(path, window, open_windows, min_cut, eos_id, memo_units), _PART), "pack")
     done = first.filter(~F.col("leftover")).select(*names)
     left = first.filter("leftover")
     # One aggregate row to the driver: how many partitions have leftovers.
