@@ -58,7 +58,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences with their ids."""
-    return pack(docs)
+    return pack(docs, memo_units=300_000)  # beside what earlier stages left in the JVM
 
 
 STAGES = [
