@@ -13,7 +13,8 @@ from lendstar.llm.queries import ORACLE, QUERIES
 
 DOCS = [(1, "Licensed under the Apache License, Version 2.0."), (2, None), (3, ""), (4, "MIT-License mit license"),
         (5, "x " * 3000 + "cc by"), (5, "x " * 3000 + "cc by"), (6, "GNU general\npublic LICENSE version 3 " * 3),
-        (None, "cc by nc"), (7, "mitlicense mit licensed"), (8, "é gnu-general_public license")]
+        (None, "cc by nc"), (7, "mitlicense mit licensed"), (8, "é gnu-general_public license"),
+        (9, "the gnu genral public license"), (10, "general public"), (11, "license " * 2000)]
 
 
 def rows(df):
@@ -47,13 +48,37 @@ def test_edge_rows_equal_the_sql(spark, tmp_path, name):
 def test_license_scan_keeps_columns_and_empty_tables(spark):
     df = spark.createDataFrame([(t, 1, i, 2) for i, t in DOCS], "text string, words int, doc_id long, n_words int")
     out = licenses.scan(df)
-    assert out.columns == ["text", "words", "doc_id", "n_words", "matches"]
+    assert out.columns == ["text", "words", "doc_id", "n_words", "matches", "near"]
     found = {r["doc_id"]: {m["label"] for m in r["matches"]} for r in out.collect()}
     assert found[1] == {"apache", "apache-2.0"} and found[4] == {"mit"} and found[None] == {"cc-by", "cc-by-nc"}
     assert found[2] == found[3] == found[7] == set() and found[6] == {"gpl", "gpl-3.0"} and found[8] == {"gpl"}
     assert licenses.scan(df.limit(0)).collect() == []
 
 
+def test_license_texts_with_altered_words(spark, tmp_path):
+    mit = next(t.text for t in licenses.TEMPLATES if t.label == "mit-text")
+    n = len(mit.split())
+    texts = {1: "Copyright 2020 X\n" + mit + " end", 2: mit.replace("noninfringement", "x").replace("HOLDERS", "OWNERS"),
+             3: mit.replace("sublicense", "relicense"), 4: " ".join(mit.split()[:60]), 5: mit.replace("merge, ", ""),
+             6: " ".join(mit.split()[::-1]), 7: "a b c", 8: mit + " " + mit}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (sorted(m["label"] for m in r["matches"]), r["near"]) for r in licenses.scan(df).collect()}
+    assert got[1] == (["mit-grant", "mit-text"], 1.0) and got[8] == (["mit-grant"] * 2 + ["mit-text"] * 2, 1.0)
+    assert got[2][0] == ["mit-grant", "mit-text"] and got[4][0] == ["mit-grant", "mit-text"]
+    assert got[3][0] == ["mit-grant"] and got[5][0] == ["mit-grant"]  # a key phrase altered, or moved by a lost word
+    assert got[6] == ([], 0.0) and got[7] == ([], 0.0) and n > 100
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    q = QUERIES["op1_license_scan"](spark, str(tmp_path))
+    cols = sorted(q.columns)
+    want = con.sql(f"SELECT {', '.join(cols)} FROM ({ORACLE['op1_license_scan']})").fetchall()
+    assert rows(q.select(cols)) == sorted(want, key=repr)
+    spoilt = licenses.scan(df.filter("doc_id = 7").select("doc_id", F.lit(mit.replace("PERMISSION", "x").replace(
+        "Permission", "Y").replace("sublicense", "z")).alias("text"))).first()
+    assert spoilt["matches"] == [] and 0.9 < spoilt["near"] < 1.0
+
+
 def test_fingerprints(spark):
     a = "one two three four five six seven eight nine ten " * 3 + " ".join(f"w{i}" for i in range(400))
     df = spark.createDataFrame([(1, a), (2, a), (3, ""), (4, None), (5, "hi"), (6, a + " " + " ".join(
