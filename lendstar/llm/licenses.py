@@ -2,19 +2,19 @@
 
 A template is a word sequence with mandatory key phrases at known places in
 it: a short one is its phrase, a long one is a whole licence text or notice.
-The index holds, for each template, postings (word, position) of those of its
-words that have the highest inverse document frequency, counted over all rows;
-words that no row has are left out.  A file looks up which of its own words
-are indexed.  Each occurrence gives, by relative position, the place where the
-template would have to start; postings of one template are intersected there,
-and a place where ``AGREE`` of them or more agree is a candidate.  A candidate
-whose key phrases all stand at their own positions is a match.  Coverage is the
-share of the template's words found at their own positions.
-
-A phrase of a short template has all the template's words, so every place where
-it stands is a candidate: no place is lost.  A licence text with altered words
-keeps the postings that are left; with an altered key phrase it is no match, but
-its coverage still counts for ``near``, from ``NEAR`` on.
+The index holds, for each template, postings (word, position) of those words of
+its key phrases that have the highest inverse document frequency, counted over
+all rows.  A file looks up which of its own words are indexed.  Each occurrence
+gives, by relative position, the place where the template would have to start;
+postings of one template are intersected there, and a place where ``AGREE`` of
+them or more agree is a candidate.  (So the last ``AGREE`` - 1 postings, the most
+frequent ones, are never looked up: a candidate has one of the others.)  A
+candidate whose key phrases all stand at their own positions is a match.
+Coverage is the share of the template's words found at their own positions.
+
+All postings agree where the key phrases stand, so no match is lost, whatever the
+other words.  With an altered key phrase a licence text is no match, but its
+coverage still counts for ``near``, from ``NEAR`` on, if enough postings agree.
 
 Everything is JVM-side array work on the file's own row: one small aggregate
 for the frequencies, then one pass without a shuffle.  A posting's partners are
@@ -40,9 +40,9 @@ from lendstar.llm.common import LOWER, UPPER, ascii_lower, fresh_names, read_tab
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-ANCHORS = 12  # rarest words of a template that are indexed, all but one in a short one
-AGREE = 2     # postings that have to agree on a place
-NEAR = 0.6    # coverage from which a place without the key phrases counts as near
+ANCHORS = 4  # rarest key-phrase words of a template that are indexed, all but one in a short one
+AGREE = 2    # postings that have to agree on a place
+NEAR = 0.6   # coverage from which a place without the key phrases counts as near
 
 
 def _words(text: str) -> list[str]:
@@ -150,19 +150,18 @@ def _strings(values: list[str]) -> Column:
 
 
 def document_frequencies(df: DataFrame, words_col: str, templates: list[Template]) -> dict[str, int]:
-    """In how many rows each template word occurs; over all rows."""
-    vocabulary = sorted({w for t in templates for w in t.words})
+    """In how many rows each key-phrase word occurs; over all rows."""
+    vocabulary = sorted({w for t in templates for _, p in t.key_phrases for w in p})
     seen = F.array_intersect(F.col(words_col), _strings(vocabulary))
     rows = df.select(F.explode(seen).alias("w")).groupBy("w").count().collect()  # at most one per vocabulary word
     return {r["w"]: r["count"] for r in rows}
 
 
 def postings(template: Template, rows_with: dict[str, int]) -> list[tuple[int, str]]:
-    """(position, word) of the template's rarest words that some row has, all their places."""
-    words = template.words
-    rare = sorted((w for w in dict.fromkeys(words) if rows_with.get(w)), key=lambda w: (rows_with[w], words.index(w)))
-    rare = set(rare[:min(ANCHORS, max(AGREE, len(set(words)) - 1))])
-    return [(i, w) for i, w in enumerate(words) if w in rare]
+    """(position, word) of the rarest words of the key phrases, rarest first."""
+    places = [(at + i, w) for at, p in template.key_phrases for i, w in enumerate(p)]
+    places.sort(key=lambda x: (rows_with.get(x[1], 0), x[0]))
+    return places[:min(ANCHORS, max(AGREE, len(places) - 1))]
 
 
 def scan(df: DataFrame, text_col: str = "text", templates: list[Template] = TEMPLATES) -> DataFrame:
@@ -177,18 +176,16 @@ def scan(df: DataFrame, text_col: str = "text", templates: list[Template] = TEMP
     index, indexed = {}, []
     for k, t in enumerate(templates):
         anchors = postings(t, rows_with)
-        for i, w in anchors:
+        for i, w in anchors[:len(anchors) - AGREE + 1]:
             index.setdefault(w, []).append(F.struct(F.lit(k).alias("t"), F.lit(i).alias("at")))
         indexed.append(F.struct(
             F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), _strings(t.words).alias("words"),
-            F.array(*[F.struct(F.lit(i).alias("at"), F.lit(w).alias("w")) for i, w in anchors]).cast(
-                "array<struct<at:int,w:string>>").alias("anchors"),
+            F.array(*[F.struct(F.lit(i).alias("at"), F.lit(w).alias("w")) for i, w in anchors]).alias("anchors"),
             F.array(*[F.struct(F.lit(i).alias("at"), _strings(p).alias("words")) for i, p in t.key_phrases]).alias(
                 "phrases")))
     templates_of = F.array(*indexed)
     rare_words = sorted(index)
-    lists = F.array(*[F.array(*index[w]) for w in rare_words]).cast("array<array<struct<t:int,at:int>>>")
-    rare = _strings(rare_words).cast("array<string>")
+    lists, rare = F.array(*[F.array(*index[w]) for w in rare_words]), _strings(rare_words)
 
     def found(word: Column, i: Column) -> Column:
         return F.when(word.isin(rare_words), F.struct(word.alias("w"), i.alias("i")))
@@ -200,7 +197,7 @@ def scan(df: DataFrame, text_col: str = "text", templates: list[Template] = TEMP
         return F.coalesce(F.get(F.col(words), c["start"] + at) == word, F.lit(False))
 
     def first_of_agreeing(c: Column) -> Column:
-        """Enough postings agree, and this one is the first of them: one candidate a place."""
+        """Enough postings agree, and this is the rarest of them: one candidate a place."""
         agree = F.filter(F.get(templates_of, c["t"])["anchors"], lambda a: stands(c, a["at"], a["w"]))
         return (F.size(agree) >= AGREE) & (F.get(agree, F.lit(0))["at"] == c["at"])
 
@@ -261,12 +258,10 @@ phrase(k, t, w) AS (VALUES {phrase}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
 p AS (SELECT rid, unnest(words) AS w, unnest(range(len(words))) AS i FROM d),
-rows_with AS (SELECT w, count(DISTINCT rid) AS n FROM p WHERE w IN (SELECT w FROM word) GROUP BY w),
-ranked AS (SELECT k, word.w, row_number() OVER (PARTITION BY k ORDER BY any_value(n), min(t)) AS rank
-    FROM word JOIN rows_with ON rows_with.w = word.w GROUP BY k, word.w),
-sizes AS (SELECT k, least({ANCHORS}, greatest({AGREE}, count(DISTINCT w) - 1)) AS anchors FROM word GROUP BY k),
-posting AS (SELECT word.k, word.t, word.w FROM word JOIN ranked ON ranked.k = word.k AND ranked.w = word.w
-    JOIN sizes ON sizes.k = word.k WHERE ranked.rank <= sizes.anchors),
+rows_with AS (SELECT w, count(DISTINCT rid) AS n FROM p WHERE w IN (SELECT w FROM phrase) GROUP BY w),
+ranked AS (SELECT k, t, phrase.w, row_number() OVER (PARTITION BY k ORDER BY coalesce(n, 0), t) AS rank,
+        count(*) OVER (PARTITION BY k) AS places FROM phrase LEFT JOIN rows_with ON rows_with.w = phrase.w),
+posting AS (SELECT k, t, w FROM ranked WHERE rank <= least({ANCHORS}, greatest({AGREE}, places - 1))),
 candidate AS (SELECT p.rid, x.k, p.i - x.t AS start FROM p JOIN posting x ON x.w = p.w
     GROUP BY p.rid, x.k, p.i - x.t HAVING count(*) >= {AGREE}),
 covered AS (SELECT c.rid, c.k, c.start, count(*) AS n FROM candidate c JOIN word x ON x.k = c.k
