@@ -86,3 +86,59 @@ def test_digest_tells_rows_apart(spark):
         (5, 'a', 'b', -0.0D), (6, '-', 'b', 0.0D), (7, 'a', NULL, 0.0D), (8, 'a1:b', '', 0.0D) AS t(k, x, y, z)""")
     got = {r["k"]: bytes(r["d"]) for r in df.select("k", row_digest(df, ["x", "y", "z"]).alias("d")).collect()}
     assert got[1] == got[5] and len(set(got.values())) == 7
+
+
+def exchanges(df):
+    """Shuffles of rows by bucket, and by key, in the plan of a frame that isn't run yet."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning(bucket"), plan.count("Exchange hashpartitioning(k#")
+
+
+def test_whole_rows_move_once(spark, scratch, monkeypatch):
+    """Identities are made of keys alone; a publish deals whole rows to their buckets, and nothing else moves them."""
+    from lendstar.plans import buckets
+    ranked, moved = [], []
+    identity, publish = buckets.assign_dense_identity, buckets.publish_buckets
+    monkeypatch.setattr(buckets, "assign_dense_identity", lambda df, *a, **k: (ranked.append(df.columns), identity(df, *a, **k))[1])
+    monkeypatch.setattr(buckets, "publish_buckets", lambda df, *a, **k: (moved.append((df.columns, exchanges(df))), publish(df, *a, **k))[1])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = f"{scratch}/t"
+        upsert_buckets(frame(spark, 40), base, "k", "id", ["x", "d", "o"], count=4)
+        assert ranked == [["k"]]
+        upsert_buckets(frame(spark, 50, k7="new"), base, "k", "id", ["x", "d", "o"], count=4)
+        assert all(versioned.BUCKET in cols for cols, _ in moved)
+        assert [n for _, n in moved] == [(1, 0), (1, 0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    got = {r["k"]: r for r in versioned.read_current(spark, base).collect()}
+    assert len(got) == 50 and got[7]["x"] == "new" and [got[k]["id"] for k in range(50)] == list(range(1, 51))
+
+
+def test_repeated_and_null_keys(spark, scratch):
+    """Rows of repeated keys: the latest of each stays, whether keys are frequent or not; a NULL key has a row."""
+    import dataclasses
+
+    from pyspark.sql import types as T
+
+    from lendstar.plans import pipeline
+    from lendstar.specs import TableSpec
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("o", T.IntegerType()), T.StructField("x", T.StringType())])
+    spec = TableSpec(name="t", schema=schema, key="k", order_col="o", identity_col="id")
+    rows = [(k, o, f"{k}.{o}") for k in (3, 5, 8, 13) for o in (2, 1, 3)[:1 + k % 3]] + [(21, None, "b"), (21, None, "a")]
+    want = [(1, 3, "3.2"), (2, 5, "5.3"), (3, 8, "8.3"), (4, 13, "13.2"), (5, 21, "a")]
+    read = lambda base: sorted(tuple(r) for r in versioned.read_current(spark, base).select("id", "k", "x").collect())
+    for i, frequent in enumerate((1000, 1)):
+        pipeline.FREQUENT, usual = frequent, pipeline.FREQUENT
+        try:
+            done = pipeline.run_table_etl(spark.createDataFrame(rows, schema), spec, f"{scratch}/{i}", "2025-06-01 08:00:00")
+            more = rows + [(5, 4, "5.4"), (5, 0, "5.0"), (34, 1, "34.1")]
+            again = pipeline.run_table_etl(spark.createDataFrame(more, schema), spec, f"{scratch}/{i}", "2025-06-02 08:00:00")
+        finally:
+            pipeline.FREQUENT = usual
+        assert (done["row_count"], done["duplicate_rows"], again["row_count"]) == (5, len(rows) - 5, 2)
+        assert read(f"{scratch}/{i}") == [want[0], (2, 5, "5.4"), *want[2:], (6, 34, "34.1")]
+    null = dataclasses.replace(spec, name="n")
+    pipeline.run_table_etl(spark.createDataFrame([*rows, (None, 1, "n1"), (None, 2, "n2")], schema), null, f"{scratch}/n", "2025-06-01 08:00:00")
+    assert [r[2] for r in sorted(read(f"{scratch}/n"), key=lambda r: r[0])] == ["n2", *[w[2] for w in want]]
