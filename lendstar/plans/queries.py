@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lendstar.fixtures import RUN_DATE, Fixtures
 from lendstar.operators import lookup, profit
-from lendstar.session import work_path
+from lendstar.session import stored, work_path
 
 QUERIES: dict = {}
 
@@ -134,9 +134,7 @@ def _clean_shared(fx: Fixtures, table: str, day2: bool = False) -> DataFrame:
     be; later reads scan it (columnar, pruned) instead of re-cleansing."""
     k = ("clean", table, day2)
     if k not in fx._cache:
-        path = work_path(fx.spark, "cleansed", SPEC[table].name)
-        _clean(fx, table, day2).write.parquet(path)
-        fx._cache[k] = fx.spark.read.parquet(path)
+        fx._cache[k] = stored(_clean(fx, table, day2), f"cleansed/{SPEC[table].name}")
     return fx._cache[k]
 
 
