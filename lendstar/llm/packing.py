@@ -12,6 +12,9 @@ partitions, then groups of groups, until one is left.  A merge task reads at
 most ``fan_in * open_windows`` windows, whatever the input's size.  The very
 last open windows are poured together, so few stay part empty.
 
+The different units of some MB of texts are encoded once.  Those that are one
+piece of the pre-split go to the file's model many at a time.
+
 Every id lies in exactly one piece.  Pieces carry their ids.  ``sequence_id``
 is made of round, partition and a counter; it's unique and, for the same file
 splits, the same when a task is repeated.  A null text counts as empty (its
@@ -21,21 +24,24 @@ row by row; an empty table gives no pieces; other columns are ignored.
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lendstar.llm.common import read_table, stored
-from lendstar.llm.units import UnitMemo, release_memory, trim_memory
+from lendstar.llm.units import UnitMemo, release_memory, trim_memory, unit_array
 
 VOCABULARY = "byte_bpe_50k.json"
 EOS_ID = 1
@@ -43,36 +49,61 @@ WINDOW = 2048
 OPEN_WINDOWS = 32
 MIN_CUT = 64
 FAN_IN = 32
-MEMO_UNITS = 400_000  # of each of two generations: about 170 MB a worker
+MEMO_UNITS = 400_000  # of each of two generations: up to 170 MB a worker
 
 PIECE = ("doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary, "
          "sequence_id long, offset long")
 _PART = PIECE + ", leftover boolean, part int"
 _BATCH_BYTES = 8 << 20
+_TEXT_BYTES = 16 << 20  # of texts encoded at once
+_TEXTS_AT_ONCE = 256
+_WORDS_AT_ONCE = 256
 
 
 # Byte-level models write a byte as itself where it prints, else as the next
 # character from U+0100 on.
 _PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
-_PROBE = [" the", " Gr\u00f6\u00dfe", " \u043c\u0438\u0440", " xyzzyqq", " \u4e2d\u6587"]
+_CHARS = "".join(chr(_BYTE_CHARS.get(b, b)) for b in range(256))
+_APART = b"\xff"  # never in UTF-8
+_PROBE = [" the", " Gr\u00f6\u00dfe", " \u043c\u0438\u0440", " xyzzyqq", " \u4e2d\u6587", "the", " 2024", "7", ",", " ...", "&&&"]
+# One piece of the pre-split, so the merges alone; not of its contractions.
+_ONE_PIECE = r"^ ?(\p{L}+|\p{N}+|[!-/:-@\[-`{-~]+)$"
+
+
+class _Words:
+    """Ids of units that are one piece of the pre-split, many in one call of the
+    file's model: they stand apart by a byte of no merge."""
+
+    def __init__(self, tok: Tokenizer, whole):
+        self.model, self.apart = tok.model, tok.token_to_id(_CHARS[0xFF])
+        # Else the model isn't byte level, or its merges depend on more than the piece.
+        self.usable = (self.apart is not None and sum(_CHARS[0xFF] in t for t in tok.get_vocab()) == 1
+                       and not self.model.ignore_merges and self.model.dropout is None
+                       and self(pa.array(_PROBE, pa.large_string())).to_pylist() == [whole(s) for s in _PROBE])
+
+    def __call__(self, words: pa.Array) -> pa.Array:
+        found = [np.empty(0, "<u4")]
+        for lo in range(0, len(words), _WORDS_AT_ONCE):
+            raw = _APART.join(words.slice(lo, _WORDS_AT_ONCE).cast(pa.large_binary()).to_numpy(zero_copy_only=False))
+            ids = [t.id for t in self.model.tokenize(codecs.charmap_decode(raw, "strict", _CHARS)[0])]
+            found.append(np.array([*ids, self.apart], "<u4"))
+        flat = np.concatenate(found)
+        ends = np.flatnonzero(flat == self.apart)
+        return _binary(flat[flat != self.apart], ends - np.arange(len(ends)))
+
+
+def _binary(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Bytes of ids; each value's end in ids."""
+    offsets = 4 * np.concatenate([[0], ends]).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
 
 
 @lru_cache(maxsize=2)
 def _memo(path: str, units: int) -> UnitMemo:
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True  # units have none of their strings, see ``_Encoder``
-    model = tok.model
-
-    def whole(s: str) -> list[int]:
-        return tok.encode(s, add_special_tokens=False).ids
-
-    def word(s: str) -> list[int]:
-        """A space and letters: one piece of the pre-split, so the merges alone."""
-        return [t.id for t in model.tokenize(s.encode("utf-8", "surrogatepass").decode("latin-1").translate(_BYTE_CHARS))]
-
-    direct = all(word(w) == whole(w) for w in _PROBE)  # else the file's model isn't byte level
-    return UnitMemo(lambda s: word(s) if direct and s[0] == " " and s[1:].isalpha() else whole(s), max_units=units)
+    return UnitMemo(lambda s: tok.encode(s, add_special_tokens=False).ids, max_units=units)
 
 
 class _Encoder:
@@ -81,6 +112,7 @@ class _Encoder:
 
     def __init__(self, path: str, units: int = MEMO_UNITS):
         self.memo, self.tok = _memo(path, units), Tokenizer.from_file(path)
+        self.words = _Words(self.tok, self.memo.encode)
         added = self.tok.get_added_tokens_decoder()
         plain = {t.content: i for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
         self.ids = {c: struct.pack("<I", i) for c, i in plain.items()}
@@ -99,6 +131,40 @@ class _Encoder:
             return self.memo.encode(text)
         return b"".join(self.ids.get(part) or self.memo.encode(part) for part in self.cut.split(text))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` of every text; different units of some MB of texts are encoded once."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+        lo = 0
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _TEXT_BYTES, "right")))
+            part = pc.fill_null(texts.slice(lo, hi - lo).cast(pa.large_string()), "")
+            own = np.zeros(len(part), bool)  # texts with added tokens: each on its own
+            for c in [*self.ids, *self.odd]:
+                own |= pc.match_substring(part, c).to_numpy(zero_copy_only=False)
+            for i, ids in enumerate(self._by_units(pc.if_else(pa.array(own), "", part))):
+                yield self.encode(part[i].as_py()) if own[i] else ids
+            lo = hi
+
+    def _by_units(self, texts: pa.Array) -> Iterator[bytes]:
+        units, first = unit_array(texts)
+        coded = units.dictionary_encode()
+        one = pc.match_substring_regex(coded.dictionary, _ONE_PIECE)
+        if not self.words.usable:
+            one = pc.and_(one, False)
+        rest = [self.memo.encode(u) for u in coded.dictionary.filter(pc.invert(one)).to_pylist()]
+        ids = pa.concat_arrays([self.words(coded.dictionary.filter(one)), pa.array(rest, pa.large_binary())])
+        one = one.to_numpy(zero_copy_only=False)
+        at = np.where(one, np.cumsum(one) - 1, len(ids) - len(rest) + np.cumsum(~one) - 1)  # in ids
+        at = at[coded.indices.to_numpy()]
+        for lo in range(0, len(texts), _TEXTS_AT_ONCE):  # ids may be larger than the texts
+            part = first[lo:lo + _TEXTS_AT_ONCE + 1]
+            taken = ids.take(pa.array(at[part[0]:part[-1]]))
+            _, offsets, data = taken.buffers()
+            ends = np.frombuffer(offsets, np.int64)[part - part[0]].tolist() if len(taken) else [0] * len(part)
+            data = memoryview(data or b"")
+            for a, b in zip(ends, ends[1:]):
+                yield bytes(data[a:b])
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str, units: int) -> _Encoder:
@@ -212,9 +278,9 @@ def _first_pass(path: str, window: int, count: int, min_cut: int, eos: int, unit
         part = TaskContext.get().partitionId()
         encoder, end = _encoder(path, units), eos.to_bytes(4, "little")
         open_, out = OpenWindows(window, count, min_cut), _Out(part, part << 32)
-        for b in (w.slice(lo, 512) for w in batches for lo in range(0, w.num_rows, 512)):
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = encoder.encode(text) + end
+        for b in batches:
+            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode_all(b.column(1))):
+                ids += end
                 total = len(ids) // 4
                 full = total - total % window
                 for s in range(0, full, window):
@@ -258,8 +324,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenize
          eos_id: int = EOS_ID, window: int = WINDOW, open_windows: int = OPEN_WINDOWS,
          min_cut: int = MIN_CUT, fan_in: int = FAN_IN, memo_units: int = MEMO_UNITS) -> DataFrame:
     """Pieces of packed sequences: ``PIECE`` columns, ids as little-endian
-    unsigned 32-bit bytes, ``offset`` gapless from 0 within a sequence.  A smaller
-    ``memo_units`` takes less memory of the workers and more time; results are the same."""
+    unsigned 32-bit bytes, ``offset`` gapless from 0 within a sequence.  Units that aren't
+    one piece of the pre-split are kept in a memo of ``memo_units``: a smaller one takes
+    less memory of the workers and more time; results are the same."""
     path = tokenizer_path or public_tokenizers.path(VOCABULARY)
     src = df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     names = [f.split()[0] for f in PIECE.split(", ")]

@@ -7,6 +7,10 @@ each unit (white space, then a word) encoded alone.  A unit that is still long
 digit is followed by an ASCII character of another class: letter and digit
 runs always end there, and a contraction starts, not ends, at such a place.
 Units repeat, so the bytes of their ids are kept in a bounded dictionary.
+
+``unit_array`` cuts many texts at once by their bytes: before ASCII white space
+at such places, and between a letter or digit and ASCII punctuation.  Its units
+are then encoded once for all the texts, however often they stand there.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ import struct
 import weakref
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 
 # Unicode White_Space, spelled out: Python's \s also holds U+001C to U+001F.
@@ -29,6 +34,13 @@ _TAIL = re.compile(r"(?<=[^\W_])[!-/:-@\[-`{-~]+$")
 
 LONG_UNIT = 2048
 
+# For ``unit_array``: classes of bytes, and of characters of two bytes.
+_SPACE, _PUNCTUATION, _WORD = 1, 2, 4
+_BYTE_CLASS = np.array([_SPACE if c in _WS else _WORD if c.isalnum() else _PUNCTUATION if "!" <= c <= "~" else 0
+                        for c in map(chr, range(0x80))] + [0] * 0x80, np.uint8)
+_TWO_BYTE_WORD = np.array([chr(i).isalnum() for i in range(0x800)])
+_WIDE_WS = [int.from_bytes(c.encode(), "big") for c in _WS if ord(c) > 0x7F]  # of two or three bytes
+
 
 def split_units(text: str) -> list[str]:
     """Units whose encodings concatenate to the encoding of ``text``."""
@@ -38,6 +50,34 @@ def split_units(text: str) -> list[str]:
     return [p for u in units for p in (_CLASS_EDGE.split(u) if len(u) > LONG_UNIT else (u,)) if p]
 
 
+def unit_array(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The units of all ``texts`` (none null) in a row, and where those of each
+    text start among them (one more: their number)."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    lo, hi = int(at[0]), int(at[-1])
+    if lo == hi:
+        return texts.slice(0, 0), np.zeros(len(texts) + 1, np.int64)
+    b = np.frombuffer(data, np.uint8)[lo:hi]
+    kind = _BYTE_CLASS[b]
+    before, after = kind[:-1], kind[1:]
+    cut = (after == _SPACE) & (before != _SPACE) | (after == _PUNCTUATION) & (before == _WORD)
+    # Behind a character of more bytes: the last two and three bytes decide.
+    wide = np.flatnonzero((b[:-1] > 0x7F) & (b[1:] < 0x80) & (after != 0))
+    last, lead = b[wide].astype(np.int64), b[wide - 1].astype(np.int64)
+    two = lead << 8 | last
+    three = b[np.maximum(wide - 2, 0)].astype(np.int64) << 16 | two
+    word = (lead >= 0xC2) & _TWO_BYTE_WORD[(lead & 0x1F) << 6 | last & 0x3F]
+    space = np.isin(two, _WIDE_WS) | np.isin(three, _WIDE_WS)
+    cut[wide] = np.where(after[wide] == _SPACE, ~space, (after[wide] == _PUNCTUATION) & word)
+    first = at - lo
+    starts = first[:-1][first[:-1] < first[1:]]
+    cut[starts[starts > 0] - 1] = True
+    ends = np.concatenate([[0], np.flatnonzero(cut) + 1, [hi - lo]])
+    units = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends + lo), data)
+    return units, np.searchsorted(ends, first)
+
+
 _MEMOS: "weakref.WeakSet[UnitMemo]" = weakref.WeakSet()
 
 
