@@ -49,7 +49,7 @@ def test_passes_give_the_rows_of_one(spark, scratch, monkeypatch, odd):
 
     monkeypatch.setattr(buckets, "publish_buckets", noted)
     tables, logs = [], []
-    for size in (1 << 40, versioned.bytes_read(deliveries[0]) * 6 // 10):
+    for size in (1 << 40, versioned.bytes_read(deliveries[0]) // 4):
         monkeypatch.setattr(versioned, "PASS_BYTES", size)
         base = f"{scratch}/to{size}"
         done = [pipeline.run_table_etl(d, SPEC, base, f"2025-06-0{i} 08:00:00") for i, d in enumerate(deliveries, 1)]
